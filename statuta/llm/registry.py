@@ -3,29 +3,87 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statuta.llm import byte_bpe, token_counts
+from statuta.llm import byte_bpe, chat_format, fingerprints, mixing, quality, token_counts, top_k, toxicity
 from statuta.sources.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+#: The mixture: weights of domains, of languages and of sources (1 where none is given).
+WEIGHTS = ({"web": 5.0, "books": 3.0, "forums": 2.0}, {"en": 6.0, "de": 2.0, "fr": 2.0, "es": 2.0}, {"src0": 2.0})
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+
+
+def domain() -> Column:
+    """Domain of a document, by the number of its source."""
+    number = F.regexp_extract(F.coalesce("source", F.lit("")), "([0-9]+)$", 1)
+    return F.when(number == "", "web").when(number.cast("int") % 5 < 2, "web").when(number.cast("int") % 5 < 4, "books").otherwise("forums")
+
+
+def fold(parts: int, held: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == held
+
+
+def documents(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text", *names)
+
+
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.digests(fingerprints.fingerprints(documents(spark, sf_dir)))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "lang", "source")
+    return mixing.mix_sources(docs, domain(), WEIGHTS).select("doc_id", "domain", "lang", "source", "n_tokens", "copies")
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_counts.count_tokens(docs, PIECES).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+    return token_counts.count_tokens(documents(spark, sf_dir), PIECES).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(top_k.usable(F.col("embedding")))
+    rows = rows.select("vec_id", top_k.scaled(F.col("embedding")).alias("vector"))
+    return top_k.top_k(rows, rows.where("vec_id % 20 = 0"), 20)
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.explode(F.array(F.struct(F.lit(0).cast("long").alias("turn"), F.lit("user").alias("role")), F.struct(F.lit(1).cast("long").alias("turn"), F.lit("assistant").alias("role")))).alias("t"))
+    own = own.select("conv_id", "t.turn", "t.role", F.lit(CONTROL).alias("text"))
+    return chat_format.digests(chat_format.format_conversations(rows.unionByName(own)))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~fold(5, 0))
+    scored = quality.score_quality(documents(spark, sf_dir), labels, 0.3)
+    return scored.select("doc_id", fold(5, 0).alias("held_out"), "score", "predicted")
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN).select("doc_id", "ids")
+    encoded = byte_bpe.encode(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN).select("doc_id", "ids")
     return byte_bpe.digests(encoded, RANKS).drop("ids")
 
 
-QUERIES = {"op3_token_counts": op3_token_counts, "op8_byte_bpe": op8_byte_bpe}
-ORACLE: dict[str, str] = {}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~fold(3, 1))
+    scored = toxicity.score_toxicity(documents(spark, sf_dir), labels, 0.7)
+    return scored.select("doc_id", fold(3, 1).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_mixing, op3_token_counts, op4_top_k, op5_chat_format, op7_quality, op8_byte_bpe, op9_toxicity)}
+#: Rows of each query's 20 best, as SQL for DuckDB.
+ORACLE = {
+    "op4_top_k": """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+           where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+      from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0),
+r as (select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from s)
+select * from r where rank <= 20""",
+}
 
 
 def queries():
