@@ -54,7 +54,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
         have = np.ones(size, dtype=np.uint64)
         done = 1
         while done < size:
-            have[done : 2 * done] = have[:done] * (have[done - 1] * base)
+            have[done : 2 * done] = have[:done] * (have[done - 1 : done] * base)
             done *= 2
         if size <= 2 * PIECE_BYTES:
             _POWERS[int(base)] = have

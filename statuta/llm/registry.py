@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statuta.llm import byte_bpe, chat_format, fingerprints, mixing, quality, token_counts, top_k, toxicity
+from statuta.llm import byte_bpe, chat_format, fingerprints, mixing, near_duplicates, quality, token_counts, top_k, toxicity
 from statuta.sources.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -73,7 +73,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", fold(3, 1).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_mixing, op3_token_counts, op4_top_k, op5_chat_format, op7_quality, op8_byte_bpe, op9_toxicity)}
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(documents(spark, sf_dir), 4, 80)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_mixing, op3_token_counts, op4_top_k, op5_chat_format, op7_quality, op8_byte_bpe, op9_toxicity, op10_near_duplicates)}
 #: Rows of each query's 20 best, as SQL for DuckDB.
 ORACLE = {
     "op4_top_k": """
