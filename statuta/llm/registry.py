@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statuta.llm import byte_bpe, chat_format, fingerprints, mixing, near_duplicates, quality, token_counts, top_k, toxicity
+from statuta.llm import byte_bpe, chat_format, fingerprints, mixing, near_duplicates, quality, substrings, token_counts, top_k, toxicity
 from statuta.sources.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -56,6 +56,11 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(rows.unionByName(own)))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.dedup_substrings(documents(spark, sf_dir), 50)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~fold(5, 0))
     scored = quality.score_quality(documents(spark, sf_dir), labels, 0.3)
@@ -78,7 +83,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_mixing, op3_token_counts, op4_top_k, op5_chat_format, op7_quality, op8_byte_bpe, op9_toxicity, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_mixing, op3_token_counts, op4_top_k, op5_chat_format, op6_substrings, op7_quality, op8_byte_bpe, op9_toxicity, op10_near_duplicates)}
 #: Rows of each query's 20 best, as SQL for DuckDB.
 ORACLE = {
     "op4_top_k": """
