@@ -216,21 +216,37 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return both.mapInArrow(exact, "a long, b long")
 
 
-def components(links: DataFrame, rounds: int = 40) -> DataFrame:
-    """node and label (least node reachable) of the undirected links (a, b)."""
-    edges = checkpointed(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = checkpointed(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
-    for _ in range(rounds):
-        near = edges.join(labels.withColumnRenamed("node", "b").withColumnRenamed("label", "l"), "b").groupBy(F.col("a").alias("node")).agg(F.min("l").alias("l"))
-        step = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "l").alias("label"))
-        # Follow the label's own label, which halves the length of chains.
-        jump = step.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        step = checkpointed(step.join(jump, "label", "left").select("node", "was", F.least("label", F.coalesce("next", "label")).alias("label")))
-        changed = step.where("label <> was").limit(1).count()
-        labels = step.select("node", "label")
-        if not changed:
-            break
-    return labels
+def components(links: DataFrame) -> DataFrame:
+    """node and label (least node reachable) of the undirected links (a, b).
+
+    Each round hangs every node below its least neighbour, follows those pointers to their roots and
+    contracts the links to links between roots. At most half of the nodes are roots that still have
+    links, so there are few rounds, and each handles only what the one before left.
+    """
+    edges = checkpointed(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    labels = None
+    while True:
+        ends = edges.select(F.col("a").alias("node"), F.col("b").alias("to")).union(edges.select("b", "a"))
+        roots = _roots(checkpointed(ends.groupBy("node").agg(F.min("to").alias("to")).select("node", F.least("node", "to").alias("label"))))
+        if labels is None:
+            labels = roots
+        else:
+            over = roots.select(F.col("node").alias("label"), F.col("label").alias("above"))
+            labels = checkpointed(labels.join(over, "label", "left").select("node", F.coalesce("above", "label").alias("label")))
+        for end in ("a", "b"):
+            edges = edges.join(roots.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("label", end)
+        edges = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+        if not edges.limit(1).count():
+            return labels
+
+
+def _roots(parents: DataFrame) -> DataFrame:
+    """Follows the pointers (node, label), which lead to lesser nodes, to their ends, doubling each time."""
+    while True:
+        above = parents.select(F.col("node").alias("label"), F.col("label").alias("above")).where("label <> above")
+        if not parents.join(above, "label", "left_semi").limit(1).count():
+            return parents
+        parents = checkpointed(parents.join(above, "label", "left").select("node", F.coalesce("above", "label").alias("label")))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
