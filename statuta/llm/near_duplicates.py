@@ -5,7 +5,8 @@ a bucket's register keeps the leading-zero count and some mantissa bits of its l
 Documents of equal sets are taken together first. Bands of registers then deal the others into
 buckets. In a bucket, pairs are compared by a finer register sketch with the chance matches taken
 out, and those that may reach the threshold become candidates: in a first round each document's
-nearest partner, and after linking, in a second round, all pairs that no chain of links joins yet.
+nearest partner, and after linking, in a second round, all pairs that no chain of links joins yet
+and that finest sketches, whose error is stated for each pair, do not rule out.
 Candidates are confirmed on the full sets. Large buckets are dealt to pairs of blocks, so no group
 is held by one task.
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from statuta.llm.common import checkpointed, hash_texts, mix
 
 _STEP = np.uint64(0x9FB21C651E98DF25)
-COARSE, FINE = 7, 8
+COARSE, FINE, FINEST = 7, 8, 10
 MANTISSA = 10
 EMPTY = 0xFFFF
 BAND_REGISTERS = 4
@@ -36,6 +37,8 @@ BLOCK = 1024
 #: How far below the threshold an estimate may lie for the pair to be confirmed exactly: over four
 #: standard errors of the fine sketch.
 MARGIN = 0.11
+#: Standard errors that a pair's finest sketches may lie below the threshold.
+ERRORS = 4.75
 
 
 def shingle_sets(texts: list, width: int) -> list[np.ndarray]:
@@ -80,6 +83,33 @@ def registers(found: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
+def compressed(found: np.ndarray, bits: int) -> bytes:
+    """Sketch of a sorted set: a byte for each register, 0 for an empty one."""
+    r = registers(found, bits)
+    return np.where(r == EMPTY, 0, 1 + (r.astype(np.uint32) * np.uint32(40503) >> np.uint32(5)) % 255).astype(np.uint8).tobytes()
+
+
+def finest(texts: DataFrame, width: int) -> DataFrame:
+    """rep and finest (binary sketch) of the rows (doc_id, text)."""
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([compressed(x, FINEST) for x in shingle_sets(part.column(1).to_pylist(), width)], pa.binary())], names=["rep", "finest"])
+
+    return texts.select("doc_id", "text").mapInArrow(signed, "rep long, finest binary")
+
+
+def allowance(n: np.ndarray, percent: int) -> np.ndarray:
+    """How far below the threshold the estimate from finest sketches may lie, by the sets' total size."""
+    share, size = percent / 100, 1 << FINEST
+    union = np.maximum(n / (1 + share), 1)
+    held = size * -np.expm1(-union / size)
+    error = share * (1 - share) / held * np.maximum(1 - held / union, 0) + (1 - share) / 255 / held
+    return ERRORS * np.sqrt(error)
+
+
 def signatures(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, n_shingles, s1 and s2 (hash of the set), bands (keys) and sketch (binary) of documents."""
 
@@ -95,10 +125,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                     keys = coarse.view(np.uint64)
                     n = np.arange(len(keys), dtype=np.uint64)
                     bands.append(mix(keys + (n + np.uint64(1)) * _STEP)[keys != np.uint64((1 << 64) - 1)].view(np.int64))
-                fine = []
-                for x in sets:
-                    r = registers(x, FINE)
-                    fine.append(np.where(r == EMPTY, 0, 1 + (r.astype(np.uint32) * np.uint32(40503) >> np.uint32(5)) % 255).astype(np.uint8).tobytes())
+                fine = [compressed(x, FINE) for x in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([a for a, _ in sums], pa.int64()), pa.array([b for _, b in sums], pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(fine, pa.binary())],
                     names=["doc_id", "n_shingles", "s1", "s2", "bands", "sketch"],
@@ -130,7 +157,7 @@ def _candidates(rows: pd.DataFrame, least: float, percent: int, nearest: bool) -
     """Pairs of ids in whole groups of `rows` (sorted by group), by blocks of comparisons."""
     ids, n, label = rows["rep"].to_numpy(), rows["n"].to_numpy(), rows["label"].to_numpy()
     block, apart = rows["block"].to_numpy(), rows["apart"].to_numpy()
-    sketch = np.frombuffer(b"".join(rows["sketch"]), dtype=np.uint8).reshape(len(rows), -1)
+    sketch, more = (np.frombuffer(b"".join(rows[c]), dtype=np.uint8).reshape(len(rows), -1) for c in ("sketch", "finest"))
     group = rows[["key", "ci", "cj"]].to_numpy()
     edge = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]).any(axis=1), [True])))
     starts, ends = edge[:-1], edge[1:]
@@ -142,9 +169,17 @@ def _candidates(rows: pd.DataFrame, least: float, percent: int, nearest: bool) -
         if not nearest:
             fit &= label[i] != label[j]
         i, j = i[fit], j[fit]
-        e = np.concatenate([estimates(sketch[i[at : at + 8192]], sketch[j[at : at + 8192]]) for at in range(0, len(i), 8192)] or [np.empty(0)])
+        e = estimated(sketch, i, j)
         fit = e >= least
-        return i[fit], j[fit], e[fit]
+        i, j, e = i[fit], j[fit], e[fit]
+        if not nearest and len(i):
+            e = estimated(more, i, j)
+            fit = e >= percent / 100 - allowance(n[i] + n[j], percent)
+            i, j, e = i[fit], j[fit], e[fit]
+        return i, j, e
+
+    def estimated(of: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return np.concatenate([estimates(of[i[at : at + 8192]], of[j[at : at + 8192]]) for at in range(0, len(i), 8192)] or [np.empty(0)])
 
     def chosen(i: np.ndarray, j: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if nearest and len(i):
@@ -165,14 +200,14 @@ def _candidates(rows: pd.DataFrame, least: float, percent: int, nearest: bool) -
 
 
 def candidates(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Distinct pairs (a, b) of members (key, size, rep, n, sketch, label) that may be links."""
+    """Distinct pairs (a, b) of members (key, size, rep, n, sketch, finest, label) that may be links."""
     least = percent / 100 - MARGIN
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep"), F.greatest(blocks, F.lit(1))).cast("int")
     dealt = members.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", F.least("block", "other").alias("ci"), F.greatest("block", "other").alias("cj"), "rep", "n", "label", "sketch", "block", (F.col("block") != F.col("other")).alias("x"))
+    dealt = dealt.select("key", F.least("block", "other").alias("ci"), F.greatest("block", "other").alias("cj"), "rep", "n", "label", "sketch", "finest", "block", (F.col("block") != F.col("other")).alias("x"))
     # In the cell of two different blocks only pairs across them count.
-    dealt = dealt.select("key", "ci", "cj", "rep", "n", "label", "sketch", "block", (F.col("ci") != F.col("cj")).alias("apart"))
+    dealt = dealt.select("key", "ci", "cj", "rep", "n", "label", "sketch", "finest", "block", (F.col("ci") != F.col("cj")).alias("apart"))
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -258,12 +293,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = checkpointed(bands.join(shared, "key"))
     full = members.join(reps.select("rep", "n", "sketch"), "rep")
-    first = checkpointed(candidates(full.withColumn("label", F.col("rep")), percent, True))
+    first = checkpointed(candidates(full.withColumn("label", F.col("rep")).withColumn("finest", F.lit(b"")), percent, True))
     involved = first.select(F.col("a").alias("doc_id")).union(first.select(F.col("b").alias("doc_id"))).distinct()
-    texts = checkpointed(docs.select("doc_id", "text").join(involved, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(docs) else docs.select("doc_id", "text").join(involved, "doc_id"))
+    texts = docs.select("doc_id", "text").join(involved, "doc_id")
+    texts = checkpointed(texts.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(docs) else texts)
     links = checkpointed(confirmed(first, texts, width, percent))
     labels = components(links)
-    ready = full.join(involved.withColumnRenamed("doc_id", "rep"), "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    # The second round: only buckets that hold members of different classes.
+    known = involved.withColumnRenamed("doc_id", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    named = checkpointed(members.drop("size").join(known, "rep"))
+    apart = named.groupBy("key").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key", "size")
+    ready = named.join(apart, "key").join(reps.select("rep", "n", "sketch"), "rep").join(finest(texts, width), "rep")
     second = candidates(ready, percent, False).join(first, ["a", "b"], "left_anti")
     more = checkpointed(confirmed(second, texts, width, percent))
     if more.limit(1).count():
