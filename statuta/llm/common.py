@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Words are the maximal runs of characters outside this class.
 SPACES = r"[\x20\x09-\x0D]+"
 PIECE_BYTES = 2 << 20
+FILTER_BITS = 1 << 23
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -118,5 +120,23 @@ def hash_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
 
 
-def session_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def may_hold(ids: DataFrame, column: str):
+    """A function from an id column to whether `ids` may hold it (always true for those it holds).
+
+    One bit for each of FILTER_BITS hash values, so what the driver and the broadcast hold is a
+    fixed size; with very many ids all bits are set and nothing is ruled out.
+    """
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    spread = ids.select(at(F.col(column)).alias("h"))
+    bits = spread.groupBy(F.floor(F.col("h") / 64).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("h") % 64).cast("int"))).alias("b"))
+    table = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    for row in bits.collect():
+        table[row["w"]] = row["b"]
+    shared = ids.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def held(h: pd.Series) -> pd.Series:
+        h = h.to_numpy()
+        return pd.Series((shared.value[h >> 6] >> (h & 63)) & 1 == 1)
+
+    return lambda c: held(at(c))

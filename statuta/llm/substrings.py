@@ -10,7 +10,8 @@ symbol form an occurrence, named by the symbol and by the words it spans.
 
 Spark then finds occurrences that a document with a smaller doc_id has too: all their windows
 repeat. Symbols that occur within different spans are verified window by window, on 128-bit hashes,
-one document for each distinct span. Documents get back the names of what repeats in them.
+one document for each distinct span. Documents get back the names of what repeats in them; texts in
+which nothing repeats aren't shuffled.
 
 Words are runs of characters other than space and \\t\\n\\v\\f\\r. Null text has no words. Windows of
 the same document, of rows of the same doc_id, or of texts shorter than a window never repeat; rows
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statuta.llm.common import checkpointed, hash_texts, mix, powers
+from statuta.llm.common import checkpointed, hash_texts, may_hold, mix, powers, words
 
 WINDOW = 50
 ROUNDS = 6
@@ -209,7 +210,8 @@ def spans_to_verify(docs: DataFrame, wanted: DataFrame, window: int) -> DataFram
                 ids = part.column(0).to_numpy()[parse.of[begins]] if len(begins) else np.empty(0, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(ids.astype(np.int64))], names=["w1", "w2", "doc_id"])
 
-    return docs.select("doc_id", "text").join(wanted, "doc_id").select("doc_id", "text", "keys").mapInArrow(emitted, "w1 long, w2 long, doc_id long")
+    near = docs.select("doc_id", "text").where("doc_id is not null").where(may_hold(wanted, "doc_id")(F.col("doc_id")))
+    return near.join(wanted, "doc_id").select("doc_id", "text", "keys").mapInArrow(emitted, "w1 long, w2 long, doc_id long")
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -217,14 +219,16 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     A word is removed if a window that covers it also starts in a document of smaller doc_id.
     """
-    found = occurrences(docs, window)
-    spans = checkpointed(found.groupBy("name", "key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("key", "first"))
-    repeated = found.join(spans, "key").where("doc_id > first").select("doc_id", "key")
-    each = found.groupBy("name", "key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    mixed = each.groupBy("name").agg(F.count("*").alias("n"), F.min("first").alias("a"), F.max("last").alias("b")).where("n > 1 and a < b").select("name")
-    wanted = each.join(mixed, "name").groupBy(F.col("first").alias("doc_id")).agg(F.collect_set("key").alias("keys"))
-    windows = spans_to_verify(docs, wanted, window)
-    sources = windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("w1", "w2", "first")
+    parsed = checkpointed(occurrences(docs, window))
+    # Most symbols are of one document only; the rest of the work is on those of several.
+    shared = checkpointed(parsed.groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("name"))
+    found = checkpointed(parsed.join(shared, "name", "left_semi"))
+    each = checkpointed(found.groupBy("name", "key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")))
+    repeated = found.join(each.where("first < last").select("key", "first"), "key").where("doc_id > first").select("doc_id", "key")
+    mixed = checkpointed(each.groupBy("name").agg(F.count("*").alias("n"), F.min("first").alias("a"), F.max("last").alias("b")).where("n > 1 and a < b").select("name"))
+    wanted = checkpointed(each.join(mixed, "name").groupBy(F.col("first").alias("doc_id")).agg(F.collect_set("key").alias("keys")))
+    windows = checkpointed(spans_to_verify(docs, wanted, window))
+    sources = checkpointed(windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("w1", "w2", "first"))
     partly = windows.join(sources, ["w1", "w2"]).where("doc_id > first").select("doc_id", "w1").distinct()
     return removed(docs, repeated, partly, window)
 
@@ -232,7 +236,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def removed(docs: DataFrame, repeated: DataFrame, partly: DataFrame, window: int) -> DataFrame:
     """Takes out the words of repeated occurrences (doc_id, key) and windows (doc_id, w1)."""
     flags = repeated.select("doc_id", "key", F.lit(None).cast("long").alias("w1")).unionByName(partly.select("doc_id", F.lit(None).cast("long").alias("key"), "w1"))
-    flags = flags.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("key").alias("__keys"), F.collect_set("w1").alias("__windows"))
+    flags = checkpointed(flags.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("key").alias("__keys"), F.collect_set("w1").alias("__windows")))
     rest = docs.drop("n_words", "n_removed", "kept")
     names = rest.columns
     text = names.index("text")
@@ -263,5 +267,9 @@ def removed(docs: DataFrame, repeated: DataFrame, partly: DataFrame, window: int
                     names=[*names, "n_words", "n_removed", "kept"],
                 )
 
-    joined = rest.join(flags, rest["doc_id"] == flags["__id"], "left").select(*[rest[c] for c in names], "__keys", "__windows")
-    return joined.mapInArrow(cut, schema)
+    listed = F.coalesce(may_hold(flags, "__id")(F.coalesce("doc_id", F.lit(0))) & F.col("doc_id").isNotNull(), F.lit(False))
+    marked = rest.withColumn("__listed", listed)
+    joined = marked.where("__listed").join(flags, F.col("doc_id") == F.col("__id"), "left").select(*names, "__keys", "__windows")
+    found = words(F.col("text"))
+    whole = marked.where("not __listed").select(*names, F.size(found).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.array_join(found, " ").alias("kept"))
+    return joined.mapInArrow(cut, schema).unionByName(whole)
