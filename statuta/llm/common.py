@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 #: Words are the maximal runs of characters outside this class.
 SPACES = r"[\x20\x09-\x0D]+"
 PIECE_BYTES = 2 << 20
-FILTER_BITS = 1 << 23
+FILTER_BITS = 1 << 24
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -130,13 +130,13 @@ def may_hold(ids: DataFrame, column: str):
     spread = ids.select(at(F.col(column)).alias("h"))
     bits = spread.groupBy(F.floor(F.col("h") / 64).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("h") % 64).cast("int"))).alias("b"))
     table = np.zeros(FILTER_BITS // 64, dtype=np.int64)
-    for row in bits.collect():
-        table[row["w"]] = row["b"]
+    rows = bits.toArrow()
+    table[rows.column("w").to_numpy()] = rows.column("b").to_numpy()
     shared = ids.sparkSession.sparkContext.broadcast(table)
 
     @F.pandas_udf("boolean")
     def held(h: pd.Series) -> pd.Series:
         h = h.to_numpy()
-        return pd.Series((shared.value[h >> 6] >> (h & 63)) & 1 == 1)
+        return pd.Series(((shared.value[h >> 6] >> (h & 63)) & 1) == 1)
 
     return lambda c: held(at(c))

@@ -222,14 +222,14 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     parsed = checkpointed(occurrences(docs, window))
     # Most symbols are of one document only; the rest of the work is on those of several.
     shared = checkpointed(parsed.groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("name"))
-    found = checkpointed(parsed.join(shared, "name", "left_semi"))
+    found = checkpointed(parsed.where(may_hold(shared, "name")(F.col("name"))).join(shared, "name", "left_semi"))
     each = checkpointed(found.groupBy("name", "key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")))
     repeated = found.join(each.where("first < last").select("key", "first"), "key").where("doc_id > first").select("doc_id", "key")
     mixed = checkpointed(each.groupBy("name").agg(F.count("*").alias("n"), F.min("first").alias("a"), F.max("last").alias("b")).where("n > 1 and a < b").select("name"))
     wanted = checkpointed(each.join(mixed, "name").groupBy(F.col("first").alias("doc_id")).agg(F.collect_set("key").alias("keys")))
     windows = checkpointed(spans_to_verify(docs, wanted, window))
     sources = checkpointed(windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("w1", "w2", "first"))
-    partly = windows.join(sources, ["w1", "w2"]).where("doc_id > first").select("doc_id", "w1").distinct()
+    partly = windows.where(may_hold(sources, "w1")(F.col("w1"))).join(sources, ["w1", "w2"]).where("doc_id > first").select("doc_id", "w1").distinct()
     return removed(docs, repeated, partly, window)
 
 
