@@ -158,6 +158,7 @@ def _candidates(rows: pd.DataFrame, least: float, percent: int, nearest: bool) -
     ids, n, label = rows["rep"].to_numpy(), rows["n"].to_numpy(), rows["label"].to_numpy()
     block, apart = rows["block"].to_numpy(), rows["apart"].to_numpy()
     sketch, more = (np.frombuffer(b"".join(rows[c]), dtype=np.uint8).reshape(len(rows), -1) for c in ("sketch", "finest"))
+    bands, keys = rows["bands"].to_numpy(), rows["key"].to_numpy()
     group = rows[["key", "ci", "cj"]].to_numpy()
     edge = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]).any(axis=1), [True])))
     starts, ends = edge[:-1], edge[1:]
@@ -176,6 +177,9 @@ def _candidates(rows: pd.DataFrame, least: float, percent: int, nearest: bool) -
             e = estimated(more, i, j)
             fit = e >= percent / 100 - allowance(n[i] + n[j], percent)
             i, j, e = i[fit], j[fit], e[fit]
+            # A pair is told once, in the least bucket that both are in.
+            own = np.fromiter((np.intersect1d(bands[x], bands[y]).min() == keys[x] for x, y in zip(i, j, strict=True)), dtype=bool, count=len(i))
+            i, j, e = i[own], j[own], e[own]
         return i, j, e
 
     def estimated(of: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -200,14 +204,14 @@ def _candidates(rows: pd.DataFrame, least: float, percent: int, nearest: bool) -
 
 
 def candidates(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Distinct pairs (a, b) of members (key, size, rep, n, sketch, finest, label) that may be links."""
+    """Distinct pairs (a, b) of members (key, size, rep, n, sketch, finest, bands, label) that may be links."""
     least = percent / 100 - MARGIN
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep"), F.greatest(blocks, F.lit(1))).cast("int")
     dealt = members.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", F.least("block", "other").alias("ci"), F.greatest("block", "other").alias("cj"), "rep", "n", "label", "sketch", "finest", "block", (F.col("block") != F.col("other")).alias("x"))
+    dealt = dealt.select("key", F.least("block", "other").alias("ci"), F.greatest("block", "other").alias("cj"), "rep", "n", "label", "sketch", "finest", "bands", "block", (F.col("block") != F.col("other")).alias("x"))
     # In the cell of two different blocks only pairs across them count.
-    dealt = dealt.select("key", "ci", "cj", "rep", "n", "label", "sketch", "finest", "block", (F.col("ci") != F.col("cj")).alias("apart"))
+    dealt = dealt.select("key", "ci", "cj", "rep", "n", "label", "sketch", "finest", "bands", "block", (F.col("ci") != F.col("cj")).alias("apart"))
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -293,7 +297,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = checkpointed(bands.join(shared, "key"))
     full = members.join(reps.select("rep", "n", "sketch"), "rep")
-    first = checkpointed(candidates(full.withColumn("label", F.col("rep")).withColumn("finest", F.lit(b"")), percent, True))
+    first = checkpointed(candidates(full.withColumn("label", F.col("rep")).withColumn("finest", F.lit(b"")).withColumn("bands", F.array().cast("array<long>")), percent, True))
     involved = first.select(F.col("a").alias("doc_id")).union(first.select(F.col("b").alias("doc_id"))).distinct()
     texts = docs.select("doc_id", "text").join(involved, "doc_id")
     texts = checkpointed(texts.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(docs) else texts)
@@ -303,7 +307,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     known = involved.withColumnRenamed("doc_id", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     named = checkpointed(members.drop("size").join(known, "rep"))
     apart = named.groupBy("key").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key", "size")
-    ready = named.join(apart, "key").join(reps.select("rep", "n", "sketch"), "rep").join(finest(texts, width), "rep")
+    ready = named.join(apart, "key").join(reps.select("rep", "n", "sketch", "bands"), "rep").join(finest(texts, width), "rep")
     second = candidates(ready, percent, False).join(first, ["a", "b"], "left_anti")
     more = checkpointed(confirmed(second, texts, width, percent))
     if more.limit(1).count():
