@@ -219,7 +219,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     A word is removed if a window that covers it also starts in a document of smaller doc_id.
     """
-    parsed = checkpointed(occurrences(docs, window))
+    parsed = occurrences(docs, window)
     # Most symbols are of one document only; the rest of the work is on those of several.
     shared = checkpointed(parsed.groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("name"))
     found = checkpointed(parsed.where(may_hold(shared, "name")(F.col("name"))).join(shared, "name", "left_semi"))
