@@ -1,22 +1,336 @@
-"""Named queries over the driver tables and their oracle SQL."""
+"""Named queries over the driver tables and their oracle SQL.
+
+The tables stand in for the corpus: nation, customer, orders and lineitem for jurisdictions, laws,
+versions and provisions; events for the event log; labels for measurements that may be missing.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from statuta.operators import graph, quality, relational, search, temporal
 from statuta.sources.tables import table
+from statuta.streaming import events as feed
+
+PRIORITIES = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium", "4-NOT SPECIFIED": "unspecified", "5-LOW": "low"}
+COMMON = ["the", "of", "and", "to", "in", "a", "is", "that", "for", "on"]
+ERAS = [("early", 1900, 1993), ("middle", 1994, 1996), ("late", 1997, 2100)]
+QUERIES, ORACLE = {}, {}
+
+
+def query(sql: str | None = None):
+    def added(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return added
+
+
+@query("select o_custkey, o_orderkey, o_orderdate from (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) rn from orders) where rn = 1")
+def latest_per_group(spark: SparkSession, d: str) -> DataFrame:
+    return relational.latest_per_group(table(spark, d, "orders"), ["o_custkey"], F.desc("o_orderdate"), F.desc("o_orderkey")).select("o_custkey", "o_orderkey", "o_orderdate")
+
+
+@query("select l_suppkey, l_orderkey, l_linenumber, l_extendedprice, rank from (select *, row_number() over (partition by l_suppkey order by l_extendedprice desc, l_orderkey, l_linenumber)::int rank from lineitem) where rank <= 3")
+def topn_per_group(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_extendedprice")
+    return relational.top_n_per_group(rows, ["l_suppkey"], 3, F.desc("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber"))
+
+
+@query("""select o_orderkey, o_orderdate from orders, (select o_orderdate t, o_orderkey k from orders where o_orderkey = (select max(o_orderkey) from orders where o_orderkey <= 500)) c
+where o_orderdate < t or (o_orderdate = t and o_orderkey < k) order by o_orderdate desc, o_orderkey desc limit 21""")
+def keyset_page(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    cursor = rows.where("o_orderkey <= 500").agg(F.max("o_orderkey").alias("k")).first()["k"]
+    return relational.keyset_page(rows, "o_orderdate", "o_orderkey", cursor, 20)
+
+
+@query("select o_orderkey, o_totalprice, (select count(*) from orders where o_orderstatus = 'F')::bigint total from orders where o_orderstatus = 'F' order by o_totalprice desc, o_orderkey limit 20")
+def total_over_page(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").where("o_orderstatus = 'F'")
+    page = rows.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20).select("o_orderkey", "o_totalprice")
+    return page.crossJoin(F.broadcast(rows.agg(F.count("*").alias("total"))))
+
+
+@query("select o_custkey, " + ", ".join(f"count(*) filter (where o_orderpriority = '{v}')::bigint as {n}" for v, n in PRIORITIES.items()) + " from orders group by 1")
+def severity_pivot_rollup(spark: SparkSession, d: str) -> DataFrame:
+    return relational.pivot_counts(table(spark, d, "orders"), ["o_custkey"], "o_orderpriority", PRIORITIES)
+
+
+@query("""select o_orderkey, o_totalprice from orders order by case o_orderpriority when '1-URGENT' then 0 when '2-HIGH' then 1 when '3-MEDIUM' then 2 when '5-LOW' then 3 else 4 end, o_totalprice, o_orderdate desc, o_orderkey desc limit 50""")
+def review_queue_order(spark: SparkSession, d: str) -> DataFrame:
+    p = F.col("o_orderpriority")
+    rank = F.when(p == "1-URGENT", 0).when(p == "2-HIGH", 1).when(p == "3-MEDIUM", 2).when(p == "5-LOW", 3).otherwise(4)
+    return table(spark, d, "orders").orderBy(rank, "o_totalprice", F.desc("o_orderdate"), F.desc("o_orderkey")).limit(50).select("o_orderkey", "o_totalprice")
+
+
+@query("""select 'o_orderstatus' as facet, o_orderstatus as value, count(*)::bigint n from orders where o_orderpriority = '1-URGENT' group by 2
+union all select 'o_orderpriority', o_orderpriority, count(*)::bigint from orders where o_orderstatus = 'F' group by 2""")
+def facets_minus_self(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").select("o_orderstatus", "o_orderpriority")
+    return relational.facets(rows, {"o_orderstatus": F.col("o_orderstatus") == "F", "o_orderpriority": F.col("o_orderpriority") == "1-URGENT"})
+
+
+@query("select json_extract_string(props, '$.k') as k, event_type, count(*)::bigint n from events group by 1, 2")
+def group_by_json_key(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").groupBy(F.get_json_object("props", "$.k").alias("k"), "event_type").agg(F.count("*").alias("n"))
+
+
+@query("select split_part(p_type, ' ', 1) as segment, count(*)::bigint n, count(distinct p_brand)::bigint brands from part group by 1")
+def first_segment_groupby(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "part").groupBy(F.split_part("p_type", F.lit(" "), F.lit(1)).alias("segment")).agg(F.count("*").alias("n"), F.countDistinct("p_brand").alias("brands"))
+
+
+@query("""select n_name, count(distinct c_custkey)::bigint laws, count(distinct o_orderkey)::bigint versions from nation left join customer on c_nationkey = n_nationkey left join orders on o_custkey = c_custkey group by 1""")
+def distinct_counts_left_chain(spark: SparkSession, d: str) -> DataFrame:
+    versions = table(spark, d, "orders").groupBy("o_custkey").agg(F.count_distinct("o_orderkey").alias("v"))
+    laws = table(spark, d, "customer").join(versions, F.col("c_custkey") == F.col("o_custkey"), "left").groupBy("c_nationkey").agg(F.count_distinct("c_custkey").alias("laws"), F.sum("v").alias("versions"))
+    chain = table(spark, d, "nation").join(laws, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    return chain.select("n_name", F.coalesce("laws", F.lit(0)).alias("laws"), F.coalesce("versions", F.lit(0)).alias("versions"))
+
+
+@query("select c_custkey, c_name from customer where exists (select 1 from orders where o_custkey = c_custkey and o_orderpriority in ('1-URGENT', '2-HIGH'))")
+def semi_exists(spark: SparkSession, d: str) -> DataFrame:
+    some = table(spark, d, "orders").where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select(F.col("o_custkey").alias("c_custkey"))
+    return table(spark, d, "customer").select("c_custkey", "c_name").join(some, "c_custkey", "left_semi")
+
+
+@query("""select o_custkey, o_orderkey, o_orderstatus from orders where o_orderstatus = 'F'
+union all select o_custkey, o_orderkey, o_orderstatus from orders o where o_orderstatus = 'O' and not exists (select 1 from orders p where p.o_custkey = o.o_custkey and p.o_orderstatus = 'F')""")
+def anti_preferred_fallback(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    return relational.preferred_or_fallback(rows.where("o_orderstatus = 'F'"), rows.where("o_orderstatus = 'O'"), "o_custkey")
+
+
+@query("""with r as (select year(l_shipdate) y, l_suppkey, round(avg(case when l_returnflag = 'R' then 1.0 else 0.0 end), 6) rate from lineitem where year(l_shipdate) in (1995, 1996) group by 1, 2)
+select coalesce(a.l_suppkey, b.l_suppkey) l_suppkey, a.rate old_rate, b.rate new_rate, round(b.rate - a.rate, 6) delta, a.rate is not null and b.rate is null stopped, a.rate is null and b.rate is not null started
+from (select * from r where y = 1995) a full join (select * from r where y = 1996) b on a.l_suppkey = b.l_suppkey""")
+def full_outer_rate_delta(spark: SparkSession, d: str) -> DataFrame:
+    rates = table(spark, d, "lineitem").groupBy(F.year("l_shipdate").alias("y"), "l_suppkey").agg(F.round(F.avg(F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0)), 6).alias("rate"))
+    return relational.rate_delta(rates.where("y = 1995"), rates.where("y = 1996"), ["l_suppkey"]).withColumn("delta", F.round("delta", 6))
+
+
+@query("select distinct k from (select l_partkey k from lineitem where l_returnflag = 'R' union select p_partkey from part where p_size > 40)")
+def union_distinct_coverage(spark: SparkSession, d: str) -> DataFrame:
+    a = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("k"))
+    return a.union(table(spark, d, "part").where("p_size > 40").select("p_partkey")).distinct()
+
+
+@query("select c.doc_id, p.first from documents c join (select sha256(text) h, min(doc_id) as first from documents where text is not null group by 1) p on sha256(c.text) = p.h where c.doc_id > p.first")
+def self_join_parent_hash(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").where("text is not null").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("h"))
+    return rows.join(rows.groupBy("h").agg(F.min("doc_id").alias("first")), "h").where("doc_id > first").select("doc_id", "first")
+
+
+@query("""select coalesce(a.o_orderkey, b.o_orderkey) o_orderkey, coalesce(b.o_orderstatus, a.o_orderstatus) o_orderstatus from (select o_orderkey, o_orderstatus from orders where o_orderkey % 3 <> 0) a
+full join (select o_orderkey, case when o_orderkey % 4 = 0 then 'X' end o_orderstatus from orders where o_orderkey % 2 = 0) b on a.o_orderkey = b.o_orderkey""")
+def upsert_coalesce(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    batch = rows.where("o_orderkey % 2 = 0").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 4 == 0, "X"))
+    return relational.upsert(rows.where("o_orderkey % 3 <> 0"), batch, "o_orderkey")
+
+
+@query("select distinct o_custkey from (select o_custkey from orders where o_orderkey % 3 = 0 union all select c_custkey from customer where c_acctbal > 0)")
+def insert_ignore(spark: SparkSession, d: str) -> DataFrame:
+    held = table(spark, d, "orders").where("o_orderkey % 3 = 0").select("o_custkey").distinct()
+    return relational.insert_ignore(held, table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey")), ["o_custkey"])
+
+
+TOKENS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z]+')"
+
+
+@query(f"select term, count(distinct doc_id)::bigint ndoc from (select doc_id, unnest({TOKENS}) term from documents) where strlen(term) <= 128 group by 1")
+def lexicon_df(spark: SparkSession, d: str) -> DataFrame:
+    return search.lexicon(table(spark, d, "documents"), "doc_id", "text")
+
+
+BM25 = f"""t as (select doc_id, {TOKENS} w from documents), s as (select doc_id, len(w) dl from t), a as (select count(*) n, avg(dl) avgdl from s),
+p as (select term, doc_id, count(*) tf from (select doc_id, unnest(w) term from t) where strlen(term) <= 128 group by 1, 2), f as (select term, count(*) df from p group by 1),
+q as (select distinct item_id, unnest({TOKENS}) term from benchmark),
+b as (select item_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) score from q join p using (term) join f using (term) join s using (doc_id), a group by 1, 2)"""
+
+
+@query(f"with {BM25} select item_id, doc_id, score, rank from (select *, row_number() over (partition by item_id order by score desc, doc_id)::int rank from b) where rank <= 10")
+def bm25_topk(spark: SparkSession, d: str) -> DataFrame:
+    return search.ranked(search.bm25(table(spark, d, "documents"), table(spark, d, "benchmark"), "doc_id", "item_id"), ["item_id"], "doc_id", 10)
+
+
+COSINE = "select vec_id, round(list_dot_product(embedding::double[], (select embedding::double[] from embeddings where vec_id = 7)), 6) score from embeddings"
+
+
+@query(f"select vec_id, score from ({COSINE}) order by score desc, vec_id limit 10")
+def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "embeddings")
+    return search.nearest(rows, rows.where("vec_id = 7")).orderBy(F.desc("score"), "vec_id").limit(10)
+
+
+@query(f"""with {BM25}, l as (select doc_id, row_number() over (order by score desc, doc_id) rank from b where item_id = 3 order by score desc, doc_id limit 30),
+v as (select vec_id doc_id, row_number() over (order by score desc, vec_id) rank from ({COSINE}) order by score desc, vec_id limit 30)
+select doc_id, round(sum(1.0::double / (60 + rank)), 8) score from (select * from l union all select * from v) group by 1 order by score desc, doc_id limit 10""")
+def rrf_fusion(spark: SparkSession, d: str) -> DataFrame:
+    lexical = search.bm25(table(spark, d, "documents"), table(spark, d, "benchmark").where("item_id = 3"), "doc_id", "item_id").select("doc_id", "score")
+    rows = table(spark, d, "embeddings")
+    dense = search.nearest(rows, rows.where("vec_id = 7")).withColumnRenamed("vec_id", "doc_id")
+    arms = [arm.orderBy(F.desc("score"), "doc_id").limit(30) for arm in (lexical, dense)]
+    return search.fuse([search.ranked(arm.withColumn("one", F.lit(1)), ["one"], "doc_id", 30) for arm in arms], "doc_id", 10)
+
+
+@query("""select case when trim(coalesce(text, ''), ' ') = '' then 'kept' when regexp_matches(trim(text, ' '), '^\\[[a-z ]+\\]$') then 'placeholder'
+when len(regexp_split_to_array(trim(text, ' '), '[ \\t\\n]+')) < 25 and regexp_matches(trim(text, ' '), '\\|.*\\||\\.{4,}|_{4,}') then 'table'
+when len(regexp_split_to_array(trim(text, ' '), '[ \\t\\n]+')) < 25 and length(regexp_replace(trim(text, ' '), '[^0-9A-Za-z]', '', 'g')) > 0
+ and length(regexp_replace(trim(text, ' '), '[^0-9]', '', 'g')) / length(regexp_replace(trim(text, ' '), '[^0-9A-Za-z]', '', 'g')) > 0.3 then 'digits' else 'kept' end reason, count(*)::bigint n from documents group by 1""")
+def exclusion_reason(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").groupBy(F.coalesce(search.exclusion_reason(F.col("text")), F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+EDGES = "e as (select p_partkey src, (p_partkey * 7 + 3) % (select count(*) from part) dst from part union all select p_partkey, p_partkey // 2 from part where p_size % 3 = 0)"
+
+
+def _edges(spark: SparkSession, d: str) -> DataFrame:
+    parts = table(spark, d, "part").select("p_partkey", "p_size")
+    n = parts.count()
+    one = parts.select(F.col("p_partkey").alias("src"), (F.col("p_partkey") * 7 + 3) % n)
+    return one.union(parts.where("p_size % 3 = 0").select("p_partkey", F.expr("p_partkey div 2"))).toDF("src", "dst")
+
+
+@query(f"""with recursive {EDGES}, w as (select 1 as depth, src, dst, [src] visited from e where src in (5, 17) and dst <> src
+union all select depth + 1, e.src, e.dst, list_append(visited, e.src) from w join e on e.src = w.dst where depth < 6 and not list_contains(list_append(visited, e.src), e.dst))
+select depth, src, dst from w""")
+def citation_walk_out(spark: SparkSession, d: str) -> DataFrame:
+    start = spark.createDataFrame([(5,), (17,)], "node long")
+    return graph.walk(_edges(spark, d), start, 6)
+
+
+@query("""with recursive n as (select p_partkey node, nullif(p_partkey // 2, 0) parent, case when p_size % 7 = 0 then p_brand end v from part),
+w as (select node, v, parent, 0 as hops from n union all select w.node, n.v, n.parent, hops + 1 from w join n on n.node = w.parent where w.v is null) select node, v as value, hops from w where v is not null""")
+def nearest_nonnull_ancestor(spark: SparkSession, d: str) -> DataFrame:
+    half = F.expr("nullif(p_partkey div 2, 0)")
+    return graph.nearest_value(table(spark, d, "part").select(F.col("p_partkey").alias("node"), half.alias("parent"), F.when(F.col("p_size") % 7 == 0, F.col("p_brand")).alias("value")), 6)
+
+
+@query(f"with {EDGES} select dst, count(*)::bigint n, count(distinct src)::bigint sources from e where src <> dst group by 1")
+def counterparty_counts(spark: SparkSession, d: str) -> DataFrame:
+    return _edges(spark, d).where("src <> dst").groupBy("dst").agg(F.count("*").alias("n"), F.count_distinct("src").alias("sources"))
+
+
+EFFECTS = "x as (select l_orderkey unit, case l_returnflag when 'R' then 'repeal' when 'A' then 'substitution' else case when l_linenumber % 2 = 0 then 'commencement' else 'other' end end action, case when l_linenumber % 5 <> 0 then l_shipdate end date, l_tax <= 0.06 applied from lineitem)"
+
+
+def _effects(spark: SparkSession, d: str) -> DataFrame:
+    flag, line = F.col("l_returnflag"), F.col("l_linenumber")
+    action = F.when(flag == "R", "repeal").when(flag == "A", "substitution").when(line % 2 == 0, "commencement").otherwise("other")
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("unit"), action.alias("action"), F.when(line % 5 != 0, F.col("l_shipdate")).alias("date"), (F.col("l_tax") <= 0.06).alias("applied"))
+
+
+@query(f"""with {EFFECTS}, g as (select unit, count(*) filter (action = 'repeal' and date <= '1996-06-30' and applied) r, count(*) filter (action = 'substitution' and date <= '1996-06-30' and applied) s,
+count(*) filter (action = 'other' and date <= '1996-06-30' and applied) o, count(*) filter (action = 'commencement' and applied) c, count(*) filter (action = 'commencement' and date <= '1996-06-30' and applied) c2 from x group by 1)
+select unit, state from (select unit, case when r > 0 then 'repealed' when c > 0 and c2 = 0 then 'not_yet_in_force' when s > 0 then 'text_unapplied' when o > 0 then 'affected' when c2 > 0 then 'in_force' end state from g) where state is not null""")
+def state_at(spark: SparkSession, d: str) -> DataFrame:
+    return temporal.state_at(_effects(spark, d), F.lit("1996-06-30").cast("timestamp"))
+
+
+@query(f"""with {EFFECTS} select count(*) filter (unit is null)::bigint no_target, count(*) filter (unit is not null and date is null)::bigint undated, count(*) filter (unit is not null and date is not null and not applied)::bigint unapplied from x where date is null or date <= '1996-06-30'""")
+def hole_counts(spark: SparkSession, d: str) -> DataFrame:
+    return temporal.holes(_effects(spark, d), F.lit("1996-06-30").cast("timestamp"))
+
+
+@query(f"with {EFFECTS} select unit, string_agg(distinct strftime(date, '%Y-%m-%d'), ',' order by strftime(date, '%Y-%m-%d')) dates from x where date is not null group by 1")
+def change_dates(spark: SparkSession, d: str) -> DataFrame:
+    found = temporal.change_dates(_effects(spark, d).where("date is not null"))
+    return found.select("unit", F.array_join(F.array_distinct(F.transform("dates", lambda x: F.date_format(x, "yyyy-MM-dd"))), ",").alias("dates"))
+
+
+@query("""select l_partkey, l_returnflag, l_suppkey, n from (select *, row_number() over (partition by l_partkey, l_returnflag order by n desc, l_suppkey) rn from (select l_partkey, l_returnflag, l_suppkey, count(*)::bigint n from lineitem group by 1, 2, 3)) where rn = 1""")
+def mirror_fold_multiplicity(spark: SparkSession, d: str) -> DataFrame:
+    return temporal.fold_mirrors(table(spark, d, "lineitem").select("l_partkey", "l_returnflag", "l_suppkey"), ["l_partkey", "l_returnflag"], "l_suppkey")
+
+
+@query("select case when year(o_orderdate) <= 1993 then 'early' when year(o_orderdate) <= 1996 then 'middle' else 'late' end era, o_orderstatus, count(*)::bigint n from orders group by 1, 2")
+def era_bucket(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").groupBy(temporal.era_of(F.year("o_orderdate"), ERAS).alias("era"), "o_orderstatus").agg(F.count("*").alias("n"))
+
+
+@query("""select source, count(*) filter (toxic = 1)::bigint failed, count(*) filter (toxic <> 1)::bigint passed, count(*) filter (toxic is null)::bigint not_run,
+case when count(toxic) > 0 then round(count(*) filter (toxic = 1) / count(toxic), 6) end rate from documents left join labels using (doc_id) group by 1""")
+def tri_state_rates(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").select("doc_id", "source").join(table(spark, d, "labels"), "doc_id", "left")
+    return quality.tri_state_rates(rows, ["source"], F.col("toxic") == 1)
+
+
+@query("""with g as (select l_suppkey, l_partkey - lag(l_partkey) over (partition by l_suppkey order by l_partkey) - 1 gap, l_partkey from (select distinct l_suppkey, l_partkey from lineitem)),
+a as (select l_suppkey, count(*)::bigint numbers, coalesce(sum(gap), 0)::bigint missing, coalesce(max(gap), 0)::bigint longest, max(l_partkey) - min(l_partkey) + 1 span from g group by 1)
+select l_suppkey, numbers, missing, longest, case when missing = 0 then 'none' when longest >= 3 or missing / span > 0.30 then 'defect' when longest = 1 and missing <= 3 then 'repeal' else 'ambiguous' end kind from a""")
+def gap_runs_classify(spark: SparkSession, d: str) -> DataFrame:
+    return quality.number_gaps(table(spark, d, "lineitem"), ["l_suppkey"], "l_partkey")
+
+
+@query("select l_orderkey, l_linenumber from (select *, lag(l_shipdate) over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) b from lineitem) where l_shipdate < b")
+def order_breaks(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "lineitem").withColumn("place", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    return quality.order_breaks(rows, ["l_orderkey"], "place", "l_shipdate").select("l_orderkey", "l_linenumber")
+
+
+@query("""with f as (select l_orderkey, case l_returnflag when 'R' then 2 when 'A' then 1 else 0 end r, l_linenumber, l_partkey from lineitem)
+select l_orderkey, case when r = 2 then 'blocking' else 'warning' end grade, reason from (select l_orderkey, r, l_linenumber as reason, row_number() over (partition by l_orderkey order by r desc, l_linenumber) rn from f where r > 0) where rn = 1""")
+def grade_fold(spark: SparkSession, d: str) -> DataFrame:
+    flag = F.col("l_returnflag")
+    rows = table(spark, d, "lineitem").withColumn("severity", F.when(flag == "R", "error").when(flag == "A", "warning").otherwise("info"))
+    return quality.grade(rows, ["l_orderkey"], "severity", "l_linenumber", "l_linenumber")
+
+
+@query(f"""select doc_id, rate, case when rate >= 120 then 'good' when rate >= 80 then 'fair' when rate >= 40 then 'poor' when rate is not null then 'illegible' end band from (select doc_id, case when len(w) >= 200 then
+round(len(list_filter(w, lambda x: x in ({", ".join(f"'{w}'" for w in COMMON)}))) * 1000 / len(w), 6) end rate from (select doc_id, {TOKENS} w from documents))""")
+def legibility_rates(spark: SparkSession, d: str) -> DataFrame:
+    rated = table(spark, d, "documents").select("doc_id", quality.rate_per_thousand(search.tokens(F.col("text")), COMMON, 200).alias("rate"))
+    return rated.withColumn("band", quality.band(F.col("rate")))
+
+
+@query(f"""with t as (select doc_id, list_distinct({TOKENS}) w from documents) select a.doc_id, case when len(a.w) > 0 and len(b.w) > 0 then
+round(1 - len(list_intersect(a.w, b.w)) / (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))), 6) end divergence from t a join t b on b.doc_id = a.doc_id + 1""")
+def jaccard_divergence(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").select("doc_id", search.tokens(F.col("text")).alias("a"))
+    after = rows.select((F.col("doc_id") - 1).alias("doc_id"), F.col("a").alias("b"))
+    return rows.join(after, "doc_id").select("doc_id", quality.divergence(F.col("a"), F.col("b")).alias("divergence"))
+
+
+@query("""select conv_id, case when a + p + g < 5 then 'inconclusive' when p = 0 and g = 0 then 'fully' when (a + 0.5 * p) / (a + p + g) >= 0.85 then 'largely' when (a + 0.5 * p) / (a + p + g) >= 0.5 then 'partially' else 'not_aligned' end as level
+from (select conv_id, count(*) filter (role = 'assistant') a, count(*) filter (role = 'user') p, count(*) filter (role = 'system') g from conversations group by 1)""")
+def alignment_summary(spark: SparkSession, d: str) -> DataFrame:
+    each = relational.pivot_counts(table(spark, d, "conversations"), ["conv_id"], "role", {"assistant": "a", "user": "p", "system": "g"})
+    return each.select("conv_id", quality.alignment_level(F.col("a"), F.col("p"), F.col("g")).alias("level"))
+
+
+@query("select event_id, user_id, recent, recent <= 2 as allowed from (select event_id, user_id, count(*) over (partition by user_id order by ts range between interval 1 hour preceding and current row)::bigint recent from events)")
+def rate_limit(spark: SparkSession, d: str) -> DataFrame:
+    return feed.within_limit(table(spark, d, "events").select("event_id", "user_id", "ts"), 3600, 2).select("event_id", "user_id", "recent", "allowed")
+
+
+@query("select user_id, coalesce(arg_max(event_type, event_id) filter (event_type = 'purchase'), arg_max(event_type, event_id)) state, count(*)::bigint n from events group by 1")
+def run_state_fold(spark: SparkSession, d: str) -> DataFrame:
+    return feed.run_states(table(spark, d, "events"), "user_id", "event_id", "event_type", ["purchase"])
+
+
+@query("select time_bucket(interval 1 hour, ts) as start, event_type, count(*)::bigint n, round(sum(value), 4) total from events group by 1, 2")
+def tumbling_counts(spark: SparkSession, d: str) -> DataFrame:
+    return feed.tumbling_counts(table(spark, d, "events"))
+
 
-QUERIES = {}
-ORACLE = {}
+@query("""select user_id, min(ts) as start, count(*)::bigint n from (select *, sum(fresh) over (partition by user_id order by ts, event_id) s from (select *, case when ts - lag(ts) over (partition by user_id order by ts, event_id) < interval 30 minute then 0 else 1 end fresh from events)) group by user_id, s""")
+def session_counts(spark: SparkSession, d: str) -> DataFrame:
+    return feed.sessions(table(spark, d, "events"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "nation")
+    """Hybrid retrieval: BM25 and exact vector search, fused by reciprocal ranks."""
+    return rrf_fusion(spark, sf_dir)
 
 
 def queries():
-    return QUERIES
+    return dict(QUERIES)
 
 
 def oracle_sql():
-    return ORACLE
+    return dict(ORACLE)
