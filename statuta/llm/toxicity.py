@@ -6,8 +6,8 @@ speech, which lower the weight of what follows, and one of targets, which raises
 insults and threats near a person. They are composed into one deterministic machine, and a clause
 scores the weights that the composed machine emits. A document is scored from its matched clauses.
 
-The insult lexicon starts from general words and is extended from labelled rows: whole words and
-word beginnings that occur in toxic rows and hardly in clean ones. The clause features' logistic
+The insult lexicon starts from general words, which labelled rows weigh, and is extended from those
+rows: whole words and word beginnings that occur in toxic rows and hardly in clean ones. The clause features' logistic
 weights are fitted on other labelled rows than the lexicon, where there are enough. Both use at most
 `train_rows` labelled rows.
 
@@ -31,6 +31,8 @@ from pyspark.sql import types as T
 
 TRAIN_ROWS = 24_000
 LEXICON = 4_000
+#: Log odds from which a term enters the lexicon, and at which it has the full weight.
+LEAST, FULL = 2.0, 6.0
 INSULT, THREAT, TARGET, NEGATION, REPORT = "ITGNR"
 #: General words of each class.
 WORDS = {
@@ -87,11 +89,12 @@ class Model:
 
     terms: dict[str, float]
     bias: float = -4.0
-    weights: list[float] = field(default_factory=lambda: [1.5, 1.0, 60.0, 0.5, 0.5])
+    weights: list[float] = field(default_factory=lambda: [1.5, 3.0, 60.0, 0.5, 0.5])
 
     def __post_init__(self):
-        self.classes = {w: (kind, 1.0) for kind, listed in WORDS.items() for w in listed.split()}
-        self.classes.update({w: (INSULT, x) for w, x in self.terms.items() if w[-1] != "*"})
+        self.classes = {w: (kind, 0.5) for kind, listed in WORDS.items() for w in listed.split()}
+        kinds = {w: kind for w, (kind, _) in self.classes.items()}
+        self.classes.update({w: (kinds.get(w, INSULT), x) for w, x in self.terms.items() if w[-1] != "*"})
         self.starts = {w[:-1]: x for w, x in self.terms.items() if w[-1] == "*"}
         self.hits = {w for w, (kind, _) in self.classes.items() if kind in (INSULT, THREAT)}
         self.heads = {s[: PREFIXES[0]] for s in self.starts}
@@ -123,7 +126,7 @@ class Model:
                     scores.append(self.clause(words))
         scores = [s for s in scores if s]
         total = sum(scores)
-        return [np.log1p(total), max(scores, default=0.0), total / max(words_seen, 20), np.log1p(len(scores)), len(scores) / max(clauses, 1)]
+        return [np.log1p(total), max(scores, default=0.0) ** 0.5, total / max(words_seen, 20), np.log1p(len(scores)), len(scores) / max(clauses, 1)]
 
     def score(self, rows: list[list[float]]) -> np.ndarray:
         z = self.bias + np.array(rows).reshape(-1, FEATURES) @ np.array(self.weights)
@@ -180,10 +183,12 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     apart = min(sizes.get((h, 1), 0) for h in (0, 1)) >= 40
     own, other = (rows.where(F.col("half") == h) if apart else rows for h in (0, 1))
     n1, n0 = (sizes.get((0, x), 0) if apart else n for x, n in ((1, toxic), (0, clean)))
-    share = (F.col("toxic") / n1) / (F.col("toxic") / n1 + F.col("clean") / n0)
-    picked = term_counts(own).where((F.col("toxic") >= 3) & (share >= 0.93)).orderBy(F.desc("toxic"), "term").limit(LEXICON).collect()
-    # A beginning is kept only where it says more than the words that it begins.
-    terms = {r["term"]: float(min(1.0, 2 * (r["toxic"] / n1) / (r["toxic"] / n1 + r["clean"] / n0) - 1)) for r in picked}
+    # Lower bound of the log odds between toxic and clean rows, one standard error down.
+    strength = F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1)) - F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    known = [w for kind in (INSULT, THREAT) for w in WORDS[kind].split()]
+    counted = term_counts(own).withColumn("strength", strength).where(((F.col("toxic") >= 4) & (F.col("strength") >= LEAST)) | F.col("term").isin(known))
+    picked = counted.orderBy(F.desc("strength"), "term").limit(LEXICON).union(counted.where(F.col("term").isin(known))).collect()
+    terms = {r["term"]: float(min(1.0, max(0.0, r["strength"] / FULL))) for r in picked}
     model = Model(terms)
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
