@@ -120,23 +120,31 @@ def hash_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
 
 
-def may_hold(ids: DataFrame, column: str):
-    """A function from an id column to whether `ids` may hold it (always true for those it holds).
+def bitmap(places: DataFrame):
+    """Broadcast of one bit for each of FILTER_BITS places, set for those in column h of `places`.
 
-    One bit for each of FILTER_BITS hash values, so what the driver and the broadcast hold is a
-    fixed size; with very many ids all bits are set and nothing is ruled out.
+    What the driver and the broadcast hold is a fixed size; with very many places all bits are set
+    and nothing is ruled out.
     """
-    at = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    spread = ids.select(at(F.col(column)).alias("h"))
+    spread = places.select("h")
     bits = spread.groupBy(F.floor(F.col("h") / 64).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("h") % 64).cast("int"))).alias("b"))
     table = np.zeros(FILTER_BITS // 64, dtype=np.int64)
     rows = bits.toArrow()
     table[rows.column("w").to_numpy()] = rows.column("b").to_numpy()
-    shared = ids.sparkSession.sparkContext.broadcast(table)
+    return places.sparkSession.sparkContext.broadcast(table)
+
+
+def is_set(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return ((table[places >> 6] >> (places & 63)) & 1) == 1
+
+
+def may_hold(ids: DataFrame, column: str):
+    """A function from an id column to whether `ids` may hold it (always true for those it holds)."""
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    shared = bitmap(ids.select(at(F.col(column)).alias("h")))
 
     @F.pandas_udf("boolean")
     def held(h: pd.Series) -> pd.Series:
-        h = h.to_numpy()
-        return pd.Series(((shared.value[h >> 6] >> (h & 63)) & 1) == 1)
+        return pd.Series(is_set(shared.value, h.to_numpy()))
 
     return lambda c: held(at(c))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statuta.llm.common import checkpointed, hash_texts, may_hold, mix, powers, words
+from statuta.llm.common import FILTER_BITS, bitmap, checkpointed, hash_texts, is_set, may_hold, mix, powers, words
 
 WINDOW = 50
 ROUNDS = 6
@@ -172,8 +172,11 @@ def _parsed(batch: pa.RecordBatch, text: int, window: int) -> Iterator[tuple[pa.
             yield part, texts, Parse(*hash_texts(texts), window)
 
 
-def occurrences(docs: DataFrame, window: int) -> DataFrame:
-    """name, key and doc_id of the occurrences of each document, once each."""
+def occurrences(docs: DataFrame, window: int, names=None) -> DataFrame:
+    """name, key and doc_id of the occurrences of each document, once each.
+
+    With a broadcast bitmap `names`, of names whose low bits it has only.
+    """
 
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,6 +185,8 @@ def occurrences(docs: DataFrame, window: int) -> DataFrame:
                 order = np.lexsort((parse.key, parse.doc))
                 same = (parse.key[order][1:] == parse.key[order][:-1]) & (parse.doc[order][1:] == parse.doc[order][:-1])
                 keep = order[np.concatenate(([True], ~same))] if len(order) else order
+                if names is not None:
+                    keep = keep[is_set(names.value, (parse.name[keep] & np.uint64(FILTER_BITS - 1)).astype(np.int64))]
                 yield pa.RecordBatch.from_arrays([pa.array(parse.name[keep].view(np.int64)), pa.array(parse.key[keep].view(np.int64)), pa.array(ids[keep].astype(np.int64))], names=["name", "key", "doc_id"])
 
     return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(emitted, "name long, key long, doc_id long")
@@ -222,7 +227,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     parsed = occurrences(docs, window)
     # Most symbols are of one document only; the rest of the work is on those of several.
     shared = checkpointed(parsed.groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("name"))
-    found = checkpointed(parsed.where(may_hold(shared, "name")(F.col("name"))).join(shared, "name", "left_semi"))
+    names = bitmap(shared.select(F.col("name").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("h")))
+    found = checkpointed(occurrences(docs, window, names).join(shared, "name", "left_semi"))
     each = checkpointed(found.groupBy("name", "key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")))
     repeated = found.join(each.where("first < last").select("key", "first"), "key").where("doc_id > first").select("doc_id", "key")
     mixed = checkpointed(each.groupBy("name").agg(F.count("*").alias("n"), F.min("first").alias("a"), F.max("last").alias("b")).where("n > 1 and a < b").select("name"))

@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -205,9 +206,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
 def score(text: Column, model: Model) -> Column:
     """Column of the toxicity of `text`, 0 to 1."""
 
-    @F.pandas_udf(T.DoubleType())
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score([model.features(t) for t in texts]), dtype="float64")
+    @F.arrow_udf(T.DoubleType())
+    def scored(texts: pa.Array) -> pa.Array:
+        # A few texts at a time, so that a batch is never held as Python strings.
+        parts = [model.score([model.features(t.as_py()) for t in texts[at : at + 200]]) for at in range(0, len(texts), 200)]
+        return pa.array(np.concatenate(parts) if parts else np.empty(0), pa.float64())
 
     return scored(text)
 
