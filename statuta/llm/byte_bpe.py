@@ -155,14 +155,15 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", d
     ranks = read_ranks(ranks_path)
     spark = docs.sparkSession
     found = docs.select(pieces(F.col(text), pattern).alias("words"))
-    known = encode_words(frequent_words(found, dictionary_words).repartition(spark.sparkContext.defaultParallelism), ranks).collect()
-    shared = spark.sparkContext.broadcast({r["word"]: r["ids"] for r in known})
+    known = encode_words(frequent_words(found, dictionary_words).repartition(spark.sparkContext.defaultParallelism), ranks).toArrow()
+    shared = spark.sparkContext.broadcast(known)
     rest = docs.drop("ids")
     kept = rest.columns
     schema = T.StructType([*rest.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False), True)])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, known_ids = read_ranks(ranks_path), shared.value
+        table, known = read_ranks(ranks_path), shared.value
+        known_ids = dict(zip(known.column("word").to_pylist(), known.column("ids").to_pylist(), strict=True))
         cache: dict[str, list[int]] = {}
 
         def ids_of(word: str) -> list[int]:

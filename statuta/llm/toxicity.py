@@ -142,16 +142,18 @@ def _terms(text: str | None) -> set[str]:
 def term_counts(rows: DataFrame) -> DataFrame:
     """term, toxic and clean: how many rows (text, toxic) of either label hold each term."""
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part, found = batch.iloc[at : at + 500], (Counter(), Counter())
-                for text, label in zip(part["text"], part["toxic"], strict=True):
+            for at in range(0, batch.num_rows, 500):
+                part, found = batch.slice(at, 500), (Counter(), Counter())
+                for text, label in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     found[int(label)].update(_terms(text))
                 terms = list(found[0] | found[1])
-                yield pd.DataFrame({"term": terms, "toxic": [found[1][t] for t in terms], "clean": [found[0][t] for t in terms]})
+                counts = [pa.array([found[x][t] for t in terms], pa.int64()) for x in (1, 0)]
+                yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), *counts], names=["term", "toxic", "clean"])
 
-    return rows.select("text", "toxic").mapInPandas(counted, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = rows.select("text", "toxic").mapInArrow(counted, "term string, toxic long, clean long")
+    return counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> np.ndarray:
