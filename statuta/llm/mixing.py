@@ -24,6 +24,23 @@ from pyspark.sql.window import Window
 from statuta.llm.common import checkpointed, words
 
 LEVELS = ["domain", "language", "origin"]
+#: Leaves of at most this many bytes are broadcast; more are joined by leaf and salt.
+BROADCAST_BYTES = 32 << 20
+SALTS = 64
+
+
+def join_leaves(rows: DataFrame, leaves: DataFrame, keys: list[str]) -> DataFrame:
+    """`rows`, which have doc_id, with the columns of their leaf (`keys`: domain, language, origin).
+
+    The size of `leaves` is measured first. Where it is too large to broadcast, each leaf is
+    repeated for SALTS salts, so that the rows of a hot leaf go to as many tasks.
+    """
+    size = leaves.agg(F.sum(sum((F.octet_length(k) for k in keys), F.lit(128)))).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(leaves), keys)
+    salted = leaves.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("__salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, [*keys, "__salt"]).drop("__salt")
 
 
 def weight_of(keys: list[str], weights: dict) -> Column:
@@ -84,14 +101,14 @@ def plan(docs: DataFrame, tokens: Column, domain: Column, seed: int, part: float
     planned = budgets(leaves, total, weights, max_epochs)
     planned = planned.withColumn("epochs", F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(F.lit(0)).cast("int"))
     planned = checkpointed(planned.withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens")))
-    rows = narrow.join(planned.select(*LEVELS, "epochs", "rest"), LEVELS).withColumn("h", order_hash(seed))
+    rows = join_leaves(narrow, planned.select(*LEVELS, "epochs", "rest"), LEVELS).withColumn("h", order_hash(seed))
     rows = rows.withColumn("b1", F.shiftright("h", 40)).withColumn("b2", F.shiftright("h", 32) % 256)
     first = _crossing(rows.groupBy(*LEVELS, "rest", "b1").agg(F.sum("tokens").alias("tokens")), "b1", F.lit(0), "rest")
     first = checkpointed(first.select(*LEVELS, F.col("b1").alias("c1"), (F.col("__to") - F.col("tokens")).alias("s1")))
-    inside = rows.join(first, LEVELS).where("b1 = c1")
+    inside = join_leaves(rows, first, LEVELS).where("b1 = c1")
     second = _crossing(inside.groupBy(*LEVELS, "rest", "c1", "s1", "b2").agg(F.sum("tokens").alias("tokens")), "b2", F.col("s1"), "rest")
     second = checkpointed(second.select(*LEVELS, "c1", F.col("b2").alias("c2"), (F.col("__to") - F.col("tokens")).alias("s2")))
-    last = rows.join(second, LEVELS).where("b1 = c1 and b2 = c2")
+    last = join_leaves(rows, second, LEVELS).where("b1 = c1 and b2 = c2")
     run = Window.partitionBy(*LEVELS).orderBy("h")
     fits = last.withColumn("__to", F.col("s2") + F.sum("tokens").over(run)).where("__to <= rest").groupBy(*LEVELS).agg(F.max("h").alias("kept"))
     below = second.select(*LEVELS, ((F.col("c1") * 256 + F.col("c2")) * F.lit(1 << 32) - 1).alias("below"))
@@ -113,7 +130,8 @@ def mix_sources(docs: DataFrame, domain: Column, weights=({}, {}, {}), part: flo
     tokens = F.size(words(F.col("text"))) if tokens is None else tokens
     leaves = checkpointed(plan(docs, tokens, domain, seed, part, weights, max_epochs).select(F.col("domain").alias("__d"), F.col("language").alias("__l"), F.col("origin").alias("__o"), "epochs", "cut"))
     names = [c for c in docs.columns if c not in ("domain", "n_tokens", "copies", "epochs", "cut")]
-    held = docs.withColumn("__domain", domain).join(leaves, (F.col("__domain") == F.col("__d")) & (F.coalesce("lang", F.lit("")) == F.col("__l")) & (F.coalesce("source", F.lit("")) == F.col("__o")))
+    placed = docs.withColumn("__d", domain).withColumn("__l", F.coalesce("lang", F.lit(""))).withColumn("__o", F.coalesce("source", F.lit("")))
+    held = join_leaves(placed, leaves, ["__d", "__l", "__o"])
     copies = F.col("epochs") + (order_hash(seed) <= F.col("cut")).cast("int")
     out = held.withColumn("__copies", copies).where("__copies > 0")
-    return out.select(*names, F.col("__domain").alias("domain"), tokens.cast("long").alias("n_tokens"), F.col("__copies").alias("copies"))
+    return out.select(*names, F.col("__d").alias("domain"), tokens.cast("long").alias("n_tokens"), F.col("__copies").alias("copies"))

@@ -133,6 +133,16 @@ def test_mixing_budgets(spark):
     assert mixing.mix_sources(docs.limit(0), domain).count() == 0
 
 
+def test_mixing_salts_leaves_too_many_to_broadcast(spark, monkeypatch):
+    rows = [(i, "t " * (1 + i % 5), lang, source) for i, (lang, source) in enumerate([("en", "a"), ("en", "b"), ("de", "a"), (None, None)] * 50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    made = []
+    for limit in (mixing.BROADCAST_BYTES, -1):
+        monkeypatch.setattr(mixing, "BROADCAST_BYTES", limit)
+        made.append(sorted(map(tuple, mixing.mix_sources(docs, F.coalesce("source", F.lit("none"))).collect()), key=str))
+    assert made[0] and made[0] == made[1]
+
+
 def test_classifiers_learn_and_score_odd_texts(spark, docs):
     rng = random.Random(2)
     rows = [(i, " ".join(rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(60)) + (" you vile grumbler ### $$$" if i % 4 == 0 else ".")) for i in range(400)]
