@@ -57,19 +57,24 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def rank_lookup(ranks: dict[bytes, int]):
-    """A function from a hex piece to its rank (null: none), over one literal."""
+def rank_table(ranks: dict[bytes, int]) -> Column:
+    """The literal: an array of maps from hex pieces to ranks, by the CRC of the piece."""
     buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
     for piece, rank in ranks.items():
         key = piece.hex()
         buckets[zlib.crc32(key.encode()) % BUCKETS][key] = rank
-    table = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
-    return lambda piece: F.try_element_at(table[(F.crc32(piece.cast("binary")) % BUCKETS).cast("int")], piece)
+    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string,int>>")
 
 
 def fold_ids(word: Column, ranks: dict[bytes, int]) -> Column:
-    """Ids of one word by folding ranked merges over its bytes (Spark expressions only)."""
-    rank = rank_lookup(ranks)
+    """Ids of one word by folding ranked merges over its bytes (Spark expressions only).
+
+    The literal is bound once and looked up by name, so that the plan holds one copy of it.
+    """
+    return _let(rank_table(ranks), lambda table: _fold(word, lambda piece: F.try_element_at(table[(F.crc32(piece.cast("binary")) % BUCKETS).cast("int")], piece)))
+
+
+def _fold(word: Column, rank) -> Column:
     none = 1 << 30
 
     def step(state: Column, _: Column) -> Column:
@@ -203,7 +208,7 @@ def decoded(ids: Column, ranks_path: str) -> Column:
     by_id = [""] * (max(ranks.values(), default=-1) + 1)
     for piece, i in ranks.items():
         by_id[i] = piece.hex()
-    table = F.from_json(F.lit(json.dumps(by_id)), "array<string>")
+    table = F.from_json(F.lit(json.dumps(by_id, separators=(",", ":"))), "array<string>")
     return F.unhex(F.array_join(F.transform(ids, lambda i: table[i]), ""))
 
 
