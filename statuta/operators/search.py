@@ -2,44 +2,63 @@
 
 from __future__ import annotations
 
+import tempfile
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from statuta.functions.tokeniser import tokens
+
 K1, B, RRF = 1.2, 0.75, 60
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def tokens(text: Column) -> Column:
-    """ASCII-folded letter runs of a text, in order."""
+def ascii_tokens(text: Column) -> Column:
+    """ASCII-folded letter runs of a text, in order: the form that SQL has; splits words at other letters, drops digits."""
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit("[a-z]+"), F.lit(0))
 
 
-def postings(docs: DataFrame, key: str, text: str) -> DataFrame:
+def postings(docs: DataFrame, key: str, text: str, tokenise: Callable[[Column], Column] = tokens) -> DataFrame:
     """term, key and tf; stored terms have at most 128 bytes."""
-    each = docs.select(key, F.explode(tokens(F.col(text))).alias("term")).where(F.octet_length("term") <= 128)
+    return _counted(docs.select(key, tokenise(F.col(text)).alias("words")), key)
+
+
+def _counted(worded: DataFrame, key: str) -> DataFrame:
+    each = worded.select(key, F.explode("words").alias("term")).where(F.octet_length("term") <= 128)
     return each.groupBy("term", key).agg(F.count("*").alias("tf"))
 
 
-def lexicon(docs: DataFrame, key: str, text: str) -> DataFrame:
+def _worded(docs: DataFrame, key: str, text: str, tokenise: Callable[[Column], Column]) -> DataFrame:
+    """key and words of `docs`, split once: the words are written to the checkpoint folder, joined, as arrays take thrice the room."""
+    sc = docs.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(docs.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    joined = docs.select(key, F.array_join(tokenise(F.col(text)), "\x1f").alias("words")).checkpoint()
+    return joined.select(key, F.array_remove(F.split("words", "\x1f"), "").alias("words"))
+
+
+def lexicon(docs: DataFrame, key: str, text: str, tokenise: Callable[[Column], Column] = tokens) -> DataFrame:
     """term and the number of documents that hold it."""
-    return postings(docs, key, text).groupBy("term").agg(F.count("*").alias("ndoc"))
+    return postings(docs, key, text, tokenise).groupBy("term").agg(F.count("*").alias("ndoc"))
 
 
 def dead_terms(held: DataFrame, live: DataFrame) -> DataFrame:
     return held.join(live.select("term"), "term", "left_anti")
 
 
-def bm25(docs: DataFrame, queries: DataFrame, key: str, query: str, text: str = "text") -> DataFrame:
+def bm25(docs: DataFrame, queries: DataFrame, key: str, query: str, text: str = "text", tokenise: Callable[[Column], Column] = tokens) -> DataFrame:
     """query, key and score of every document that holds a term of the query.
 
     Statistics are of all of `docs`. The queries' terms are joined to the postings by term, so only
     terms that are asked for are aggregated again.
     """
-    asked = queries.select(query, F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
-    sized = docs.select(key, F.size(tokens(F.col(text))).alias("dl"))
+    asked = queries.select(query, F.explode(F.array_distinct(tokenise(F.col(text)))).alias("term"))
+    worded = _worded(docs, key, text, tokenise)
+    sized = worded.select(key, F.size("words").alias("dl"))
     stats = sized.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
-    wanted = postings(docs, key, text).join(asked.select("term").distinct(), "term", "left_semi")
+    wanted = _counted(worded, key).join(asked.select("term").distinct(), "term", "left_semi")
     df = wanted.groupBy("term").agg(F.count("*").alias("df"))
     scored = wanted.join(df, "term").join(sized, key).crossJoin(F.broadcast(stats))
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
