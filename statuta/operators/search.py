@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -12,6 +14,7 @@ from pyspark.sql.window import Window
 from statuta.functions.tokeniser import tokens
 
 K1, B, RRF = 1.2, 0.75, 60
+QUERY_BLOCK, VECTOR_BLOCK, VECTOR_BLOCKS = 4096, 32768, 12
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -75,19 +78,54 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
-def nearest(vectors: DataFrame, query: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """key and score (dot product) of all vectors against the one query vector."""
-    asked = query.select(F.col(vector).alias("__q")).limit(1)
-    return vectors.crossJoin(F.broadcast(asked)).select(key, F.round(dot(F.col(vector), F.col("__q")), 6).alias("score"))
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", query: str = "query_id") -> DataFrame:
+    """query, key, score (dot product) and rank of the k best vectors for every row of `queries` (query, vector).
 
-
-def fuse(arms: list[DataFrame], key: str, k: int, constant: int = RRF) -> DataFrame:
-    """Reciprocal rank fusion of arms (key, rank)."""
-    every = arms[0].select(key, "rank")
+    Each block of vectors meets each block of queries once, and a pair of blocks tells k rows a query
+    at most. Vectors that have no product with the query's (null, NaN, other lengths) come last, with null.
+    """
+    blocks = [max(1, -(-queries.count() // QUERY_BLOCK)), max(VECTOR_BLOCKS, -(-vectors.count() // VECTOR_BLOCK))]
+
+    def dealt(df: DataFrame, name: str, own: int, other: int) -> DataFrame:
+        at = F.pmod(F.xxhash64(name, F.lit(1)), F.lit(blocks[own])).cast("int")
+        rows = df.select(F.col(name).alias("id"), F.col(vector).cast("array<double>").alias("v"), at.alias("own"))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks[other] - 1))))
+        return rows.select("id", "v", *[F.col("own" if i == own else "other").alias(c) for i, c in enumerate(("q", "b"))])
+
+    def best(asked: pa.Table, held: pa.Table) -> pa.Table:
+        ids = held.column("id").to_numpy()
+        order = np.argsort(ids, kind="stable")
+        ids, rows = ids[order], held.column("v").take(pa.array(order)).to_pylist()
+        usable = [r is not None and None not in r for r in rows]
+        width = np.array([len(r) if ok else -1 for r, ok in zip(rows, usable, strict=True)])
+        whole = {w: (at := np.flatnonzero(width == w), np.array([rows[i] for i in at], dtype=float).reshape(len(at), w)) for w in np.unique(width[width >= 0])}
+        out = {query: [], key: [], "score": []}
+        for q, v in zip(asked.column("id").to_pylist(), asked.column("v").to_pylist(), strict=True):
+            score = np.full(len(ids), np.nan)
+            if v is not None and None not in v and len(v) in whole:
+                at, matrix = whole[len(v)]
+                score[at] = np.round(matrix @ np.array(v, dtype=float), 6)
+            # By falling score, ties by id; what has no score is last.
+            first = np.argsort(-score, kind="stable")[:k]
+            out[query] += [q] * len(first)
+            out[key] += ids[first].tolist()
+            out["score"] += [None if np.isnan(x) else x for x in score[first].tolist()]
+        return pa.table({query: pa.array(out[query], asked.column("id").type), key: pa.array(out[key], held.column("id").type), "score": pa.array(out["score"], pa.float64())})
+
+    kinds = dict(queries.dtypes)[query], dict(vectors.dtypes)[key]
+    cells = [df.groupBy("q", "b") for df in (dealt(queries, query, 0, 1), dealt(vectors, key, 1, 0))]
+    found = cells[0].cogroup(cells[1]).applyInArrow(best, f"`{query}` {kinds[0]}, `{key}` {kinds[1]}, score double")
+    return ranked(found, [query], key, k)
+
+
+def fuse(arms: list[DataFrame], key: str, k: int, constant: int = RRF, by: list[str] | None = None) -> DataFrame:
+    """Reciprocal rank fusion of arms (by, key, rank): by, key, score and rank of the k best of each `by`."""
+    by = by or []
+    every = arms[0].select(*by, key, "rank")
     for arm in arms[1:]:
-        every = every.unionByName(arm.select(key, "rank"))
-    fused = every.groupBy(key).agg(F.round(F.sum(1 / (F.lit(constant) + F.col("rank"))), 8).alias("score"))
-    return fused.orderBy(F.desc("score"), key).limit(k)
+        every = every.unionByName(arm.select(*by, key, "rank"))
+    fused = every.groupBy(*by, key).agg(F.round(F.sum(1 / (F.lit(constant) + F.col("rank"))), 8).alias("score"))
+    return ranked(fused, by, key, k) if by else fused.orderBy(F.desc("score"), key).limit(k)
 
 
 def retrieval_metrics(found: DataFrame, gold: DataFrame, query: str, key: str, k: int) -> DataFrame:

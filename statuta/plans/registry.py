@@ -182,8 +182,22 @@ COSINE = "select vec_id, round(list_dot_product(embedding::double[], (select emb
 
 @query(f"select vec_id, score from ({COSINE}) order by score desc, vec_id limit 10")
 def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "embeddings")
-    return search.nearest(rows, rows.where("vec_id = 7")).orderBy(F.desc("score"), "vec_id").limit(10)
+    return _nearest(spark, d, "vec_id = 7", 10).orderBy("rank").select("vec_id", "score")
+
+
+def _nearest(spark: SparkSession, d: str, asked: str, k: int) -> DataFrame:
+    rows = table(spark, d, "embeddings").select("vec_id", "embedding")
+    return search.nearest(rows, rows.where(asked).withColumnRenamed("vec_id", "query_id"), k)
+
+
+EVERY = """select query_id, vec_id, score, row_number() over (partition by query_id order by score desc, vec_id)::int rank from (select q.vec_id query_id, c.vec_id,
+round(list_dot_product(c.embedding::double[], q.embedding::double[]), 6) score from embeddings q, embeddings c"""
+
+
+@query(f"select * from ({EVERY} where q.vec_id % 100 = 0)) where rank <= 10")
+def cosine_topk_all(spark: SparkSession, d: str) -> DataFrame:
+    """cosine_topk for every id divisible by 100."""
+    return _nearest(spark, d, "vec_id % 100 = 0", 10)
 
 
 @query(f"""with {BM25}, l as (select doc_id, row_number() over (order by score desc, doc_id) rank from b where item_id = 3 order by score desc, doc_id limit 30),
@@ -191,10 +205,21 @@ v as (select vec_id doc_id, row_number() over (order by score desc, vec_id) rank
 select doc_id, round(sum(1.0::double / (60 + rank)), 8) score from (select * from l union all select * from v) group by 1 order by score desc, doc_id limit 10""")
 def rrf_fusion(spark: SparkSession, d: str) -> DataFrame:
     lexical = search.bm25(table(spark, d, "documents"), table(spark, d, "benchmark").where("item_id = 3"), "doc_id", "item_id", tokenise=search.ascii_tokens).select("doc_id", "score")
-    rows = table(spark, d, "embeddings")
-    dense = search.nearest(rows, rows.where("vec_id = 7")).withColumnRenamed("vec_id", "doc_id")
-    arms = [arm.orderBy(F.desc("score"), "doc_id").limit(30) for arm in (lexical, dense)]
-    return search.fuse([search.ranked(arm.withColumn("one", F.lit(1)), ["one"], "doc_id", 30) for arm in arms], "doc_id", 10)
+    dense = _nearest(spark, d, "vec_id = 7", 30).withColumnRenamed("vec_id", "doc_id")
+    return search.fuse([search.ranked(lexical.withColumn("one", F.lit(1)), ["one"], "doc_id", 30), dense], "doc_id", 10)
+
+
+@query(f"""with {BM25}, l as (select item_id, doc_id, row_number() over (partition by item_id order by score desc, doc_id) rank from b),
+v as (select query_id - 4 item_id, vec_id doc_id, rank from ({EVERY} where q.vec_id - 4 in (select item_id from benchmark)))),
+u as (select item_id, doc_id, round(sum(1.0::double / (60 + rank)), 8) score from (select * from l where rank <= 30 union all select * from v where rank <= 30) group by 1, 2)
+select * from (select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id)::int rank from u) where rank <= 10""")
+def rrf_fusion_all(spark: SparkSession, d: str) -> DataFrame:
+    """rrf_fusion for every benchmark item: item i asks with vector i + 4, as item 3 does with vector 7."""
+    items, rows = table(spark, d, "benchmark"), table(spark, d, "embeddings").select("vec_id", "embedding")
+    lexical = search.ranked(search.bm25(table(spark, d, "documents"), items, "doc_id", "item_id", tokenise=search.ascii_tokens), ["item_id"], "doc_id", 30)
+    asked = rows.select((F.col("vec_id") - 4).alias("item_id"), "embedding").join(items.select("item_id"), "item_id", "left_semi")
+    dense = search.nearest(rows, asked, 30, query="item_id").withColumnRenamed("vec_id", "doc_id")
+    return search.fuse([lexical, dense], "doc_id", 10, by=["item_id"])
 
 
 @query("""select case when trim(coalesce(text, ''), ' ') = '' then 'kept' when regexp_matches(trim(text, ' '), '^\\[[a-z ]+\\]$') then 'placeholder'
