@@ -6,7 +6,8 @@ Documents of equal sets are taken together first. Bands of registers then deal t
 buckets. In a bucket, pairs are compared by a finer register sketch with the chance matches taken
 out, and those that may reach the threshold become candidates: in a first round each document's
 nearest partner, and after linking, in a second round, all pairs that no chain of links joins yet
-and that finest sketches, whose error is stated for each pair, do not rule out.
+and that finest sketches, whose error is stated for each pair, do not rule out. Pairs of tiny sets are never
+ruled out by a sketch.
 Candidates are confirmed on the full sets. Large buckets are dealt to pairs of blocks, so no group
 is held by one task.
 
@@ -34,11 +35,13 @@ MANTISSA = 10
 EMPTY = 0xFFFF
 BAND_REGISTERS = 4
 BLOCK = 1024
-#: How far below the threshold an estimate may lie for the pair to be confirmed exactly: over four
+#: How far below the threshold an estimate may lie for the pair to be confirmed exactly: over five
 #: standard errors of the fine sketch.
-MARGIN = 0.11
+MARGIN = 0.13
+#: Pairs of so few shingles in all are confirmed without an estimate: two register collisions can hide their link.
+TINY = 64
 #: Standard errors that a pair's finest sketches may lie below the threshold.
-ERRORS = 4.75
+ERRORS = 5.5
 
 
 def shingle_sets(texts: list, width: int) -> list[np.ndarray]:
@@ -171,11 +174,11 @@ def _candidates(rows: pd.DataFrame, least: float, percent: int, nearest: bool) -
             fit &= label[i] != label[j]
         i, j = i[fit], j[fit]
         e = estimated(sketch, i, j)
-        fit = e >= least
+        fit = (e >= least) | (n[i] + n[j] <= TINY)
         i, j, e = i[fit], j[fit], e[fit]
         if not nearest and len(i):
             e = estimated(more, i, j)
-            fit = e >= percent / 100 - allowance(n[i] + n[j], percent)
+            fit = (e >= percent / 100 - allowance(n[i] + n[j], percent)) | (n[i] + n[j] <= TINY)
             i, j, e = i[fit], j[fit], e[fit]
             # A pair is told once, in the least bucket that both are in.
             own = np.fromiter((np.intersect1d(bands[x], bands[y]).min() == keys[x] for x, y in zip(i, j, strict=True)), dtype=bool, count=len(i))
