@@ -1,43 +1,70 @@
 """Byte-level BPE encoding and decoding.
 
-The merges are a fold with Spark's higher-order functions: the bytes of a word, written in hex, are
-an array, and each step joins the leftmost adjacent pair whose concatenation has the lowest rank.
-Ranks are looked up in a literal: an array of small maps, by the CRC of the piece, so that one
-look-up reads a few entries. The fold encodes the most frequent distinct words of the corpus, a
-dictionary of a stated number of entries; tasks map words to ids with it and fold the distinct
-words outside it, a batch at a time, with the same ranks. The dictionary only saves work: ids don't
-depend on what is in it.
-
-Null text counts as empty (no ids); repeated rows and empty tables need no special case; other
-columns pass through, a column named as a result is replaced.
+Texts are cut into words by the pattern and the corpus's distinct words are encoded once: the bytes
+of a word are an array of ids, and a fold with Spark's higher-order functions joins, step by step,
+the leftmost adjacent pair of the lowest rank. Ranks are looked up in a literal, an array of small
+maps from pairs of ids, so that one look-up reads a few entries. The vocabulary must be one that was
+trained by merging, where every token encodes to itself; other rank files are refused.
+
+Where the words occur is kept by blocks of rows: a block has a list of its distinct words, and each
+text its places in that list. The words of all blocks are encoded as one table, whatever their
+length or frequency, and come back to their blocks by a join, so nothing is collected or broadcast
+but the literal. Decoding concatenates the binary pieces of ids.
+
+Null text counts as empty (no ids); repeated rows and empty tables need no special case; very long
+texts are blocks of their own; other columns pass through, a column named `ids` is replaced.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
-import heapq
+import itertools
 import json
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statuta.llm.common import checkpointed
+
 #: White space as the rank files' pattern means it (Unicode White_Space), for Java's engine.
 WHITE = r"\t\n\x0B\f\r \x85\xA0  -     　"
-BUCKETS = 1 << 14
-DICTIONARY_WORDS = 60_000
-DICTIONARY_BYTES = 32
-CACHE = 200_000
-LONG = 64
+BUCKETS = 1 << 16
+#: Words of a block, and distinct words of one (places in its list take two bytes).
+BLOCK_WORDS, BLOCK_LIST = 1 << 20, 1 << 16
+NONE = 1 << 62
+
+
+@functools.lru_cache(maxsize=2)
+def newer(category: str) -> str:
+    """Ranges of the library's characters of a category, to be asked for those that Java doesn't know.
+
+    The library itself tells them: it splits a text of all characters into those that match.
+    """
+    import tiktoken
+
+    every = "".join(map(chr, itertools.chain(range(0xD800), range(0xE000, 0x110000))))
+    plain = tiktoken.Encoding("bytes", pat_str=rf"\p{{{category}}}+", mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
+    found = sorted(map(ord, plain.decode(plain.encode_ordinary(every))))
+    starts = [c for a, c in zip([-2, *found], found, strict=False) if c != a + 1]
+    ends = [c for c, b in zip(found, [*found[1:], -2], strict=True) if b != c + 1]
+    return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in zip(starts, ends, strict=True) if a > 0xFF)
 
 
 def java_pattern(pattern: str) -> str:
-    r"""The pattern with \s and \S spelled out as Unicode classes."""
+    r"""The pattern with \s and \S spelled out, and \p{L} and \p{N} as new as the library's, for Java."""
+    for category in ("L", "N"):
+        known, more = rf"\p{{{category}}}", rf"[\p{{Cn}}&&[{newer(category)}]]"
+        parts, inside = [], False
+        for part in pattern.replace(known, f"\0{known}\0").split("\0"):
+            parts.append(part if part != known else known + more if inside else f"[{known}{more}]")
+            inside = inside if part == known else (part.rfind("[") > part.rfind("]")) or (inside and "]" not in part)
+        pattern = "".join(parts)
     return pattern.replace(r"[^\s", f"[^{WHITE}").replace(r"\s", f"[{WHITE}]").replace(r"\S", f"[^{WHITE}]")
 
 
@@ -57,149 +84,161 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def rank_table(ranks: dict[bytes, int]) -> Column:
-    """The literal: an array of maps from hex pieces to ranks, by the CRC of the piece."""
-    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
-    for piece, rank in ranks.items():
-        key = piece.hex()
-        buckets[zlib.crc32(key.encode()) % BUCKETS][key] = rank
-    return F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"))), "array<map<string,int>>")
+def _splits(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
+    """Pairs of ids that make a token, and its id; ValueError where a token doesn't encode to itself."""
+    pairs = {}
+    for token, i in ranks.items():
+        for k in range(1, len(token)):
+            a, b = ranks.get(token[:k]), ranks.get(token[k:])
+            if a is not None and b is not None:
+                pairs[a, b] = i
+    for token, i in ranks.items():
+        ids = [ranks[token[k : k + 1]] for k in range(len(token))]
+        while len(ids) > 1 and (low := min(pairs.get(p, NONE) for p in itertools.pairwise(ids))) < NONE:
+            at = next(k for k, p in enumerate(itertools.pairwise(ids)) if pairs.get(p) == low)
+            ids[at : at + 2] = [low]
+        if ids != [i]:
+            raise ValueError(f"not a vocabulary of merges: {token!r} doesn't encode to itself")
+    return pairs
 
 
-def fold_ids(word: Column, ranks: dict[bytes, int]) -> Column:
-    """Ids of one word by folding ranked merges over its bytes (Spark expressions only).
-
-    The literal is bound once and looked up by name, so that the plan holds one copy of it.
+@functools.lru_cache(maxsize=2)
+def _tables(path: str) -> tuple[str, list[int], int]:
+    """The rank literal as JSON, the symbols of the bytes, and the factor of a pair's first symbol; symbols are ids + 1."""
+    ranks = read_ranks(path)
+    size = max(ranks.values(), default=0) + 1
+    table = [[NONE] for _ in range(BUCKETS)]
+    for (a, b), i in _splits(ranks).items():
+        key = (a + 1) * (size + 1) + b + 1
+        table[key % BUCKETS] += [key, i + 1]
+    return json.dumps(table, separators=(",", ":")), [ranks[bytes([i])] + 1 for i in range(256)], size + 1
+
+
+def rank_table(path: str) -> Column:
+    """The literal: small maps from pairs of ids to ranks, by the pairs' number modulo BUCKETS.
+
+    A map is an array of NONE, then each key with its rank behind it: what is behind the place of a
+    key (0 if it isn't there) is its rank, or NONE.
     """
-    return _let(rank_table(ranks), lambda table: _fold(word, lambda piece: F.try_element_at(table[(F.crc32(piece.cast("binary")) % BUCKETS).cast("int")], piece)))
+    return F.from_json(F.lit(_tables(path)[0]), "array<array<bigint>>")
 
 
-def _fold(word: Column, rank) -> Column:
-    none = 1 << 30
+def fold_ids(word: Column, path: str) -> Column:
+    """Ids of one word by folding ranked merges over its bytes (Spark expressions only)."""
+    _, of_byte, size = _tables(path)
+    symbols = F.array(*[F.lit(i).cast("long") for i in of_byte])
 
-    def step(state: Column, _: Column) -> Column:
-        parts = state["parts"]
-        scored = F.transform(F.sequence(F.lit(0), F.size(parts) - 2), lambda i: F.coalesce(rank(F.concat(parts[i], parts[i + 1])), F.lit(none)))
+    def folded(table: Column) -> Column:
+        def rank(a: Column, b: Column) -> Column:
+            key = a * size + b
+            entry = F.get(table, key.bitwiseAND(F.lit(BUCKETS - 1)))
+            return F.get(entry, F.array_position(entry, key))
 
-        def merged(found: Column) -> Column:
-            at = F.array_position(found, F.array_min(found)).cast("int")
-            joined = F.concat(F.slice(parts, 1, at - 1), F.array(F.concat(parts[at - 1], parts[at])), F.slice(parts, at + 2, F.size(parts)))
-            return F.when(F.array_min(found) == none, F.struct(parts.alias("parts"), F.lit(True).alias("done"))).otherwise(F.struct(joined.alias("parts"), (F.size(joined) < 2).alias("done")))
+        def step(ids: Column, _: Column) -> Column:
+            def joined(found: Column) -> Column:
+                low = F.array_min(found)
+                at = F.array_position(found, low).cast("int")
+                merged = F.concat(F.slice(ids, F.lit(1), at - 1), F.array(low), F.slice(ids, at + 2, F.size(ids)))
+                return F.when(low < NONE, merged).otherwise(F.concat(ids, F.array(F.lit(-1).cast("long"))))
 
-        return F.when(state["done"], state).otherwise(_let(scored, merged))
+            ranks = F.zip_with(F.slice(ids, F.lit(1), F.size(ids) - 1), F.slice(ids, F.lit(2), F.size(ids)), rank)
+            # A last -1 says that nothing is left to join.
+            return F.when((F.size(ids) > 1) & (F.element_at(ids, -1) > 0), _let(ranks, joined)).otherwise(ids)
 
-    hexed = F.lower(F.hex(word.cast("binary")))
-    single = F.transform(F.sequence(F.lit(0), F.octet_length(word) - 1), lambda i: F.substring(hexed, i * 2 + 1, F.lit(2)))
-    start = F.struct(single.alias("parts"), (F.octet_length(word) < 2).alias("done"))
-    folded = F.aggregate(F.sequence(F.lit(1), F.octet_length(word)), start, step, lambda state: F.transform(state["parts"], rank))
-    return F.when(F.octet_length(word) == 0, F.array().cast("array<int>")).otherwise(_let(rank(hexed), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(folded)))
+        single = F.transform(F.split(F.decode(word.cast("binary"), "ISO-8859-1"), ""), lambda c: F.get(symbols, F.ascii(c)))
+        return F.aggregate(F.sequence(F.lit(2), F.octet_length(word)), single, step, lambda ids: F.transform(F.array_remove(ids, -1), lambda i: i - 1))
 
+    whole = F.get(symbols, F.ascii(F.decode(word.cast("binary"), "ISO-8859-1")))
+    ids = F.when(F.octet_length(word) > 1, _let(rank_table(path), folded)).when(F.octet_length(word) == 1, F.array(whole - 1)).otherwise(F.array().cast("array<bigint>"))
+    return ids.cast("array<int>")
 
-def encode_words(words: DataFrame, ranks: dict[bytes, int], word: str = "word") -> DataFrame:
+
+def encode_words(words: DataFrame, path: str, word: str = "word") -> DataFrame:
     """`words` with the ids of each word."""
-    return words.withColumn("ids", fold_ids(F.col(word), ranks))
-
-
-def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of a word outside the dictionary; a heap serves the long ones."""
-    whole = ranks.get(word)
-    if whole is not None:
-        return [whole]
-    if len(word) > LONG:
-        return _merge_long(word, ranks)
-    parts = [word[i : i + 1] for i in range(len(word))]
-    found = [ranks.get(a + b, 1 << 30) for a, b in zip(parts, parts[1:], strict=False)]
-    while found and (low := min(found)) < 1 << 30:
-        i = found.index(low)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        del found[i]
-        if i < len(found):
-            found[i] = ranks.get(parts[i] + parts[i + 1], 1 << 30)
-        if i:
-            found[i - 1] = ranks.get(parts[i - 1] + parts[i], 1 << 30)
-    return [ranks[p] for p in parts]
-
-
-def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    n = len(word)
-    ends, before, alive = [*range(1, n + 1)], [*range(-1, n - 1)], [True] * n
-
-    def pair(i: int) -> tuple[int, int, int] | None:
-        j = ends[i]
-        rank = ranks.get(word[i : ends[j]]) if j < n else None
-        return None if rank is None else (rank, i, ends[j])
-
-    heap = [x for x in map(pair, range(n)) if x]
-    heapq.heapify(heap)
-    while heap:
-        _, i, end = heapq.heappop(heap)
-        if not alive[i] or ends[i] >= n or ends[ends[i]] != end:
-            continue
-        alive[ends[i]] = False
-        ends[i] = end
-        if end < n:
-            before[end] = i
-        for x in (i, before[i]):
-            if x >= 0 and (found := pair(x)):
-                heapq.heappush(heap, found)
-    return [ranks[word[i : ends[i]]] for i in range(n) if alive[i]]
-
-
-def frequent_words(found: DataFrame, limit: int = DICTIONARY_WORDS) -> DataFrame:
-    """The `limit` words that most rows of `found` (array column `words`) hold, short ones only."""
-    each = found.select(F.explode(F.array_distinct("words")).alias("word")).where(F.octet_length("word") <= DICTIONARY_BYTES)
-    return each.groupBy("word").count().where("count > 1").orderBy(F.desc("count"), "word").limit(limit).select("word")
-
-
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", dictionary_words: int = DICTIONARY_WORDS) -> DataFrame:
-    """`docs` with `ids`: the ids of the whole text.
-
-    The dictionary is collected and broadcast; it has at most `dictionary_words` words of at most
-    DICTIONARY_BYTES bytes each.
-    """
-    ranks = read_ranks(ranks_path)
-    spark = docs.sparkSession
-    found = docs.select(pieces(F.col(text), pattern).alias("words"))
-    known = encode_words(frequent_words(found, dictionary_words).repartition(spark.sparkContext.defaultParallelism), ranks).toArrow()
-    shared = spark.sparkContext.broadcast(known)
-    rest = docs.drop("ids")
-    kept = rest.columns
-    schema = T.StructType([*rest.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False), True)])
-
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, known = read_ranks(ranks_path), shared.value
-        known_ids = dict(zip(known.column("word").to_pylist(), known.column("ids").to_pylist(), strict=True))
-        cache: dict[str, list[int]] = {}
-
-        def ids_of(word: str) -> list[int]:
-            ids = known_ids.get(word) or cache.get(word)
-            if ids is None:
-                ids = merge(word.encode(), table)
-                if len(word) <= LONG:
-                    if len(cache) >= CACHE:
-                        cache.clear()
-                    cache[word] = ids
-            return ids
+    return words.withColumn("ids", fold_ids(F.col(word), path))
+
+
+def _packed(places: np.ndarray) -> bytes:
+    """Places as compressed bytes: their low bytes, then their high bytes."""
+    if not len(places):
+        return b""
+    return pa.compress(places.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(held: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.empty(0, dtype=np.int64)
+    return np.frombuffer(pa.decompress(held, 2 * n, codec="zstd", asbytes=True), dtype=np.uint8).reshape(2, -1).T.copy().view("<u2").ravel().astype(np.int64)
+
+
+def in_blocks(docs: DataFrame, pattern: str, text: str, kept: list[str]) -> DataFrame:
+    """Rows of `docs` (columns `kept`) with __block, __n (words), __places in the block's list, and __list on a block's first row."""
+    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField("__block", T.LongType()), T.StructField("__n", T.LongType()), T.StructField("__places", T.BinaryType()), T.StructField("__list", T.ArrayType(T.StringType()))])
 
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                lists = part.column(part.num_columns - 1)
-                first = lists.offsets[0].as_py()
-                flat = lists.values.slice(first, lists.offsets[-1].as_py() - first).dictionary_encode()
-                of = [ids_of(w) for w in flat.dictionary.to_pylist()]
-                sizes = np.fromiter(map(len, of), dtype=np.int64, count=len(of))
-                joined = np.fromiter((i for ids in of for i in ids), dtype=np.int32, count=int(sizes.sum()))
-                begins = np.concatenate(([0], np.cumsum(sizes)))
-                words = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-                n = sizes[words] if len(words) else np.empty(0, dtype=np.int64)
-                ends = np.concatenate(([0], np.cumsum(n)))
-                out = joined[np.repeat(begins[words] - ends[:-1], n) + np.arange(ends[-1])] if len(words) else joined
-                bounds = ends[lists.offsets.to_numpy() - first]
-                arrays = [*part.columns[:-1], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(out, pa.int32()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "ids"])
-
-    return rest.withColumn("__words", pieces(F.col(text), pattern)).mapInArrow(encoded, schema)
+            lists = batch.column(batch.num_columns - 1)
+            ends = lists.offsets.to_numpy().astype(np.int64)
+            todo = [(i, i + len(g)) for i, g in _runs((ends[1:] - ends[0]) // BLOCK_WORDS)]
+            while todo:
+                a, b = todo.pop()
+                flat = lists.values.slice(ends[a], ends[b] - ends[a]).dictionary_encode()
+                if len(flat.dictionary) > BLOCK_LIST and b - a > 1:
+                    todo += [(a, (a + b) // 2), ((a + b) // 2, b)]
+                    continue
+                places = flat.indices.to_numpy(zero_copy_only=False)
+                if len(flat.dictionary) > BLOCK_LIST:
+                    # One text with so many words: several rows' worth of lists can't be told apart by two bytes.
+                    packed = [pa.compress(places.astype("<u4").tobytes(), codec="zstd", asbytes=True)]
+                else:
+                    packed = [_packed(places[x - ends[a] : y - ends[a]]) for x, y in zip(ends[a:b], ends[a + 1 : b + 1], strict=True)]
+                part, block = batch.slice(a, b - a), block + 1
+                listed = pa.array([flat.dictionary.to_pylist(), *[None] * (b - a - 1)], pa.list_(pa.string()))
+                new = [pa.array(np.full(b - a, block)), pa.array(np.diff(ends[a : b + 1])), pa.array(packed, pa.binary()), listed]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *new], names=[*kept, "__block", "__n", "__places", "__list"])
+
+    return docs.select(*kept, pieces(F.col(text), pattern).alias("__words")).mapInArrow(dealt, schema)
+
+
+def _runs(group: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """Start and members of each run of equal numbers."""
+    at = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else []
+    return [(int(i), g) for i, g in zip(at, np.split(group, at[1:]), strict=True)] if len(group) else []
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """`docs` (its `columns`, or all) with `ids`: the ids of the whole text."""
+    names = [c for c in (docs.columns if columns is None else columns) if c != "ids"]
+    kept = [f"c{i}" for i in range(len(names))]
+    docs = docs.select(F.col(text).alias("text"), *[F.col(f"`{c}`").alias(k) for c, k in zip(names, kept, strict=True)])
+    blocks = checkpointed(in_blocks(docs, pattern, "text", kept))
+    listed = blocks.where("__list is not null").select("__block", F.posexplode("__list").alias("__at", "word"))
+    known = checkpointed(encode_words(listed.select("word").distinct(), ranks_path))
+    found = listed.join(known, "word").select(F.col("__block").alias("__of"), "__at", "ids")
+    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField("ids", T.ArrayType(T.IntegerType(), False), True)])
+
+    def placed(rows: pa.Table, words: pa.Table) -> pa.Table:
+        at = np.argsort(words.column("__at").to_numpy())
+        lists = words.column("ids").combine_chunks()
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        values, begins, sizes = lists.values.to_numpy(zero_copy_only=False), offsets[:-1][at], np.diff(offsets)[at]
+        out = []
+        for n, held in zip(rows.column("__n").to_pylist(), rows.column("__places").to_pylist(), strict=True):
+            if len(sizes) > BLOCK_LIST:
+                places = np.frombuffer(pa.decompress(held, 4 * n, codec="zstd", asbytes=True), dtype="<u4").astype(np.int64)
+            else:
+                places = _unpacked(held, n)
+            size = sizes[places]
+            ends = np.cumsum(size)
+            out.append(values[np.repeat(begins[places] - ends + size, size) + np.arange(ends[-1] if n else 0)])
+        bounds = np.concatenate(([0], np.cumsum([len(x) for x in out])))
+        flat = np.concatenate(out) if out else np.empty(0)
+        ids = pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), pa.array(flat.astype(np.int32), pa.int32())).cast(pa.list_(pa.field("element", pa.int32(), nullable=False)))
+        return pa.table([*[rows.column(c) for c in kept], ids], names=[*kept, "ids"])
+
+    cells = blocks.drop("__list").groupBy("__block").cogroup(found.groupBy("__of"))
+    return cells.applyInArrow(placed, schema).toDF(*names, "ids")
 
 
 def decoded(ids: Column, ranks_path: str) -> Column:

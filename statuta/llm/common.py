@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,8 +16,9 @@ FILTER_BITS = 1 << 24
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_POWERS: dict[int, np.ndarray] = {}
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 256
 
 
 def words(text: Column) -> Column:
@@ -48,31 +51,24 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    have = _POWERS.get(int(base))
-    if have is None or len(have) < n:
-        size = 1 << max(12, int(n - 1).bit_length())
-        have = np.ones(size, dtype=np.uint64)
-        done = 1
-        while done < size:
-            have[done : 2 * done] = have[:done] * (have[done - 1 : done] * base)
-            done *= 2
-        if size <= 2 * PIECE_BYTES:
-            _POWERS[int(base)] = have
-    return have[:n]
-
-
 def _hash_piece(data: np.ndarray) -> np.ndarray:
+    """Hashes of the words of a piece: eight bytes at a time go through the finaliser, which no algebra undoes."""
     space = _SPACE[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
         return np.empty(0, dtype=np.uint64)
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(data)), out=total[1:])
-    h = (total[ends] - total[starts]) * powers(_BASE_INV, len(data))[starts]
-    return mix(h + (ends - starts).astype(np.uint64))
+    sizes = ends - starts
+    lanes = np.ndarray((len(data) + 1,), "<u8", np.concatenate((data, np.zeros(8, dtype=np.uint8))), 0, (1,))
+    h = mix(mix((lanes[starts] & _LOW_BYTES[np.minimum(sizes, 8)]) + _BASE) ^ sizes.astype(np.uint64))
+    todo, at = np.flatnonzero((sizes > 8) & (sizes <= LONG_WORD)), 8
+    while len(todo):
+        left = sizes[todo] - at
+        h[todo] = mix((h[todo] + _BASE) ^ mix(lanes[starts[todo] + at] & _LOW_BYTES[np.minimum(left, 8)]))
+        todo, at = todo[left > 8], at + 8
+    for i in np.flatnonzero(sizes > LONG_WORD):
+        h[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
 
 
 def hash_words(data: bytes) -> np.ndarray:

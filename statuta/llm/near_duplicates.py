@@ -3,18 +3,19 @@
 Each document's set of distinct word shingles (ASCII letters lower-cased) is hashed into buckets;
 a bucket's register keeps the leading-zero count and some mantissa bits of its least hash.
 Documents of equal sets are taken together first. Bands of registers then deal the others into
-buckets. In a bucket, pairs are compared by a finer register sketch with the chance matches taken
-out, and those that may reach the threshold become candidates: in a first round each document's
-nearest partner, and after linking, in a second round, all pairs that no chain of links joins yet
-and that finest sketches, whose error is stated for each pair, do not rule out. Pairs of tiny sets are never
-ruled out by a sketch.
+buckets. A first round compares each member of a bucket with the bucket's hubs (a few members, the
+same for all) and with its neighbours in the order of the sketches, which is linear in the bucket,
+and links it to its nearest partner. A second round compares, in buckets that still hold several
+classes, the pairs of different classes: small sets exactly, others by finest sketches, whose error
+is stated for each pair. Members of a bucket's largest class are never compared with each other.
 Candidates are confirmed on the full sets. Large buckets are dealt to pairs of blocks, so no group
 is held by one task.
 
-Links are the pairs with 100 * |A and B| >= percent * |A or B|. Texts of fewer words than a shingle
-have their whole word sequence as the only shingle; null texts and texts without words have no
-shingles and no links. Rows of one doc_id are one document whose least text counts; a null doc_id
-is never linked. Extra columns are left alone by `drop_near_duplicates`.
+Links are the pairs with 100 * |A and B| >= percent * |A or B|, on 64-bit hashes of words and
+shingles. Texts of fewer words than a shingle have their whole word sequence as the only shingle;
+null texts and texts without words have no shingles and no links. Rows of one doc_id are one
+document whose least text counts; a null doc_id is never linked. Empty tables give no rows, long
+texts are read whole. Extra columns are left alone by `drop_near_duplicates`.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statuta.llm.common import checkpointed, hash_texts, mix
@@ -38,8 +39,12 @@ BLOCK = 1024
 #: How far below the threshold an estimate may lie for the pair to be confirmed exactly: over five
 #: standard errors of the fine sketch.
 MARGIN = 0.13
-#: Pairs of so few shingles in all are confirmed without an estimate: two register collisions can hide their link.
+#: Pairs of so few shingles in all are never ruled out by an estimate: two register collisions can hide their link.
 TINY = 64
+#: Sets of at most so many shingles are compared exactly in their buckets; larger ones by their finest sketch.
+SMALL = 128
+#: Members of a bucket that all others are compared with in the first round, and neighbours on either side.
+HUBS, NEIGHBOURS, FEW = 4, 4, 32
 #: Standard errors that a pair's finest sketches may lie below the threshold.
 ERRORS = 5.5
 
@@ -92,16 +97,22 @@ def compressed(found: np.ndarray, bits: int) -> bytes:
     return np.where(r == EMPTY, 0, 1 + (r.astype(np.uint32) * np.uint32(40503) >> np.uint32(5)) % 255).astype(np.uint8).tobytes()
 
 
-def finest(texts: DataFrame, width: int) -> DataFrame:
-    """rep and finest (binary sketch) of the rows (doc_id, text)."""
+def finest(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """rep, finest (sketch) and small (the set itself) of the rows (doc_id, text).
+
+    A set has the one or the other, by its size; near the border it has both, so that any two sets
+    that may be linked have one in common.
+    """
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([compressed(x, FINEST) for x in shingle_sets(part.column(1).to_pylist(), width)], pa.binary())], names=["rep", "finest"])
+                sets = shingle_sets(part.column(1).to_pylist(), width)
+                sketches = [compressed(x, FINEST) if 100 * len(x) >= percent * SMALL else b"" for x in sets]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sketches, pa.binary()), pa.array([x.tobytes() if len(x) <= SMALL else b"" for x in sets], pa.binary())], names=["rep", "finest", "small"])
 
-    return texts.select("doc_id", "text").mapInArrow(signed, "rep long, finest binary")
+    return texts.select("doc_id", "text").mapInArrow(signed, "rep long, finest binary, small binary")
 
 
 def allowance(n: np.ndarray, percent: int) -> np.ndarray:
@@ -156,71 +167,120 @@ def _pairs_of_groups(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray,
     return np.concatenate(left), np.concatenate(right)
 
 
-def _candidates(rows: pd.DataFrame, least: float, percent: int, nearest: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of ids in whole groups of `rows` (sorted by group), by blocks of comparisons."""
+def _groups(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Bounds of the groups of equal (key, ci, cj) in sorted rows."""
+    group = rows[["key", "ci", "cj"]].to_numpy()
+    edge = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]).any(axis=1), [True])))
+    return edge[:-1], edge[1:]
+
+
+def _estimated(of: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    return np.concatenate([estimates(of[i[at : at + 8192]], of[j[at : at + 8192]]) for at in range(0, len(i), 8192)] or [np.empty(0)])
+
+
+def _sketches(column: pd.Series) -> np.ndarray:
+    """A matrix of the sketches; rows without one are zero."""
+    size = max(map(len, column), default=0)
+    return np.frombuffer(b"".join(x or bytes(size) for x in column), dtype=np.uint8).reshape(len(column), -1)
+
+
+def _nearest(rows: pd.DataFrame, least: float, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each row its nearest partner among hubs and neighbours of its groups (all pairs of small groups)."""
+    ids, n, hub, sketch = rows["rep"].to_numpy(), rows["n"].to_numpy(), rows["hub"].to_numpy(), _sketches(rows["sketch"])
+    starts, ends = _groups(rows)
+    few = (ends - starts > 1) & (ends - starts <= FEW)
+    pairs = [_pairs_of_groups(starts[few], ends[few])] if few.any() else []
+    for a, b in zip(starts[ends - starts > FEW], ends[ends - starts > FEW], strict=True):
+        hubs = a + np.flatnonzero(hub[a:b])
+        pairs.append((np.tile(np.arange(a, b), len(hubs)), np.repeat(hubs, b - a)))
+        order = a + np.lexsort(sketch[a:b, :16].T)
+        pairs += [(order[:-step], order[step:]) for step in range(1, NEIGHBOURS + 1)]
+    if not pairs:
+        return ids[:0], ids[:0]
+    i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    fit = (ids[i] != ids[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+    i, j = i[fit], j[fit]
+    e = _estimated(sketch, i, j)
+    fit = e >= least
+    one, two, near = np.concatenate((i[fit], j[fit])), np.concatenate((j[fit], i[fit])), np.concatenate((e[fit], e[fit]))
+    order = np.lexsort((ids[two], -near, one))
+    first = order[np.concatenate(([True], one[order][1:] != one[order][:-1]))] if len(order) else order
+    a, b = ids[one[first]], ids[two[first]]
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _common(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Size of the intersection of each pair of small sorted sets."""
+    sizes = np.array([len(x) for x in sets])
+    out = np.zeros(len(i), dtype=np.int64)
+    order = np.argsort(np.maximum(sizes[i], sizes[j]), kind="stable")
+    for at in range(0, len(order), 4096):
+        some = order[at : at + 4096]
+        width = max(1, int(np.maximum(sizes[i[some]], sizes[j[some]]).max()))
+        used, place = np.unique(np.concatenate((i[some], j[some])), return_inverse=True)
+        table = np.zeros((len(used), width), dtype=np.uint64)
+        held = np.zeros((len(used), width), dtype=bool)
+        for r, x in enumerate(used):
+            table[r, : sizes[x]], held[r, : sizes[x]] = sets[x], True
+        a, b = place[: len(some)], place[len(some) :]
+        both = np.concatenate((table[a], table[b]), axis=1)
+        real = np.concatenate((held[a], held[b]), axis=1)
+        # Equal neighbours after sorting are common members: a set has none twice. Padding sorts last.
+        by = np.where(real, both, np.uint64((1 << 64) - 1))
+        by.sort(axis=1)
+        equal = by[:, 1:] == by[:, :-1]
+        spare = 2 * width - real.sum(axis=1)
+        out[some] = equal.sum(axis=1) - np.maximum(spare - 1, 0)
+    return out
+
+
+def _apart(rows: pd.DataFrame, least: float, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of ids of different labels in whole groups of `rows` (sorted by group) that no measure rules out."""
     ids, n, label = rows["rep"].to_numpy(), rows["n"].to_numpy(), rows["label"].to_numpy()
     block, apart = rows["block"].to_numpy(), rows["apart"].to_numpy()
-    sketch, more = (np.frombuffer(b"".join(rows[c]), dtype=np.uint8).reshape(len(rows), -1) for c in ("sketch", "finest"))
+    sketch, more = _sketches(rows["sketch"]), _sketches(rows["finest"])
+    small = [np.frombuffer(x, dtype=np.uint64) for x in rows["small"]]
     bands, keys = rows["bands"].to_numpy(), rows["key"].to_numpy()
-    group = rows[["key", "ci", "cj"]].to_numpy()
-    edge = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]).any(axis=1), [True])))
-    starts, ends = edge[:-1], edge[1:]
-    small = (ends - starts > 1) & (ends - starts <= 48)
+    starts, ends = _groups(rows)
 
-    def compared(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        fit = (ids[i] != ids[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+    def compared(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        fit = (label[i] != label[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
         fit &= ~apart[i] | (block[i] != block[j])
-        if not nearest:
-            fit &= label[i] != label[j]
         i, j = i[fit], j[fit]
-        e = estimated(sketch, i, j)
-        fit = (e >= least) | (n[i] + n[j] <= TINY)
-        i, j, e = i[fit], j[fit], e[fit]
-        if not nearest and len(i):
-            e = estimated(more, i, j)
-            fit = (e >= percent / 100 - allowance(n[i] + n[j], percent)) | (n[i] + n[j] <= TINY)
-            i, j, e = i[fit], j[fit], e[fit]
-            # A pair is told once, in the least bucket that both are in.
-            own = np.fromiter((np.intersect1d(bands[x], bands[y]).min() == keys[x] for x, y in zip(i, j, strict=True)), dtype=bool, count=len(i))
-            i, j, e = i[own], j[own], e[own]
-        return i, j, e
-
-    def estimated(of: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        return np.concatenate([estimates(of[i[at : at + 8192]], of[j[at : at + 8192]]) for at in range(0, len(i), 8192)] or [np.empty(0)])
-
-    def chosen(i: np.ndarray, j: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if nearest and len(i):
-            one, two, near = np.concatenate((i, j)), np.concatenate((j, i)), np.concatenate((e, e))
-            order = np.lexsort((ids[two], -near, one))
-            first = order[np.concatenate(([True], one[order][1:] != one[order][:-1]))]
-            i, j = one[first], two[first]
-        a, b = ids[i], ids[j]
+        fit = (n[i] + n[j] <= TINY) | (_estimated(sketch, i, j) >= least)
+        i, j = i[fit], j[fit]
+        exact = (n[i] <= SMALL) & (n[j] <= SMALL)
+        fit = np.zeros(len(i), dtype=bool)
+        both = _common(small, i[exact], j[exact])
+        fit[exact] = 100 * both >= percent * (n[i[exact]] + n[j[exact]] - both)
+        rest = ~exact
+        fit[rest] = _estimated(more, i[rest], j[rest]) >= percent / 100 - allowance(n[i[rest]] + n[j[rest]], percent)
+        i, j = i[fit], j[fit]
+        # A pair is told once, in the least bucket that both are in.
+        own = np.fromiter((np.intersect1d(bands[x], bands[y]).min() == keys[x] for x, y in zip(i, j, strict=True)), dtype=bool, count=len(i))
+        a, b = ids[i[own]], ids[j[own]]
         return np.minimum(a, b), np.maximum(a, b)
 
-    if small.any():
-        yield chosen(*compared(*_pairs_of_groups(starts[small], ends[small])))
-    for a, b in zip(starts[ends - starts > 48], ends[ends - starts > 48], strict=True):
-        found = []
-        for i in range(a, b - 1):
-            found.append(compared(np.full(b - i - 1, i), np.arange(i + 1, b)))
-        yield chosen(*(np.concatenate(x) for x in zip(*found, strict=True)))
+    few = (ends - starts > 1) & (ends - starts <= FEW)
+    if few.any():
+        yield compared(*_pairs_of_groups(starts[few], ends[few]))
+    for a, b in zip(starts[ends - starts > FEW], ends[ends - starts > FEW], strict=True):
+        # A few rows against all later ones at a time.
+        step = max(1, (1 << 18) // int(b - a))
+        for at in range(a, b - 1, step):
+            i, j = np.meshgrid(np.arange(at, min(at + step, b)), np.arange(at, b), indexing="ij")
+            later = j > i
+            yield compared(i[later], j[later])
 
 
-def candidates(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Distinct pairs (a, b) of members (key, size, rep, n, sketch, finest, bands, label) that may be links."""
-    least = percent / 100 - MARGIN
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), F.greatest(blocks, F.lit(1))).cast("int")
-    dealt = members.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", F.least("block", "other").alias("ci"), F.greatest("block", "other").alias("cj"), "rep", "n", "label", "sketch", "finest", "bands", "block", (F.col("block") != F.col("other")).alias("x"))
-    # In the cell of two different blocks only pairs across them count.
-    dealt = dealt.select("key", "ci", "cj", "rep", "n", "label", "sketch", "finest", "bands", "block", (F.col("ci") != F.col("cj")).alias("apart"))
+def _compared(dealt: DataFrame, pairs_of) -> DataFrame:
+    """Distinct pairs (a, b) that pairs_of finds in the groups (key, ci, cj) of `dealt`."""
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
 
         def found(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-            for a, b in _candidates(rows, least, percent, nearest):
+            for a, b in pairs_of(rows):
                 if len(a):
                     yield pd.DataFrame({"a": a, "b": b}).drop_duplicates()
 
@@ -238,6 +298,49 @@ def candidates(members: DataFrame, percent: int, nearest: bool) -> DataFrame:
     return sorted_rows.mapInPandas(compared, "a long, b long").distinct()
 
 
+def _dealt(blocks) -> Column:
+    """The block, of so many, that a member belongs to."""
+    return F.pmod(F.xxhash64("rep"), blocks).cast("int")
+
+
+def _every(blocks) -> Column:
+    return F.sequence(F.lit(0), blocks - 1)
+
+
+def nearest_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Each member (key, size, hubs, rep, n, sketch) with its nearest partner by the sketches, hubs and neighbours being asked."""
+    least = percent / 100 - MARGIN
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK).cast("int"), F.lit(1))
+    hub = F.array_contains("hubs", F.col("rep"))
+    cells = F.when(hub, _every(blocks)).otherwise(F.array(_dealt(blocks)))
+    dealt = members.select("key", F.explode(cells).alias("ci"), F.lit(0).alias("cj"), "rep", "n", hub.alias("hub"), "sketch")
+    return _compared(dealt, lambda rows: [_nearest(rows, least, percent)])
+
+
+def pairs_apart(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of different labels that may be links.
+
+    Members have key, size, main (the label that most of the bucket have), of_main (how many), rep,
+    n, label, sketch, finest, small and bands. Blocks of the main label meet blocks of the others,
+    and these each other; blocks of the main label never meet.
+    """
+    least = percent / 100 - MARGIN
+    alone = F.col("size") <= BLOCK
+    mains = F.when(alone, F.lit(0)).otherwise(F.ceil(F.col("of_main") / BLOCK).cast("int"))
+    others = F.when(alone, F.lit(1)).otherwise(F.ceil((F.col("size") - F.col("of_main")) / BLOCK).cast("int"))
+    main = ~alone & (F.col("label") == F.col("main"))
+    own = F.when(main, -1 - _dealt(F.greatest(mains, F.lit(1)))).otherwise(_dealt(F.greatest(others, F.lit(1))))
+    dealt = members.withColumn("block", own)
+    cell = lambda i, j: F.struct(i.cast("int").alias("ci"), j.cast("int").alias("cj"))
+    with_others = F.transform(_every(others), lambda o: cell(F.least(F.col("block"), o), F.greatest(F.col("block"), o)))
+    with_main = F.when(mains > 0, F.transform(_every(F.greatest(mains, F.lit(1))), lambda m: cell(-1 - m, F.col("block")))).otherwise(F.array().cast("array<struct<ci:int,cj:int>>"))
+    cells = F.when(main, with_others).otherwise(F.concat(with_others, with_main))
+    dealt = dealt.withColumn("cell", F.explode(cells))
+    # In the cell of two different blocks only pairs across them count.
+    dealt = dealt.select("key", "cell.ci", "cell.cj", "rep", "n", "label", "sketch", "finest", "small", "bands", "block", (F.col("cell.ci") != F.col("cell.cj")).alias("apart"))
+    return _compared(dealt, lambda rows: _apart(rows, least, percent))
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are linked; texts: doc_id, text."""
 
@@ -293,26 +396,26 @@ def _roots(parents: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """One row for each document: doc_id, n_shingles and component_id."""
-    signed = checkpointed(signatures(docs.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(docs) else docs, width))
+    repeats = _repeats(docs)
+    signed = checkpointed(signatures(docs.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text")) if repeats else docs, width))
     sets = signed.where("n_shingles > 0").groupBy("s1", "s2", "n_shingles").agg(F.min(F.struct("doc_id", "bands", "sketch")).alias("first"))
     reps = checkpointed(sets.select("s1", "s2", F.col("n_shingles").alias("n"), F.col("first.doc_id").alias("rep"), "first.bands", "first.sketch"))
     bands = reps.select(F.explode("bands").alias("key"), "rep")
-    shared = bands.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    hubs = [F.min_by("rep", F.xxhash64("rep", F.lit(i))) for i in range(HUBS)]
+    shared = bands.groupBy("key").agg(F.count("*").alias("size"), F.array(*hubs).alias("hubs")).where("size > 1")
     members = checkpointed(bands.join(shared, "key"))
-    full = members.join(reps.select("rep", "n", "sketch"), "rep")
-    first = checkpointed(candidates(full.withColumn("label", F.col("rep")).withColumn("finest", F.lit(b"")).withColumn("bands", F.array().cast("array<long>")), percent, True))
-    involved = first.select(F.col("a").alias("doc_id")).union(first.select(F.col("b").alias("doc_id"))).distinct()
-    texts = docs.select("doc_id", "text").join(involved, "doc_id")
-    texts = checkpointed(texts.groupBy("doc_id").agg(F.min("text").alias("text")) if _repeats(docs) else texts)
+    first = checkpointed(nearest_pairs(members.join(reps.select("rep", "n", "sketch"), "rep"), percent))
+    texts = checkpointed(_texts(docs, members.select(F.col("rep").alias("doc_id")).distinct(), repeats))
     links = checkpointed(confirmed(first, texts, width, percent))
     labels = components(links)
     # The second round: only buckets that hold members of different classes.
-    known = involved.withColumnRenamed("doc_id", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    named = checkpointed(members.drop("size").join(known, "rep"))
-    apart = named.groupBy("key").agg(F.count("*").alias("size"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key", "size")
-    ready = named.join(apart, "key").join(reps.select("rep", "n", "sketch", "bands"), "rep").join(finest(texts, width), "rep")
-    second = candidates(ready, percent, False).join(first, ["a", "b"], "left_anti")
-    more = checkpointed(confirmed(second, texts, width, percent))
+    known = labels.withColumnRenamed("node", "rep")
+    named = checkpointed(members.select("key", "rep").join(known, "rep", "left").select("key", "rep", F.coalesce("label", "rep").alias("label")))
+    of_label = named.groupBy("key", "label").agg(F.count("*").alias("n"))
+    apart = of_label.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
+    ready = named.join(apart.select("key", "size", F.col("top.label").alias("main"), F.col("top.n").alias("of_main")), "key")
+    ready = ready.join(reps.select("rep", "n", "sketch", "bands"), "rep").join(finest(texts, width, percent), "rep")
+    more = checkpointed(confirmed(pairs_apart(ready, percent), texts, width, percent))
     if more.limit(1).count():
         labels = components(links.union(more))
     classes = reps.select("s1", "s2", F.col("n").alias("n_shingles"), "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -321,6 +424,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     return out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
 
 
+def _texts(docs: DataFrame, wanted: DataFrame, repeats: bool) -> DataFrame:
+    """doc_id and text (the least of several) of the wanted documents."""
+    found = docs.select("doc_id", "text").join(wanted, "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text")) if repeats else found
+
+
 def _repeats(docs: DataFrame) -> bool:
     """Whether some doc_id is null or on several rows."""
     return bool(docs.where("doc_id is null").limit(1).count() or docs.groupBy("doc_id").count().where("count > 1").limit(1).count())

@@ -68,7 +68,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = byte_bpe.encode(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN).select("doc_id", "ids")
+    encoded = byte_bpe.encode(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN, columns=["doc_id"])
     return byte_bpe.digests(encoded, RANKS).drop("ids")
 
 

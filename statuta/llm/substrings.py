@@ -8,10 +8,12 @@ interval of words that its existence depends on. Symbols whose interval lies ins
 symbol of the highest round inside it (of least hash, then leftmost); windows in a row with one
 symbol form an occurrence, named by the symbol and by the words it spans.
 
-Spark then finds occurrences that a document with a smaller doc_id has too: all their windows
-repeat. Symbols that occur within different spans are verified window by window, on 128-bit hashes,
-one document for each distinct span. Documents get back the names of what repeats in them; texts in
-which nothing repeats aren't shuffled.
+Symbols only propose. What is compared are the words themselves: occurrences of shared symbols carry
+a 128-bit BLAKE2 digest of the bytes of their words. Spark finds occurrences that a document with a
+smaller doc_id has too: all their windows repeat. Symbols that occur within different spans are
+verified window by window, by digests of the windows' words, one document for each distinct span.
+Documents get back the names of what repeats in them; texts in which nothing repeats aren't shuffled.
+Empty tables give no rows; long texts are parsed whole.
 
 Words are runs of characters other than space and \\t\\n\\v\\f\\r. Null text has no words. Windows of
 the same document, of rows of the same doc_id, or of texts shorter than a window never repeat; rows
@@ -21,6 +23,7 @@ result (n_words, n_removed, kept) are replaced.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,23 +33,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statuta.llm.common import FILTER_BITS, bitmap, checkpointed, hash_texts, is_set, may_hold, mix, powers, words
+from statuta.llm.common import FILTER_BITS, bitmap, checkpointed, hash_texts, is_set, may_hold, mix, words
 
 WINDOW = 50
 ROUNDS = 6
 _A, _B = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
-_A_INV, _B_INV = (np.uint64(pow(int(x), -1, 1 << 64)) for x in (_A, _B))
 SLICE_BYTES = 1 << 20
 
 
 class Parse:
     """The rounds of recompression of a batch of texts, and its occurrences."""
 
-    def __init__(self, words: np.ndarray, offsets: np.ndarray, window: int):
-        self.words, self.offsets, self.window = words, offsets, window
+    def __init__(self, texts: list[bytes], window: int):
+        words, offsets = hash_texts(texts)
+        self.texts, self.words, self.offsets, self.window = texts, words, offsets, window
         n, sizes = len(words), np.diff(offsets)
-        self.prefix_a = self._prefix(words, _A)
-        self.prefix_b = None
         of = np.repeat(np.arange(len(sizes)), sizes)
         self.of = of
         name, low, high = words, np.arange(n), np.arange(1, n + 1)
@@ -63,12 +64,6 @@ class Parse:
         begins = np.repeat(offsets[:-1], last) + np.arange(last.sum()) - np.repeat(np.cumsum(last) - last, last)
         self._choose(begins, levels)
 
-    @staticmethod
-    def _prefix(words: np.ndarray, base: np.uint64) -> np.ndarray:
-        out = np.zeros(len(words) + 1, dtype=np.uint64)
-        np.cumsum(mix(words ^ base) * powers(base, len(words)), out=out[1:])
-        return out
-
     @staticmethod
     def _runs(name, low, high, of, start, end):
         """Maximal runs become symbols; what is no run depends on its neighbours too."""
@@ -124,8 +119,6 @@ class Parse:
         self.first = begins[at]
         self.last = begins[np.append(at[1:], len(begins)) - 1] if len(at) else self.first
         self.name = names[at]
-        span = self.hashes(self.first, self.last + self.window)
-        self.key = mix(self.name * _A + span + (self.last - self.first).astype(np.uint64))
         self.doc = self.of[self.first] if len(at) else np.empty(0, dtype=np.int64)
 
     @staticmethod
@@ -143,16 +136,20 @@ class Parse:
             a, b = places[:-size], places[size:]
             places, size = np.where(values[b] < values[a], b, a), 2 * size
 
-    def hashes(self, first: np.ndarray, until: np.ndarray) -> np.ndarray:
-        """Hash of the words [first, until) of each span."""
-        return mix((self.prefix_a[until] - self.prefix_a[first]) * powers(_A_INV, len(self.words) + 1)[first])
-
-    def window_hashes(self, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """128-bit hashes of the windows that start at `begins`."""
-        if self.prefix_b is None:
-            self.prefix_b = self._prefix(self.words, _B)
-        b = mix((self.prefix_b[begins + self.window] - self.prefix_b[begins]) * powers(_B_INV, len(self.words) + 1)[begins])
-        return self.hashes(begins, begins + self.window), b
+    def digests(self, first: np.ndarray, until: np.ndarray) -> np.ndarray:
+        """128-bit digests of the words [first, until) of each span, as pairs of integers; spans by document."""
+        out, held, joined, ends, base = [], -1, b"", [], 0
+        for doc, a, b in zip(self.of[first].tolist(), first.tolist(), until.tolist(), strict=True):
+            if doc != held:
+                split = self.texts[doc].split()
+                held, joined, base = doc, b" ".join(split), int(self.offsets[doc])
+                ends = [0, *np.cumsum([len(w) + 1 for w in split]).tolist()]
+            out.append(hashlib.blake2b(joined[ends[a - base] : ends[b - base] - 1], digest_size=16).digest())
+        return np.frombuffer(b"".join(out), dtype="<i8").reshape(-1, 2)
+
+    def keys(self, picked: np.ndarray) -> np.ndarray:
+        """Digests of the picked occurrences."""
+        return self.digests(self.first[picked], self.last[picked] + self.window)
 
     def windows(self, picked: np.ndarray) -> np.ndarray:
         """Starts of all windows of the picked occurrences."""
@@ -160,63 +157,87 @@ class Parse:
         return np.repeat(self.first[picked], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
-def _parsed(batch: pa.RecordBatch, text: int, window: int) -> Iterator[tuple[pa.RecordBatch, list, Parse]]:
-    """Slices of a batch with their texts as bytes and their parse."""
+def _parsed(batch: pa.RecordBatch, text: int, window: int) -> Iterator[tuple[pa.RecordBatch, Parse]]:
+    """Slices of a batch and their parse."""
     lengths = np.array([0 if x is None else x for x in pa.compute.binary_length(batch.column(text)).to_pylist()])
     group = np.cumsum(lengths) // SLICE_BYTES
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1), len(lengths)]
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         if b > a:
             part = batch.slice(a, b - a)
-            texts = [b"" if t is None else t.encode() for t in part.column(text).to_pylist()]
-            yield part, texts, Parse(*hash_texts(texts), window)
+            yield part, Parse([b"" if t is None else t.encode() for t in part.column(text).to_pylist()], window)
 
 
-def occurrences(docs: DataFrame, window: int, names=None) -> DataFrame:
-    """name, key and doc_id of the occurrences of each document, once each.
+def symbols(docs: DataFrame, window: int) -> DataFrame:
+    """name and doc_id of the symbols that name the occurrences of each document, once each."""
 
-    With a broadcast bitmap `names`, of names whose low bits it has only.
-    """
+    def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, parse in _parsed(batch, 1, window):
+                keep = _once(parse.doc, parse.name)
+                ids = part.column(0).to_numpy(zero_copy_only=False)[parse.doc[keep]]
+                yield pa.RecordBatch.from_arrays([pa.array(parse.name[keep].view(np.int64)), pa.array(ids.astype(np.int64))], names=["name", "doc_id"])
+
+    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(emitted, "name long, doc_id long")
+
+
+def _once(*columns: np.ndarray) -> np.ndarray:
+    """Places of the first of each group of equal rows."""
+    order = np.lexsort(columns[::-1])
+    if not len(order):
+        return order
+    fresh = np.zeros(len(order), dtype=bool)
+    fresh[0] = True
+    for c in columns:
+        fresh[1:] |= c[order][1:] != c[order][:-1]
+    return np.sort(order[fresh])
+
+
+def occurrences(docs: DataFrame, window: int, names) -> DataFrame:
+    """name, k1, k2 (digest) and doc_id of the occurrences, once in a document, whose names the broadcast bitmap has."""
 
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, _, parse in _parsed(batch, 1, window):
-                ids = part.column(0).to_numpy(zero_copy_only=False)[parse.doc]
-                order = np.lexsort((parse.key, parse.doc))
-                same = (parse.key[order][1:] == parse.key[order][:-1]) & (parse.doc[order][1:] == parse.doc[order][:-1])
-                keep = order[np.concatenate(([True], ~same))] if len(order) else order
-                if names is not None:
-                    keep = keep[is_set(names.value, (parse.name[keep] & np.uint64(FILTER_BITS - 1)).astype(np.int64))]
-                yield pa.RecordBatch.from_arrays([pa.array(parse.name[keep].view(np.int64)), pa.array(parse.key[keep].view(np.int64)), pa.array(ids[keep].astype(np.int64))], names=["name", "key", "doc_id"])
+            for part, parse in _parsed(batch, 1, window):
+                picked = np.flatnonzero(is_set(names.value, (parse.name & np.uint64(FILTER_BITS - 1)).astype(np.int64)))
+                key, doc, name = parse.keys(picked), parse.doc[picked], parse.name[picked].view(np.int64)
+                keep = _once(doc, key[:, 0], key[:, 1])
+                ids = part.column(0).to_numpy(zero_copy_only=False)[doc[keep]]
+                yield pa.RecordBatch.from_arrays([pa.array(name[keep]), pa.array(key[keep, 0]), pa.array(key[keep, 1]), pa.array(ids.astype(np.int64))], names=["name", "k1", "k2", "doc_id"])
 
-    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(emitted, "name long, key long, doc_id long")
+    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(emitted, "name long, k1 long, k2 long, doc_id long")
 
 
-def _membership(parse: Parse, lists: list, values: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """For each (value, document) whether the document's list holds the value."""
+def _membership(lists: list, values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """For each (value, document) whether the document's list holds the value; rows by document."""
     out = np.zeros(len(values), dtype=bool)
     bounds = np.searchsorted(of, np.arange(len(lists) + 1))
     for i, wanted in enumerate(lists):
         if wanted:
             a, b = bounds[i], bounds[i + 1]
-            out[a:b] = np.isin(values[a:b].view(np.int64), np.array(wanted, dtype=np.int64))
+            out[a:b] = np.isin(values[a:b], np.array(wanted, dtype=np.int64))
     return out
 
 
+def _listed(parse: Parse, names: list, keys: list) -> np.ndarray:
+    """Places of the occurrences whose name and digest their document's lists hold."""
+    named = np.flatnonzero(_membership(names, parse.name.view(np.int64), parse.doc))
+    return named[_membership(keys, parse.keys(named)[:, 0], parse.doc[named])]
+
+
 def spans_to_verify(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """w1, w2 (window hash) and doc_id of all windows of the wanted (doc_id, keys) occurrences."""
+    """w1, w2 (digest of a window) and doc_id of all windows of the wanted (doc_id, names, keys) occurrences."""
 
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, _, parse in _parsed(batch, 1, window):
-                picked = np.flatnonzero(_membership(parse, part.column(2).to_pylist(), parse.key, parse.doc))
-                begins = parse.windows(picked)
-                one, two = parse.window_hashes(begins)
+            for part, parse in _parsed(batch, 1, window):
+                begins = parse.windows(_listed(parse, part.column(2).to_pylist(), part.column(3).to_pylist()))
+                digests = parse.digests(begins, begins + window)
                 ids = part.column(0).to_numpy()[parse.of[begins]] if len(begins) else np.empty(0, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(ids.astype(np.int64))], names=["w1", "w2", "doc_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(ids.astype(np.int64))], names=["w1", "w2", "doc_id"])
 
     near = docs.select("doc_id", "text").where("doc_id is not null").where(may_hold(wanted, "doc_id")(F.col("doc_id")))
-    return near.join(wanted, "doc_id").select("doc_id", "text", "keys").mapInArrow(emitted, "w1 long, w2 long, doc_id long")
+    return near.join(wanted, "doc_id").select("doc_id", "text", "names", "keys").mapInArrow(emitted, "w1 long, w2 long, doc_id long")
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -224,15 +245,14 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     A word is removed if a window that covers it also starts in a document of smaller doc_id.
     """
-    parsed = occurrences(docs, window)
     # Most symbols are of one document only; the rest of the work is on those of several.
-    shared = checkpointed(parsed.groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("name"))
+    shared = checkpointed(symbols(docs, window).groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("name"))
     names = bitmap(shared.select(F.col("name").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("h")))
     found = checkpointed(occurrences(docs, window, names).join(shared, "name", "left_semi"))
-    each = checkpointed(found.groupBy("name", "key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")))
-    repeated = found.join(each.where("first < last").select("key", "first"), "key").where("doc_id > first").select("doc_id", "key")
+    each = checkpointed(found.groupBy("name", "k1", "k2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")))
+    repeated = found.join(each.where("first < last").select("name", "k1", "k2", "first"), ["name", "k1", "k2"]).where("doc_id > first").select("doc_id", "name", "k1")
     mixed = checkpointed(each.groupBy("name").agg(F.count("*").alias("n"), F.min("first").alias("a"), F.max("last").alias("b")).where("n > 1 and a < b").select("name"))
-    wanted = checkpointed(each.join(mixed, "name").groupBy(F.col("first").alias("doc_id")).agg(F.collect_set("key").alias("keys")))
+    wanted = checkpointed(each.join(mixed, "name").groupBy(F.col("first").alias("doc_id")).agg(F.collect_set("name").alias("names"), F.collect_set("k1").alias("keys")))
     windows = checkpointed(spans_to_verify(docs, wanted, window))
     sources = checkpointed(windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("w1", "w2", "first"))
     partly = windows.where(may_hold(sources, "w1")(F.col("w1"))).join(sources, ["w1", "w2"]).where("doc_id > first").select("doc_id", "w1").distinct()
@@ -240,9 +260,10 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 
 def removed(docs: DataFrame, repeated: DataFrame, partly: DataFrame, window: int) -> DataFrame:
-    """Takes out the words of repeated occurrences (doc_id, key) and windows (doc_id, w1)."""
-    flags = repeated.select("doc_id", "key", F.lit(None).cast("long").alias("w1")).unionByName(partly.select("doc_id", F.lit(None).cast("long").alias("key"), "w1"))
-    flags = checkpointed(flags.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("key").alias("__keys"), F.collect_set("w1").alias("__windows")))
+    """Takes out the words of repeated occurrences (doc_id, name, k1) and windows (doc_id, w1)."""
+    none = F.lit(None).cast("long")
+    flags = repeated.select("doc_id", "name", "k1", none.alias("w1")).unionByName(partly.select("doc_id", none.alias("name"), none.alias("k1"), "w1"))
+    flags = checkpointed(flags.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("name").alias("__names"), F.collect_set("k1").alias("__keys"), F.collect_set("w1").alias("__windows")))
     rest = docs.drop("n_words", "n_removed", "kept")
     names = rest.columns
     text = names.index("text")
@@ -250,21 +271,21 @@ def removed(docs: DataFrame, repeated: DataFrame, partly: DataFrame, window: int
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts, parse in _parsed(batch, text, window):
-                keys, hashes = (part.column(len(names) + i).to_pylist() for i in (0, 1))
+            for part, parse in _parsed(batch, text, window):
+                symbols, keys, hashes = (part.column(len(names) + i).to_pylist() for i in range(3))
                 change = np.zeros(len(parse.words) + 1, dtype=np.int64)
-                picked = _membership(parse, keys, parse.key, parse.doc)
+                picked = _listed(parse, symbols, keys)
                 np.add.at(change, parse.first[picked], 1)
                 np.add.at(change, parse.last[picked] + window, -1)
                 listed = np.array([bool(h) for h in hashes], dtype=bool)
                 if listed.any():
                     begins = parse.windows(np.flatnonzero(listed[parse.doc]))
-                    hit = begins[_membership(parse, hashes, parse.window_hashes(begins)[0], parse.of[begins])]
+                    hit = begins[_membership(hashes, parse.digests(begins, begins + window)[:, 0], parse.of[begins])]
                     np.add.at(change, hit, 1)
                     np.add.at(change, hit + window, -1)
                 gone = np.cumsum(change)[:-1] > 0
                 kept, taken = [], []
-                for t, a, b in zip(texts, parse.offsets[:-1], parse.offsets[1:], strict=True):
+                for t, a, b in zip(parse.texts, parse.offsets[:-1], parse.offsets[1:], strict=True):
                     here, split = gone[a:b], t.split()
                     taken.append(int(here.sum()))
                     kept.append(b" ".join([w for w, g in zip(split, here.tolist(), strict=True) if not g] if taken[-1] else split).decode())
@@ -275,7 +296,7 @@ def removed(docs: DataFrame, repeated: DataFrame, partly: DataFrame, window: int
 
     listed = F.coalesce(may_hold(flags, "__id")(F.coalesce("doc_id", F.lit(0))) & F.col("doc_id").isNotNull(), F.lit(False))
     marked = rest.withColumn("__listed", listed)
-    joined = marked.where("__listed").join(flags, F.col("doc_id") == F.col("__id"), "left").select(*names, "__keys", "__windows")
+    joined = marked.where("__listed").join(flags, F.col("doc_id") == F.col("__id"), "left").select(*names, "__names", "__keys", "__windows")
     found = words(F.col("text"))
     whole = marked.where("not __listed").select(*names, F.size(found).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.array_join(found, " ").alias("kept"))
     return joined.mapInArrow(cut, schema).unionByName(whole)

@@ -79,6 +79,56 @@ def test_byte_bpe(docs):
     assert got == {d: (brute.bpe().encode_ordinary(t or ""), brute.sha(t or "")) for d, t in texts()}
 
 
+def test_byte_bpe_of_letters_newer_than_java_and_long_words(spark):
+    rng = random.Random(8)
+    parts = [" ", "a", "B", "'s", "1", "\n", "é", "\U0001e030", "\U00031350", "\ua7d0", "ⅷ", "_", "--", "\u0300", "日本", "aaaaa", "ing "]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(0, 60)))) for i in range(400)] + [(900, "a" * 1500), (901, "".join(rng.choice("abcdef") for _ in range(600)))]
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    frame = spark.createDataFrame(rows, DOCS).withColumn("__words", F.lit(1)).withColumn("ids", F.lit("x"))
+    got = {r["doc_id"]: r["ids"] for r in byte_bpe.encode(frame, ranks, public_tokenizers.PATTERN).collect()}
+    assert got == {d: brute.bpe().encode_ordinary(t) for d, t in rows}
+    assert byte_bpe.encode(frame.limit(0), ranks, public_tokenizers.PATTERN).count() == 0
+
+
+def thue_morse(swap):
+    word = "ab"
+    for _ in range(9):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word.translate(str.maketrans("ab", "ba")) if swap else word
+
+
+def test_words_that_polynomials_cannot_tell_apart(spark):
+    same = " ".join(f"s{i}" for i in range(49))
+    rows = [(i, f"{thue_morse(i)} {same}") for i in (0, 1)] + [(10 + i, thue_morse(i)) for i in (0, 1)]
+    frame = spark.createDataFrame(rows, DOCS)
+    assert {r["doc_id"]: r["n_removed"] for r in substrings.dedup_substrings(frame).collect()} == {0: 0, 1: 0, 10: 0, 11: 0}
+    assert {r["doc_id"]: r["component_id"] for r in near_duplicates.near_duplicates(frame.where("doc_id > 9")).collect()} == {10: 10, 11: 11}
+
+
+def test_hot_bucket_of_near_copies(spark):
+    rng = random.Random(4)
+    body = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    rows = []
+    for i in range(1500):
+        own = list(body)
+        for k in range(i % 7):
+            own[rng.randrange(120)] = f"x{i}_{k}"
+        rows.append((i, " ".join(own)))
+    rows += [(5000 + i, " ".join(body[:60] + [f"y{i}_{k}" for k in range(60)])) for i in range(40)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates.near_duplicates(spark.createDataFrame(rows, DOCS), 4, 80).collect()}
+    assert got == brute.near_duplicates(rows)
+
+
+def test_repeated_and_null_ids(spark):
+    long = " ".join(f"v{i}" for i in range(80))
+    rows = [(1, long), (1, "other words"), (None, long), (2, long), (2, long)]
+    frame = spark.createDataFrame(rows, DOCS)
+    got = sorted((str(r["doc_id"]), r["n_words"], r["n_removed"]) for r in substrings.dedup_substrings(frame).collect())
+    assert got == [("1", 2, 0), ("1", 80, 0), ("2", 80, 80), ("2", 80, 80), ("None", 80, 0)]
+    assert sorted((r["doc_id"], r["component_id"]) for r in near_duplicates.near_duplicates(frame).collect()) == [(1, 1), (2, 1 if long < "other words" else 2)]
+    assert substrings.dedup_substrings(frame.limit(0)).count() == near_duplicates.near_duplicates(frame.limit(0)).count() == 0
+
+
 def test_substrings(docs):
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in substrings.dedup_substrings(docs).collect()}
     want = {d: (a, b, " ".join(c)) for d, (a, b, c) in brute.substrings(texts()).items()}
