@@ -39,7 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, ids and the digests of ids and of the decoded bytes."""
-    encoded = byte_bpe.encode(docs.select("doc_id", "text"), RANKS, public_tokenizers.PATTERN).select("doc_id", "ids")
+    encoded = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN, columns=["doc_id"])
     return byte_bpe.digests(encoded, RANKS)
 
 
