@@ -32,8 +32,9 @@ from statuta.llm.common import checkpointed, hash_texts, mix
 
 _STEP = np.uint64(0x9FB21C651E98DF25)
 COARSE, FINE, FINEST = 7, 8, 10
-MANTISSA = 10
-EMPTY = 0xFFFF
+#: Mantissa bits of the registers that are banded, and of those that are compressed to bytes.
+MANTISSA, SHORT = 26, 10
+EMPTY = 0xFFFFFFFF
 BAND_REGISTERS = 4
 BLOCK = 1024
 #: How far below the threshold an estimate may lie for the pair to be confirmed exactly: over five
@@ -71,9 +72,9 @@ def shingle_sets(texts: list, width: int) -> list[np.ndarray]:
     return out
 
 
-def registers(found: np.ndarray, bits: int) -> np.ndarray:
+def registers(found: np.ndarray, bits: int, mantissa: int = MANTISSA) -> np.ndarray:
     """HyperMinHash registers (leading zeros, then mantissa) of a sorted set, by its top `bits` bits."""
-    out = np.full(1 << bits, EMPTY, dtype=np.uint16)
+    out = np.full(1 << bits, EMPTY, dtype=np.uint32)
     if len(found):
         low_bits = 64 - bits
         bucket = (found >> np.uint64(low_bits)).astype(np.int64)
@@ -85,15 +86,23 @@ def registers(found: np.ndarray, bits: int) -> np.ndarray:
             more = rest >> np.uint64(step) > 0
             length[more] += step
             rest[more] >>= np.uint64(step)
-        shift = length - MANTISSA
-        part = np.where(shift >= 0, low >> np.maximum(shift, 0).astype(np.uint64), low << np.maximum(-shift, 0).astype(np.uint64)) & np.uint64((1 << MANTISSA) - 1)
-        out[bucket[first]] = ((low_bits - 1 - length) << MANTISSA) | part.astype(np.int64)
+        shift = length - mantissa
+        part = np.where(shift >= 0, low >> np.maximum(shift, 0).astype(np.uint64), low << np.maximum(-shift, 0).astype(np.uint64)) & np.uint64((1 << mantissa) - 1)
+        out[bucket[first]] = ((low_bits - 1 - length) << mantissa) | part.astype(np.int64)
     return out
 
 
+def band_keys(found: np.ndarray) -> np.ndarray:
+    """Keys of the bands of a sorted set that have a register."""
+    bands = registers(found, COARSE).reshape(-1, BAND_REGISTERS)
+    parts = bands.view(np.uint64)
+    keys = mix(mix(parts[:, 0] + (np.arange(len(bands), dtype=np.uint64) + np.uint64(1)) * _STEP) ^ parts[:, 1])
+    return keys[(bands != EMPTY).any(axis=1)].view(np.int64)
+
+
 def compressed(found: np.ndarray, bits: int) -> bytes:
     """Sketch of a sorted set: a byte for each register, 0 for an empty one."""
-    r = registers(found, bits)
+    r = registers(found, bits, SHORT)
     return np.where(r == EMPTY, 0, 1 + (r.astype(np.uint32) * np.uint32(40503) >> np.uint32(5)) % 255).astype(np.uint8).tobytes()
 
 
@@ -133,12 +142,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
                 part = batch.slice(at, 1000)
                 sets = shingle_sets(part.column(1).to_pylist(), width)
                 sums = [(int(x.sum().astype(np.int64)), int(mix(x ^ _STEP).sum().astype(np.int64))) for x in sets]
-                bands = []
-                for x in sets:
-                    coarse = registers(x, COARSE)
-                    keys = coarse.view(np.uint64)
-                    n = np.arange(len(keys), dtype=np.uint64)
-                    bands.append(mix(keys + (n + np.uint64(1)) * _STEP)[keys != np.uint64((1 << 64) - 1)].view(np.int64))
+                bands = [band_keys(x) for x in sets]
                 fine = [compressed(x, FINE) for x in sets]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(x) for x in sets], pa.int64()), pa.array([a for a, _ in sums], pa.int64()), pa.array([b for _, b in sums], pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(fine, pa.binary())],
@@ -405,17 +409,22 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     shared = bands.groupBy("key").agg(F.count("*").alias("size"), F.array(*hubs).alias("hubs")).where("size > 1")
     members = checkpointed(bands.join(shared, "key"))
     first = checkpointed(nearest_pairs(members.join(reps.select("rep", "n", "sketch"), "rep"), percent))
-    texts = checkpointed(_texts(docs, members.select(F.col("rep").alias("doc_id")).distinct(), repeats))
-    links = checkpointed(confirmed(first, texts, width, percent))
+    links = checkpointed(confirmed(first, _texts(docs, _ends(first), repeats), width, percent))
     labels = components(links)
-    # The second round: only buckets that hold members of different classes.
+    # The second round: only buckets that hold members of different classes. A large set whose buckets
+    # are all small was compared with all of their members: without a partner it has no link.
     known = labels.withColumnRenamed("node", "rep")
-    named = checkpointed(members.select("key", "rep").join(known, "rep", "left").select("key", "rep", F.coalesce("label", "rep").alias("label")))
+    paired = first.select(F.col("a").alias("rep")).union(first.select("b")).distinct()
+    more = members.groupBy("rep").agg(F.max("size").alias("most")).join(reps.select("rep", "n"), "rep").where((F.col("most") > FEW) | (F.col("n") <= TINY))
+    still = paired.union(more.select("rep")).distinct()
+    named = checkpointed(members.select("key", "rep").join(still, "rep").join(known, "rep", "left").select("key", "rep", F.coalesce("label", "rep").alias("label")))
     of_label = named.groupBy("key", "label").agg(F.count("*").alias("n"))
     apart = of_label.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
     ready = named.join(apart.select("key", "size", F.col("top.label").alias("main"), F.col("top.n").alias("of_main")), "key")
-    ready = ready.join(reps.select("rep", "n", "sketch", "bands"), "rep").join(finest(texts, width, percent), "rep")
-    more = checkpointed(confirmed(pairs_apart(ready, percent), texts, width, percent))
+    measured = checkpointed(finest(_texts(docs, ready.select(F.col("rep").alias("doc_id")).distinct(), repeats), width, percent))
+    ready = ready.join(reps.select("rep", "n", "sketch", "bands"), "rep").join(measured, "rep")
+    second = checkpointed(pairs_apart(ready, percent))
+    more = checkpointed(confirmed(second, _texts(docs, _ends(second), repeats), width, percent))
     if more.limit(1).count():
         labels = components(links.union(more))
     classes = reps.select("s1", "s2", F.col("n").alias("n_shingles"), "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
@@ -424,6 +433,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     return out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+
+
 def _texts(docs: DataFrame, wanted: DataFrame, repeats: bool) -> DataFrame:
     """doc_id and text (the least of several) of the wanted documents."""
     found = docs.select("doc_id", "text").join(wanted, "doc_id")
