@@ -8,8 +8,8 @@ interval of words that its existence depends on. Symbols whose interval lies ins
 symbol of the highest round inside it (of least hash, then leftmost); windows in a row with one
 symbol form an occurrence, named by the symbol and by the words it spans.
 
-Symbols only propose. What is compared are the words themselves: occurrences of shared symbols carry
-a 128-bit BLAKE2 digest of the bytes of their words. Spark finds occurrences that a document with a
+Symbols only propose. What is compared are the words themselves: occurrences of shared symbols carry,
+beside the symbol's 64-bit name, half of a 128-bit BLAKE2 digest of the bytes of their words. Spark finds occurrences that a document with a
 smaller doc_id has too: all their windows repeat. Symbols that occur within different spans are
 verified window by window, by digests of the windows' words, one document for each distinct span.
 Documents get back the names of what repeats in them; texts in which nothing repeats aren't shuffled.
@@ -194,18 +194,18 @@ def _once(*columns: np.ndarray) -> np.ndarray:
 
 
 def occurrences(docs: DataFrame, window: int, names) -> DataFrame:
-    """name, k1, k2 (digest) and doc_id of the occurrences, once in a document, whose names the broadcast bitmap has."""
+    """name, k1 (digest) and doc_id of the occurrences, once in a document, whose names the broadcast bitmap has."""
 
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, parse in _parsed(batch, 1, window):
                 picked = np.flatnonzero(is_set(names.value, (parse.name & np.uint64(FILTER_BITS - 1)).astype(np.int64)))
-                key, doc, name = parse.keys(picked), parse.doc[picked], parse.name[picked].view(np.int64)
-                keep = _once(doc, key[:, 0], key[:, 1])
+                key, doc, name = parse.keys(picked)[:, 0], parse.doc[picked], parse.name[picked].view(np.int64)
+                keep = _once(doc, name, key)
                 ids = part.column(0).to_numpy(zero_copy_only=False)[doc[keep]]
-                yield pa.RecordBatch.from_arrays([pa.array(name[keep]), pa.array(key[keep, 0]), pa.array(key[keep, 1]), pa.array(ids.astype(np.int64))], names=["name", "k1", "k2", "doc_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(name[keep]), pa.array(key[keep]), pa.array(ids.astype(np.int64))], names=["name", "k1", "doc_id"])
 
-    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(emitted, "name long, k1 long, k2 long, doc_id long")
+    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(emitted, "name long, k1 long, doc_id long")
 
 
 def _membership(lists: list, values: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -249,8 +249,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     shared = checkpointed(symbols(docs, window).groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("name"))
     names = bitmap(shared.select(F.col("name").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("h")))
     found = checkpointed(occurrences(docs, window, names).join(shared, "name", "left_semi"))
-    each = checkpointed(found.groupBy("name", "k1", "k2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")))
-    repeated = found.join(each.where("first < last").select("name", "k1", "k2", "first"), ["name", "k1", "k2"]).where("doc_id > first").select("doc_id", "name", "k1")
+    each = checkpointed(found.groupBy("name", "k1").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")))
+    repeated = found.join(each.where("first < last").select("name", "k1", "first"), ["name", "k1"]).where("doc_id > first").select("doc_id", "name", "k1")
     mixed = checkpointed(each.groupBy("name").agg(F.count("*").alias("n"), F.min("first").alias("a"), F.max("last").alias("b")).where("n > 1 and a < b").select("name"))
     wanted = checkpointed(each.join(mixed, "name").groupBy(F.col("first").alias("doc_id")).agg(F.collect_set("name").alias("names"), F.collect_set("k1").alias("keys")))
     windows = checkpointed(spans_to_verify(docs, wanted, window))
