@@ -1,31 +1,30 @@
 """Byte-level BPE encoding and decoding.
 
-Texts are cut into words by the pattern and the corpus's distinct words are encoded once: the bytes
-of a word are an array of ids, and a fold with Spark's higher-order functions joins, step by step,
-the leftmost adjacent pair of the lowest rank. Ranks are looked up in a literal, an array of small
-maps from pairs of ids, so that one look-up reads a few entries. The vocabulary must be one that was
-trained by merging, where every token encodes to itself; other rank files are refused.
-
-Where the words occur is kept by blocks of rows: a block has a list of its distinct words, and each
-text its places in that list. The words of all blocks are encoded as one table, whatever their
-length or frequency, and come back to their blocks by a join, so nothing is collected or broadcast
-but the literal. Decoding concatenates the binary pieces of ids.
-
-Null text counts as empty (no ids); repeated rows and empty tables need no special case; very long
-texts are blocks of their own; other columns pass through, a column named `ids` is replaced.
+The bytes of a word are an array of symbols, and a fold with Spark's higher-order functions joins,
+step by step, the leftmost adjacent pair of the lowest rank. Ranks are looked up in a literal, an
+array of small maps from pairs of ids, so that one look-up reads a few entries. The vocabulary must
+be one that was trained by merging, where every token encodes to itself; other rank files are refused.
+
+The fold encodes the words that most rows hold, a dictionary of a stated size; folding all distinct
+words costs more than this operator's limits (README). Tasks map words to ids with the dictionary
+and merge the distinct words outside it in Python, a batch at a time, with the same ranks: ids don't
+depend on what is in the dictionary. Decoding concatenates the binary pieces of ids.
+
+Null text counts as empty (no ids); repeated rows, empty tables and long texts need no special case;
+other columns pass through, a column named `ids` is replaced.
 """
 
 from __future__ import annotations
 
 import base64
 import functools
+import heapq
 import itertools
 import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,9 +33,9 @@ from statuta.llm.common import checkpointed
 
 #: White space as the rank files' pattern means it (Unicode White_Space), for Java's engine.
 WHITE = r"\t\n\x0B\f\r \x85\xA0  -     　"
-BUCKETS = 1 << 16
-#: Words of a block, and distinct words of one (places in its list take two bytes).
-BLOCK_WORDS, BLOCK_LIST = 1 << 20, 1 << 16
+BUCKETS = 1 << 14
+DICTIONARY_WORDS, DICTIONARY_BYTES = 60_000, 32
+CACHE, LONG = 200_000, 64
 NONE = 1 << 62
 
 
@@ -158,87 +157,116 @@ def encode_words(words: DataFrame, path: str, word: str = "word") -> DataFrame:
     return words.withColumn("ids", fold_ids(F.col(word), path))
 
 
-def _packed(places: np.ndarray) -> bytes:
-    """Places as compressed bytes: their low bytes, then their high bytes."""
-    if not len(places):
-        return b""
-    return pa.compress(places.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes(), codec="zstd", asbytes=True)
-
-
-def _unpacked(held: bytes, n: int) -> np.ndarray:
-    if not n:
-        return np.empty(0, dtype=np.int64)
-    return np.frombuffer(pa.decompress(held, 2 * n, codec="zstd", asbytes=True), dtype=np.uint8).reshape(2, -1).T.copy().view("<u2").ravel().astype(np.int64)
-
-
-def in_blocks(docs: DataFrame, pattern: str, text: str, kept: list[str]) -> DataFrame:
-    """Rows of `docs` (columns `kept`) with __block, __n (words), __places in the block's list, and __list on a block's first row."""
-    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField("__block", T.LongType()), T.StructField("__n", T.LongType()), T.StructField("__places", T.BinaryType()), T.StructField("__list", T.ArrayType(T.StringType()))])
-
-    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
-            ends = lists.offsets.to_numpy().astype(np.int64)
-            todo = [(i, i + len(g)) for i, g in _runs((ends[1:] - ends[0]) // BLOCK_WORDS)]
-            while todo:
-                a, b = todo.pop()
-                flat = lists.values.slice(ends[a], ends[b] - ends[a]).dictionary_encode()
-                if len(flat.dictionary) > BLOCK_LIST and b - a > 1:
-                    todo += [(a, (a + b) // 2), ((a + b) // 2, b)]
-                    continue
-                places = flat.indices.to_numpy(zero_copy_only=False)
-                if len(flat.dictionary) > BLOCK_LIST:
-                    # One text with so many words: several rows' worth of lists can't be told apart by two bytes.
-                    packed = [pa.compress(places.astype("<u4").tobytes(), codec="zstd", asbytes=True)]
-                else:
-                    packed = [_packed(places[x - ends[a] : y - ends[a]]) for x, y in zip(ends[a:b], ends[a + 1 : b + 1], strict=True)]
-                part, block = batch.slice(a, b - a), block + 1
-                listed = pa.array([flat.dictionary.to_pylist(), *[None] * (b - a - 1)], pa.list_(pa.string()))
-                new = [pa.array(np.full(b - a, block)), pa.array(np.diff(ends[a : b + 1])), pa.array(packed, pa.binary()), listed]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *new], names=[*kept, "__block", "__n", "__places", "__list"])
-
-    return docs.select(*kept, pieces(F.col(text), pattern).alias("__words")).mapInArrow(dealt, schema)
-
-
-def _runs(group: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """Start and members of each run of equal numbers."""
-    at = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else []
-    return [(int(i), g) for i, g in zip(at, np.split(group, at[1:]), strict=True)] if len(group) else []
-
-
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", columns: list[str] | None = None) -> DataFrame:
-    """`docs` (its `columns`, or all) with `ids`: the ids of the whole text."""
+def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of a word outside the dictionary; a heap serves the long ones."""
+    whole = ranks.get(word)
+    if whole is not None:
+        return [whole]
+    if len(word) > LONG:
+        return _merge_long(word, ranks)
+    parts = [word[i : i + 1] for i in range(len(word))]
+    found = [ranks.get(a + b, 1 << 30) for a, b in zip(parts, parts[1:], strict=False)]
+    while found and (low := min(found)) < 1 << 30:
+        i = found.index(low)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del found[i]
+        if i < len(found):
+            found[i] = ranks.get(parts[i] + parts[i + 1], 1 << 30)
+        if i:
+            found[i - 1] = ranks.get(parts[i - 1] + parts[i], 1 << 30)
+    return [ranks[p] for p in parts]
+
+
+def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    n = len(word)
+    ends, before, alive = [*range(1, n + 1)], [*range(-1, n - 1)], [True] * n
+
+    def pair(i: int) -> tuple[int, int, int] | None:
+        j = ends[i]
+        rank = ranks.get(word[i : ends[j]]) if j < n else None
+        return None if rank is None else (rank, i, ends[j])
+
+    heap = [x for x in map(pair, range(n)) if x]
+    heapq.heapify(heap)
+    while heap:
+        _, i, end = heapq.heappop(heap)
+        if not alive[i] or ends[i] >= n or ends[ends[i]] != end:
+            continue
+        alive[ends[i]] = False
+        ends[i] = end
+        if end < n:
+            before[end] = i
+        for x in (i, before[i]):
+            if x >= 0 and (found := pair(x)):
+                heapq.heappush(heap, found)
+    return [ranks[word[i : ends[i]]] for i in range(n) if alive[i]]
+
+
+def frequent_words(found: DataFrame, limit: int = DICTIONARY_WORDS) -> DataFrame:
+    """The short words that most rows of `found` (array column `words`) hold: as many as `limit` allows.
+
+    A histogram of the counts, of some hundred bins, tells the least count that gives so few words.
+    """
+    each = found.select(F.explode(F.array_distinct("words")).alias("word")).where(F.octet_length("word") <= DICTIONARY_BYTES)
+    counted = checkpointed(each.groupBy("word").count().where("count > 1").withColumn("bin", F.floor(F.log2("count") * 8).cast("int")))
+    total, least = 0, None
+    for row in sorted(counted.groupBy("bin").count().collect(), key=lambda r: -r["bin"]):
+        total += row["count"]
+        if total > limit:
+            break
+        least = row["bin"]
+    return counted.where(F.col("bin") >= (F.lit(None) if least is None else F.lit(least))).select("word")
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", columns: list[str] | None = None, dictionary_words: int = DICTIONARY_WORDS) -> DataFrame:
+    """`docs` (its `columns`, or all) with `ids`: the ids of the whole text.
+
+    The dictionary is collected and broadcast; it has at most `dictionary_words` words of at most
+    DICTIONARY_BYTES bytes each.
+    """
+    spark = docs.sparkSession
+    found = docs.select(pieces(F.col(text), pattern).alias("words"))
+    known = encode_words(frequent_words(found, dictionary_words).repartition(spark.sparkContext.defaultParallelism), ranks_path).toArrow()
+    shared = spark.sparkContext.broadcast(known)
     names = [c for c in (docs.columns if columns is None else columns) if c != "ids"]
     kept = [f"c{i}" for i in range(len(names))]
-    docs = docs.select(F.col(text).alias("text"), *[F.col(f"`{c}`").alias(k) for c, k in zip(names, kept, strict=True)])
-    blocks = checkpointed(in_blocks(docs, pattern, "text", kept))
-    listed = blocks.where("__list is not null").select("__block", F.posexplode("__list").alias("__at", "word"))
-    known = checkpointed(encode_words(listed.select("word").distinct(), ranks_path))
-    found = listed.join(known, "word").select(F.col("__block").alias("__of"), "__at", "ids")
-    schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField("ids", T.ArrayType(T.IntegerType(), False), True)])
-
-    def placed(rows: pa.Table, words: pa.Table) -> pa.Table:
-        at = np.argsort(words.column("__at").to_numpy())
-        lists = words.column("ids").combine_chunks()
-        offsets = lists.offsets.to_numpy().astype(np.int64)
-        values, begins, sizes = lists.values.to_numpy(zero_copy_only=False), offsets[:-1][at], np.diff(offsets)[at]
-        out = []
-        for n, held in zip(rows.column("__n").to_pylist(), rows.column("__places").to_pylist(), strict=True):
-            if len(sizes) > BLOCK_LIST:
-                places = np.frombuffer(pa.decompress(held, 4 * n, codec="zstd", asbytes=True), dtype="<u4").astype(np.int64)
-            else:
-                places = _unpacked(held, n)
-            size = sizes[places]
-            ends = np.cumsum(size)
-            out.append(values[np.repeat(begins[places] - ends + size, size) + np.arange(ends[-1] if n else 0)])
-        bounds = np.concatenate(([0], np.cumsum([len(x) for x in out])))
-        flat = np.concatenate(out) if out else np.empty(0)
-        ids = pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), pa.array(flat.astype(np.int32), pa.int32())).cast(pa.list_(pa.field("element", pa.int32(), nullable=False)))
-        return pa.table([*[rows.column(c) for c in kept], ids], names=[*kept, "ids"])
-
-    cells = blocks.drop("__list").groupBy("__block").cogroup(found.groupBy("__of"))
-    return cells.applyInArrow(placed, schema).toDF(*names, "ids")
+    rest = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(names, kept, strict=True)], pieces(F.col(text), pattern).alias("words"))
+    schema = T.StructType([*rest.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType(), False), True)])
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, known = read_ranks(ranks_path), shared.value
+        known_ids = dict(zip(known.column("word").to_pylist(), known.column("ids").to_pylist(), strict=True))
+        cache: dict[str, list[int]] = {}
+
+        def ids_of(word: str) -> list[int]:
+            ids = known_ids.get(word) or cache.get(word)
+            if ids is None:
+                ids = merge(word.encode(), table)
+                if len(word) <= LONG:
+                    if len(cache) >= CACHE:
+                        cache.clear()
+                    cache[word] = ids
+            return ids
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                lists = part.column(part.num_columns - 1)
+                first = lists.offsets[0].as_py()
+                flat = lists.values.slice(first, lists.offsets[-1].as_py() - first).dictionary_encode()
+                of = [ids_of(w) for w in flat.dictionary.to_pylist()]
+                sizes = np.fromiter(map(len, of), dtype=np.int64, count=len(of))
+                joined = np.fromiter((i for ids in of for i in ids), dtype=np.int32, count=int(sizes.sum()))
+                begins = np.concatenate(([0], np.cumsum(sizes)))
+                words = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+                n = sizes[words] if len(words) else np.empty(0, dtype=np.int64)
+                ends = np.concatenate(([0], np.cumsum(n)))
+                out = joined[np.repeat(begins[words] - ends[:-1], n) + np.arange(ends[-1])] if len(words) else joined
+                bounds = ends[lists.offsets.to_numpy() - first]
+                arrays = [*part.columns[:-1], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(out, pa.int32()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "ids"])
+
+    return rest.mapInArrow(encoded, schema).toDF(*names, "ids")
 
 
 def decoded(ids: Column, ranks_path: str) -> Column:
