@@ -116,6 +116,18 @@ def hash_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
 
 
+def at_most(rows: DataFrame, key: str, limit: int) -> DataFrame:
+    """At most `limit` of `rows`, chosen by a hash of `key`: those below a bound that a histogram of 4,096 bins tells."""
+    place = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(4096))
+    total, bound = 0, 0
+    for row in sorted(rows.groupBy(place.alias("bin")).count().collect(), key=lambda r: r["bin"]):
+        total += row["count"]
+        if total > limit:
+            break
+        bound = row["bin"] + 1
+    return rows.where(place < bound)
+
+
 def bitmap(places: DataFrame):
     """Broadcast of one bit for each of FILTER_BITS places, set for those in column h of `places`.
 

@@ -1,16 +1,19 @@
 """Document fingerprints: threshold-scaled sketches, with Spark expressions only.
 
 A sketch keeps every hash of a text's distinct word shingles below a fixed fraction of the hash
-range (and the least hash where none is below, so that no text with words lacks a sketch). Sketches
-merge by union, and two of them estimate containment and resemblance however unequal the texts.
+range. Sketches merge by union, the union's sketch being that of both texts' shingles, and two of
+them estimate containment and resemblance however unequal the texts.
 
 A text of fewer words than a shingle is one shingle; null text, or text without words, has the empty
-sketch. Two empty sketches are alike (1.0), an empty and another one are not (0.0). Repeated rows
+sketch, and so has a text of few shingles if none is below the fraction. Two empty sketches are alike
+(1.0), an empty and another one are not (0.0). Empty tables give no rows; long texts are read whole. Repeated rows
 have equal fingerprints. Columns besides those named are ignored.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -18,10 +21,10 @@ from pyspark.sql.window import Window
 from statuta.llm.common import words
 
 SHINGLE = 5
-FRACTION = 0.125
+FRACTION = 0.25
 #: Ranges of doc_id that the search for the next document is dealt by; also the most rows that its
 #: broadcast can have, if doc_id is unique.
-RANGES = 4096
+RANGES = 1024
 
 
 def sketch(text: Column, shingle: int = SHINGLE, fraction: float = FRACTION) -> Column:
@@ -36,8 +39,7 @@ def sketch(text: Column, shingle: int = SHINGLE, fraction: float = FRACTION) ->
         return F.when(n < shingle, whole).otherwise(each)
 
     def kept(h: Column) -> Column:
-        low = F.array_sort(F.array_distinct(F.filter(h, lambda x: x < bound)))
-        return F.transform(F.array(low), lambda x: F.when((F.size(x) > 0) | (F.size(h) == 0), x).otherwise(F.array(F.array_min(h))))[0]
+        return F.array_sort(F.array_distinct(F.filter(h, lambda x: x < bound)))
 
     return F.transform(F.transform(F.array(words(text)), hashes), kept)[0]
 
@@ -71,15 +73,18 @@ def packed(kept: Column) -> Column:
 def with_next(docs: DataFrame, values: list[str], key: str = "doc_id") -> DataFrame:
     """`docs` with next_<value>: the values of the next row by descending key, cyclically.
 
-    Rows are dealt to ranges of the key of about equal size; the first row of a range is also the
-    row after the last of the range above, so it is sent there too. The table of ranges, at most
-    RANGES rows, is what the driver and the broadcast hold. Null keys come last; rows of equal keys
-    are ordered by their values.
+    Rows are dealt to ranges of the key of about equal size, cut at its quantiles; the first row of a
+    range is also the row after the last of the range above, so it is sent there too. The table of
+    ranges, at most RANGES rows, is what the driver and the broadcast hold. Null keys come last; rows
+    of equal keys share a range and are ordered by their values.
     """
-    span = docs.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
-    low, high = span["low"] or 0, span["high"] or 0
-    width = (high - low) // RANGES + 1
-    part = F.coalesce(F.floor((F.col(key) - F.lit(low)) / F.lit(width)).cast("long"), F.lit(-1))
+    cuts = docs.agg(F.percentile_approx(key, [i / RANGES for i in range(1, RANGES)], 4 * RANGES).alias("cuts")).first()["cuts"]
+    cuts = sorted(set(cuts or []))
+    listed = F.from_json(F.lit(json.dumps(cuts)), "array<bigint>")
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(cuts).bit_length()))] or [F.lit(0)])
+    # A binary search: how many cuts are at most the key.
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.coalesce(F.get(listed, at + step - 1) <= F.col(key), F.lit(False)), at + step).otherwise(at))
+    part = F.when(F.col(key).isNull(), F.lit(-1)).otherwise(found).cast("long")
     dealt = docs.select(key, *values, part.alias("__part"))
     ranges = dealt.groupBy("__part").agg(F.max(key).alias("__first"))
     order = Window.orderBy(F.desc("__part"))

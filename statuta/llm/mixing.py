@@ -130,8 +130,9 @@ def mix_sources(docs: DataFrame, domain: Column, weights=({}, {}, {}), part: flo
     tokens = F.size(words(F.col("text"))) if tokens is None else tokens
     leaves = checkpointed(plan(docs, tokens, domain, seed, part, weights, max_epochs).select(F.col("domain").alias("__d"), F.col("language").alias("__l"), F.col("origin").alias("__o"), "epochs", "cut"))
     names = [c for c in docs.columns if c not in ("domain", "n_tokens", "copies", "epochs", "cut")]
+    leaves = leaves.withColumnsRenamed({"epochs": "__epochs", "cut": "__cut"})
     placed = docs.withColumn("__d", domain).withColumn("__l", F.coalesce("lang", F.lit(""))).withColumn("__o", F.coalesce("source", F.lit("")))
     held = join_leaves(placed, leaves, ["__d", "__l", "__o"])
-    copies = F.col("epochs") + (order_hash(seed) <= F.col("cut")).cast("int")
+    copies = F.col("__epochs") + (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "__epochs", "doc_id"), 16) <= F.col("__cut")).cast("int")
     out = held.withColumn("__copies", copies).where("__copies > 0")
     return out.select(*names, F.col("__d").alias("domain"), tokens.cast("long").alias("n_tokens"), F.col("__copies").alias("copies"))

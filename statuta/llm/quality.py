@@ -4,7 +4,7 @@ Trees grown on the statistics of labelled rows give conjunctive rules, one for e
 root; a logistic regression with an L1 penalty weighs the rules and leaves most at zero. The rest is
 compiled into one Spark column expression, so scoring stays in the JVM.
 
-At most `train_rows` labelled rows are learned from, chosen by a hash. Null and empty texts have
+At most `train_rows` labelled rows are learned from, chosen by a hash; of equal ones only one counts. Null and empty texts have
 zero statistics and are scored as any other; null labels are ignored; without both labels every
 score is the share of label 1 (0.5 if there are none). Repeated rows are scored each; other columns
 pass through, a column named as a result is replaced.
@@ -15,12 +15,10 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statuta.llm.common import checkpointed, words
+from statuta.llm.common import at_most, checkpointed, words
 
 TRAIN_ROWS = 20_000
 TREES, DEPTH, PENALTY = 12, 3, 0.002
@@ -77,10 +75,14 @@ def rule_column(rule, stats: str = "stats") -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[float, list]:
     """Bias and (rule, weight) list from at most `train_rows` rows of `labels` (doc_id, quality)."""
+    from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
     usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality")
-    sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(train_rows)
+    sample = at_most(usable.distinct(), "doc_id", train_rows)
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(statistics(F.col("text")).alias("stats"), F.col("quality").cast("double").alias("quality"))
-    rows = checkpointed(rows.coalesce(12))
+    # The scan keeps its tasks; only the few labelled rows are dealt anew.
+    rows = checkpointed(rows.repartition(12))
     counts = {int(r["quality"]): r["count"] for r in rows.groupBy("quality").count().collect()}
     good, bad = counts.get(1, 0), counts.get(0, 0)
     if not good or not bad:

@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statuta.llm.common import at_most, checkpointed
+
 TRAIN_ROWS = 24_000
 LEXICON = 4_000
 #: Log odds from which a term enters the lexicon, and at which it has the full weight.
@@ -177,8 +179,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
     """Learns from at most `train_rows` rows of `labels` (doc_id, toxic), chosen by a hash."""
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "toxic")
-    sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(train_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)))
+    sample = at_most(usable.distinct(), "doc_id", train_rows)
+    rows = checkpointed(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2))))
     sizes = {(r["half"], r["toxic"]): r["count"] for r in rows.groupBy("half", "toxic").count().collect()}
     toxic, clean = (sum(n for (_, t), n in sizes.items() if t == x) for x in (1, 0))
     if not toxic or not clean:

@@ -54,6 +54,19 @@ def test_sketches_estimate_containment(spark):
     assert got[0] == 1.0 and abs(got[1] - 0.25) < 0.08 and got[2]
 
 
+def test_next_rows_of_clustered_ids(spark):
+    rows = [(i, f"text {i}") for i in range(500)] + [(2**63 - 1, "top"), (-(2**63), "bottom"), (None, "null")]
+    got = {r["doc_id"]: r["next_text"] for r in fingerprints.with_next(spark.createDataFrame(rows, DOCS), ["text"]).collect()}
+    down = sorted((d for d, _ in rows if d is not None), reverse=True) + [None]
+    held = dict(rows)
+    assert got == {d: held[down[(i + 1) % len(down)]] for i, d in enumerate(down)}
+
+
+def test_mixing_with_clashing_columns(spark):
+    docs = spark.createDataFrame([(i, "a b c", "en", "s", 1, 2) for i in range(50)], "doc_id long, text string, lang string, source string, epochs int, cut int")
+    assert mixing.mix_sources(docs, F.lit("web"), part=0.5, max_epochs=1).count() > 15
+
+
 def test_token_counts(docs):
     sp = brute.sentences()
     got = {r["doc_id"]: (r["n_bytes"], r["n_tokens"]) for r in token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).collect()}
