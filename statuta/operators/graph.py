@@ -28,3 +28,15 @@ def nearest_value(nodes: DataFrame, rounds: int) -> DataFrame:
         above = seen.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("value").alias("value2"), F.col("hops").alias("hops2"))
         seen = seen.join(above, "up", "left").select("node", F.when(F.col("value").isNull(), F.col("up2")).alias("up"), F.coalesce("value", "value2").alias("value"), F.when(F.col("value").isNull() & F.col("hops2").isNotNull(), F.col("hops") + F.col("hops2")).otherwise(F.col("hops")).alias("hops"))
     return seen.where("value is not null").select("node", "value", "hops")
+
+
+def lineage(nodes: DataFrame, start: DataFrame, cap: int = 100) -> DataFrame:
+    """start, node and depth of all ancestors of the start nodes (column node), up to `cap` of them (node, parent)."""
+    at = start.select(F.col("node").alias("start"), F.col("node"), F.lit(0).alias("depth"))
+    out, parents = at, nodes.where("parent is not null and parent <> node").select("node", "parent")
+    for _ in range(cap):
+        at = at.join(parents, "node").select("start", F.col("parent").alias("node"), (F.col("depth") + 1).alias("depth"))
+        if not at.limit(1).count():
+            break
+        out = out.unionByName(at)
+    return out

@@ -29,6 +29,32 @@ def order_breaks(rows: DataFrame, keys: list[str], position: str, value: str) ->
     return rows.withColumn("before", before).where(F.col(value) < F.col("before"))
 
 
+def alignment_summary(verdicts: DataFrame, keys: list[str], verdict: str, label: str, order: str) -> DataFrame:
+    """Counts and percentages of the verdicts aligned, partial and gap, the level, and the first eight distinct gap labels in order."""
+    counted = verdicts.groupBy(*keys).agg(*[F.count_if(F.col(verdict) == v).alias(v) for v in ("aligned", "partial", "gap")])
+    total = F.col("aligned") + F.col("partial") + F.col("gap")
+    shares = [F.when(total > 0, F.round(100 * F.col(v) / total, 1)).alias(f"{v}_pct") for v in ("aligned", "partial", "gap")]
+    # The first place of each label is aggregated before labels are listed, so a list has each label once.
+    firsts = verdicts.where((F.col(verdict) == "gap") & F.col(label).isNotNull()).groupBy(*keys, label).agg(F.min(order).alias("__at"))
+    best = Window.partitionBy(*keys).orderBy("__at", label)
+    gaps = firsts.withColumn("__rn", F.row_number().over(best)).where("__rn <= 8").groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__rn", F.col(label).alias("label")))).alias("__gaps"))
+    level = alignment_level(F.col("aligned"), F.col("partial"), F.col("gap")).alias("level")
+    return counted.join(gaps, keys, "left").select(*keys, "aligned", "partial", "gap", *shares, level, F.array_join(F.coalesce(F.transform("__gaps", lambda g: g["label"]), F.array().cast("array<string>")), ",").alias("gaps"))
+
+
+def legibility_verdict(prose: Column, lexicon: Column) -> Column:
+    """prose, damaged or not_prose from the two rates; null where a rate that is needed wasn't measured."""
+    return F.when(prose >= 80, "prose").when(prose.isNotNull() & (lexicon < 12), "damaged").when(prose.isNotNull() & lexicon.isNotNull(), "not_prose")
+
+
+def numeral_parity(a: Column, b: Column) -> Column:
+    """Multiset overlap of two arrays of numerals over the fuller one; null if neither has any."""
+    times = lambda x, v: F.size(F.filter(x, lambda y: y == v))
+    both = F.aggregate(F.array_intersect(a, b), F.lit(0), lambda s, v: s + F.least(times(a, v), times(b, v)))
+    most = F.greatest(F.size(a), F.size(b))
+    return F.when(most > 0, F.round(both / most, 6))
+
+
 def grade(findings: DataFrame, keys: list[str], severity: str, order: str, reason: str) -> DataFrame:
     """Grade of the worst severity and the earliest finding of it; info is ignored."""
     rank = F.when(F.col(severity) == "error", 2).when(F.col(severity) == "warning", 1).otherwise(0)
@@ -63,4 +89,4 @@ def alignment_level(aligned: Column, partial: Column, gap: Column) -> Column:
     """Level of a comparison: half credit for partial matches, inconclusive below five."""
     total = aligned + partial + gap
     share = (aligned + 0.5 * partial) / total
-    return F.when(total < 5, "inconclusive").when((partial == 0) & (gap == 0), "fully").when(share >= 0.85, "largely").when(share >= 0.50, "partially").otherwise("not_aligned")
+    return F.when(total < 5, "inconclusive").when((partial == 0) & (gap == 0), "fully_aligned").when(share >= 0.85, "largely_aligned").when(share >= 0.50, "partially_aligned").otherwise("not_aligned")

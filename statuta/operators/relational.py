@@ -84,3 +84,50 @@ def carry_forward(new: DataFrame, prior: DataFrame, keys: list[str], same: list[
     for c in same:
         agree = agree & F.col(c).eqNullSafe(F.col(f"__{c}"))
     return new.join(last, keys, "left").withColumn(decision, F.when(agree, F.col("__decision"))).drop("__decision", *[f"__{c}" for c in same])
+
+
+def keyset_after(rows: DataFrame, order: list[tuple[str, bool]], cursor: dict, limit: int) -> DataFrame:
+    """Page of limit + 1 rows after a cursor, by columns (name, ascending), nulls last either way.
+
+    The cursor holds the values of the last row seen; null is a value like any other.
+    """
+    after, same = F.lit(False), F.lit(True)
+    for name, up in order:
+        c, at = F.col(name), cursor[name]
+        if at is not None:
+            beyond = (c > F.lit(at)) if up else (c < F.lit(at))
+            after = after | (same & (F.coalesce(beyond, F.lit(False)) | c.isNull()))
+        same = same & c.eqNullSafe(F.lit(at))
+    sorts = [F.asc_nulls_last(name) if up else F.desc_nulls_last(name) for name, up in order]
+    return rows.where(after).orderBy(*sorts).limit(limit + 1)
+
+
+def latest_in_language(versions: DataFrame, key: str, language: str, *order: Column) -> DataFrame:
+    """The version of each key in a language, or else the latest original (parent null)."""
+    admitted = versions.where((F.col("language") == language) | F.col("parent").isNull())
+    return latest_per_group(admitted, [key], F.desc(F.coalesce(F.col("language") == language, F.lit(False))), *order)
+
+
+def reranked(rows: DataFrame, score: str, rank: str, key: str, window: int = 200, weight: float = 0.35) -> DataFrame:
+    """The best `window` rows by score, in the order of score - rank * weight."""
+    best = rows.orderBy(F.desc(score), key).limit(window)
+    return best.withColumn("adjusted", F.round(F.col(score) - F.col(rank) * weight, 6)).orderBy(F.desc("adjusted"), key)
+
+
+def scoped(rows: DataFrame, column: str, scope: list | None) -> DataFrame:
+    """Rows of a scope; None is unbounded, an empty scope has no rows."""
+    return rows if scope is None else rows.where(F.col(column).isin(*scope)) if scope else rows.where(F.lit(False))
+
+
+def counts_map(rows: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """Per key the number of rows and a map from each value of `by` to its count."""
+    each = rows.groupBy(*keys, by).agg(F.count("*").alias("n"))
+    return each.groupBy(*keys).agg(F.sum("n").alias("n"), F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(by), F.col("n"))))).alias("classes"))
+
+
+def set_difference(left: DataFrame, right: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
+    """keys and change (gone, new, changed) of two snapshots by key."""
+    a, b = (df.select(*keys, F.struct(*values).alias(f"__{i}")) for i, df in enumerate((left, right)))
+    both = a.join(b, keys, "full_outer")
+    change = F.when(F.col("__1").isNull(), "gone").when(F.col("__0").isNull(), "new").when(~F.col("__0").eqNullSafe(F.col("__1")), "changed")
+    return both.select(*keys, change.alias("change")).where("change is not null")

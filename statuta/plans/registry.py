@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statuta.functions import paths
 from statuta.operators import graph, quality, relational, search, temporal
 from statuta.sources.tables import table
 from statuta.streaming import events as feed
@@ -359,16 +360,22 @@ def _divergence(rows: DataFrame) -> DataFrame:
     return rows.join(after, "doc_id").select("doc_id", quality.divergence(F.col("a"), F.col("b")).alias("divergence"))
 
 
-@query("""select conv_id, case when a + p + g < 5 then 'inconclusive' when p = 0 and g = 0 then 'fully' when (a + 0.5 * p) / (a + p + g) >= 0.85 then 'largely' when (a + 0.5 * p) / (a + p + g) >= 0.5 then 'partially' else 'not_aligned' end as level
+@query("""select conv_id, case when a + p + g < 5 then 'inconclusive' when p = 0 and g = 0 then 'fully_aligned' when (a + 0.5 * p) / (a + p + g) >= 0.85 then 'largely_aligned' when (a + 0.5 * p) / (a + p + g) >= 0.5 then 'partially_aligned' else 'not_aligned' end as level
 from (select conv_id, count(*) filter (role = 'assistant') a, count(*) filter (role = 'user') p, count(*) filter (role = 'system') g from conversations group by 1)""")
-def alignment_summary(spark: SparkSession, d: str) -> DataFrame:
+def alignment_level(spark: SparkSession, d: str) -> DataFrame:
     each = relational.pivot_counts(table(spark, d, "conversations"), ["conv_id"], "role", {"assistant": "a", "user": "p", "system": "g"})
     return each.select("conv_id", quality.alignment_level(F.col("a"), F.col("p"), F.col("g")).alias("level"))
 
 
-@query("select event_id, user_id, recent, recent <= 2 as allowed from (select event_id, user_id, count(*) over (partition by user_id order by ts range between interval 1 hour preceding and current row)::bigint recent from events)")
+KEPT = "list_filter(f.kept, lambda x: x >= o.t - 3600000000)"
+
+
+@query(f"""with recursive o as (select user_id, event_id, epoch_us(ts) t, row_number() over (partition by user_id order by epoch_us(ts), event_id) rn from events),
+f as (select user_id, event_id, rn, 0::bigint recent, [t] kept from o where rn = 1 union all
+select o.user_id, o.event_id, o.rn, len({KEPT})::bigint, case when len({KEPT}) < 2 then list_append({KEPT}, o.t) else {KEPT} end from f join o on o.user_id = f.user_id and o.rn = f.rn + 1)
+select event_id, user_id, recent, recent < 2 as allowed from f""")
 def rate_limit(spark: SparkSession, d: str) -> DataFrame:
-    return feed.within_limit(table(spark, d, "events").select("event_id", "user_id", "ts"), 3600, 2).select("event_id", "user_id", "recent", "allowed")
+    return feed.within_limit(table(spark, d, "events").select("event_id", "user_id", "ts"), 3600, 2)
 
 
 @query("select user_id, coalesce(arg_max(event_type, event_id) filter (event_type = 'purchase'), arg_max(event_type, event_id)) state, count(*)::bigint n from events group by 1")
@@ -386,6 +393,119 @@ def session_counts(spark: SparkSession, d: str) -> DataFrame:
     return feed.sessions(table(spark, d, "events"))
 
 
+VERDICTS = "x as (select l_suppkey, case l_returnflag when 'N' then 'aligned' when 'A' then 'partial' else 'gap' end verdict, l_linestatus || l_linenumber::varchar as label, l_orderkey * 10 + l_linenumber as place from lineitem)"
+
+
+@query(f"""with {VERDICTS}, c as (select l_suppkey, count(*) filter (verdict = 'aligned')::bigint aligned, count(*) filter (verdict = 'partial')::bigint partial, count(*) filter (verdict = 'gap')::bigint gap from x group by 1),
+g as (select l_suppkey, label, row_number() over (partition by l_suppkey order by min(place), label) rn from x where verdict = 'gap' group by 1, 2), l as (select l_suppkey, string_agg(label, ',' order by rn) gaps from g where rn <= 8 group by 1)
+select l_suppkey, aligned, partial, gap, round(100 * aligned / (aligned + partial + gap), 1) aligned_pct, round(100 * partial / (aligned + partial + gap), 1) partial_pct, round(100 * gap / (aligned + partial + gap), 1) gap_pct,
+case when aligned + partial + gap < 5 then 'inconclusive' when partial = 0 and gap = 0 then 'fully_aligned' when (aligned + 0.5 * partial) / (aligned + partial + gap) >= 0.85 then 'largely_aligned' when (aligned + 0.5 * partial) / (aligned + partial + gap) >= 0.5 then 'partially_aligned' else 'not_aligned' end as level,
+coalesce(gaps, '') gaps from c left join l using (l_suppkey)""")
+def alignment_summary(spark: SparkSession, d: str) -> DataFrame:
+    flag = F.col("l_returnflag")
+    rows = table(spark, d, "lineitem").select("l_suppkey", F.when(flag == "N", "aligned").when(flag == "A", "partial").otherwise("gap").alias("verdict"), F.concat("l_linestatus", F.col("l_linenumber").cast("string")).alias("label"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("place"))
+    return quality.alignment_summary(rows, ["l_suppkey"], "verdict", "label", "place")
+
+
+@query("""select c_custkey, c_acctbal from (select c_custkey, case when c_custkey % 5 > 0 then c_acctbal end c_acctbal from customer) where c_acctbal < 5000 or c_acctbal is null order by c_acctbal desc nulls last, c_custkey limit 21""")
+def keyset_nulls_last(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "customer").select("c_custkey", F.when(F.col("c_custkey") % 5 > 0, F.col("c_acctbal")).alias("c_acctbal"))
+    return relational.keyset_after(rows, [("c_acctbal", False), ("c_custkey", True)], {"c_acctbal": 5000.0, "c_custkey": 2**62}, 20)
+
+
+@query("""select c_custkey, c_nationkey from customer where c_nationkey < 12 or (c_nationkey = 12 and c_custkey > 40) order by c_nationkey desc, c_custkey limit 31""")
+def keyset_mixed_directions(spark: SparkSession, d: str) -> DataFrame:
+    return relational.keyset_after(table(spark, d, "customer").select("c_custkey", "c_nationkey"), [("c_nationkey", False), ("c_custkey", True)], {"c_nationkey": 12, "c_custkey": 40}, 30)
+
+
+@query("""with v as (select o_orderkey, o_custkey, case when o_orderkey % 3 = 0 then 'fr' else 'en' end as language, case when o_orderkey % 3 = 0 then o_orderkey - 1 end parent, o_orderdate from orders)
+select o_custkey, o_orderkey from (select *, row_number() over (partition by o_custkey order by (language = 'fr') desc, o_orderdate desc, o_orderkey) rn from v where language = 'fr' or parent is null) where rn = 1""")
+def latest_by_language(spark: SparkSession, d: str) -> DataFrame:
+    french = F.col("o_orderkey") % 3 == 0
+    rows = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", F.when(french, "fr").otherwise("en").alias("language"), F.when(french, F.col("o_orderkey") - 1).alias("parent"))
+    return relational.latest_in_language(rows, "o_custkey", "fr", F.desc("o_orderdate"), F.asc("o_orderkey")).select("o_custkey", "o_orderkey")
+
+
+@query("select p_partkey, round(p_retailprice - p_size * 0.35, 6) adjusted from (select * from part order by p_retailprice desc, p_partkey limit 200) order by adjusted desc, p_partkey")
+def bounded_rerank(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "part").select("p_partkey", "p_retailprice", "p_size")
+    return relational.reranked(rows, "p_retailprice", "p_size", "p_partkey").select("p_partkey", "adjusted")
+
+
+@query("select o_orderkey from orders where o_orderstatus in ('F', 'P') union all select o_orderkey from orders where false")
+def scope_fail_closed(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return relational.scoped(rows, "o_orderstatus", ["F", "P"]).union(relational.scoped(rows, "o_orderstatus", [])).select("o_orderkey")
+
+
+@query("""select o_custkey, sum(n)::bigint n, string_agg(o_orderstatus || ':' || n, ',' order by o_orderstatus) classes from (select o_custkey, o_orderstatus, count(*)::bigint n from orders group by 1, 2) group by 1""")
+def class_map_counts(spark: SparkSession, d: str) -> DataFrame:
+    counted = relational.counts_map(table(spark, d, "orders"), ["o_custkey"], "o_orderstatus")
+    return counted.select("o_custkey", "n", F.array_join(F.transform(F.map_entries("classes"), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string"))), ",").alias("classes"))
+
+
+@query("""with a as (select o_orderkey k, o_orderstatus s from orders where o_orderkey % 7 > 0), b as (select o_orderkey k, case when o_orderkey % 4 = 0 then 'X' else o_orderstatus end s from orders where o_orderkey % 5 > 0)
+select * from (select coalesce(a.k, b.k) o_orderkey, case when b.k is null then 'gone' when a.k is null then 'new' when a.s <> b.s then 'changed' end as change from a full join b on a.k = b.k) where change is not null""")
+def skeleton_diff(spark: SparkSession, d: str) -> DataFrame:
+    rows, key = table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), F.col("o_orderkey")
+    after = rows.where(key % 5 > 0).withColumn("o_orderstatus", F.when(key % 4 == 0, "X").otherwise(F.col("o_orderstatus")))
+    return relational.set_difference(rows.where(key % 7 > 0), after, ["o_orderkey"], ["o_orderstatus"])
+
+
+@query("""with p as (select p_partkey, 'part_' || (p_partkey % 3)::varchar || '__sec_' || (p_partkey % 11)::varchar || case when p_partkey % 2 = 0 then '__art_' || p_partkey::varchar else '' end as path from part)
+select p_partkey, array_to_string(split(path, '__')[:-2], '__') parent, split(path, '__')[-1] as last, len(split(path, '__'))::int depth, path = 'part_1__sec_1' or starts_with(path, 'part_1__sec_1__') inside from p""")
+def path_functions(spark: SparkSession, d: str) -> DataFrame:
+    key = F.col("p_partkey")
+    path = F.concat(F.lit("part_"), (key % 3).cast("string"), F.lit("__sec_"), (key % 11).cast("string"), F.when(key % 2 == 0, F.concat(F.lit("__art_"), key.cast("string"))).otherwise(""))
+    rows = table(spark, d, "part").select(key, path.alias("path"))
+    return rows.select("p_partkey", paths.parent_path(F.col("path")).alias("parent"), paths.last_segment(F.col("path")).alias("last"), F.size(paths.ancestors(F.col("path"))).alias("depth"), paths.in_subtree(F.col("path"), "part_1__sec_1").alias("inside"))
+
+
+@query("""select o_orderkey, ltrim((o_orderkey % 1000)::varchar, '0') as number, year(o_orderdate)::int as year from orders where (o_orderkey % 1000) > 0""")
+def citation_parse(spark: SparkSession, d: str) -> DataFrame:
+    n = F.col("o_orderkey") % 1000
+    rows = table(spark, d, "orders").where(n > 0).select("o_orderkey", F.concat(F.lit("Act No. 00"), n.cast("string"), F.lit(" of "), F.year("o_orderdate").cast("string")).alias("text"))
+    found = rows.select("o_orderkey", paths.citation(F.col("text")).alias("c"))
+    return found.select("o_orderkey", "c.number", "c.year")
+
+
+@query("""with recursive l as (select p_partkey as start, p_partkey node, 0 as depth from part where p_partkey % 50 = 0 union all select l.start, l.node // 2, depth + 1 from l where l.node // 2 > 0 and depth < 100) select * from l""")
+def version_lineage(spark: SparkSession, d: str) -> DataFrame:
+    nodes = table(spark, d, "part").select(F.col("p_partkey").alias("node"), F.expr("nullif(p_partkey div 2, 0)").alias("parent"))
+    return graph.lineage(nodes, nodes.where("node % 50 = 0"))
+
+
+@query("select o_orderkey, o_orderstatus from orders where o_orderkey % 3 <> 0 union all select o_orderkey, 'X' from orders where o_orderkey % 3 = 0")
+def replace_by_key(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return relational.replace_by_key(rows, rows.where("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("X")), ["o_orderkey"])
+
+
+@query("""select coalesce(a.o_orderkey, b.o_orderkey) o_orderkey, case when b.o_orderkey is not null then b.s else a.o_orderstatus end o_orderstatus from (select o_orderkey, o_orderstatus from orders where o_orderkey % 3 <> 0) a
+full join (select o_orderkey, case when o_orderkey % 4 = 0 then 'X' end s from orders where o_orderkey % 2 = 0) b on a.o_orderkey = b.o_orderkey""")
+def upsert_overwrite(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    batch = rows.where("o_orderkey % 2 = 0").withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 4 == 0, "X"))
+    return relational.upsert(rows.where("o_orderkey % 3 <> 0"), batch, "o_orderkey", fill_nulls=False)
+
+
+@query("""with p as (select l_partkey, arg_max(l_returnflag, (l_orderkey, l_linenumber)) flag, arg_max(l_linestatus, (l_orderkey, l_linenumber)) decision from lineitem where l_suppkey % 2 = 0 group by 1)
+select l_orderkey, l_linenumber, case when l_returnflag = flag then decision end decision from lineitem left join p using (l_partkey) where l_suppkey % 2 = 1""")
+def carry_forward(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_returnflag", "l_suppkey", F.col("l_linestatus").alias("decision"))
+    new = rows.where("l_suppkey % 2 = 1").drop("decision")
+    return relational.carry_forward(new, rows.where("l_suppkey % 2 = 0"), ["l_partkey"], ["l_returnflag"], "decision", F.desc("l_orderkey"), F.desc("l_linenumber")).select("l_orderkey", "l_linenumber", "decision")
+
+
+@query("""with t as (select doc_id, regexp_extract_all(coalesce(text, ''), '[0-9]+') w from documents) select a.doc_id, case when greatest(len(a.w), len(b.w)) > 0 then
+round(coalesce(list_sum(list_transform(list_distinct(list_filter(a.w, lambda x: list_contains(b.w, x))), lambda x: least(len(list_filter(a.w, lambda y: y = x)), len(list_filter(b.w, lambda y: y = x))))), 0) / greatest(len(a.w), len(b.w)), 6) end parity
+from t a join t b on b.doc_id = a.doc_id + 1""")
+def numeral_parity(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").select("doc_id", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[0-9]+"), F.lit(0)).alias("a"))
+    after = rows.select((F.col("doc_id") - 1).alias("doc_id"), F.col("a").alias("b"))
+    return rows.join(after, "doc_id").select("doc_id", quality.numeral_parity(F.col("a"), F.col("b")).alias("parity"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hybrid retrieval: BM25 and exact vector search, fused by reciprocal ranks."""
     return rrf_fusion(spark, sf_dir)

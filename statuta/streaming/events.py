@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def tumbling_counts(events: DataFrame, width: str = "1 hour", late: str = "2 hours") -> DataFrame:
@@ -14,10 +17,35 @@ def tumbling_counts(events: DataFrame, width: str = "1 hour", late: str = "2 hou
     return counted.select(F.col("window.start").alias("start"), "event_type", "n", "total")
 
 
-def within_limit(events: DataFrame, seconds: int, most: int) -> DataFrame:
-    """Events with the actor's count in the interval up to each, and whether that is within the limit."""
-    trailing = Window.partitionBy("user_id").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-seconds * 1_000_000, 0)
-    return events.withColumn("recent", F.count("*").over(trailing)).withColumn("allowed", F.col("recent") <= most)
+def within_limit(events: DataFrame, seconds: int, most: int, order: str = "event_id") -> DataFrame:
+    """Events with `recent`, how many of the actor's allowed events lie in the interval before each, and whether it is allowed.
+
+    A refused event leaves no record, so it doesn't count towards later ones: the events of an actor
+    are folded in order, the state being the times of the last `most` allowed ones. An actor's events
+    are one group, which holds its times only; null actors are one actor.
+    """
+    width = seconds * 1_000_000
+    said = F.struct(F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), F.col(order).alias("key"))
+    listed = events.groupBy("user_id").agg(F.sort_array(F.collect_list(said)).alias("events"))
+
+    def fold(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in groups:
+            rows = {"user_id": [], order: [], "recent": []}
+            for user, said in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                kept: deque[int] = deque()
+                for e in said:
+                    while kept and kept[0] < e["t"] - width:
+                        kept.popleft()
+                    rows["user_id"].append(user)
+                    rows[order].append(e["key"])
+                    rows["recent"].append(len(kept))
+                    if len(kept) < most:
+                        kept.append(e["t"])
+            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("user_id", batch.schema.field(0).type), (order, batch.schema.field(1).type.value_type.field("key").type), ("recent", pa.int64())]))
+
+    kinds = dict(events.dtypes)
+    found = listed.mapInArrow(fold, f"user_id {kinds['user_id']}, {order} {kinds[order]}, recent long")
+    return found.withColumn("allowed", F.col("recent") < most)
 
 
 def run_states(events: DataFrame, run: str, order: str, kind: str, terminal: list[str]) -> DataFrame:
