@@ -96,6 +96,34 @@ select * from r where rank <= 20""",
 }
 
 
+SPACE = r"[^ \t\n\x0b\x0c\r]+"
+ESCAPED = "replace(replace({}, '\\', '\\\\'), '<|', '<\\|')"
+ORACLE |= {
+    "op5_chat_format": f"""
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations union all select -1, 0, 'user', '{CONTROL}' union all select -1, 1, 'assistant', '{CONTROL}'),
+o as (select *, row_number() over w rn, coalesce(lag(role) over w <> role, true) as first from t window w as (partition by conv_id order by turn nulls first, role, text))
+select conv_id, count(*)::bigint n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by rn)) turns_sha256, coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint loss_chars,
+sha256(coalesce(string_agg(text, '' order by rn) filter (role = 'assistant'), '')) loss_sha256,
+(sum(length({ESCAPED.format("text")})) + sum(case when first then {len(chat_format.BEGIN) + len(chat_format.END) + 2} + length(replace({ESCAPED.format("role")}, chr(10), '<\\n|')) else {len(chat_format.NEXT)} end))::bigint formatted_chars
+from o group by conv_id""",
+    "op6_substrings": f"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '{SPACE}') as w from documents), p as (select doc_id, w, unnest(range(1, len(w) + 1)) as i from d),
+s as (select doc_id, i, w[i] as word, case when i + 49 <= len(w) then array_to_string(w[i : i + 49], ' ') end as win from p), f as (select win, min(doc_id) as least from s where win is not null group by 1),
+h as (select s.doc_id, i, word, coalesce(least < s.doc_id, false) as hit from s left join f using (win)),
+g as (select doc_id, i, word, bool_or(hit) over (partition by doc_id order by i rows between 49 preceding and current row) as gone from h)
+select d.doc_id, len(d.w)::bigint n_words, coalesce(n, 0)::bigint n_removed, sha256(coalesce(kept, '')) kept_sha256
+from d left join (select doc_id, count(*) filter (gone) as n, string_agg(word, ' ' order by i) filter (not gone) as kept from g group by 1) using (doc_id)""",
+    "op10_near_duplicates": f"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SPACE}') as w from documents),
+t as (select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')] else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) end) as s from d),
+n as (select doc_id, count(*) as n from t group by 1),
+l as (select a.doc_id as x, b.doc_id as y from t a join t b on a.s = b.s and a.doc_id <> b.doc_id join n na on na.doc_id = a.doc_id join n nb on nb.doc_id = b.doc_id group by 1, 2, na.n, nb.n having 100 * count(*) >= 80 * (na.n + nb.n - count(*))),
+r as (select x, y from l union select r.x, l.y from r join l on l.x = r.y)
+select d.doc_id, coalesce(n.n, 0)::bigint n_shingles, least(d.doc_id, coalesce(m.y, d.doc_id))::bigint component_id, d.doc_id <= coalesce(m.y, d.doc_id) as kept
+from d left join n using (doc_id) left join (select x, min(y) as y from r group by 1) m on m.x = d.doc_id""",
+}
+
+
 def queries():
     return dict(QUERIES)
 
