@@ -32,7 +32,10 @@ def holes(effects: DataFrame, as_at: Column) -> DataFrame:
     """One row of counts: effects that can't be placed, by cause."""
     due = F.col("date").isNull() | (F.col("date") <= as_at)
     undated, unapplied = F.col("date").isNull(), F.coalesce(F.col("applied"), F.lit(True)) == F.lit(False)
-    return effects.where(due).agg(F.count_if(F.col("unit").isNull()).alias("no_target"), F.count_if(F.col("unit").isNotNull() & undated).alias("undated"), F.count_if(F.col("unit").isNotNull() & ~undated & unapplied).alias("unapplied"))
+    # A commencement that is both counts as unapplied, any other effect as undated.
+    force = F.col("action") == FORCE
+    counted = {"undated": undated & ~(F.coalesce(force, F.lit(False)) & unapplied), "unapplied": unapplied & (~undated | F.coalesce(force, F.lit(False)))}
+    return effects.where(due).agg(F.count_if(F.col("unit").isNull()).alias("no_target"), *[F.count_if(F.col("unit").isNotNull() & c).alias(name) for name, c in counted.items()])
 
 
 def change_dates(effects: DataFrame) -> DataFrame:

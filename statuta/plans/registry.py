@@ -277,7 +277,7 @@ def state_at(spark: SparkSession, d: str) -> DataFrame:
     return temporal.state_at(_effects(spark, d), F.lit("1996-06-30").cast("timestamp"))
 
 
-@query(f"""with {EFFECTS} select count(*) filter (unit is null)::bigint no_target, count(*) filter (unit is not null and date is null)::bigint undated, count(*) filter (unit is not null and date is not null and not applied)::bigint unapplied from x where date is null or date <= '1996-06-30'""")
+@query(f"""with {EFFECTS} select count(*) filter (unit is null)::bigint no_target, count(*) filter (unit is not null and date is null and not (action = 'commencement' and not applied))::bigint undated, count(*) filter (unit is not null and (date is not null or action = 'commencement') and not applied)::bigint unapplied from x where date is null or date <= '1996-06-30'""")
 def hole_counts(spark: SparkSession, d: str) -> DataFrame:
     return temporal.holes(_effects(spark, d), F.lit("1996-06-30").cast("timestamp"))
 
