@@ -24,12 +24,12 @@ def ascii_tokens(text: Column) -> Column:
 
 
 def postings(docs: DataFrame, key: str, text: str, tokenise: Callable[[Column], Column] = tokens) -> DataFrame:
-    """term, key and tf; stored terms have at most 128 bytes."""
+    """term, key and tf."""
     return _counted(docs.select(key, tokenise(F.col(text)).alias("words")), key)
 
 
 def _counted(worded: DataFrame, key: str) -> DataFrame:
-    each = worded.select(key, F.explode("words").alias("term")).where(F.octet_length("term") <= 128)
+    each = worded.select(key, F.explode("words").alias("term"))
     return each.groupBy("term", key).agg(F.count("*").alias("tf"))
 
 
@@ -43,8 +43,8 @@ def _worded(docs: DataFrame, key: str, text: str, tokenise: Callable[[Column], C
 
 
 def lexicon(docs: DataFrame, key: str, text: str, tokenise: Callable[[Column], Column] = tokens) -> DataFrame:
-    """term and the number of documents that hold it."""
-    return postings(docs, key, text, tokenise).groupBy("term").agg(F.count("*").alias("ndoc"))
+    """term and the number of documents that hold it; stored terms have at most 128 bytes."""
+    return postings(docs, key, text, tokenise).where(F.octet_length("term") <= 128).groupBy("term").agg(F.count("*").alias("ndoc"))
 
 
 def dead_terms(held: DataFrame, live: DataFrame) -> DataFrame:

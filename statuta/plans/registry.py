@@ -162,7 +162,7 @@ def lexicon_words(spark: SparkSession, d: str) -> DataFrame:
 
 
 BM25 = f"""t as (select doc_id, {TOKENS} w from documents), s as (select doc_id, len(w) dl from t), a as (select count(*) n, avg(dl) avgdl from s),
-p as (select term, doc_id, count(*) tf from (select doc_id, unnest(w) term from t) where strlen(term) <= 128 group by 1, 2), f as (select term, count(*) df from p group by 1),
+p as (select term, doc_id, count(*) tf from (select doc_id, unnest(w) term from t) group by 1, 2), f as (select term, count(*) df from p group by 1),
 q as (select distinct item_id, unnest({TOKENS}) term from benchmark),
 b as (select item_id, doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) score from q join p using (term) join f using (term) join s using (doc_id), a group by 1, 2)"""
 
