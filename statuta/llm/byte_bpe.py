@@ -43,13 +43,15 @@ NONE = 1 << 62
 def newer(category: str) -> str:
     """Ranges of the library's characters of a category, to be asked for those that Java doesn't know.
 
-    The library itself tells them: it splits a text of all characters into those that match.
+    The library itself tells them: it splits a text of all characters, block by block, into those that match.
     """
     import tiktoken
 
-    every = "".join(map(chr, itertools.chain(range(0xD800), range(0xE000, 0x110000))))
     plain = tiktoken.Encoding("bytes", pat_str=rf"\p{{{category}}}+", mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
-    found = sorted(map(ord, plain.decode(plain.encode_ordinary(every))))
+    found: list[int] = []
+    for at in range(0, 0x110000, 0x800):
+        if at != 0xD800:
+            found += map(ord, plain.decode(plain.encode_ordinary("".join(map(chr, range(at, at + 0x800))))))
     starts = [c for a, c in zip([-2, *found], found, strict=False) if c != a + 1]
     ends = [c for c, b in zip(found, [*found[1:], -2], strict=True) if b != c + 1]
     return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in zip(starts, ends, strict=True) if a > 0xFF)

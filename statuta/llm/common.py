@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words are the maximal runs of characters outside this class.
@@ -44,6 +45,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffles, broadcasts and plans that nothing refers to any more.
+
+    It drops them once the driver has collected its garbage, which by itself happens at any time
+    up to half an hour later; between the steps of a long job that keeps disk and memory in use.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finaliser of 64-bit hashes (splitmix64)."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

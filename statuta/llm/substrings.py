@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statuta.llm.common import FILTER_BITS, bitmap, checkpointed, hash_texts, is_set, may_hold, mix, words
+from statuta.llm.common import FILTER_BITS, bitmap, checkpointed, hash_texts, is_set, may_hold, mix, release, words
 
 WINDOW = 50
 ROUNDS = 6
@@ -248,13 +248,16 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # Most symbols are of one document only; the rest of the work is on those of several.
     shared = checkpointed(symbols(docs, window).groupBy("name").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("name"))
     names = bitmap(shared.select(F.col("name").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("h")))
+    release(docs.sparkSession)
     found = checkpointed(occurrences(docs, window, names).join(shared, "name", "left_semi"))
     each = checkpointed(found.groupBy("name", "k1").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")))
+    release(docs.sparkSession)
     repeated = found.join(each.where("first < last").select("name", "k1", "first"), ["name", "k1"]).where("doc_id > first").select("doc_id", "name", "k1")
     mixed = checkpointed(each.groupBy("name").agg(F.count("*").alias("n"), F.min("first").alias("a"), F.max("last").alias("b")).where("n > 1 and a < b").select("name"))
     wanted = checkpointed(each.join(mixed, "name").groupBy(F.col("first").alias("doc_id")).agg(F.collect_set("name").alias("names"), F.collect_set("k1").alias("keys")))
     windows = checkpointed(spans_to_verify(docs, wanted, window))
     sources = checkpointed(windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("w1", "w2", "first"))
+    release(docs.sparkSession)
     partly = windows.where(may_hold(sources, "w1")(F.col("w1"))).join(sources, ["w1", "w2"]).where("doc_id > first").select("doc_id", "w1").distinct()
     return removed(docs, repeated, partly, window)
 
