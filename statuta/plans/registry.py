@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statuta.functions import paths
-from statuta.operators import graph, quality, relational, search, temporal
+from statuta.operators import graph, quality, relational, search, temporal, units
 from statuta.sources.tables import table
 from statuta.streaming import events as feed
 
@@ -506,6 +506,165 @@ def numeral_parity(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(after, "doc_id").select("doc_id", quality.numeral_parity(F.col("a"), F.col("b")).alias("parity"))
 
 
+@query("select user_id, event_type, event_id, value from (select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) rn from events) where rn = 1")
+def latest_fetch(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "events").select("user_id", "event_type", "event_id", "ts", "value")
+    latest = rows.groupBy("user_id", "event_type").agg(F.max_by(F.struct("event_id", "value"), F.struct("ts", "event_id")).alias("last"))
+    return latest.select("user_id", "event_type", "last.event_id", "last.value")
+
+
+@query("select o_orderkey, y from (select o_orderkey, case when o_orderkey % 9 > 0 then year(o_orderdate)::int end y from orders) where y is null or y between 1993 and 1995")
+def year_range_keeps_nulls(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 9 > 0, F.year("o_orderdate")).alias("y"))
+    return rows.where(F.col("y").isNull() | F.col("y").between(1993, 1995))
+
+
+@query("select quality, count(*)::bigint n from labels where quality is distinct from 1 group by 1")
+def stale_counts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "labels").where(~F.col("quality").eqNullSafe(1)).groupBy("quality").agg(F.count("*").alias("n"))
+
+
+@query("select c_custkey, latest, coalesce(n, 0)::bigint n from customer left join (select o_custkey, max(o_orderdate) latest, count(*) n from orders group by 1) on o_custkey = c_custkey")
+def left_latest_dates(spark: SparkSession, d: str) -> DataFrame:
+    dates = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_orderdate").alias("latest"), F.count("*").alias("n"))
+    return table(spark, d, "customer").select("c_custkey").join(dates, "c_custkey", "left").select("c_custkey", "latest", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("""select o_orderkey, count(l_orderkey)::bigint findings, count(*) filter (where l_returnflag = 'R')::bigint critical, count(*) filter (where l_returnflag = 'A')::bigint major
+from orders left join lineitem on l_orderkey = o_orderkey group by 1""")
+def run_finding_counts(spark: SparkSession, d: str) -> DataFrame:
+    counted = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("findings"), F.count_if(F.col("l_returnflag") == "R").alias("critical"), F.count_if(F.col("l_returnflag") == "A").alias("major"))
+    return table(spark, d, "orders").select("o_orderkey").join(counted, "o_orderkey", "left").na.fill(0)
+
+
+@query("select distinct f.l_orderkey from lineitem f left join (select distinct l_orderkey, l_linenumber from lineitem where l_quantity > 5) n on n.l_orderkey = f.l_orderkey and n.l_linenumber = f.l_linenumber where n.l_orderkey is null")
+def anti_missing_notes(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return units.lacking(rows, rows.where("l_quantity > 5"), ["l_orderkey", "l_linenumber"], "l_orderkey")
+
+
+@query("""with t as (select l_orderkey, '/act/' || l_suppkey::varchar || '/part_' || (l_linenumber % 3)::varchar || '/art_' || l_linenumber::varchar as uri from lineitem),
+w as (select '/act/' || s_suppkey::varchar as work from supplier union all select '/act/' || s_suppkey::varchar || '/part_1' from supplier where s_suppkey % 2 = 0)
+select work, count(*)::bigint n, count(distinct l_orderkey)::bigint laws from t join w on starts_with(uri, work || '/') group by 1""")
+def uri_prefix_join(spark: SparkSession, d: str) -> DataFrame:
+    act = lambda key: F.concat(F.lit("/act/"), F.col(key).cast("string"))
+    uri = F.concat(act("l_suppkey"), F.lit("/part_"), (F.col("l_linenumber") % 3).cast("string"), F.lit("/art_"), F.col("l_linenumber").cast("string"))
+    held = table(spark, d, "supplier")
+    works = held.select(act("s_suppkey").alias("work")).union(held.where("s_suppkey % 2 = 0").select(F.concat(act("s_suppkey"), F.lit("/part_1"))))
+    found = units.under_works(table(spark, d, "lineitem").select("l_orderkey", uri.alias("uri")), "uri", works, "work")
+    return found.groupBy("work").agg(F.count("*").alias("n"), F.countDistinct("l_orderkey").alias("laws"))
+
+
+@query("""select event_id, case event_id % 3 when 0 then c_nationkey when 1 then o_custkey else p_size end::bigint as owner from events left join customer on event_id % 3 = 0 and c_custkey = user_id
+left join orders on event_id % 3 = 1 and o_orderkey = user_id left join part on event_id % 3 = 2 and p_partkey = user_id""")
+def polymorphic_owner(spark: SparkSession, d: str) -> DataFrame:
+    part = F.col("event_id") % 3
+    rows = table(spark, d, "events").select("event_id", F.when(part == 0, "law").when(part == 1, "version").otherwise("provision").alias("kind"), F.col("user_id").alias("ref"))
+    pairs = {"law": ("customer", "c_custkey", "c_nationkey"), "version": ("orders", "o_orderkey", "o_custkey"), "provision": ("part", "p_partkey", "p_size")}
+    held = {kind: table(spark, d, name).select(F.col(key).alias("key"), F.col(owner).alias("owner")) for kind, (name, key, owner) in pairs.items()}
+    return units.owners(rows, "kind", "ref", held).select("event_id", "owner")
+
+
+@query("select c.event_id, c.event_type, p.event_type as parent_type from events c join events p on p.event_id = c.event_id // 2 where c.event_id > 0")
+def runs_with_parent_kind(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "events").select("event_id", "event_type")
+    parents = rows.select(F.col("event_id").alias("parent"), F.col("event_type").alias("parent_type"))
+    return rows.where("event_id > 0").withColumn("parent", F.expr("event_id div 2")).join(parents, "parent").select("event_id", "event_type", "parent_type")
+
+
+@query("select p_partkey, w[i] as term, i::int ordinal from (select p_partkey, w, unnest(range(1, len(w) + 1)) i from (select p_partkey, string_split(p_type, ' ') w from part))")
+def terms_with_ordinality(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "part").select("p_partkey", F.posexplode(F.split("p_type", " ")).alias("place", "term"))
+    return rows.select("p_partkey", "term", (F.col("place") + 1).alias("ordinal"))
+
+
+@query("select l_orderkey, case when bool_or(l_linenumber = 6) then null else round(avg(case when l_returnflag = 'R' then 1.0 else 0.0 end), 6) end as share from lineitem group by 1")
+def placeholder_share(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "lineitem").select("l_orderkey", F.when(F.col("l_linenumber") != 6, F.col("l_returnflag") == "R").alias("flag"))
+    return units.placeholder_share(rows, ["l_orderkey"], "flag")
+
+
+@query("""select (select count(*) from orders)::bigint entries, (select count(*) from orders where o_custkey in (select c_custkey from customer where c_acctbal > 0))::bigint linked,
+(select count(distinct o_custkey) from orders)::bigint laws""")
+def registry_coverage(spark: SparkSession, d: str) -> DataFrame:
+    held = table(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), F.lit(1).alias("held"))
+    rows = table(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n")).join(held, "o_custkey", "left")
+    return rows.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("entries"), F.coalesce(F.sum(F.when(F.col("held") == 1, F.col("n"))), F.lit(0)).alias("linked"), F.count("o_custkey").alias("laws"))
+
+
+@query("select user_id, count(*)::bigint ref_count, count(*) filter (where event_type like 'p%')::bigint mod_count from events group by 1")
+def reference_impact(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("ref_count"), F.count_if(F.col("event_type").like("p%")).alias("mod_count"))
+
+
+@query("select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by (o_orderkey % 3 > 0) desc, o_orderdate desc, o_orderkey)::int as place from orders")
+def recovery_order(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    placed = units.positions(rows, ["o_custkey"], F.desc(F.col("o_orderkey") % 3 > 0), F.desc("o_orderdate"), F.asc("o_orderkey"))
+    return placed.select("o_custkey", "o_orderkey", (F.col("position") + 1).alias("place"))
+
+
+@query("select doc_id, lang, source, (row_number() over (partition by lang, source order by doc_id) - 1)::int as position from documents")
+def section_positions(spark: SparkSession, d: str) -> DataFrame:
+    return units.positions(table(spark, d, "documents").select("doc_id", "lang", "source"), ["lang", "source"], F.asc("doc_id"))
+
+
+@query("""with c as (select conv_id, turn, sum(case when role = 'user' then 1 else 0 end) over (partition by conv_id order by turn rows unbounded preceding)::bigint as chapter from (select distinct conv_id, turn, role from conversations))
+select conv_id, turn, chapter, ((row_number() over (partition by conv_id, chapter order by turn) - 1) // 2)::int as batch from c""")
+def chapter_batches(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role").distinct()
+    return units.chapter_batches(rows, ["conv_id"], F.col("role") == "user", 2, F.asc("turn")).select("conv_id", "turn", "chapter", "batch")
+
+
+SPANS = "s as (select conv_id, turn, size, coalesce(sum(size + 1) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding), 0)::bigint as start from (select conv_id, turn, coalesce(length(text), 0)::bigint as size from conversations))"
+
+
+@query(f'with {SPANS} select conv_id, turn, start, start + size as "end" from s')
+def page_spans(spark: SparkSession, d: str) -> DataFrame:
+    return units.page_spans(table(spark, d, "conversations"), "conv_id", "turn", "text")
+
+
+@query(f'with {SPANS} select conv_id, o as "offset", turn from s join (select distinct conv_id, conv_id % 97 * 5 as o from conversations) using (conv_id) where start <= o and o < start + size')
+def offset_to_page(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "conversations")
+    asked = rows.select("conv_id", (F.col("conv_id") % 97 * 5).alias("offset")).distinct()
+    return units.page_of(asked, units.page_spans(rows, "conv_id", "turn", "text"), "conv_id", "offset").select("conv_id", "offset", "turn")
+
+
+@query("select l_orderkey, l_linenumber, l_extendedprice from lineitem order by l_orderkey, l_linenumber, l_extendedprice limit 50 offset 100")
+def windowed_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return rows.orderBy("l_orderkey", "l_linenumber", "l_extendedprice").offset(100).limit(50)
+
+
+@query("select lang as language from documents where lang is not null union select unnest(json_keys(props)) from events")
+def languages_and_keys(spark: SparkSession, d: str) -> DataFrame:
+    keys = table(spark, d, "events").select(F.explode(F.json_object_keys("props")).alias("language"))
+    return table(spark, d, "documents").where("lang is not null").select(F.col("lang").alias("language")).union(keys).distinct()
+
+
+@query("""with m as (select * from orders where o_orderstatus = 'F'), l as (select o_custkey, count(*)::bigint matches from m group by 1 order by matches desc, o_custkey limit 20)
+select o_custkey, matches, o_orderkey, rank from (select m.o_custkey, matches, o_orderkey, row_number() over (partition by m.o_custkey order by o_totalprice desc, o_orderkey)::int rank from m join l on l.o_custkey = m.o_custkey) where rank <= 3""")
+def grouped_search(spark: SparkSession, d: str) -> DataFrame:
+    matches = table(spark, d, "orders").where("o_orderstatus = 'F'").select("o_custkey", "o_orderkey", "o_totalprice")
+    found = units.grouped_matches(matches, "o_custkey", 20, [F.desc("matches"), F.asc("o_custkey")], 3, [F.desc("o_totalprice"), F.asc("o_orderkey")])
+    return found.select("o_custkey", "matches", "o_orderkey", "rank")
+
+
+@query("""with c as (select p_partkey, lpad((p_partkey * 37 % 10000)::varchar, 4, '0') as code from part), a as (select distinct lpad((s_suppkey % 100)::varchar, 2, '0') as asked from supplier union select '0037')
+select p_partkey, asked, asked = code as exact from c join a on starts_with(code, asked)""")
+def goods_code_lookup(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "part").select("p_partkey", F.lpad((F.col("p_partkey") * 37 % 10000).cast("string"), 4, "0").alias("code"))
+    asked = table(spark, d, "supplier").select(F.lpad((F.col("s_suppkey") % 100).cast("string"), 2, "0").alias("asked")).union(spark.range(1).select(F.lit("0037"))).distinct()
+    return units.code_matches(rows, "code", asked, "asked").select("p_partkey", "asked", "exact")
+
+
+@query("select event_id, user_id, event_type from events where event_type in ('purchase', 'error') and ts >= timestamp '2024-01-03 00:00:00'")
+def feed_filters(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "events").where(F.col("event_type").isin("purchase", "error") & (F.col("ts") >= F.lit("2024-01-03 00:00:00").cast("timestamp")))
+    return rows.select("event_id", "user_id", "event_type")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hybrid retrieval: BM25 and exact vector search, fused by reciprocal ranks."""
     return rrf_fusion(spark, sf_dir)
