@@ -7,7 +7,7 @@ compiled into one Spark column expression, so scoring stays in the JVM.
 At most `train_rows` labelled rows are learned from, chosen by a hash; of equal ones only one counts. Null and empty texts have
 zero statistics and are scored as any other; null labels are ignored; without both labels every
 score is the share of label 1 (0.5 if there are none). Repeated rows are scored each; other columns
-pass through, a column named as a result is replaced.
+pass through, a column named as a result is replaced. Empty tables give no rows; long texts are read whole.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ state: a chunk of text maps any state before it to (characters up to its first r
 between its resets, characters since its last), and these maps compose associatively.
 
 Null text counts as empty (0 tokens); repeated rows are counted each; other columns pass through
-unless a result column has the same name, which then replaces it.
+unless a result column has the same name, which then replaces it. Empty tables give no rows.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ weights are fitted on other labelled rows than the lexicon, where there are enou
 
 Null or empty texts have no clauses and get the score of a text without matches; null labels and
 labels of no document are not learned from; repeated rows are scored each; without labels the
-general words and default weights are used; other columns pass through.
+general words and default weights are used; other columns pass through, and columns named score or
+predicted are replaced. Empty tables give no rows; long texts are read whole.
 """
 
 from __future__ import annotations
