@@ -7,8 +7,8 @@ be one that was trained by merging, where every token encodes to itself; other r
 
 The fold encodes the words that most rows hold, a dictionary of a stated size; folding all distinct
 words costs more than this operator's limits (README). Tasks map words to ids with the dictionary
-and merge the distinct words outside it in Python, a batch at a time, with the same ranks: ids don't
-depend on what is in the dictionary. Decoding concatenates the binary pieces of ids.
+and merge the distinct words outside it in numpy, all words of a batch taking each merging step
+together, with the same ranks: ids don't depend on what is in the dictionary. Decoding concatenates the binary pieces of ids.
 
 Null text counts as empty (no ids); repeated rows, empty tables and long texts need no special case;
 other columns pass through, a column named `ids` is replaced.
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,8 +36,9 @@ from statuta.llm.common import checkpointed
 WHITE = r"\t\n\x0B\f\r \x85\xA0  -     　"
 BUCKETS = 1 << 14
 DICTIONARY_WORDS, DICTIONARY_BYTES = 60_000, 32
-CACHE, LONG = 200_000, 64
-NONE = 1 << 62
+#: Words outside the dictionary are merged in blocks of at most BLOCK words, by size up to these widths; longer ones one by one.
+WIDTHS, BLOCK = (8, 16, 32), 5_000
+NONE, NO_TOKEN = 1 << 62, (1 << 31) - 1
 
 
 @functools.lru_cache(maxsize=2)
@@ -57,9 +59,9 @@ def newer(category: str) -> str:
     return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in zip(starts, ends, strict=True) if a > 0xFF)
 
 
-def java_pattern(pattern: str) -> str:
-    r"""The pattern with \s and \S spelled out, and \p{L} and \p{N} as new as the library's, for Java."""
-    for category in ("L", "N"):
+def java_pattern(pattern: str, newest: bool = True) -> str:
+    r"""The pattern with \s and \S spelled out for Java, and, if `newest`, \p{L} and \p{N} as new as the library's."""
+    for category in ("L", "N") if newest else ():
         known, more = rf"\p{{{category}}}", rf"[\p{{Cn}}&&[{newer(category)}]]"
         parts, inside = [], False
         for part in pattern.replace(known, f"\0{known}\0").split("\0"):
@@ -76,8 +78,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 def pieces(text: Column, pattern: str) -> Column:
-    """The matches of the pattern in a text, in order."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
+    """The matches of the pattern in a text, in order.
+
+    Only texts with characters that Java doesn't know need the longer classes, which are slow to test.
+    """
+    whole = F.coalesce(text, F.lit(""))
+    by = lambda newest: F.regexp_extract_all(whole, F.lit(java_pattern(pattern, newest)), F.lit(0))
+    return F.when(whole.rlike(r"\p{Cn}"), by(True)).otherwise(by(False))
 
 
 def _let(value: Column, body) -> Column:
@@ -104,15 +111,16 @@ def _splits(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
 
 
 @functools.lru_cache(maxsize=2)
-def _tables(path: str) -> tuple[str, list[int], int]:
-    """The rank literal as JSON, the symbols of the bytes, and the factor of a pair's first symbol; symbols are ids + 1."""
+def _tables(path: str) -> tuple[str, list[int], int, np.ndarray, np.ndarray]:
+    """The rank literal as JSON, the symbols of the bytes, the factor of a pair's first symbol, and the sorted numbers of pairs with their tokens; symbols are ids + 1."""
     ranks = read_ranks(path)
-    size = max(ranks.values(), default=0) + 1
+    factor = max(ranks.values(), default=0) + 2
+    pairs = sorted(((a + 1) * factor + b + 1, i + 1) for (a, b), i in _splits(ranks).items())
     table = [[NONE] for _ in range(BUCKETS)]
-    for (a, b), i in _splits(ranks).items():
-        key = (a + 1) * (size + 1) + b + 1
-        table[key % BUCKETS] += [key, i + 1]
-    return json.dumps(table, separators=(",", ":")), [ranks[bytes([i])] + 1 for i in range(256)], size + 1
+    for key, symbol in pairs:
+        table[key % BUCKETS] += [key, symbol]
+    keys, symbols = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
+    return json.dumps(table, separators=(",", ":")), [ranks[bytes([i])] + 1 for i in range(256)], factor, keys.copy(), symbols.astype(np.int32)
 
 
 def rank_table(path: str) -> Column:
@@ -126,7 +134,7 @@ def rank_table(path: str) -> Column:
 
 def fold_ids(word: Column, path: str) -> Column:
     """Ids of one word by folding ranked merges over its bytes (Spark expressions only)."""
-    _, of_byte, size = _tables(path)
+    _, of_byte, size, _, _ = _tables(path)
     symbols = F.array(*[F.lit(i).cast("long") for i in of_byte])
 
     def folded(table: Column) -> Column:
@@ -159,27 +167,8 @@ def encode_words(words: DataFrame, path: str, word: str = "word") -> DataFrame:
     return words.withColumn("ids", fold_ids(F.col(word), path))
 
 
-def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of a word outside the dictionary; a heap serves the long ones."""
-    whole = ranks.get(word)
-    if whole is not None:
-        return [whole]
-    if len(word) > LONG:
-        return _merge_long(word, ranks)
-    parts = [word[i : i + 1] for i in range(len(word))]
-    found = [ranks.get(a + b, 1 << 30) for a, b in zip(parts, parts[1:], strict=False)]
-    while found and (low := min(found)) < 1 << 30:
-        i = found.index(low)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        del found[i]
-        if i < len(found):
-            found[i] = ranks.get(parts[i] + parts[i + 1], 1 << 30)
-        if i:
-            found[i - 1] = ranks.get(parts[i - 1] + parts[i], 1 << 30)
-    return [ranks[p] for p in parts]
-
-
-def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of a word of any length, in time n log n."""
     n = len(word)
     ends, before, alive = [*range(1, n + 1)], [*range(-1, n - 1)], [True] * n
 
@@ -204,6 +193,69 @@ def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : ends[i]]] for i in range(n) if alive[i]]
 
 
+def pair_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Numbers of the pairs that make a token, the tokens' symbols, the symbols of the bytes, and the factor of a pair's first symbol."""
+    _, of_byte, factor, keys, symbols = _tables(path)
+    return keys, symbols, np.array(of_byte, dtype=np.int32), factor
+
+
+def _merge_block(symbols: np.ndarray, table) -> np.ndarray:
+    """Rows of symbols (0 behind a word's end) after all merges; all words take a step at a time."""
+    keys, tokens, _, factor = table
+
+    def ranks_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        pair = a.astype(np.int64) * factor + b
+        at = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+        return np.where(keys[at] == pair, tokens[at], np.int32(NO_TOKEN))
+
+    columns = np.arange(symbols.shape[1])
+    out, rows = symbols.copy(), np.arange(len(symbols))
+    ranks = ranks_of(symbols[:, :-1], symbols[:, 1:])
+    while len(rows):
+        at = ranks.argmin(axis=1)
+        each = np.arange(len(rows))
+        low = ranks[each, at]
+        going = low < NO_TOKEN
+        if not going.all():
+            out[rows[~going]] = symbols[~going]
+            rows, symbols, ranks, at, low = rows[going], symbols[going], ranks[going], at[going], low[going]
+            each = each[: len(rows)]
+        # What is behind the merged pair moves one place to the left.
+        source = np.minimum(columns + (columns > at[:, None]), len(columns) - 1)
+        symbols = np.take_along_axis(symbols, source, 1)
+        symbols[:, -1] = 0
+        symbols[each, at] = low
+        ranks = np.take_along_axis(ranks, np.minimum(source[:, :-1], len(columns) - 2), 1)
+        ranks[:, -1] = NO_TOKEN
+        for place in (np.maximum(at - 1, 0), at):
+            ranks[each, place] = ranks_of(symbols[each, place], symbols[each, place + 1])
+    return out
+
+
+def merge_words(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, table, ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of many words (spans of `data`): all ids, and where each word's begin and how many they are."""
+    begins, counts, parts, total = np.zeros(len(sizes), dtype=np.int64), np.zeros(len(sizes), dtype=np.int64), [], 0
+    least = 0
+    for width in WIDTHS:
+        group = np.flatnonzero((sizes > least) & (sizes <= width))
+        least = width
+        for k in range(0, len(group), BLOCK):
+            own = group[k : k + BLOCK]
+            places = starts[own, None] + np.arange(width)
+            inside = np.arange(width) < sizes[own, None]
+            done = _merge_block(np.where(inside, table[2][data[np.where(inside, places, 0)]], np.int32(0)), table)
+            held = done > 0
+            counts[own] = held.sum(axis=1)
+            begins[own] = total + np.cumsum(counts[own]) - counts[own]
+            parts.append(done[held] - 1)
+            total += len(parts[-1])
+    for i in np.flatnonzero(sizes > least):
+        parts.append(np.array(merge_long(data[starts[i] : starts[i] + sizes[i]].tobytes(), ranks), dtype=np.int32))
+        begins[i], counts[i] = total, len(parts[-1])
+        total += len(parts[-1])
+    return np.concatenate(parts) if parts else np.empty(0, dtype=np.int32), begins, counts
+
+
 def frequent_words(found: DataFrame, limit: int = DICTIONARY_WORDS) -> DataFrame:
     """The short words that most rows of `found` (array column `words`) hold: as many as `limit` allows.
 
@@ -229,26 +281,19 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", c
     spark = docs.sparkSession
     found = docs.select(pieces(F.col(text), pattern).alias("words"))
     known = encode_words(frequent_words(found, dictionary_words).repartition(spark.sparkContext.defaultParallelism), ranks_path).toArrow()
-    shared = spark.sparkContext.broadcast(known)
+    shared = spark.sparkContext.broadcast((known, pair_table(ranks_path)))
     names = [c for c in (docs.columns if columns is None else columns) if c != "ids"]
     kept = [f"c{i}" for i in range(len(names))]
     rest = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(names, kept, strict=True)], pieces(F.col(text), pattern).alias("words"))
     schema = T.StructType([*rest.schema.fields[:-1], T.StructField("ids", T.ArrayType(T.IntegerType(), False), True)])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, known = read_ranks(ranks_path), shared.value
-        known_ids = dict(zip(known.column("word").to_pylist(), known.column("ids").to_pylist(), strict=True))
-        cache: dict[str, list[int]] = {}
-
-        def ids_of(word: str) -> list[int]:
-            ids = known_ids.get(word) or cache.get(word)
-            if ids is None:
-                ids = merge(word.encode(), table)
-                if len(word) <= LONG:
-                    if len(cache) >= CACHE:
-                        cache.clear()
-                    cache[word] = ids
-            return ids
+        known, table = shared.value
+        ranks = read_ranks(ranks_path)
+        known_words = known.column("word").combine_chunks().cast(pa.large_string())
+        known_lists = known.column("ids").combine_chunks()
+        known_ids, known_ends = known_lists.flatten().to_numpy(zero_copy_only=False).astype(np.int32), known_lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64).cumsum()
+        known_begins = np.concatenate(([0], known_ends)).astype(np.int64)
 
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
@@ -256,14 +301,21 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", c
                 lists = part.column(part.num_columns - 1)
                 first = lists.offsets[0].as_py()
                 flat = lists.values.slice(first, lists.offsets[-1].as_py() - first).dictionary_encode()
-                of = [ids_of(w) for w in flat.dictionary.to_pylist()]
-                sizes = np.fromiter(map(len, of), dtype=np.int64, count=len(of))
-                joined = np.fromiter((i for ids in of for i in ids), dtype=np.int32, count=int(sizes.sum()))
-                begins = np.concatenate(([0], np.cumsum(sizes)))
+                distinct = flat.dictionary.cast(pa.large_string())
+                place = pc.fill_null(pc.index_in(distinct, value_set=known_words), -1).to_numpy(zero_copy_only=False)
+                begins, n = known_begins[place], np.diff(known_begins)[place] if len(known_words) else np.zeros(len(place), dtype=np.int64)
+                joined = known_ids
+                others = np.flatnonzero(place < 0)
+                if len(others):
+                    edges = np.frombuffer(distinct.buffers()[1], dtype=np.int64)[distinct.offset :][: len(distinct) + 1]
+                    data = np.frombuffer(distinct.buffers()[2], dtype=np.uint8)
+                    more, more_begins, n[others] = merge_words(data, edges[others], np.diff(edges)[others], table, ranks)
+                    begins[others] = len(joined) + more_begins
+                    joined = np.concatenate((joined, more))
                 words = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-                n = sizes[words] if len(words) else np.empty(0, dtype=np.int64)
-                ends = np.concatenate(([0], np.cumsum(n)))
-                out = joined[np.repeat(begins[words] - ends[:-1], n) + np.arange(ends[-1])] if len(words) else joined
+                sizes = n[words]
+                ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+                out = joined[np.repeat(begins[words] - ends[:-1], sizes) + np.arange(ends[-1])]
                 bounds = ends[lists.offsets.to_numpy() - first]
                 arrays = [*part.columns[:-1], pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(out, pa.int32()))]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "ids"])
