@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MARK = "▁"
-CHUNK = 1 << 16
+CHUNK = 1 << 12
 MEMO = 150_000
 STATES = 250_000
 START = -1
@@ -169,8 +169,6 @@ class Transducer:
         if not text:
             return 0
         text = MARK + text.replace(" ", MARK)
-        if len(text) <= CHUNK:
-            return self.count(text)
         maps = [self.chunk_map(text[i : i + CHUNK]) for i in range(0, len(text), CHUNK)]
         while len(maps) > 1:
             maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]

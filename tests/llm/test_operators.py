@@ -84,6 +84,15 @@ def test_chunk_maps_compose():
             assert machine.total(machine.compose(maps[0], machine.compose(maps[1], maps[2]))) == whole
 
 
+def test_token_counts_of_texts_of_many_chunks(spark):
+    rng = random.Random(3)
+    parts = ["the ", "cat", " über", "日本", "\n", "  ", "x" * 50, "\U0001f600", "1", ". ", "\u2581"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(1500 * i))) for i in range(6)]
+    rows += [(90, "a" * 9000), (91, "x" * 3 * token_counts.CHUNK + " y" * 3), (92, " " * 9000), (93, "\n" * (token_counts.CHUNK + 1)), (94, "a" * (token_counts.CHUNK - 2) + " " + "b" * token_counts.CHUNK)]
+    got = {r["doc_id"]: r["n_tokens"] for r in token_counts.count_tokens(spark.createDataFrame(rows, DOCS), public_tokenizers.path("piece_bpe_32k.model")).collect()}
+    assert got == {d: len(brute.sentences().encode(t)) for d, t in rows}
+
+
 def test_byte_bpe(docs):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN)
