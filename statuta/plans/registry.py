@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statuta.functions import paths
-from statuta.operators import graph, quality, relational, search, temporal, units
+from statuta.operators import checks, graph, quality, relational, search, temporal, units
 from statuta.sources.tables import table
 from statuta.streaming import events as feed
 
@@ -665,6 +665,117 @@ def feed_filters(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("event_id", "user_id", "event_type")
 
 
+@query("select event_id, user_id from events where user_id in (3, 5, 8)")
+def scoped_rows(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "events").select("event_id", "user_id")
+    return checks.scoped(rows, "user_id", [3, 5, 8]).union(checks.scoped(rows, "user_id", []))
+
+
+@query("select event_id from events where coalesce(json_extract_string(props, '$.k') = '7', false)")
+def json_containment(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").where(checks.holds(F.col("props"), {"k": "7"})).select("event_id")
+
+
+@query("select o_orderkey, nullif(year(o_orderdate), 1995)::int as year from orders where nullif(year(o_orderdate), 1995) is null or nullif(year(o_orderdate), 1995) >= 1997")
+def year_or_unknown(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").select("o_orderkey", F.nullif(F.year("o_orderdate"), F.lit(1995)).alias("year"))
+    return rows.where(checks.from_year(F.col("year"), 1997))
+
+
+@query("select o_orderstatus, count(*) filter (where nullif(o_orderkey % 4, 3) is distinct from 2)::bigint as stale from orders group by 1")
+def stale_rows(spark: SparkSession, d: str) -> DataFrame:
+    version = F.nullif(F.col("o_orderkey") % 4, F.lit(3))
+    return table(spark, d, "orders").groupBy("o_orderstatus").agg(F.count_if(checks.stale(version, F.lit(2))).alias("stale"))
+
+
+@query("select p_partkey from part where list_has_any(string_split(p_name, ' '), ['cold']) or (ltrim(lpad(p_partkey::varchar, 6, '0'), '0') = '17' and 1990 + p_size = 1990 + (select p_size from part where p_partkey = 17))")
+def title_or_citation(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "part").select("p_partkey", "p_name", (F.col("p_size") + 1990).alias("year"))
+    cited = rows.where("p_partkey = 17").first()
+    found = checks.title_or_citation(F.split("p_name", " "), ["cold"], F.lpad(F.col("p_partkey").cast("string"), 6, "0"), F.col("year"), cited and ("0017", cited["year"]))
+    return rows.where(found).select("p_partkey")
+
+
+UNITS = "u as (select user_id % 5 as doc, 'art_' || (event_id % 20) || '__para_' || (event_id % 23) as path from events)"
+
+
+def _units(spark: SparkSession, d: str) -> DataFrame:
+    number = lambda n: (F.col("event_id") % n).cast("string")
+    return table(spark, d, "events").select((F.col("user_id") % 5).alias("doc"), F.concat(F.lit("art_"), number(20), F.lit("__para_"), number(23)).alias("path"))
+
+
+@query(f"""with {UNITS}, v as (select distinct doc, path from u), a as (select distinct user_id % 5 as doc, unnest(['para_' || (user_id % 30), 'art_3__para_3']) as wanted from events),
+m as (select a.doc, wanted, max(path) filter (path = wanted) as exact, count(*) n, min(path) as least from a join v on a.doc = v.doc and (path = wanted or ends_with(path, '__' || wanted)) group by 1, 2)
+select doc, wanted, coalesce(exact, case when n = 1 then least end) as path from a left join m using (doc, wanted)""")
+def unit_lookup(spark: SparkSession, d: str) -> DataFrame:
+    users = table(spark, d, "events").select("user_id").distinct()
+    wanted = F.explode(F.array(F.concat(F.lit("para_"), (F.col("user_id") % 30).cast("string")), F.lit("art_3__para_3")))
+    asked = users.select((F.col("user_id") % 5).alias("doc"), wanted.alias("wanted")).distinct()
+    return checks.units_found(asked, _units(spark, d), "doc", "wanted", "path").select("doc", "wanted", "path")
+
+
+@query(f"""with {UNITS} select doc, 'para' as kind, count(*)::bigint n, array_to_string(list_sort(list(distinct split_part(path, '__para_', 2)::int)), ',') as numbers from u group by 1""")
+def units_by_kind(spark: SparkSession, d: str) -> DataFrame:
+    return checks.kinds(_units(spark, d), "doc", "path")
+
+
+@query(f"with {UNITS} select doc, path, count(*)::bigint n from u group by 1, 2 having count(*) > 1")
+def duplicate_unit_paths(spark: SparkSession, d: str) -> DataFrame:
+    return checks.duplicate_paths(_units(spark, d), "doc", "path")
+
+
+@query("""with s as (select l_suppkey as k, l_linenumber as amount, count(*) n from lineitem where l_returnflag = 'R' group by 1, 2), t as (select l_suppkey as k, l_linenumber as amount, count(*) n from lineitem where l_returnflag = 'A' group by 1, 2)
+select k, amount, greatest(coalesce(s.n, 0) - coalesce(t.n, 0), 0)::bigint missing, greatest(coalesce(t.n, 0) - coalesce(s.n, 0), 0)::bigint extra from s full join t using (k, amount) where coalesce(s.n, 0) <> coalesce(t.n, 0)""")
+def money_deltas(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_linenumber").alias("amount"), "l_returnflag")
+    return checks.multiset_deltas(rows.where("l_returnflag = 'R'"), rows.where("l_returnflag = 'A'"), ["k", "amount"])
+
+
+@query("""select o_orderkey, exists (select 1 from orders i where i.o_custkey = o.o_custkey and i.o_orderstatus = 'F' and i.o_orderdate <= o.o_orderdate and (i.o_orderkey % 3 = 0 or o.o_orderdate <= i.o_orderdate + interval 200 day)) as inside from orders o""")
+def membership_intervals(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders")
+    until = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderdate") + F.expr("interval 200 days"))
+    spans = rows.where("o_orderstatus = 'F'").select("o_custkey", F.col("o_orderdate").alias("since"), until.alias("until"))
+    return checks.within(rows.select("o_orderkey", "o_custkey", "o_orderdate"), spans, "o_custkey", "o_orderdate").select("o_orderkey", "inside")
+
+
+@query("""with r as (select o_custkey as law, o_orderkey as run from orders where o_orderstatus = 'F' qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1),
+f as (select l_orderkey as run, count(*) filter (l_returnflag = 'R')::bigint as "R", count(*) filter (l_returnflag = 'A')::bigint as "A" from lineitem group by 1)
+select c_custkey as law, run, case when run is not null then coalesce("R", 0) end as "R", case when run is not null then coalesce("A", 0) end as "A" from customer left join r on law = c_custkey left join f using (run)""")
+def latest_run_severities(spark: SparkSession, d: str) -> DataFrame:
+    laws = table(spark, d, "customer").select(F.col("c_custkey").alias("law"))
+    runs = table(spark, d, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("law"), F.col("o_orderkey").alias("run"), "o_orderdate")
+    findings = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("run"), F.col("l_returnflag").alias("severity"))
+    return checks.latest_severities(laws, runs, findings, "law", "run", "o_orderdate", ["R", "A"])
+
+
+@query("""with m as (select l_orderkey, l_linenumber, case when l_linenumber < 6 then l_extendedprice end as ink, case when l_linenumber <> 2 then l_quantity / 60 end as repeats, case when l_linenumber <> 2 then l_discount * 4 end as forms, case when l_linenumber < 4 then 1 - l_tax * 2 end as purity,
+case when l_linenumber < 5 then l_quantity / 50 end as divergence, case when l_linenumber <> 6 then 1 - l_discount * 3 end as parity from lineitem)
+select l_orderkey, l_linenumber, case when coalesce(ink < 5000, false) or coalesce(repeats > 0.5, false) or coalesce(forms > 0.3, false) or coalesce(purity < 0.85, false) then 'escalate'
+when coalesce(divergence > 0.7, false) or coalesce(parity < 0.8, false) or coalesce(ink, repeats, forms, purity, divergence, parity) is null then 'reread' else 'accept' end as verdict from m""")
+def page_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    n, q, less = F.col("l_linenumber"), F.col("l_quantity"), F.col("l_discount")
+    measures = [F.when(n < 6, F.col("l_extendedprice")), F.when(n != 2, q / 60), F.when(n != 2, less * 4), F.when(n < 4, 1 - F.col("l_tax") * 2), F.when(n < 5, q / 50), F.when(n != 6, 1 - less * 3)]
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", checks.page_verdict(*measures).alias("verdict"))
+
+
+@query("""with c as (select conv_id, sum(len(regexp_extract_all(coalesce(text, ''), '[.;:]'))) filter (role = 'user') as source, sum(len(regexp_extract_all(coalesce(text, ''), '[.;:]'))) filter (role = 'assistant') as target from conversations group by 1)
+select conv_id, coalesce(source - target >= 2 and target < 0.8 * source, false) as gap, case when abs(source - target) <= 1 then 'clean' when abs(source - target) = 2 then 'warning' when abs(source - target) > 2 then 'error' end as level from c""")
+def clause_parity(spark: SparkSession, d: str) -> DataFrame:
+    clauses = F.regexp_count(F.coalesce("text", F.lit("")), F.lit("[.;:]"))
+    counted = table(spark, d, "conversations").groupBy("conv_id").agg(*[F.sum(F.when(F.col("role") == role, clauses)).alias(name) for role, name in (("user", "source"), ("assistant", "target"))])
+    source, target = F.col("source"), F.col("target")
+    return counted.select("conv_id", checks.clause_gap(source, target).alias("gap"), checks.cover_level(source, target).alias("level"))
+
+
+@query("""select l_orderkey, l_linenumber, case when l_linenumber = 7 then 'ungraded' when l_discount > 0.08 or l_returnflag = 'R' or l_quantity > 45 or l_tax > 0.07 then 'C'
+when l_returnflag = 'A' or l_linenumber = 3 or l_linestatus = 'F' then 'B' else 'A' end as grade from lineitem""")
+def translation_grades(spark: SparkSession, d: str) -> DataFrame:
+    n, flag = F.col("l_linenumber"), F.col("l_returnflag")
+    audit = {"numeric_slot_recall": F.when(n != 7, F.when(F.col("l_tax") > 0.07, 0.5).otherwise(1.0)), "notes_status": F.when(flag == "R", "failed").when(flag == "A", "partial").otherwise("ok"), "units_total": F.col("l_orderkey"), "fallback_ratio": F.when(F.col("l_discount") > 0.08, 0.2).otherwise(0.01), "money_missing": F.col("l_quantity") > 45, "clause_gap": n == 3, "judge": F.when(F.col("l_linestatus") == "F", "warn")}
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", checks.translation_grade(audit).alias("grade"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hybrid retrieval: BM25 and exact vector search, fused by reciprocal ranks."""
     return rrf_fusion(spark, sf_dir)
