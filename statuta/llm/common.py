@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,6 +20,7 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+_CUT = re.compile(r"(?<=\S)[ \n]")
 #: Words of more bytes are hashed one by one.
 LONG_WORD = 256
 
@@ -127,6 +130,23 @@ def hash_texts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
 
 
+def slices(text: str, size: int = 1 << 20) -> Iterator[str]:
+    """Parts of about `size` characters of a text, cut before a blank or line end that follows another character."""
+    at = 0
+    while len(text) - at > size:
+        found = _CUT.search(text, at + size)
+        if found is None:
+            break
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:] if at else text
+
+
+def streamed(rows: DataFrame, keys: list[str], order: list[str], step, schema: str) -> DataFrame:
+    """`step` over the batches of partitions that hold the rows of each key together, in `order`; no group is held whole."""
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(step, schema)
+
+
 def at_most(rows: DataFrame, key: str, limit: int) -> DataFrame:
     """At most `limit` of `rows`, chosen by a hash of `key`: those below a bound that a histogram of 4,096 bins tells."""
     place = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(4096))

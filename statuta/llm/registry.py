@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statuta.llm import byte_bpe, chat_format, fingerprints, mixing, near_duplicates, quality, substrings, token_counts, top_k, toxicity
+from statuta.llm import alignment, byte_bpe, centroids, chat_format, fingerprints, mixing, near_duplicates, packing, quality, substrings, token_counts, top_k, toxicity
 from statuta.sources.tables import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 #: The mixture: weights of domains, of languages and of sources (1 where none is given).
 WEIGHTS = ({"web": 5.0, "books": 3.0, "forums": 2.0}, {"en": 6.0, "de": 2.0, "fr": 2.0, "es": 2.0}, {"src0": 2.0})
@@ -83,7 +85,19 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_mixing, op3_token_counts, op4_top_k, op5_chat_format, op6_substrings, op7_quality, op8_byte_bpe, op9_toxicity, op10_near_duplicates)}
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir), WORDS)
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir), BYTES, PIECES)
+
+
+QUERIES = {f.__name__: f for f in (op1_fingerprints, op2_mixing, op3_token_counts, op4_top_k, op5_chat_format, op6_substrings, op7_quality, op8_byte_bpe, op9_toxicity, op10_near_duplicates, op11_packing, op12_centroids, op13_alignment)}
 #: Rows of each query's 20 best, as SQL for DuckDB.
 ORACLE = {
     "op4_top_k": """
@@ -124,6 +138,26 @@ from d left join n using (doc_id) left join (select x, min(y) as y from r group
 }
 
 
+def _lloyd(rounds: int = 5, k: int = 40) -> str:
+    """SQL of Lloyd's rounds over the kept vectors."""
+    near = "arg_min(c, struct_pack(d := d, c := c)) as c, min(d) as d from (select vec_id, v, c.c, list_sum(list_transform(list_zip(v, w), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as d from v, c{} c) group by 1, 2"
+    mean = "(s - ((s % n) + n) % n) // n"
+    steps = [
+        """with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+        f"c0 as (select (row_number() over (order by h) - 1)::int as c, v as w from (select v, sha256('2:' || vec_id) as h from v order by h limit {k}))",
+    ]
+    for i in range(rounds):
+        steps.append(f"a{i} as (select vec_id, v, {near.format(i)})")
+        steps.append(f"m{i} as (select c, i, {mean} as x from (select c, i, sum(v[i])::bigint as s, count(*) as n from a{i}, range(1, 65) t(i) group by 1, 2))")
+        steps.append(f"c{i + 1} as (select c{i}.c, coalesce(x, w) as w from c{i} left join (select c, list(x order by i) as x from m{i} group by 1) m using (c))")
+    steps.append(f"z as (select vec_id, v, {near.format(rounds)})")
+    return ",\n".join(steps) + f"""
+select vec_id, z.c as cluster, d as distance, sum(d) over (partition by z.c)::bigint as cluster_inertia, sum(d) over ()::bigint as inertia, sha256(array_to_string(w, ',')) as centroid_sha256 from z join c{rounds} using (c)"""
+
+
+ORACLE["op12_centroids"] = _lloyd()
+
+
 def queries():
     return dict(QUERIES)
 
