@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -34,9 +35,12 @@ from pyspark.sql import functions as F
 
 from statuta.llm.common import checkpointed, slices, streamed
 
-#: Characters of a block's texts, units that a worker remembers, B ids of a stripe, blocks of a salt.
-BLOCK = 6_000_000
-MEMO = 250_000
+MARK = "▁"
+#: Characters of a block's texts and of those split at once, units that a worker remembers and finds at once, B ids of a stripe, blocks of a salt.
+BLOCK = 8_000_000
+PART = 2_000_000
+MEMO = 500_000
+LEARNT = 20_000
 STRIPE = 64
 SALT_BLOCKS = 256
 A_IDS = 1 << 16
@@ -53,26 +57,9 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Unit:
-    """Tokens of a piece of text: numbers of A and B tokens and of groups, the groups' ids as text, codes of the linked pairs."""
-
-    __slots__ = ("a", "b", "codes", "groups", "number", "text")
-
-    def __init__(self, number: int, a: list[int], b: list[int], a_ends: list[int], b_ends: list[int]):
-        self.number, self.a, self.b = number, len(a), len(b)
-        codes, parts, i, j, a_from, b_from = [], [], 0, 0, 0, 0
-        while i < len(a) and j < len(b):
-            codes.append(b[j] << 16 | a[i])
-            x, y = a_ends[i], b_ends[j]
-            i += x <= y
-            j += y <= x
-            if x == y:
-                parts.append(f"{','.join(map(str, a[a_from:i]))}|{','.join(map(str, b[b_from:j]))}")
-                a_from, b_from = i, j
-        self.groups, self.text, self.codes = len(parts), ";".join(parts), np.array(codes, dtype=np.uint32)
-
-
 class Aligner:
+    """Units of text by number: their tokens, groups and linked pairs, found once."""
+
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
@@ -81,44 +68,73 @@ class Aligner:
         self.a_tokens = Tokenizer.from_file(a_path)
         self.a_tokens.encode_special_tokens = True
         self.b_tokens = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        level = _byte_level()
-        self.a_bytes = {i: bytes(level[c] for c in t) for t, i in self.a_tokens.get_vocab(with_added_tokens=False).items() if all(c in level for c in t)}
-        sp = self.b_tokens
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace("▁", " ").encode() for i in range(sp.get_piece_size()) for p in [sp.id_to_piece(i)]]
-        self.memo: dict[str, Unit | None] = {}
-        self.by_number: list[Unit] = []
+        level, sp = _byte_level(), self.b_tokens
+        vocabulary = self.a_tokens.get_vocab(with_added_tokens=False)
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in vocabulary.items():
+            self.a_bytes[i] = bytes([level.get(c, 0) for c in token])
+        self.b_bytes = [bytes([int(p[3:5], 16)]) if sp.is_byte(i) else p.replace(MARK, " ").encode() for i in range(sp.get_piece_size()) for p in [sp.id_to_piece(i)]]
+        self.a_sizes, self.b_sizes = (np.array([len(t) for t in table]) for table in (self.a_bytes, self.b_bytes))
+        # An id as text: within a group, then at the end of the group's side; first A, then B.
+        self.texts = [f"{i}{end}" for table, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;")) for end in ends for i in range(len(table))]
+        self.clear()
 
     def clear(self) -> None:
-        self.memo, self.by_number = {}, []
+        self.memo: dict[str, int] = {}
+        self.groups: list[str] = [""]
+        self.held: list[np.ndarray] = []
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of A tokens, B tokens, groups and links of each unit, and the codes of all units' links."""
+        rows, codes = [np.zeros((1, 4), np.int64)], [np.empty(0, np.uint32)]
+        for sizes, found in self.held:
+            rows.append(sizes)
+            codes.append(found)
+        self.held = [(np.concatenate(rows)[1:], np.concatenate(codes))]
+        return np.concatenate(rows), self.held[0][1]
 
     def _learn(self, units: list[str]) -> None:
-        new = [u for u in dict.fromkeys(units) if u not in self.memo]
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            # The library puts a blank before each text; here a letter follows it, whose token is left out.
-            asked = ["x" + u for u in some]
-            for unit, a, b in zip(some, self.a_tokens.encode_batch_fast(some, add_special_tokens=False), self.b_tokens.encode(asked, num_threads=1), strict=True):
-                self.memo[unit] = self._unit(unit.encode("utf-8", "replace"), a.ids, b[1:])
-
-    def _unit(self, data: bytes, a: list[int], b: list[int]) -> Unit | None:
-        a_texts, b_texts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_texts) != data or b"".join(b_texts) != data:
-            return None
-        unit = Unit(len(self.by_number), a, b, np.cumsum([len(t) for t in a_texts]).tolist(), np.cumsum([len(t) for t in b_texts]).tolist())
-        self.by_number.append(unit)
-        return unit
-
-    def units(self, text: str) -> list[Unit] | None:
-        """The units of a text; None if a tokenizer doesn't restore it."""
-        out = []
-        for part in slices(" " + text):
-            found = _UNIT.findall(part)
-            try:
-                out += [self.memo[u] for u in found]
-            except KeyError:
-                self._learn(found)
-                out += [self.memo[u] for u in found]
-        return None if None in out else out
+        """Finds the tokens of new units, all of which end with a character that isn't blank, together."""
+        joined = "".join(units)
+        data = joined.encode("utf-8", "replace")
+        a = np.array(self.a_tokens.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=np.int64)
+        # The library puts a blank before a text; here a letter follows it, whose token is left out.
+        b = np.array(self.b_tokens.encode("x" + joined, num_threads=1)[1:], dtype=np.int64)
+        if b"".join(map(self.a_bytes.__getitem__, a.tolist())) != data or b"".join(map(self.b_bytes.__getitem__, b.tolist())) != data:
+            if len(units) == 1:
+                self.memo[units[0]] = 0
+            else:
+                for half in (units[: len(units) // 2], units[len(units) // 2 :]):
+                    self._learn(half)
+            return
+        ends = np.cumsum([len(u.encode("utf-8", "replace")) for u in units]) if len(data) > len(joined) else np.cumsum([len(u) for u in units])
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        both, either = np.intersect1d(a_ends, b_ends, assume_unique=True), np.union1d(a_ends, b_ends)
+        codes = (b[np.searchsorted(b_ends, either)] << 16 | a[np.searchsorted(a_ends, either)]).astype(np.uint32)
+        sizes = np.stack([np.diff(np.searchsorted(x, ends, "right"), prepend=0) for x in (a_ends, b_ends, both, either)], axis=1)
+        # The ids as text in order of the groups, A before B.
+        group = [np.searchsorted(both, x) for x in (a_ends, b_ends)]
+        order = np.argsort(np.concatenate([2 * group[0], 2 * group[1] + 1]), kind="stable")
+        n, m = len(self.a_bytes), len(self.b_bytes)
+        last = [np.isin(x, both, assume_unique=True) for x in (a_ends, b_ends)]
+        texts = np.concatenate([a + n * last[0], b + 2 * n + m * last[1]])[order].tolist()
+        parts = [self.texts[i] for i in texts]
+        cuts = np.cumsum(sizes[:, 0] + sizes[:, 1]).tolist()
+        first = len(self.groups)
+        self.groups += ["".join(parts[x:y])[:-1] for x, y in itertools.pairwise([0, *cuts])]
+        self.memo.update(zip(units, range(first, len(self.groups)), strict=True))
+        self.held.append((sizes, codes))
+
+    def numbers(self, found: list[list[str]]) -> list[np.ndarray]:
+        """Numbers of the units; 0 is a unit that a tokenizer doesn't restore."""
+        new = [u for u in dict.fromkeys(itertools.chain.from_iterable(found)) if u not in self.memo]
+        alone = [u for u in new if u[-1].isspace() or MARK in u]
+        together = [u for u in new if not (u[-1].isspace() or MARK in u)]
+        for at in range(0, len(together), LEARNT):
+            self._learn(together[at : at + LEARNT])
+        for unit in alone:
+            self._learn([unit])
+        return [np.fromiter(map(self.memo.__getitem__, units), np.int64, len(units)) for units in found]
 
 
 @functools.lru_cache(maxsize=1)
@@ -144,47 +160,66 @@ def _unpacked(data: bytes) -> list[np.ndarray]:
 class Block:
     """Documents of a block and the units in them."""
 
-    def __init__(self):
-        self.docs, self.shas, self.units, self.size = [], [], [], 0
-
-    def add(self, doc: int | None, units: list[Unit] | None) -> None:
-        units = units or []
-        text = ";".join([u.text for u in units])
-        self.docs.append((doc, sum([u.a for u in units]), sum([u.b for u in units]), sum([u.groups for u in units]), sum([len(u.codes) for u in units])))
-        self.shas.append(hashlib.sha256(text.encode()).hexdigest() if units else "")
-        self.units.append(np.array([u.number for u in units], dtype=np.uint32))
-
-    def row(self, number: int, by_number: list[Unit]) -> pa.RecordBatch:
-        flat = np.concatenate(self.units)
+    def __init__(self, tokens: Aligner):
+        self.tokens, self.docs, self.shas, self.units, self.wrong = tokens, [], [], [], set()
+        self.parts, self.waiting, self.size = [], 0, 0
+
+    def add(self, doc: int | None, text: str | None) -> None:
+        self.docs.append(doc)
+        self.shas.append(hashlib.sha256())
+        self.units.append([])
+        self.size += len(text or "") + 200
+        for part in slices(" " + text) if text else ():
+            self.parts.append((len(self.docs) - 1, part))
+            self.waiting += len(part)
+            if self.waiting > PART:
+                self._read()
+
+    def _read(self) -> None:
+        texts = self.tokens.groups
+        for (doc, _), numbers in zip(self.parts, self.tokens.numbers([_UNIT.findall(p) for _, p in self.parts]), strict=True):
+            if not numbers.all():
+                self.wrong.add(doc)
+            self.shas[doc].update((";" * bool(self.units[doc]) + ";".join([texts[i] for i in numbers.tolist()])).encode())
+            self.units[doc].append(numbers)
+        self.parts, self.waiting = [], 0
+
+    def row(self, number: int) -> pa.RecordBatch:
+        self._read()
+        units = [np.concatenate(u) if u and i not in self.wrong else np.empty(0, np.int64) for i, u in enumerate(self.units)]
+        sizes, codes = self.tokens.counts()
+        lengths, flat = np.array([len(u) for u in units]), np.concatenate(units)
+        sums = np.zeros((len(units), 4), np.int64)
+        np.add.at(sums, np.repeat(np.arange(len(units)), lengths), sizes[flat])
         own, places = np.unique(flat, return_inverse=True)
-        codes = [by_number[i].codes for i in own]
-        joined = np.concatenate(codes) if codes else np.empty(0, np.uint32)
+        links = sizes[own, 3]
+        begins = np.cumsum(sizes[:, 3])[own] - links
+        joined = codes[np.repeat(begins - np.cumsum(links) + links, links) + np.arange(links.sum())]
         pairs, at = np.unique(joined, return_inverse=True)
-        sizes = np.array([len(c) for c in codes], dtype=np.uint32)
-        counts = np.bincount(at, np.repeat(np.bincount(places, minlength=len(own)), sizes), len(pairs)).astype(np.int64) if len(pairs) else np.empty(0, np.int64)
-        places = places.astype("<u2" if len(own) < 1 << 16 else "<u4")
-        links = _packed(np.array([len(u) for u in self.units], dtype=np.uint32), places, sizes, at.astype(np.uint32), pairs, counts)
-        none = np.array([d[0] is None for d in self.docs], dtype=np.uint8)
-        docs = _packed(none, *(np.array([d[i] or 0 for d in self.docs], dtype=np.int64) for i in range(5)))
-        values = [pa.array([number]), pa.array([docs], pa.binary()), pa.array([self.shas], pa.list_(pa.string())), pa.array([links], pa.binary())]
+        counts = np.zeros(len(pairs), np.int64)
+        np.add.at(counts, at, np.repeat(np.bincount(places, minlength=len(own)), links))
+        blob = _packed(lengths.astype("<u4"), places.astype("<u2" if len(own) < 1 << 16 else "<u4"), links.astype("<u4"), at.astype("<u4"), pairs, counts)
+        none = np.array([d is None for d in self.docs], dtype=np.uint8)
+        docs = _packed(none, np.array([d or 0 for d in self.docs], dtype=np.int64), *(np.ascontiguousarray(x) for x in sums.T))
+        shas = [sha.hexdigest() if n else "" for sha, n in zip(self.shas, lengths.tolist(), strict=True)]
+        values = [pa.array([number]), pa.array([docs], pa.binary()), pa.array([shas], pa.list_(pa.string())), pa.array([blob], pa.binary())]
         return pa.record_batch(values, names=["block", "docs", "shas", "links"])
 
 
 def blocks(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, block, nth = aligner(a_path, b_path), Block(), TaskContext.get().partitionId() << 32
+        tokens, nth = aligner(a_path, b_path), TaskContext.get().partitionId() << 32
+        block = Block(tokens)
         for batch in batches:
             for doc, whole in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                body = whole.as_py()
-                block.add(doc, tokens.units(body) if body else None)
-                block.size += len(body or "") + 200
+                block.add(doc, whole.as_py())
                 if block.size >= BLOCK:
-                    yield block.row(nth, tokens.by_number)
-                    block, nth = Block(), nth + 1
+                    yield block.row(nth)
                     if len(tokens.memo) > MEMO:
                         tokens.clear()
+                    block, nth = Block(tokens), nth + 1
         if block.docs:
-            yield block.row(nth, tokens.by_number)
+            yield block.row(nth)
         if len(tokens.memo) > MEMO:
             tokens.clear()
 

@@ -16,8 +16,11 @@ empty table gives no rows.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
+import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +33,15 @@ from statuta.llm.common import checkpointed, slices
 #: Remainders of a shard (on average) and share of a window that may stay empty without another round.
 SHARD = 8_192
 LOOSE = 1 / 64
-MEMO = 400_000
+#: Chunks of text that a worker remembers and encodes at once, characters of a batch of texts.
+MEMO = 500_000
+LEARNT = 20_000
+BATCH = 4_000_000
 #: Windows of a shard are numbered below this.
 WINDOWS = 1 << 20
+#: Where the tokenizer parts an ASCII text in lower case (its own pattern), and final marks that follow a letter.
+_APART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+")
+_TAIL = re.compile(r"(.*[^\W\d_])([.,;:!?]+)", re.S)
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -40,7 +49,7 @@ class Encoder:
     """Ids of texts, as little-endian unsigned 32-bit numbers.
 
     The tokenizer drops white space and no token reaches across it, so what stands between blanks
-    or line ends is encoded once and remembered.
+    or line ends is encoded once and remembered; so are the words and marks in it.
     """
 
     def __init__(self, path: str):
@@ -49,26 +58,38 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _parts(self, chunk: str) -> list[str]:
+        """Pieces of a chunk that the tokenizer encodes apart from each other."""
+        if chunk.isascii():
+            return _APART.findall(chunk.lower()) if "<|" not in chunk else [chunk]
+        found = _TAIL.fullmatch(chunk) if "<|" not in chunk else None
+        return list(found.groups()) if found else [chunk]
 
     def _learn(self, chunks: list[str]) -> None:
-        new = [c for c in dict.fromkeys(chunks) if c not in self.memo]
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for chunk, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.memo[chunk] = np.array(found.ids, dtype="<u4").tobytes()
-
-    def ids(self, text: str) -> bytes:
-        out = []
-        for part in slices(text):
-            chunks = part.replace("\n", " ").split(" ")
-            try:
-                out += [self.memo[c] for c in chunks]
-            except KeyError:
-                if len(self.memo) > MEMO:
-                    self.memo.clear()
-                self._learn(chunks)
-                out += [self.memo[c] for c in chunks]
-        return b"".join(out)
+        """Encodes the new pieces of new chunks together, with blanks between, and tells by its offset in which piece an id starts."""
+        split = [self._parts(c) for c in chunks]
+        new = [p for p in dict.fromkeys(itertools.chain.from_iterable(split)) if p not in self.pieces]
+        for at in range(0, len(new), LEARNT):
+            some = new[at : at + LEARNT]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            begins = np.cumsum([0, *map(len, some[:-1])]) + np.arange(len(some))
+            starts = np.fromiter((x for x, _ in found.offsets), np.int64, len(found))
+            cuts = np.append(np.searchsorted(starts, begins), len(found)) * 4
+            data = np.array(found.ids, dtype="<u4").tobytes()
+            self.pieces.update(zip(some, [data[x:y] for x, y in itertools.pairwise(cuts.tolist())], strict=True))
+        held = self.pieces
+        self.memo.update(zip(chunks, [held[p[0]] if len(p) == 1 else b"".join([held[x] for x in p]) for p in split], strict=True))
+
+    def ids(self, parts: list[str]) -> list[bytes]:
+        """Ids of each of the parts, which start or end at a blank, a line end or an end of their text."""
+        split = [p.replace("\n", " ").split(" ") for p in parts]
+        if len(self.memo) > MEMO:
+            self.memo.clear()
+            self.pieces.clear()
+        self._learn([c for c in dict.fromkeys(itertools.chain.from_iterable(split)) if c not in self.memo])
+        return [b"".join(map(self.memo.__getitem__, chunks)) for chunks in split]
 
 
 @functools.lru_cache(maxsize=2)
@@ -81,17 +102,32 @@ def cut(docs: DataFrame, path: str, window: int, close: int, text: str = "text")
     end, step = np.array([close], dtype="<u4").tobytes(), 4 * window
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = encoder(path)
-        for batch in batches:
+        memo, names = encoder(path), [c.split()[0] for c in PIECES.split(", ")]
+
+        def encoded(docs: list, parts: list[tuple[int, str]]) -> pa.RecordBatch:
+            held = defaultdict(list)
+            for (i, _), ids in zip(parts, memo.ids([p for _, p in parts]), strict=True):
+                held[i].append(ids)
             rows = []
-            for doc, whole in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = memo.ids(whole.as_py() or "") + end
+            for i, doc in enumerate(docs):
+                ids = b"".join([*held[i], end])
                 for at in range(0, len(ids), step):
                     piece = ids[at : at + step]
                     rows.append((doc, at // 4, len(piece) // 4, zlib.crc32(piece), len(ids) // 4))
-            kinds = [pa.int64()] * 5
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 5, kinds, strict=True)], names=names)
+            return pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=names)
+
+        docs, parts, size = [], [], 0
+        for batch in batches:
+            for doc, whole in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for part in slices(whole.as_py() or ""):
+                    parts.append((len(docs), part))
+                    size += len(part) + 100
+                docs.append(doc)
+                if size > BATCH:
+                    yield encoded(docs, parts)
+                    docs, parts, size = [], [], 0
+        if docs:
+            yield encoded(docs, parts)
 
     return docs.select(F.col("doc_id").cast("long"), F.col(text).cast("string")).mapInArrow(pieces, PIECES)
 
