@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from statuta.sources.tables import checkpointed
+
 
 def walk(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
     """depth, src and dst of the edges reached from the start nodes (column node); a path never returns to a node."""
@@ -18,15 +22,29 @@ def walk(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
     return out.select("depth", "src", "dst")
 
 
-def nearest_value(nodes: DataFrame, rounds: int) -> DataFrame:
+def nearest_value(nodes: DataFrame, rounds: int | None = None) -> DataFrame:
     """node, value and hops of the nearest node up the parents that has a value (node, parent, value).
 
-    Each round doubles the distance looked at, so `rounds` of them see 2**rounds ancestors.
+    Each round doubles the distance looked at: `rounds` of them see 2**rounds ancestors; none given,
+    they go on until no node without a value has an ancestor left to look at. Nodes on a cycle without
+    a value, and those below it, have none: the rounds end once the distance exceeds the number of nodes.
+    Rows without a node are left out; of a node's several rows one of the least parent counts.
     """
-    seen = nodes.select("node", F.when(F.col("value").isNull(), F.col("parent")).alias("up"), "value", F.when(F.col("value").isNull(), F.lit(1)).otherwise(F.lit(0)).alias("hops"))
-    for _ in range(rounds):
+    own = nodes.where("node is not null").groupBy("node").agg(F.min(F.struct("parent", "value")).alias("r")).select("node", "r.parent", "r.value")
+    seen = own.select("node", F.when(F.col("value").isNull(), F.col("parent")).alias("up"), "value", F.when(F.col("value").isNull(), F.lit(1)).otherwise(F.lit(0)).alias("hops"))
+    most = None
+    for i in itertools.count():
+        if i == rounds:
+            break
+        if rounds is None:
+            seen = checkpointed(seen)
+            open_ = seen.where("value is null and up is not null").count()
+            most = most or seen.count()
+            if not open_ or 1 << i > 2 * most:
+                break
         above = seen.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("value").alias("value2"), F.col("hops").alias("hops2"))
-        seen = seen.join(above, "up", "left").select("node", F.when(F.col("value").isNull(), F.col("up2")).alias("up"), F.coalesce("value", "value2").alias("value"), F.when(F.col("value").isNull() & F.col("hops2").isNotNull(), F.col("hops") + F.col("hops2")).otherwise(F.col("hops")).alias("hops"))
+        found = F.col("value").isNull() & F.col("hops2").isNotNull()
+        seen = seen.join(above, "up", "left").select("node", F.when(F.col("value").isNull(), F.col("up2")).alias("up"), F.coalesce("value", "value2").alias("value"), F.when(found, F.col("hops") + F.col("hops2")).otherwise(F.col("hops")).alias("hops"))
     return seen.where("value is not null").select("node", "value", "hops")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 import numpy as np
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from statuta.functions.tokeniser import tokens
+from statuta.sources.tables import checkpointed
 
 K1, B, RRF = 1.2, 0.75, 60
 QUERY_BLOCK, VECTOR_BLOCK, VECTOR_BLOCKS = 4096, 32768, 12
@@ -35,10 +35,7 @@ def _counted(worded: DataFrame, key: str) -> DataFrame:
 
 def _worded(docs: DataFrame, key: str, text: str, tokenise: Callable[[Column], Column]) -> DataFrame:
     """key and words of `docs`, split once: the words are written to the checkpoint folder, joined, as arrays take thrice the room."""
-    sc = docs.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(docs.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
-    joined = docs.select(key, F.array_join(tokenise(F.col(text)), "\x1f").alias("words")).checkpoint()
+    joined = checkpointed(docs.select(key, F.array_join(tokenise(F.col(text)), "\x1f").alias("words")))
     return joined.select(key, F.array_remove(F.split("words", "\x1f"), "").alias("words"))
 
 

@@ -253,7 +253,7 @@ def citation_walk_out(spark: SparkSession, d: str) -> DataFrame:
 w as (select node, v, parent, 0 as hops from n union all select w.node, n.v, n.parent, hops + 1 from w join n on n.node = w.parent where w.v is null) select node, v as value, hops from w where v is not null""")
 def nearest_nonnull_ancestor(spark: SparkSession, d: str) -> DataFrame:
     half = F.expr("nullif(p_partkey div 2, 0)")
-    return graph.nearest_value(table(spark, d, "part").select(F.col("p_partkey").alias("node"), half.alias("parent"), F.when(F.col("p_size") % 7 == 0, F.col("p_brand")).alias("value")), 6)
+    return graph.nearest_value(table(spark, d, "part").select(F.col("p_partkey").alias("node"), half.alias("parent"), F.when(F.col("p_size") % 7 == 0, F.col("p_brand")).alias("value")))
 
 
 @query(f"with {EDGES} select dst, count(*)::bigint n, count(distinct src)::bigint sources from e where src <> dst group by 1")
