@@ -791,3 +791,6 @@ def unmatched_queries():
 
 def oracle_sql():
     return dict(ORACLE)
+
+
+from statuta.plans import structural  # noqa: E402, F401  registers its queries here
