@@ -1,13 +1,15 @@
 """Document fingerprints: threshold-scaled sketches, with Spark expressions only.
 
 A sketch keeps every hash of a text's distinct word shingles below a fixed fraction of the hash
-range. Sketches merge by union, the union's sketch being that of both texts' shingles, and two of
-them estimate containment and resemblance however unequal the texts.
+range; of a text with at most WHOLE distinct shingles it keeps them all and says so. Sketches merge by
+union, the union's sketch being that of both texts' shingles, and two of them tell containment and
+resemblance however unequal the texts: exactly where both are whole, else by the hashes of both
+below the fraction.
 
 A text of fewer words than a shingle is one shingle; null text, or text without words, has the empty
-sketch, and so has a text of few shingles if none is below the fraction. Two empty sketches are alike
-(1.0), an empty and another one are not (0.0). Empty tables give no rows; long texts are read whole. Repeated rows
-have equal fingerprints. Columns besides those named are ignored.
+whole sketch. Two empty sets are alike (1.0), an empty and another one are not (0.0). Empty tables give
+no rows; long texts are read whole. Repeated rows have equal fingerprints. Rows of a null doc_id come
+after all others. Columns besides those named are ignored.
 """
 
 from __future__ import annotations
@@ -22,52 +24,71 @@ from statuta.llm.common import words
 
 SHINGLE = 5
 FRACTION = 0.25
+#: Sets of so many distinct shingles are kept whole.
+WHOLE = 128
 #: Ranges of doc_id that the search for the next document is dealt by; also the most rows that its
 #: broadcast can have, if doc_id is unique.
 RANGES = 1024
 
 
-def sketch(text: Column, shingle: int = SHINGLE, fraction: float = FRACTION) -> Column:
-    """Sorted array of the kept hashes of a text."""
+def _bound(fraction: float) -> Column:
     top = int((1 << 63) * min(max(fraction, 0.0), 1.0) * 2) - (1 << 63)
-    bound = F.lit(min(top, (1 << 63) - 1))
+    return F.lit(min(top, (1 << 63) - 1))
+
+
+def _sketch(whole: Column, hashes: Column) -> Column:
+    return F.struct(whole.alias("whole"), hashes.alias("kept"))
+
+
+def _scaled(kept: Column, fraction: float) -> Column:
+    return F.filter(kept, lambda h: h < _bound(fraction))
+
+
+def sketch(text: Column, shingle: int = SHINGLE, fraction: float = FRACTION) -> Column:
+    """Struct of whole (all hashes are kept) and the sorted array of the kept hashes of a text."""
 
     def hashes(found: Column) -> Column:
         n = F.size(found)
-        whole = F.when(n == 0, F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(F.array_join(found, " "))))
+        one = F.when(n == 0, F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(F.array_join(found, " "))))
         each = F.transform(F.sequence(F.lit(0), n - shingle), lambda i: F.xxhash64(*[found[i + k] for k in range(shingle)]))
-        return F.when(n < shingle, whole).otherwise(each)
+        return F.array_distinct(F.when(n < shingle, one).otherwise(each))
 
     def kept(h: Column) -> Column:
-        return F.array_sort(F.array_distinct(F.filter(h, lambda x: x < bound)))
+        return _sketch(F.size(h) <= WHOLE, F.array_sort(F.when(F.size(h) <= WHOLE, h).otherwise(_scaled(h, fraction))))
 
     return F.transform(F.transform(F.array(words(text)), hashes), kept)[0]
 
 
-def merge_sketches(a: Column, b: Column) -> Column:
+def merge_sketches(a: Column, b: Column, fraction: float = FRACTION) -> Column:
     """Sketch of two texts' shingles together."""
-    return F.array_sort(F.array_union(a, b))
+    both = F.array_sort(F.array_union(a["kept"], b["kept"]))
+    whole = a["whole"] & b["whole"] & (F.size(both) <= WHOLE)
+    return _sketch(whole, F.when(whole, both).otherwise(_scaled(both, fraction)))
 
 
-def shared(a: Column, b: Column) -> Column:
-    return F.size(F.array_intersect(a, b))
+def _alike(a: Column, b: Column, fraction: float) -> tuple[Column, Column]:
+    """The hashes of both that can be compared."""
+    whole = a["whole"] & b["whole"]
+    return tuple(F.when(whole, x["kept"]).otherwise(_scaled(x["kept"], fraction)) for x in (a, b))
 
 
-def resemblance(a: Column, b: Column) -> Column:
-    """Estimate of |A and B| / |A or B|."""
-    both = shared(a, b)
-    either = F.size(a) + F.size(b) - both
-    return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
+def resemblance(a: Column, b: Column, fraction: float = FRACTION) -> Column:
+    """Likeness |A and B| / |A or B|."""
+    x, y = _alike(a, b, fraction)
+    both = F.size(F.array_intersect(x, y))
+    either = F.size(x) + F.size(y) - both
+    return F.when(either > 0, both / either).otherwise((a == b).cast("double"))
 
 
-def containment(a: Column, b: Column) -> Column:
-    """Estimate of |A and B| / |A|: the part of the first text that the second holds."""
-    return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(shared(a, b) / F.size(a))
+def containment(a: Column, b: Column, fraction: float = FRACTION) -> Column:
+    """The part |A and B| / |A| of the first text that the second holds."""
+    x, y = _alike(a, b, fraction)
+    return F.when(F.size(x) > 0, F.size(F.array_intersect(x, y)) / F.size(x)).otherwise((a["whole"] | (a == b)).cast("double"))
 
 
 def packed(kept: Column) -> Column:
-    """A sketch as a string."""
-    return F.array_join(F.transform(kept, lambda h: F.hex(h)), ",")
+    """A sketch as a string: = before a whole one, ~ before a scaled one."""
+    return F.concat(F.when(kept["whole"], "=").otherwise("~"), F.array_join(F.transform(kept["kept"], lambda h: F.hex(h)), ","))
 
 
 def with_next(docs: DataFrame, values: list[str], key: str = "doc_id") -> DataFrame:
@@ -76,7 +97,7 @@ def with_next(docs: DataFrame, values: list[str], key: str = "doc_id") -> DataFr
     Rows are dealt to ranges of the key of about equal size, cut at its quantiles; the first row of a
     range is also the row after the last of the range above, so it is sent there too. The table of
     ranges, at most RANGES rows, is what the driver and the broadcast hold. Null keys come last; rows
-    of equal keys share a range and are ordered by their values.
+    of equal keys share a range and are ordered by the first of their values.
     """
     cuts = docs.agg(F.percentile_approx(key, [i / RANGES for i in range(1, RANGES)], 4 * RANGES).alias("cuts")).first()["cuts"]
     cuts = sorted(set(cuts or []))
@@ -93,7 +114,7 @@ def with_next(docs: DataFrame, values: list[str], key: str = "doc_id") -> DataFr
     dealt = dealt.join(F.broadcast(seam), dealt[key].eqNullSafe(seam["__first"]), "left").drop("__first")
     placed = F.when(F.col("__above").isNull(), F.array(F.struct(F.col("__part").alias("at"), F.lit(0).alias("copy")))).otherwise(F.array(F.struct(F.col("__part").alias("at"), F.lit(0).alias("copy")), F.struct(F.col("__above").alias("at"), F.lit(1).alias("copy"))))
     rows = dealt.select(key, *values, F.explode(placed).alias("__to")).select(key, *values, "__to.at", "__to.copy")
-    down = Window.partitionBy("at").orderBy("copy", F.desc_nulls_last(key), *values)
+    down = Window.partitionBy("at").orderBy("copy", F.desc_nulls_last(key), values[0])
     nexts = [F.lead(v).over(down).alias(f"next_{v}") for v in values]
     return rows.select(key, *values, "copy", *nexts).where("copy = 0").drop("copy")
 

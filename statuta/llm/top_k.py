@@ -8,7 +8,7 @@ added up for all rows, the other terms probed only for rows that can still reach
 Shards' lists are merged by a window over (score, id).
 
 Vectors that are null or have null or non-finite components take no part; shorter ones count as
-padded with zeros. Repeated ids are rows of their own except that a row
+padded with zeros, empty ones too. Repeated ids are rows of their own except that a row
 never meets its own id; a query id with several vectors gets a list for each.
 Ties go to the smaller id. Extra columns are ignored; without queries or rows the result is empty.
 """
@@ -120,7 +120,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_i
             q, h = _matrix(asked["vector"], width), _matrix(held["vector"], width)
             if width and np.abs(q).max() * np.abs(h).max() * width >= EXACT:
                 q, h = q.astype(np.int64), h.astype(np.int64)
-            if width:
+            if not width:  # empty vectors have the product 0
+                q, h = np.zeros((len(q), 1)), np.zeros((len(h), 1))
+            if len(h):
                 index = Shard(held["vec_id"].to_numpy(), h)
                 for own, nth, query in zip(asked["query_id"].to_numpy(), asked["asked"].to_numpy(), q, strict=True):
                     at, scores = index.search(own, query, k)

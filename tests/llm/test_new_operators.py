@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from statuta.llm import alignment, centroids, packing, registry
+from statuta.llm import alignment, centroids, fingerprints, near_duplicates, packing, registry, top_k
 from tests.llm import brute
 
 FOLDER = "/root/testdata/sf0.001"
@@ -198,3 +198,30 @@ def test_alignment_edges(spark):
     assert alignment.align(docs_of(spark, []), registry.BYTES, registry.PIECES).count() == 0
     rows = alignment.align(spark.createDataFrame([(None, "a"), (None, "a"), (1 << 60, None)], "doc_id long, text string"), registry.BYTES, registry.PIECES).collect()
     assert sorted((r["doc_id"] or 0, r["n_links"], r["count_sum"]) for r in rows) == [(0, 1, 2), (0, 1, 2), (1 << 60, 0, 0)]
+
+
+def test_likeness_of_fingerprints(spark):
+    """Exact where both sets are whole, near it elsewhere; nothing shared is 0 however short the texts."""
+    rows = spark.createDataFrame([("gamma delta eps", "alpha beta"), ("", None), ("", "a"), ("a b c d e f", "a b c d e g")], "a string, b string")
+    a, b = fingerprints.sketch(F.col("a")), fingerprints.sketch(F.col("b"))
+    got = [r[0] for r in rows.select(fingerprints.resemblance(a, b)).collect()]
+    assert got == [0.0, 1.0, 0.0, 1 / 3]
+    texts, edits = texts_of(spark), brute.edited(list(texts_of(spark).items()))
+    down = sorted(texts, reverse=True)
+    after = {d: down[(i + 1) % len(down)] for i, d in enumerate(down)}
+    far = []
+    for r in registry.op1_fingerprints(spark, FOLDER).collect():
+        x, y, z = (brute.shingles(t, 5) for t in (texts[r["doc_id"]], edits[r["doc_id"]], texts[after[r["doc_id"]]]))
+        for found, p, q in ((r["near_edited"], x, y), (r["near_next"], x, z)):
+            want = len(p & q) / len(p | q) if p | q else 1.0
+            assert max(len(p), len(q)) > fingerprints.WHOLE or abs(found - want) < 1e-9
+            far.append(abs(found - want))
+    assert max(far) < 0.25 and sum(far) / len(far) < 0.03
+
+
+def test_empty_vectors_and_unnamed_documents(spark):
+    vectors = spark.createDataFrame([(20, []), (1, []), (2, [])], "vec_id long, vector array<long>")
+    assert [tuple(r) for r in top_k.top_k(vectors, vectors.where("vec_id = 20"), 20).orderBy("rank").collect()] == [(20, 1, 1, 0), (20, 2, 2, 0)]
+    docs = spark.createDataFrame([(None, "a b c d e"), (None, None), (3, "a b c d e"), (4, "a b c d e"), (4, "a b c d e")], "doc_id long, text string")
+    got = sorted(((r["doc_id"] or -1, r["n_shingles"], r["component_id"]) for r in near_duplicates.near_duplicates(docs, 4, 80).collect()), key=str)
+    assert got == [(-1, 0, None), (-1, 2, None), (3, 2, 3), (4, 2, 3)]
