@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import lru_cache
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,22 +19,44 @@ def trigrams(term: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.char_length(term) + 1), lambda i: F.substring(padded, i, F.lit(3)))
 
 
-def word_similarity(asked: Column, ordered: Column) -> Column:
-    """How much of the trigrams `asked` (distinct) some continuous extent of the trigrams `ordered` holds.
+@lru_cache(maxsize=100_000)
+def _grams(word: str) -> tuple[str, ...]:
+    padded = f"  {word} "
+    return tuple(padded[i : i + 3] for i in range(len(word) + 1))
+
+
+def extent_score(asked: str, term: str, least: float = 0.0) -> float:
+    """How much of the distinct trigrams of `asked` some continuous extent of the trigrams of `term` holds.
 
     The greatest, over all extents, of shared / (asked + extent's - shared), distinct trigrams counted;
-    extents that begin and end with a shared trigram are enough. Not symmetric. 0 where nothing is shared.
+    extents that begin and end with a shared trigram are enough. Not symmetric. 0 where nothing is
+    shared, or too little to reach `least`.
     """
-    at = lambda i: F.get(ordered, i - 1)
-    hits = F.filter(F.sequence(F.lit(1), F.size(ordered)), lambda i: F.array_contains(asked, at(i)))
+    wanted, ordered = frozenset(_grams(asked)), _grams(term)
+    hits = [i for i, g in enumerate(ordered) if g in wanted]
+    n, best = len(wanted), 0.0
+    if not hits or len(set(map(ordered.__getitem__, hits))) < least * n:
+        return 0.0
+    for begin in hits:
+        held, shared = set(), 0
+        for g in ordered[begin : hits[-1] + 1]:
+            if g not in held:
+                held.add(g)
+                shared += g in wanted
+            if g in wanted:
+                best = max(best, shared / (n + len(held) - shared))
+    return best
+
+
+def word_similarity(asked: Column, term: Column, least: float = 0.0) -> Column:
+    """extent_score of two columns of words."""
 
-    def extent(i: Column, j: Column) -> Column:
-        part = F.array_distinct(F.slice(ordered, i, j - i + 1))
-        shared = F.size(F.array_intersect(part, asked))
-        return shared / (F.size(asked) + F.size(part) - shared)
+    @F.arrow_udf("double")
+    def scored(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for a, b in batches:
+            yield pa.array([extent_score(x, y, least) for x, y in zip(a.to_pylist(), b.to_pylist(), strict=True)], pa.float64())
 
-    best = F.array_max(F.flatten(F.transform(hits, lambda i: F.transform(F.filter(hits, lambda j: j >= i), lambda j: extent(i, j)))))
-    return F.coalesce(best, F.lit(0.0))
+    return scored(asked, term)
 
 
 def variants(asked: DataFrame, lexicon: DataFrame, least: float = LEAST, most: int = MOST_VARIANTS) -> DataFrame:
@@ -52,9 +78,10 @@ def variants(asked: DataFrame, lexicon: DataFrame, least: float = LEAST, most: i
     rarest = Window.partitionBy("token").orderBy("held", "gram")
     probes = wanted.join(spread, "gram").withColumn("nth", F.row_number().over(rarest)).where(F.col("nth") <= F.size("asked") - need + 1)
     # A token whose trigrams are missing from the lexicon altogether has those among its rarest: they probe nothing.
-    found = probes.select("token", "asked", "gram").join(postings, "gram").select("token", "asked", "term").distinct()
-    near = found.where(F.col("term") != F.col("token")).withColumn("ordered", trigrams(F.col("term"))).where(F.size(F.array_intersect("asked", "ordered")) >= need)
-    scored = near.withColumn("similarity", F.round(word_similarity(F.col("asked"), F.col("ordered")), 6)).where(F.col("similarity") >= least)
+    # By a stated number of partitions: pairs are small, but each costs time in Python.
+    parts = int(lexicon.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = probes.select("token", "gram").join(postings, "gram").select("token", "term").repartition(parts, "token", "term").distinct().where(F.col("term") != F.col("token"))
+    scored = found.withColumn("similarity", F.round(word_similarity(F.col("token"), F.col("term"), least), 6)).where(F.col("similarity") >= least)
     best = Window.partitionBy("token").orderBy(F.desc("similarity"), F.desc("ndoc"), "term")
     return scored.join(terms, "term").select("token", "term", "similarity", "ndoc", F.row_number().over(best).alias("rank")).where(F.col("rank") <= most)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from statuta.functions import paths
-from statuta.operators import expansion, search, structure
+from statuta.operators import expansion, grids, resolution, search, spans, structure, totals
 from statuta.plans.registry import query, unmatched
 from statuta.sources.tables import checkpointed, table
 
@@ -138,3 +138,92 @@ select doc, path, row_number() over (partition by doc order by key)::int as plac
 def document_order(spark: SparkSession, d: str) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("doc").orderBy(paths.order_key(F.col("path"))))
     return _eids(spark, d).select("doc", "path", place.alias("place"))
+
+
+@unmatched
+def numeric_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """Of each text: its numeric tokens by kind, the text with sentinels, and whether it comes back from it."""
+    found = acts(spark, d).select("doc_id", "text", spans.numeric_tokens(F.col("text")).alias("e")).where("e is not null")
+    surfaces = F.transform("e.tokens", lambda t: t["surface"])
+    back = spans.numbers_restored(F.col("e.encoded"), F.col("e.opener"), F.col("e.closer"), surfaces)
+    digest = F.array_join(F.transform("e.tokens", lambda t: F.concat_ws(":", t["start"], t["end"], t["kind"], t["target"])), ";")
+    return found.select("doc_id", F.size("e.tokens").cast("long").alias("n_tokens"), F.sha2("e.encoded", 256).alias("encoded_sha256"), F.sha2(digest, 256).alias("tokens_sha256"), ((back["text"] == F.col("text")) & (F.size(back["missing"]) == 0)).alias("restored"))
+
+
+def termed(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with the words of five letters or more that they write with a capital."""
+    names = F.array_distinct(F.regexp_extract_all("text", F.lit(r"(?<![\p{L}\p{N}_])(\p{Lu}\p{Ll}{4,})(?![\p{L}\p{N}_])"), F.lit(1)))
+    return table(spark, d, "documents").select("doc_id", "text", names.alias("terms"))
+
+
+@unmatched
+def own_terms(spark: SparkSession, d: str) -> DataFrame:
+    return spans.term_occurrences(termed(spark, d), "doc_id", "text", "terms")
+
+
+def tariff_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Cells of a table for each order: a header, a band where a row is returned, nested codes, dashes, spans."""
+    n, part = F.col("l_linenumber"), F.col("l_partkey")
+    lit = lambda x: F.lit(x) if isinstance(x, (str, int)) else x
+
+    def cell(at: int, text, wide: int = 1, deep=1, head: bool = False):
+        return F.struct(F.lit(at).alias("cell"), lit(text).cast("string").alias("text"), lit(wide).alias("colspan"), lit(deep).alias("rowspan"), F.lit(head).alias("is_header"))
+
+    said = F.concat(F.repeat(F.lit("- "), (part % 3).cast("int")), F.lit("goods of "), F.date_format("l_shipdate", "MMMM yyyy"))
+    code = F.concat(F.lit("12"), F.substring(F.lit("345678"), F.lit(1), n - 1))
+    deep = F.when(n % 3 == 1, 2).otherwise(1)
+    own = F.when(n % 3 == 2, F.array(cell(0, code), cell(1, said))).otherwise(F.array(cell(0, code), cell(1, said), cell(2, F.col("l_quantity").cast("int"), 1, deep)))
+    rows = F.array_compact(F.array(F.when(n == 1, F.array(cell(0, "Code", 1, 1, True), cell(1, "Description", 1, 1, True), cell(2, "Duty", 1, 1, True))), F.when(F.col("l_returnflag") == "R", F.array(cell(0, F.concat(F.lit("Section "), n), 3, 1, True))), own))
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("tab"), "l_linenumber", F.posexplode(rows).alias("nth", "cells"))
+    return lines.select("tab", (F.col("l_linenumber") * 4 + F.col("nth")).alias("row"), F.inline("cells"))
+
+
+@unmatched
+def table_lineage(spark: SparkSession, d: str) -> DataFrame:
+    return grids.table_rows(tariff_cells(spark, d))
+
+
+REFS = """held as (select doc, path, case when path like '%para%' then 'alias_' || substr(path, 1, 5) end as alias, path like '%\\_3' escape '\\' as excluded from u),
+refs as (select o_orderkey as ref_id, o_orderkey % 50 as doc, case o_orderkey % 8 when 0 then '#chp_' || (o_custkey % 7 + 1) || '__art_' || (o_custkey % 12) when 1 then '#art_' || (o_custkey % 12) || '_a' when 2 then '#alias_chp_' || (o_custkey % 7 + 1)
+when 3 then '/' || (o_custkey % 60) || '#sec_' || (o_custkey % 9) when 4 then '/' || (o_custkey % 60) when 5 then '/a/b' when 7 then '#para_' || (o_custkey % 10) end as target, case when o_orderkey % 5 = 0 then 1 end as resolver_version, o_orderstatus = 'F' as resolved from orders)"""
+RESOLVED = f"""with {EIDS}, {REFS}, o as (select ref_id, doc as own, coalesce(target, '') as t from refs where not (coalesce(resolver_version, -1) >= 1 and coalesce(resolved, false))),
+a as (select ref_id, starts_with(t, '#') as same, case when starts_with(t, '#') then own::varchar else nullif(regexp_extract(t, '^/([^/#]+)(#(.+))?$', 1), '') end as target_doc, nullif(case when starts_with(t, '#') then substr(t, 2) else regexp_extract(t, '^/([^/#]+)(#(.+))?$', 3) end, '') as wanted from o),
+m as (select ref_id, min(path) filter (path = wanted) as e, min(path) filter (alias = wanted) as w, count(distinct path) filter (path <> wanted and contains('__' || path || '__', '__' || wanted || '__')) as n, min(path) filter (path <> wanted and contains('__' || path || '__', '__' || wanted || '__')) as p
+from a join held on held.doc::varchar = target_doc where not excluded group by 1),
+r as (select ref_id, target_doc, case when target_doc is null then 'unparsed' when e is not null then 'resolved_exact' when w is not null then 'resolved_alias' when n > 1 then 'ambiguous' when n = 1 then 'resolved_partial' when same then 'missing_same_doc'
+when target_doc not in (select doc::varchar from held) then 'unknown_document' when wanted is null then 'resolved_document' else 'document_only' end as outcome, coalesce(e, w, p) as unit from a left join m using (ref_id))"""
+
+
+def _resolved(spark: SparkSession, d: str) -> DataFrame:
+    held = _eids(spark, d).select("doc", "path", F.when(F.col("path").contains("para"), F.concat(F.lit("alias_"), F.substring("path", 1, 5))).alias("alias"), F.col("path").endswith("_3").alias("excluded"))
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    said = lambda *x: F.concat(*[F.lit(y) if isinstance(y, str) else y.cast("string") for y in x])
+    forms = [said("#chp_", cust % 7 + 1, "__art_", cust % 12), said("#art_", cust % 12, "_a"), said("#alias_chp_", cust % 7 + 1), said("/", cust % 60, "#sec_", cust % 9), said("/", cust % 60), F.lit("/a/b"), F.lit(None).cast("string"), said("#para_", cust % 10)]
+    target = F.get(F.array(*forms), (key % 8).cast("int"))
+    refs = table(spark, d, "orders").select(key.alias("ref_id"), (key % 50).alias("doc"), target.alias("target"), F.when(key % 5 == 0, 1).alias("resolver_version"), (F.col("o_orderstatus") == "F").alias("resolved"))
+    return resolution.resolve(refs, held)
+
+
+@query(RESOLVED + " select ref_id, outcome, case when starts_with(outcome, 'resolved') then unit end as unit, case when starts_with(outcome, 'resolved') or outcome = 'document_only' then target_doc end as target_doc, case when starts_with(outcome, 'resolved') then 1 end as resolver_version from r")
+def reference_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    return _resolved(spark, d)
+
+
+@query(RESOLVED + ", c as (select outcome, count(*)::bigint as n from r group by 1) select * from c union all select 'examined', sum(n)::bigint from c")
+def reference_counters(spark: SparkSession, d: str) -> DataFrame:
+    return resolution.counters(_resolved(spark, d))
+
+
+def walk_counters(spark: SparkSession, d: str) -> DataFrame:
+    """era and counters of each act: by kind the markers and those accepted, by reason the markers rejected."""
+    found = _walked(spark, d)[1].withColumn("era", F.when(F.col("doc_id") < 0, "prose").otherwise(F.concat(F.lit("era"), (F.col("doc_id") % 3).cast("string"))))
+    forms = found.groupBy("era", "doc_id", "kind").agg(F.count("*").alias("n"), F.count_if(F.col("reason").isNull()).alias("ok"))
+    forms = forms.select("era", F.create_map(F.lit("forms"), F.create_map("kind", F.array("n", "ok"))).alias("counters"))
+    passes = found.where("reason is not null").groupBy("era", "doc_id", "reason").agg(F.count("*").alias("n"))
+    passes = passes.select("era", F.create_map(F.lit("passes"), F.create_map("reason", F.array("n", F.lit(1).cast("long")))).alias("counters"))
+    return forms.unionByName(passes)
+
+
+@unmatched
+def corpus_totals(spark: SparkSession, d: str) -> DataFrame:
+    return totals.totals(walk_counters(spark, d), 2)
