@@ -399,10 +399,7 @@ def _roots(parents: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One row for each document: doc_id, n_shingles and component_id.
-
-    Rows of a null doc_id have no name to be linked by: each is one row with its set's size and a null component.
-    """
+    """One row for each document that has a doc_id: doc_id, n_shingles and component_id."""
     repeats = _repeats(docs)
     signed = checkpointed(signatures(docs.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text")) if repeats else docs, width))
     sets = signed.where("n_shingles > 0").groupBy("s1", "s2", "n_shingles").agg(F.min(F.struct("doc_id", "bands", "sketch")).alias("first"))
@@ -433,11 +430,15 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     classes = reps.select("s1", "s2", F.col("n").alias("n_shingles"), "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     classes = classes.select("s1", "s2", "n_shingles", F.coalesce("label", "rep").alias("label"))
     out = signed.select("doc_id", "n_shingles", "s1", "s2").join(classes, ["s1", "s2", "n_shingles"], "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
-    if not repeats:
-        return out
-    unnamed = signatures(docs.where("doc_id is null").select("doc_id", "text"), width)
-    return out.unionByName(unnamed.select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id")))
+    return out.select("doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"))
+
+
+def near_duplicates_and_unnamed(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """near_duplicates, and a row for each document of a null doc_id: its set's size and a null component, as it has no name to be linked by."""
+    found, unnamed = near_duplicates(docs, width, percent), docs.where("doc_id is null").select("doc_id", "text")
+    if not unnamed.limit(1).count():
+        return found
+    return found.unionByName(signatures(unnamed, width).select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id")))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:

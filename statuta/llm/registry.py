@@ -81,7 +81,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates.near_duplicates(documents(spark, sf_dir), 4, 80)
+    found = near_duplicates.near_duplicates_and_unnamed(documents(spark, sf_dir), 4, 80)
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 

@@ -223,5 +223,5 @@ def test_empty_vectors_and_unnamed_documents(spark):
     vectors = spark.createDataFrame([(20, []), (1, []), (2, [])], "vec_id long, vector array<long>")
     assert [tuple(r) for r in top_k.top_k(vectors, vectors.where("vec_id = 20"), 20).orderBy("rank").collect()] == [(20, 1, 1, 0), (20, 2, 2, 0)]
     docs = spark.createDataFrame([(None, "a b c d e"), (None, None), (3, "a b c d e"), (4, "a b c d e"), (4, "a b c d e")], "doc_id long, text string")
-    got = sorted(((r["doc_id"] or -1, r["n_shingles"], r["component_id"]) for r in near_duplicates.near_duplicates(docs, 4, 80).collect()), key=str)
+    got = sorted(((r["doc_id"] or -1, r["n_shingles"], r["component_id"]) for r in near_duplicates.near_duplicates_and_unnamed(docs, 4, 80).collect()), key=str)
     assert got == [(-1, 0, None), (-1, 2, None), (3, 2, 3), (4, 2, 3)]
