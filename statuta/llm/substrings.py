@@ -29,7 +29,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -157,15 +158,36 @@ class Parse:
         return np.repeat(self.first[picked], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
+def _squeezed(text: Column) -> Column:
+    """A text's bytes, compressed: what a shuffle of texts writes is then two thirds."""
+
+    @F.arrow_udf("binary")
+    def squeezed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        pack = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            yield pa.array([None if t.as_py() is None else pack.compress(t.as_py().encode()) for t in batch], pa.binary())
+
+    return squeezed(text)
+
+
+def _plain(column: pa.Array) -> list[bytes | None]:
+    """The UTF-8 bytes of texts, squeezed or not."""
+    if (pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)):
+        return [None if x is None else zstandard.decompress(x) for x in column.to_pylist()]
+    return [None if x is None else x.encode() for x in column.to_pylist()]
+
+
 def _parsed(batch: pa.RecordBatch, text: int, window: int) -> Iterator[tuple[pa.RecordBatch, Parse]]:
     """Slices of a batch and their parse."""
-    lengths = np.array([0 if x is None else x for x in pa.compute.binary_length(batch.column(text)).to_pylist()])
+    column = batch.column(text)
+    sizes = [x and zstandard.frame_content_size(x) for x in column.to_pylist()] if (pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type)) else pa.compute.binary_length(column).to_pylist()
+    lengths = np.array([x or 0 for x in sizes], dtype=np.int64)
     group = np.cumsum(lengths) // SLICE_BYTES
     edges = [0, *(np.flatnonzero(np.diff(group)) + 1), len(lengths)]
     for a, b in zip(edges[:-1], edges[1:], strict=True):
         if b > a:
             part = batch.slice(a, b - a)
-            yield part, Parse([b"" if t is None else t.encode() for t in part.column(text).to_pylist()], window)
+            yield part, Parse([t or b"" for t in _plain(part.column(text))], window)
 
 
 def symbols(docs: DataFrame, window: int) -> DataFrame:
@@ -237,6 +259,7 @@ def spans_to_verify(docs: DataFrame, wanted: DataFrame, window: int) -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(ids.astype(np.int64))], names=["w1", "w2", "doc_id"])
 
     near = docs.select("doc_id", "text").where("doc_id is not null").where(may_hold(wanted, "doc_id")(F.col("doc_id")))
+    near = near.select("doc_id", _squeezed(F.col("text")).alias("text"))
     return near.join(wanted, "doc_id").select("doc_id", "text", "names", "keys").mapInArrow(emitted, "w1 long, w2 long, doc_id long")
 
 
@@ -292,14 +315,16 @@ def removed(docs: DataFrame, repeated: DataFrame, partly: DataFrame, window: int
                     here, split = gone[a:b], t.split()
                     taken.append(int(here.sum()))
                     kept.append(b" ".join([w for w, g in zip(split, here.tolist(), strict=True) if not g] if taken[-1] else split).decode())
+                whole = pa.array([None if x is None else x.decode() for x in _plain(part.column(text))], pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[: len(names)], pa.array(np.diff(parse.offsets)), pa.array(taken, pa.int64()), pa.array(kept, pa.string())],
+                    [*part.columns[:text], whole, *part.columns[text + 1 : len(names)], pa.array(np.diff(parse.offsets)), pa.array(taken, pa.int64()), pa.array(kept, pa.string())],
                     names=[*names, "n_words", "n_removed", "kept"],
                 )
 
     listed = F.coalesce(may_hold(flags, "__id")(F.coalesce("doc_id", F.lit(0))) & F.col("doc_id").isNotNull(), F.lit(False))
     marked = rest.withColumn("__listed", listed)
-    joined = marked.where("__listed").join(flags, F.col("doc_id") == F.col("__id"), "left").select(*names, "__names", "__keys", "__windows")
+    # The text goes through the shuffle squeezed, in its own place among the columns.
+    joined = marked.where("__listed").withColumn("text", _squeezed(F.col("text"))).join(flags, F.col("doc_id") == F.col("__id"), "left").select(*names, "__names", "__keys", "__windows")
     found = words(F.col("text"))
     whole = marked.where("not __listed").select(*names, F.size(found).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.array_join(found, " ").alias("kept"))
     return joined.mapInArrow(cut, schema).unionByName(whole)
