@@ -13,6 +13,7 @@ from statuta.functions import paths
 from statuta.operators import checks, graph, quality, relational, search, temporal, units
 from statuta.sources.tables import table
 from statuta.streaming import events as feed
+from statuta.streaming import runs
 
 PRIORITIES = {"1-URGENT": "urgent", "2-HIGH": "high", "3-MEDIUM": "medium", "4-NOT SPECIFIED": "unspecified", "5-LOW": "low"}
 COMMON = ["the", "of", "and", "to", "in", "a", "is", "that", "for", "on"]
@@ -383,6 +384,40 @@ def run_state_fold(spark: SparkSession, d: str) -> DataFrame:
     return feed.run_states(table(spark, d, "events"), "user_id", "event_id", "event_type", ["purchase"])
 
 
+RUN_EVENTS = """l as (select user_id * 8 + event_id % 8 as run, ts, event_id as seq, floor(value)::bigint amount,
+case event_type when 'click' then 'start' when 'view' then 'claim' when 'purchase' then 'succeed' when 'error' then case when event_id // 8 % 2 = 0 then 'fail' else 'cancel' end
+else case event_id // 8 % 4 when 0 then 'seal' when 1 then 'count' when 2 then 'reopen' else 'pause' end end as kind from events where user_id is not null and ts is not null),
+o as (select *, row_number() over (partition by run order by ts, seq) rn from l),
+w as (select run, 0::bigint rn, null::timestamp ts, null::bigint seq, '' kind, 'queued' before, 'queued' after, false started, 0::bigint items, false accepted, null::bigint item from (select distinct run from o)
+union all select o.run, o.rn, o.ts, o.seq, o.kind, w.after, case when o.kind = 'start' and w.after in ('queued', 'running') then 'running'
+when o.kind in ('succeed', 'fail', 'cancel') and w.after in ('queued', 'running') then case o.kind when 'succeed' then 'succeeded' when 'fail' then 'failed' else 'cancelled' end
+when o.kind = 'reopen' and not w.started and w.after = 'failed' then 'queued' else w.after end,
+w.started or (o.kind = 'start' and w.after in ('queued', 'running')), case o.kind when 'claim' then w.items + 1 when 'count' then o.amount else w.items end,
+case when o.kind in ('claim', 'seal', 'count') then true when o.kind in ('start', 'succeed', 'fail', 'cancel') then w.after in ('queued', 'running') when o.kind = 'reopen' then not w.started and w.after in ('queued', 'failed') else false end,
+case when o.kind = 'claim' then w.items end from w join o on o.run = w.run and o.rn = w.rn + 1)"""
+
+
+def run_events(rows: DataFrame) -> DataFrame:
+    """run, ts, seq, kind and amount from the event log."""
+    turn = F.expr("event_id div 8")
+    ends = F.when(turn % 2 == 0, "fail").otherwise("cancel")
+    rest = F.when(turn % 4 == 0, "seal").when(turn % 4 == 1, "count").when(turn % 4 == 2, "reopen").otherwise("pause")
+    kind = F.when(F.col("event_type") == "click", "start").when(F.col("event_type") == "view", "claim").when(F.col("event_type") == "purchase", "succeed").when(F.col("event_type") == "error", ends).otherwise(rest)
+    return rows.select((F.col("user_id") * 8 + F.col("event_id") % 8).alias("run"), "ts", F.col("event_id").alias("seq"), kind.alias("kind"), F.floor("value").cast("long").alias("amount"))
+
+
+@query(f"with recursive {RUN_EVENTS} select run, seq, kind, before, after, accepted, item from w where rn > 0")
+def run_transitions(spark: SparkSession, d: str) -> DataFrame:
+    return runs.transitions(run_events(table(spark, d, "events"))).drop("ts")
+
+
+@query(f"""with recursive {RUN_EVENTS} select run, max_by(after, rn) status, min(ts) filter (where accepted and kind = 'start') started_at,
+case when max_by(after, rn) in ('succeeded', 'failed', 'cancelled') then max(ts) filter (where accepted and kind in ('succeed', 'fail', 'cancel')) end completed_at,
+count(*) filter (where kind = 'claim')::bigint claims, coalesce(bool_or(kind = 'seal'), false) sealed, count(*)::bigint events, count(*) filter (where not accepted)::bigint refused from w where rn > 0 group by run""")
+def run_machine(spark: SparkSession, d: str) -> DataFrame:
+    return runs.states(runs.transitions(run_events(table(spark, d, "events"))))
+
+
 @query("select time_bucket(interval 1 hour, ts) as start, event_type, count(*)::bigint n, round(sum(value), 4) total from events group by 1, 2")
 def tumbling_counts(spark: SparkSession, d: str) -> DataFrame:
     return feed.tumbling_counts(table(spark, d, "events"))
