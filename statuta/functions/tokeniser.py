@@ -10,6 +10,7 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from statuta.functions.english import english_stem
 from statuta.functions.paths import ZEROS
 
 SLICE = 200
@@ -34,6 +35,8 @@ def arabic_stem(word: str) -> str:
 
 
 STEMMERS: dict[str, Callable[[str], str]] = {"ara": arabic_stem}
+#: All stemmers there are; the default keeps English words whole.
+ALL_STEMMERS = STEMMERS | {"eng": english_stem}
 
 
 def folded(lang: str | None) -> str:

@@ -22,6 +22,36 @@ def walk(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
     return out.select("depth", "src", "dst")
 
 
+def citation_chain(edges: DataFrame, start: DataFrame, inbound: bool = False, depth: int = 3, classes: list[str] | None = None, allowed: DataFrame | None = None) -> DataFrame:
+    """Edges on the paths that lead out of the start nodes (column node), or into them: start, edge_id, edge_class, node, depth and truncated.
+
+    `edges`: edge_id, src, dst and edge_class. A path goes on from each node that it reaches unless it
+    was there before; an edge without a far node is a leaf. Each path tells its edges, so one edge may
+    come several times. `classes` (none given: all; empty: none) and `allowed` (nodes; a missing
+    far node passes) hold at every hop. `depth` is kept within 1 and 10; `truncated` tells of a start
+    whether some path has that length. Null starts reach nothing; repeated ones count once.
+    """
+    depth = min(max(depth, 1), 10)
+    near, far = ("dst", "src") if inbound else ("src", "dst")
+    hops = edges.select(F.col(near).alias("near"), F.col(far).alias("node"), "edge_id", "edge_class").where("near is not null")
+    if inbound:
+        hops = hops.where("node is not null")
+    if classes is not None:
+        hops = hops.where(F.col("edge_class").isin(*classes) if classes else F.lit(False))
+    if allowed is not None:
+        kept = hops.join(allowed.select("node").where("node is not null").distinct(), "node", "left_semi").select(hops.columns)
+        hops = kept.unionByName(hops.where("node is null"))
+    at = start.where("node is not null").select(F.col("node").alias("start"), F.col("node").alias("near"), F.array().cast(f"array<{dict(start.dtypes)['node']}>").alias("visited")).distinct()
+    out = None
+    for i in range(1, depth + 1):
+        # Each level is written once: the next one starts from its rows, not from all levels before.
+        step = checkpointed(at.join(hops, "near").select("start", F.lit(i).alias("depth"), "edge_id", "edge_class", "node", F.concat("visited", F.array("near")).alias("visited")))
+        out = step if out is None else out.unionByName(step)
+        at = step.where("node is not null and not array_contains(visited, node)").select("start", F.col("node").alias("near"), "visited")
+    capped = step.select("start").distinct().withColumn("truncated", F.lit(True))
+    return out.drop("visited").join(capped, "start", "left").select("start", "edge_id", "edge_class", "node", "depth", F.coalesce("truncated", F.lit(False)).alias("truncated"))
+
+
 def nearest_value(nodes: DataFrame, rounds: int | None = None) -> DataFrame:
     """node, value and hops of the nearest node up the parents that has a value (node, parent, value).
 

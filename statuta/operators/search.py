@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from statuta.functions.tokeniser import tokens
+from statuta.functions.tokeniser import ALL_STEMMERS, tokens
 from statuta.sources.tables import checkpointed
 
 K1, B, RRF = 1.2, 0.75, 60
@@ -23,6 +23,11 @@ def ascii_tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit("[a-z]+"), F.lit(0))
 
 
+def stored_form(text: Column, lang: Column | None = None) -> Column:
+    """The stems of a text joined by blanks, as an index stores them; a placeholder's form is empty, so that no query finds it."""
+    return F.when(F.coalesce(exclusion_reason(text) == "placeholder", F.lit(False)), "").otherwise(F.array_join(tokens(text, lang, ALL_STEMMERS), " "))
+
+
 def postings(docs: DataFrame, key: str, text: str, tokenise: Callable[[Column], Column] = tokens) -> DataFrame:
     """term, key and tf."""
     return _counted(docs.select(key, tokenise(F.col(text)).alias("words")), key)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statuta.functions import paths
+from statuta.functions.tokeniser import ALL_STEMMERS
 from statuta.operators import checks, graph, quality, relational, search, temporal, units
 from statuta.sources.tables import table
 from statuta.streaming import events as feed
@@ -162,6 +163,12 @@ def lexicon_words(spark: SparkSession, d: str) -> DataFrame:
     return search.lexicon(table(spark, d, "documents"), "doc_id", "text", lambda text: search.tokens(text, F.col("lang")))
 
 
+@unmatched
+def lexicon_stems(spark: SparkSession, d: str) -> DataFrame:
+    """The stems of all documents, by each document's language, and how many documents hold them."""
+    return search.lexicon(table(spark, d, "documents"), "doc_id", "text", lambda text: search.tokens(text, F.col("lang"), ALL_STEMMERS))
+
+
 BM25 = f"""t as (select doc_id, {TOKENS} w from documents), s as (select doc_id, len(w) dl from t), a as (select count(*) n, avg(dl) avgdl from s),
 p as (select term, doc_id, count(*) tf from (select doc_id, unnest(w) term from t) group by 1, 2), f as (select term, count(*) df from p group by 1),
 q as (select distinct item_id, unnest({TOKENS}) term from benchmark),
@@ -250,6 +257,38 @@ def citation_walk_out(spark: SparkSession, d: str) -> DataFrame:
     return graph.walk(_edges(spark, d), start, 6)
 
 
+CITED = """e as (select l_orderkey * 10 + l_linenumber as edge_id, l_suppkey as src, case when l_returnflag <> 'R' then l_partkey % (select count(*) from supplier) + 1 end as dst, l_shipmode as edge_class from lineitem where l_shipmode in ('AIR', 'RAIL') and l_quantity > 45),
+j as (select s_suppkey node from supplier where s_nationkey <> 7)"""
+
+
+def _cited(spark: SparkSession, d: str) -> DataFrame:
+    lines, n = table(spark, d, "lineitem"), table(spark, d, "supplier").count()
+    target = F.when(F.col("l_returnflag") != "R", F.col("l_partkey") % n + 1)
+    return lines.where("l_quantity > 45").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("edge_id"), F.col("l_suppkey").alias("src"), target.alias("dst"), F.col("l_shipmode").alias("edge_class"))
+
+
+def _chain(spark: SparkSession, d: str, inbound: bool) -> DataFrame:
+    suppliers = table(spark, d, "supplier")
+    return graph.citation_chain(_cited(spark, d), suppliers.select(F.col("s_suppkey").alias("node")), inbound, 3, ["AIR", "RAIL"], suppliers.where("s_nationkey <> 7").select(F.col("s_suppkey").alias("node")))
+
+
+def _chain_sql(near: str, far: str) -> str:
+    return f"""with recursive {CITED}, h as (select edge_id, edge_class, {near} near, {far} node from e where {near} is not null and ({far} in (select node from j){' or dst is null' if far == 'dst' else ''})),
+w as (select near as start, edge_id, edge_class, node, 1 as depth, [near] visited from h where near in (select s_suppkey from supplier)
+union all select w.start, h.edge_id, h.edge_class, h.node, depth + 1, list_append(visited, h.near) from w join h on h.near = w.node where depth < 3 and not list_contains(visited, h.near))
+select start, edge_id, edge_class, node, depth, bool_or(depth = 3) over (partition by start) as truncated from w"""
+
+
+@query(_chain_sql("src", "dst"))
+def citation_chain_out(spark: SparkSession, d: str) -> DataFrame:
+    return _chain(spark, d, False)
+
+
+@query(_chain_sql("dst", "src"))
+def citation_chain_in(spark: SparkSession, d: str) -> DataFrame:
+    return _chain(spark, d, True)
+
+
 @query("""with recursive n as (select p_partkey node, nullif(p_partkey // 2, 0) parent, case when p_size % 7 = 0 then p_brand end v from part),
 w as (select node, v, parent, 0 as hops from n union all select w.node, n.v, n.parent, hops + 1 from w join n on n.node = w.parent where w.v is null) select node, v as value, hops from w where v is not null""")
 def nearest_nonnull_ancestor(spark: SparkSession, d: str) -> DataFrame:
