@@ -257,19 +257,20 @@ def citation_walk_out(spark: SparkSession, d: str) -> DataFrame:
     return graph.walk(_edges(spark, d), start, 6)
 
 
-CITED = """e as (select l_orderkey * 10 + l_linenumber as edge_id, l_suppkey as src, case when l_returnflag <> 'R' then l_partkey % (select count(*) from supplier) + 1 end as dst, l_shipmode as edge_class from lineitem where l_shipmode in ('AIR', 'RAIL') and l_quantity > 45),
+CITED = """e as (select l_orderkey * 10 + l_linenumber as edge_id, l_suppkey as src, case when l_returnflag <> 'R' then l_partkey % (select count(*) from supplier) + 1 end as dst, case when l_quantity > 49 then 'amends' when l_quantity > 48.5 then 'repeals' else 'cites' end as edge_class from lineitem where l_quantity > 49),
 j as (select s_suppkey node from supplier where s_nationkey <> 7)"""
 
 
 def _cited(spark: SparkSession, d: str) -> DataFrame:
     lines, n = table(spark, d, "lineitem"), table(spark, d, "supplier").count()
     target = F.when(F.col("l_returnflag") != "R", F.col("l_partkey") % n + 1)
-    return lines.where("l_quantity > 45").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("edge_id"), F.col("l_suppkey").alias("src"), target.alias("dst"), F.col("l_shipmode").alias("edge_class"))
+    kind = F.when(F.col("l_quantity") > 49, "amends").when(F.col("l_quantity") > 48.5, "repeals").otherwise("cites")
+    return lines.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("edge_id"), F.col("l_suppkey").alias("src"), target.alias("dst"), kind.alias("edge_class"))
 
 
 def _chain(spark: SparkSession, d: str, inbound: bool) -> DataFrame:
     suppliers = table(spark, d, "supplier")
-    return graph.citation_chain(_cited(spark, d), suppliers.select(F.col("s_suppkey").alias("node")), inbound, 3, ["AIR", "RAIL"], suppliers.where("s_nationkey <> 7").select(F.col("s_suppkey").alias("node")))
+    return graph.citation_chain(_cited(spark, d), suppliers.select(F.col("s_suppkey").alias("node")), inbound, 3, ["amends"], suppliers.where("s_nationkey <> 7").select(F.col("s_suppkey").alias("node")))
 
 
 def _chain_sql(near: str, far: str) -> str:
