@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from statuta.sources.tables import checkpointed  # noqa: F401  (the other modules take it from here)
+
 #: Words are the maximal runs of characters outside this class.
 SPACES = r"[\x20\x09-\x0D]+"
 PIECE_BYTES = 2 << 20
@@ -30,24 +32,6 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """`df` written to the shared checkpoint folder and read back, with its lineage cut.
-
-    spark.checkpoint.dir is read from the session; only where it is unset (tests on one machine)
-    a folder of the system's temporary directory is used.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="checkpoints-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint()
-
-
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop the shuffles, broadcasts and plans that nothing refers to any more.
 
