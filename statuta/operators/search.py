@@ -60,6 +60,11 @@ def bm25(docs: DataFrame, queries: DataFrame, key: str, query: str, text: str =
     terms that are asked for are aggregated again.
     """
     asked = queries.select(query, F.explode(F.array_distinct(tokenise(F.col(text)))).alias("term"))
+    return bm25_of_terms(docs, asked, key, query, text, tokenise)
+
+
+def bm25_of_terms(docs: DataFrame, asked: DataFrame, key: str, query: str, text: str = "text", tokenise: Callable[[Column], Column] = tokens) -> DataFrame:
+    """bm25 for terms at hand: `asked` has query and term, each pair once."""
     worded = _worded(docs, key, text, tokenise)
     sized = worded.select(key, F.size("words").alias("dl"))
     stats = sized.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
@@ -80,19 +85,27 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", query: str = "query_id") -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", query: str = "query_id", within: str | None = None) -> DataFrame:
     """query, key, score (dot product) and rank of the k best vectors for every row of `queries` (query, vector).
 
+    With `within`, a column of both sides, a query sees only the vectors of its own value there; null sees none.
     Each block of vectors meets each block of queries once, and a pair of blocks tells k rows a query
     at most. Vectors that have no product with the query's (null, NaN, other lengths) come last, with null.
     """
-    blocks = [max(1, -(-queries.count() // QUERY_BLOCK)), max(VECTOR_BLOCKS, -(-vectors.count() // VECTOR_BLOCK))]
+    if within is None:
+        blocks = [F.lit(max(1, -(-queries.count() // QUERY_BLOCK))), F.lit(max(VECTOR_BLOCKS, -(-vectors.count() // VECTOR_BLOCK)))]
+    else:
+        sizes = [df.groupBy(within).agg(F.ceil(F.count("*") / size).alias(name)) for df, size, name in ((queries, QUERY_BLOCK, "__q"), (vectors, VECTOR_BLOCK, "__b"))]
+        sized = checkpointed(sizes[0].join(sizes[1], within))
+        queries, vectors = queries.join(sized, within), vectors.join(sized, within)
+        blocks = [F.col("__q"), F.col("__b")]
+    inside = [] if within is None else [within]
 
     def dealt(df: DataFrame, name: str, own: int, other: int) -> DataFrame:
-        at = F.pmod(F.xxhash64(name, F.lit(1)), F.lit(blocks[own])).cast("int")
-        rows = df.select(F.col(name).alias("id"), F.col(vector).cast("array<double>").alias("v"), at.alias("own"))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks[other] - 1))))
-        return rows.select("id", "v", *[F.col("own" if i == own else "other").alias(c) for i, c in enumerate(("q", "b"))])
+        at = F.pmod(F.xxhash64(name, F.lit(1)), blocks[own]).cast("int")
+        every = F.explode(F.sequence(F.lit(0), (blocks[other] - 1).cast("int"))).alias("other")
+        rows = df.select(*inside, F.col(name).alias("id"), F.col(vector).cast("array<double>").alias("v"), at.alias("own"), every)
+        return rows.select(*inside, "id", "v", *[F.col("own" if i == own else "other").alias(c) for i, c in enumerate(("q", "b"))])
 
     def best(asked: pa.Table, held: pa.Table) -> pa.Table:
         ids = held.column("id").to_numpy()
@@ -115,7 +128,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
         return pa.table({query: pa.array(out[query], asked.column("id").type), key: pa.array(out[key], held.column("id").type), "score": pa.array(out["score"], pa.float64())})
 
     kinds = dict(queries.dtypes)[query], dict(vectors.dtypes)[key]
-    cells = [df.groupBy("q", "b") for df in (dealt(queries, query, 0, 1), dealt(vectors, key, 1, 0))]
+    cells = [df.groupBy(*inside, "q", "b") for df in (dealt(queries, query, 0, 1), dealt(vectors, key, 1, 0))]
     found = cells[0].cogroup(cells[1]).applyInArrow(best, f"`{query}` {kinds[0]}, `{key}` {kinds[1]}, score double")
     return ranked(found, [query], key, k)
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from statuta.functions import paths
 from statuta.functions.tokeniser import ALL_STEMMERS
-from statuta.operators import checks, graph, quality, relational, search, temporal, units
+from statuta.operators import checks, graph, quality, relational, retrieval, search, temporal, units
 from statuta.sources.tables import table
 from statuta.streaming import events as feed
 from statuta.streaming import runs
@@ -231,14 +231,60 @@ def rrf_fusion_all(spark: SparkSession, d: str) -> DataFrame:
     return search.fuse([lexical, dense], "doc_id", 10, by=["item_id"])
 
 
-@query("""select case when trim(coalesce(text, ''), ' ') = '' then 'kept' when regexp_matches(trim(text, ' '), '^\\[[a-z ]+\\]$') then 'placeholder'
+REASON = """case when trim(coalesce(text, ''), ' ') = '' then 'kept' when regexp_matches(trim(text, ' '), '^\\[[a-z ]+\\]$') then 'placeholder'
 when len(regexp_split_to_array(trim(text, ' '), '[ \\t\\n]+')) < 25 and regexp_matches(trim(text, ' '), '\\|.*\\||\\.{4,}|_{4,}') then 'table'
 when len(regexp_split_to_array(trim(text, ' '), '[ \\t\\n]+')) < 25 and length(regexp_replace(trim(text, ' '), '[^0-9A-Za-z]', '', 'g')) > 0
- and length(regexp_replace(trim(text, ' '), '[^0-9]', '', 'g')) / length(regexp_replace(trim(text, ' '), '[^0-9A-Za-z]', '', 'g')) > 0.3 then 'digits' else 'kept' end reason, count(*)::bigint n from documents group by 1""")
+ and length(regexp_replace(trim(text, ' '), '[^0-9]', '', 'g')) / length(regexp_replace(trim(text, ' '), '[^0-9A-Za-z]', '', 'g')) > 0.3 then 'digits' else 'kept' end"""
+
+
+@query(f"select {REASON} reason, count(*)::bigint n from documents group by 1")
 def exclusion_reason(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").groupBy(F.coalesce(search.exclusion_reason(F.col("text")), F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
 
 
+HYBRID = f"""with {BM25},
+d as (select * from (select doc_id, lang, source, {REASON} reason from documents) where reason = 'kept' and doc_id not in (select doc_id from labels where quality = 0 and doc_id is not null)),
+i as (select item_id, doc_id, lang, source from benchmark, d where item_id % 3 = 0 or (item_id % 3 = 1 and length(source) = 4) or (item_id % 3 = 2 and right(source, 1) = '7')),
+l as (select item_id, doc_id, row_number() over (partition by item_id order by score desc, doc_id) rank from b semi join i using (item_id, doc_id) where item_id % 10 <> 9),
+u as (select vec_id doc_id, case when label % 3 <> 0 then embedding else list_reverse(embedding) end::double[] v from embeddings),
+v as (select item_id, doc_id, row_number() over (partition by item_id order by round(list_cosine_similarity(u.v, e.embedding::double[]), 6) desc, doc_id) rank from i join u using (doc_id) join embeddings e on e.vec_id = item_id + 4),
+w as (select item_id, doc_id, round(sum(1.0::double / (60 + rank)), 8) score from (select * from l where rank <= 50 union all select * from v where rank <= 50 and item_id in (select item_id from l)) group by 1, 2
+ union all select item_id, doc_id, 0.0::double from v where rank <= 10 and item_id not in (select item_id from l)),
+r as (select w.item_id, w.doc_id, w.score, row_number() over (partition by w.item_id order by w.score desc, coalesce(case when w.score = 0 then v.rank end, 0), w.doc_id)::int rank from w left join v on v.item_id = w.item_id and v.doc_id = w.doc_id)
+select item_id, doc_id, score, rank, lang, source from r join i using (item_id, doc_id) where rank <= 10"""
+
+
+@query(HYBRID)
+def hybrid_scoped(spark: SparkSession, d: str) -> DataFrame:
+    """Every benchmark item in its scope of sources: poor documents and placeholders stay out, items without a text are answered by vectors alone.
+
+    Vectors are of a new model where label % 3 isn't 0; an old model, here the reversed vectors, stands in for the others.
+    """
+    return _hybrid(spark, d, search.ascii_tokens)
+
+
+@unmatched
+def hybrid_scoped_stems(spark: SparkSession, d: str) -> DataFrame:
+    """hybrid_scoped of the stems of whole words: documents by their language, items by every language of their scope."""
+    return _hybrid(spark, d, lambda text: search.tokens(text, F.col("lang"), ALL_STEMMERS))
+
+
+def _hybrid(spark: SparkSession, d: str, tokenise) -> DataFrame:
+    docs, items, rows = table(spark, d, "documents"), table(spark, d, "benchmark"), table(spark, d, "embeddings")
+    poor = table(spark, d, "labels").where("quality = 0").select("doc_id", F.lit(False).alias("normative")).distinct()
+    excluded = search.exclusion_reason(F.col("text")).isNotNull().alias("excluded")
+    found = docs.join(poor, "doc_id", "left").select(F.col("doc_id").alias("unit"), F.col("source").alias("version"), "text", "lang", F.lit("document").alias("kind"), F.coalesce("normative", F.lit(True)).alias("normative"), excluded)
+    new = rows.where("label % 3 <> 0").select(F.col("vec_id").alias("unit"), F.lit("new").alias("model"), F.col("embedding").alias("vector"))
+    vectors = new.unionByName(rows.select(F.col("vec_id").alias("unit"), F.lit("old").alias("model"), F.reverse("embedding").alias("vector")))
+    asked = items.select(F.col("item_id").alias("query"), (F.col("item_id") % 3).alias("scope"), F.when(F.col("item_id") % 10 != 9, F.col("text")).alias("text"))
+    asked = asked.join(rows.select((F.col("vec_id") - 4).alias("query"), F.col("embedding").alias("vector")), "query", "left")
+    held = [F.lit(0), F.when(F.length("source") == 4, 1), F.when(F.right("source", F.lit(1)) == "7", 2)]
+    scopes = docs.select("source").distinct().select(F.explode(F.array_compact(F.array(*held)).cast("array<long>")).alias("scope"), F.col("source").alias("version"))
+    best = retrieval.hybrid(found, vectors, asked, scopes, 10, 50, "new", "old", tokenise=tokenise)
+    told = retrieval.enriched(best, docs.select(F.col("doc_id").alias("unit"), "lang", "source"), [])
+    return told.select(F.col("query").alias("item_id"), F.col("unit").alias("doc_id"), "score", "rank", "lang", "source")
+
+
 EDGES = "e as (select p_partkey src, (p_partkey * 7 + 3) % (select count(*) from part) dst from part union all select p_partkey, p_partkey // 2 from part where p_size % 3 = 0)"
 
 
