@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from statuta.functions import paths
-from statuta.operators import expansion, grids, resolution, search, spans, structure, totals
+from statuta.operators import expansion, grids, resolution, search, spans, structure, totals, validation
 from statuta.plans.registry import query, unmatched
 from statuta.sources.tables import checkpointed, table
 
@@ -77,6 +77,24 @@ def structure_coverage(spark: SparkSession, d: str) -> DataFrame:
     return structure.coverage(_cut(spark, d)).drop("version")
 
 
+def _findings(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    cut = checkpointed(_cut(spark, d).select("doc_id", "path", "line", "body"))
+    named = F.explode(F.regexp_extract_all(F.lower("body"), F.lit("title ([0-9]+)"), F.lit(1))).alias("n")
+    references = cut.select("doc_id", named).select("doc_id", F.concat(F.lit("#art_"), "n").alias("href"))
+    parents = {"para": ["art", "chp"], "item": ["point", "art"], "point": ["art", "para"]}
+    return cut, validation.findings(cut, ["art", "para", "point"], parents, "art", ["chp"], references)
+
+
+@unmatched
+def validator_findings(spark: SparkSession, d: str) -> DataFrame:
+    return _findings(spark, d)[1]
+
+
+@unmatched
+def validator_grades(spark: SparkSession, d: str) -> DataFrame:
+    return validation.graded(*_findings(spark, d))
+
+
 def number_runs(spark: SparkSession, d: str) -> DataFrame:
     """doc (user and block of 500 events) and its numbers in order: event numbers with digits misread here and there."""
     nth = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
