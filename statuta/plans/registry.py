@@ -364,6 +364,18 @@ def state_at(spark: SparkSession, d: str) -> DataFrame:
     return temporal.state_at(_effects(spark, d), F.lit("1996-06-30").cast("timestamp"))
 
 
+@query(f"""with {EFFECTS}, y as (select * from x where coalesce(applied, true) and unit is not null), k as (select distinct unit, date from y where date is not null union all select distinct unit, null from y),
+m as (select k.unit, k.date as day, max(y.date) filter (action = 'repeal' and y.date <= k.date) r, max(y.date) filter (action = 'substitution' and y.date <= k.date) t, max(y.date) filter (action = 'commencement' and y.date <= k.date) c,
+ min(y.date) filter (action = 'other' and y.date <= k.date) o, bool_or(action = 'commencement') hc, min(y.date) filter (action = 'commencement' and (k.date is null or y.date > k.date)) nx from k join y on y.unit = k.unit group by 1, 2),
+n as (select unit, day, case when r is not null then 'repealed' when hc and c is null then 'not_yet_in_force' when t is not null then 'text_unapplied' when o is not null then 'affected' when c is not null then 'in_force' end state,
+ case when r is not null then r when hc and c is null then nx when t is not null then t when o is not null then o else c end since from m),
+g as (select *, lag(state) over w ps, lag(since) over w pn, row_number() over w rn from n window w as (partition by unit order by day nulls first))
+select unit, state, since, case when state = 'affected' then 'other' end as action, start, until from (select unit, state, since, day as start, lead(day) over (partition by unit order by day nulls first) until
+ from g where rn = 1 or state is distinct from ps or since is distinct from pn) where state is not null""")
+def state_history(spark: SparkSession, d: str) -> DataFrame:
+    return temporal.state_history(_effects(spark, d))
+
+
 @query(f"""with {EFFECTS} select count(*) filter (unit is null)::bigint no_target, count(*) filter (unit is not null and date is null and not (action = 'commencement' and not applied))::bigint undated, count(*) filter (unit is not null and (date is not null or action = 'commencement') and not applied)::bigint unapplied from x where date is null or date <= '1996-06-30'""")
 def hole_counts(spark: SparkSession, d: str) -> DataFrame:
     return temporal.holes(_effects(spark, d), F.lit("1996-06-30").cast("timestamp"))
@@ -899,7 +911,7 @@ def translation_grades(spark: SparkSession, d: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hybrid retrieval: BM25 and exact vector search, fused by reciprocal ranks."""
-    return rrf_fusion(spark, sf_dir)
+    return rrf_fusion_all(spark, sf_dir)
 
 
 def queries():
