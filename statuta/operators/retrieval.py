@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from statuta.functions.tokeniser import tokens
 from statuta.operators.search import RRF, bm25_of_terms, fuse, nearest, ranked
+from statuta.sources.tables import checkpointed
 
 
 def in_pool(kind: str | None = None, non_normative: bool = False) -> Column:
@@ -77,15 +78,15 @@ def hybrid(
     if units.groupBy("unit").count().where("count > 1").limit(1).count():
         units = units.dropDuplicates(["unit"])
     inside = scopes.select("scope", "version").where("scope is not null").distinct()
-    placed = units.where(in_pool(kind, non_normative)).select("unit", "version").join(inside, "version").select("scope", "unit")
+    placed = checkpointed(units.where(in_pool(kind, non_normative)).select("unit", "version").join(inside, "version").select("scope", "unit"))
     languages = units.select("version", "lang").distinct().join(inside, "version").select("scope", "lang").distinct()
-    terms = query_terms(asked, languages, tokenise, variants)
+    terms = checkpointed(query_terms(asked, languages, tokenise, variants))
     scored = bm25_of_terms(units, terms, "unit", "query", "text", tokenise)
     lexical = ranked(scored.join(asked.select("query", "scope"), "query").join(placed, ["scope", "unit"], "left_semi").drop("scope"), ["query"], "unit", pool)
     held = usable_vectors(vectors, model, fallback).select("unit", unit_length(F.col("vector")).alias("v")).where("v is not null").dropDuplicates(["unit"])
     wanted = asked.select("query", "scope", unit_length(F.col("vector")).alias("v")).where("v is not null")
     # A vector of another length than the query's has no product with it.
-    dense = nearest(held.join(placed, "unit"), wanted, pool, "unit", "v", "query", within="scope").where("score is not null")
+    dense = checkpointed(nearest(held.join(placed, "unit"), wanted, pool, "unit", "v", "query", within="scope").where("score is not null"))
     worded = terms.select("query").distinct()
     fused = fuse([lexical, dense.join(worded, "query", "left_semi")], "unit", k, constant, ["query"])
     alone = dense.join(worded, "query", "left_anti").where(F.col("rank") <= k).withColumn("score", F.lit(0.0))
