@@ -3,13 +3,19 @@
 A document is read line by line. Documents are told apart by `doc_id` and `version` (a hash of the
 text): rows equal in both are one document, one id with several texts is several documents. Null
 texts have no lines. Windows go over the lines or marks of one document, which is one row already.
+
+Where whole texts are at hand, `walked` keeps a document's row and tells the same as `lines`,
+`markers`, `assign_paths` and `units` without a shuffle of lines; `coverage_of` is its `coverage`.
 """
 
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+import re
+import unicodedata
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -20,6 +26,7 @@ KEYS = ["doc_id", "version"]
 #: Directional quotes with what closes each, and quotes that open and close by turns.
 PAIRS = (("«", "»"), ("„", "“”"))
 TURNS = ('"',)
+REASONS = ("partial_decimal_number", "inside_quoted_text", "read_as_prose_reference", "read_as_citation_run")
 
 
 @dataclass(frozen=True)
@@ -33,10 +40,14 @@ class Marker:
     outline: bool = False
 
 
+def documents(docs: DataFrame, text: str = "text") -> DataFrame:
+    """doc_id, version and text of each document."""
+    return docs.where(F.col(text).isNotNull()).select("doc_id", F.xxhash64(text).alias("version"), F.col(text).alias("text")).dropDuplicates(KEYS)
+
+
 def lines(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, version, line (from 0), paragraph and body of each line; a blank line ends a paragraph."""
-    own = docs.where(F.col(text).isNotNull()).select("doc_id", F.xxhash64(text).alias("version"), F.col(text).alias("text")).dropDuplicates(KEYS)
-    each = own.select(*KEYS, F.posexplode(F.split("text", "\n", -1)).alias("line", "body"))
+    each = documents(docs, text).select(*KEYS, F.posexplode(F.split("text", "\n", -1)).alias("line", "body"))
     blank = F.sum((F.trim(F.regexp_replace("body", r"\s", "")) == "").cast("int"))
     return each.withColumn("paragraph", blank.over(Window.partitionBy(*KEYS).orderBy("line")))
 
@@ -69,9 +80,31 @@ def quoted(rows: DataFrame, pairs: tuple = PAIRS, turns: tuple = TURNS) -> DataF
     return rows.join(starts, [*KEYS, "line"])
 
 
-def _number(body: Column, word: str, group: int) -> Column:
+def _fields(body: Column, config: list[Marker]) -> list[Column]:
+    """Keyword (empty: the line begins with none), number (empty: none) and rest of a line, of the first keyword of `config` that fits."""
     number = r"([0-9]+(?:[ \t]?bis|[a-z])?|[IVXLCDM]+)"
-    return F.regexp_extract(body, rf"(?s)^[ \t]*({word})(?:[ \t]+{number})?(?![0-9A-Za-z])(.*)$", group)
+    words = "|".join(w for m in config for w in m.words)
+    shape = rf"(?s)^[ \t]*({words})(?:[ \t]+{number})?(?![0-9A-Za-z])(.*)$"
+    return [F.regexp_extract(body, shape, group) for group in (1, 2, 3)]
+
+
+def _kind(keyword: Column, config: list[Marker]) -> Column:
+    kind = F.lit(None).cast("string")
+    for m in reversed(config):
+        kind = F.when(keyword.rlike(f"^(?:{'|'.join(m.words)})$"), m.kind).otherwise(kind)
+    return kind
+
+
+def _reason(number: Column, after: Column, quoted: Column) -> Column:
+    run = after.rlike(r"^[ \t]*(?:,|-|[ \t](?:and|to))[ \t]*[0-9]")
+    return (
+        F.when((number != "") & after.rlike(r"^\.[0-9]"), "partial_decimal_number").when(quoted, "inside_quoted_text")
+        .when(~run & after.rlike(r"^(?:[ \t]+\p{Ll}|[ \t]*[,;)])"), "read_as_prose_reference").when(run, "read_as_citation_run")
+    )
+
+
+def _heading(rest: Column) -> Column:
+    return F.nullif(F.regexp_replace(rest, "^[ .\\-—:\t\r]+|[ .\\-—:\t\r]+$", ""), F.lit(""))
 
 
 def markers(rows: DataFrame, config: list[Marker]) -> DataFrame:
@@ -81,21 +114,44 @@ def markers(rows: DataFrame, config: list[Marker]) -> DataFrame:
     inside_quoted_text, read_as_prose_reference (lower-case text follows), read_as_citation_run (more numbers follow).
     Where keywords of several kinds fit, the first of `config` counts. A marker without a number has none.
     """
-    words = [(m, "|".join(m.words)) for m in config]
-    kind, keyword, number, rest = F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.lit(None).cast("string")
-    for m, word in reversed(words):
-        fits = _number(F.col("body"), word, 1) != ""
-        kind, keyword = F.when(fits, m.kind).otherwise(kind), F.when(fits, _number(F.col("body"), word, 1)).otherwise(keyword)
-        number, rest = F.when(fits, _number(F.col("body"), word, 2)).otherwise(number), F.when(fits, _number(F.col("body"), word, 3)).otherwise(rest)
-    found = rows.withColumns({"kind": kind, "keyword": keyword, "number": F.nullif(number, F.lit("")), "rest": rest}).where("kind is not null")
-    after = F.col("rest")
-    run = after.rlike(r"^[ \t]*(?:,|-|[ \t](?:and|to))[ \t]*[0-9]")
-    reason = (
-        F.when(F.col("number").isNotNull() & after.rlike(r"^\.[0-9]"), "partial_decimal_number").when(F.col("quoted"), "inside_quoted_text")
-        .when(~run & after.rlike(r"^(?:[ \t]+\p{Ll}|[ \t]*[,;)])"), "read_as_prose_reference").when(run, "read_as_citation_run")
-    )
-    heading = F.nullif(F.regexp_replace("rest", "^[ .\\-—:\t\r]+|[ .\\-—:\t\r]+$", ""), F.lit(""))
-    return found.select(*KEYS, "line", "kind", "keyword", "number", heading.alias("heading"), reason.alias("reason"))
+    keyword, number, rest = _fields(F.col("body"), config)
+    found = rows.withColumns({"keyword": keyword, "own": number, "rest": rest}).where("keyword <> ''")
+    reason = _reason(F.col("own"), F.col("rest"), F.col("quoted"))
+    return found.select(*KEYS, "line", _kind(F.col("keyword"), config).alias("kind"), "keyword", F.nullif("own", F.lit("")).alias("number"), _heading(F.col("rest")).alias("heading"), reason.alias("reason"))
+
+
+def quoted_lines(text: str, pairs: tuple = PAIRS, turns: tuple = TURNS) -> list[bool]:
+    """Whether each line begins inside a quoted span of its paragraph; none listed where no line does.
+
+    The spans of `quoted`, by stacks: a closer takes the last opener that is open. Spans are counted
+    where they begin and end, so that nested ones cost nothing more.
+    """
+    rows = text.split("\n")
+    steps = [0] * (len(rows) + 1)
+    kinds = {o: (i, True) for i, (o, _) in enumerate(pairs)} | {c: (i, False) for i, (_, closers) in enumerate(pairs) for c in closers}
+    sign = re.compile("[" + re.escape("".join([*kinds, *turns])) + "]")
+    stacks: list[list[int]] = [[] for _ in pairs]
+    open_turn: dict[str, int] = {}
+    for at, body in enumerate(rows):
+        if not body.strip(" \t\x0b\f\r"):
+            stacks, open_turn = [[] for _ in pairs], {}
+            continue
+        for c in sign.findall(body):
+            begun = None
+            if c in turns:
+                begun = open_turn.pop(c, None)
+                if begun is None:
+                    open_turn[c] = at
+            elif kinds[c][1]:
+                stacks[kinds[c][0]].append(at)
+            elif stacks[kinds[c][0]]:
+                begun = stacks[kinds[c][0]].pop()
+            if begun is not None and begun < at:
+                steps[begun + 1] += 1
+                steps[at + 1] -= 1
+    if not any(steps):
+        return []
+    return [n > 0 for n in itertools.accumulate(steps[:-1])]
 
 
 def canonical(number: Column) -> Column:
@@ -116,35 +172,17 @@ def assign_paths(anchors: DataFrame, config: list[Marker]) -> DataFrame:
     below it, and the event restarted_list. Anchors of unknown kinds are inmost. Only one document's
     state is held.
     """
-    about = {m.kind: m for m in config}
     kinds = [pa.int32(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.string()]
     names = [*KEYS, *(c.split()[0] for c in PATHS.split(", "))]
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, stack, seen, gone = object(), [], {}, None
+        now, place = object(), None
         for batch in batches:
             out = []
             for doc, version, line, kind, number, own in zip(*(batch.column(c).to_pylist() for c in (*KEYS, "line", "kind", "number", "own")), strict=True):
                 if (doc, version) != now:
-                    now, stack, seen, gone = (doc, version), [], {}, None
-                marker = about.get(kind)
-                rank, short, outline = (marker.rank, marker.short, marker.outline) if marker else (float("inf"), kind, False)
-                if gone is not None and outline and rank > gone:
-                    out.append((line, kind, number, None, None, None, None, "restarted_list"))
-                    continue
-                gone = None
-                stack = list(itertools.takewhile(lambda s: s[0] < rank, stack))  # noqa: B023  ranks on the stack ascend
-                parent = stack[-1][1] if stack else None
-                name = f"{short}_{own}"
-                nth = seen.get((parent, name), 0) + 1
-                if nth > 1 and outline:
-                    gone = rank
-                    out.append((line, kind, number, None, parent, None, nth, "restarted_list"))
-                    continue
-                seen[parent, name] = nth
-                path = "__".join(filter(None, (parent, name if nth == 1 else f"{name}_{nth}")))
-                out.append((line, kind, number, len(stack), parent, path, nth, "duplicate_number" if nth > 1 else None))
-                stack.append((rank, path))
+                    now, place = (doc, version), _placer(config)
+                out.append((line, kind, number, *place(kind, own)))
             columns = list(zip(*out, strict=True)) if out else [[]] * len(kinds)
             yield pa.record_batch([batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=names)
 
@@ -154,6 +192,125 @@ def assign_paths(anchors: DataFrame, config: list[Marker]) -> DataFrame:
     return ordered.mapInArrow(fold, f"doc_id {id_type}, version long, {PATHS}")
 
 
+def _placer(config: list[Marker]) -> Callable[[str, str], tuple]:
+    """A function of a document's next anchor (kind, number in paths): depth, parent, path, occurrence and event."""
+    about = {m.kind: (m.rank, m.short, m.outline) for m in config}
+    stack: list[tuple[float, str]] = []
+    seen: dict[tuple[str | None, str], int] = {}
+    gone: float | None = None
+
+    def place(kind: str, own: str) -> tuple:
+        nonlocal gone
+        rank, short, outline = about.get(kind) or (float("inf"), kind, False)
+        if gone is not None and outline and rank > gone:
+            return None, None, None, None, "restarted_list"
+        gone = None
+        # Ranks on the stack ascend.
+        while stack and stack[-1][0] >= rank:
+            stack.pop()
+        parent = stack[-1][1] if stack else None
+        name = f"{short}_{own}"
+        nth = seen.get((parent, name), 0) + 1
+        if nth > 1 and outline:
+            gone = rank
+            return None, parent, None, nth, "restarted_list"
+        seen[parent, name] = nth
+        path = "__".join(filter(None, (parent, name if nth == 1 else f"{name}_{nth}")))
+        out = len(stack), parent, path, nth, "duplicate_number" if nth > 1 else None
+        stack.append((rank, path))
+        return out
+
+    return place
+
+
+def marks(text: str, config: list[Marker]) -> list[tuple]:
+    """Line, kind, keyword, number, heading and reason of the lines of a text that `markers` tells."""
+    about = {}
+    for m in config:
+        for w in m.words:
+            about.setdefault(w, m.kind)
+    shape = _shape("|".join(w for m in config for w in m.words))
+    found = list(shape.finditer(text))
+    inside = quoted_lines(text) if found and _ANY_SIGN.search(text) else []
+    out, line, at = [], 0, 0
+    for m in found:
+        line, at = line + text.count("\n", at, m.start()), m.start()
+        keyword, number, rest = m.groups()
+        run, lead = _RUN.match(rest), rest.lstrip(" \t")[:1]
+        if number and _DECIMAL.match(rest):
+            reason = "partial_decimal_number"
+        elif inside and inside[line]:
+            reason = "inside_quoted_text"
+        elif run:
+            reason = "read_as_citation_run"
+        elif lead and (lead in ",;)" or rest[0] in " \t" and unicodedata.category(lead) == "Ll"):
+            reason = "read_as_prose_reference"
+        else:
+            reason = None
+        out.append((line, about[keyword], keyword, number, rest.strip(" .-—:\t\r") or None, reason))
+    return out
+
+
+_RUN, _DECIMAL = re.compile(r"[ \t]*(?:,|-|[ \t](?:and|to))[ \t]*[0-9]"), re.compile(r"\.[0-9]")
+_ANY_SIGN = re.compile("[" + "".join(o + c for o, c in PAIRS) + "".join(TURNS) + "]")
+
+
+@lru_cache
+def _shape(words: str) -> re.Pattern:
+    return re.compile(rf"(?m)^[ \t]*({words})(?:[ \t]+([0-9]+(?:[ \t]?bis|[a-z])?|[IVXLCDM]+))?(?![0-9A-Za-z])([^\n]*)")
+
+
+def _own(number: str | None) -> str:
+    """`canonical` of a number."""
+    plain = re.sub("[^0-9a-z]+", "", (number or "").lower())
+    return re.sub("^0+(?=.)", "", plain) if plain else "0"
+
+
+def bodies(text: str, starts: list[tuple[int, str]]) -> list[tuple]:
+    """Unit, path, line and body of a text cut at its starts (line, path)."""
+    rows = text.split("\n")
+    own = starts if starts and not starts[0][0] else [(0, None), *starts]
+    ends = [*(a for a, _ in own[1:]), len(rows)]
+    first = int(own is starts)
+    return [(i, path, a, "\n".join(rows[a:b])) for i, ((a, path), b) in enumerate(zip(own, ends, strict=True), first)]
+
+
+_MARK = [("line", pa.int32()), ("kind", pa.string()), ("keyword", pa.string()), ("number", pa.string()), ("heading", pa.string()), ("reason", pa.string())]
+_ANCHOR = [("line", pa.int32()), ("kind", pa.string()), ("number", pa.string()), ("depth", pa.int32()), ("parent", pa.string()), ("path", pa.string()), ("occurrence", pa.int32()), ("event", pa.string())]
+_UNIT = [("unit", pa.int64()), ("path", pa.string()), ("line", pa.int32()), ("body", pa.string())]
+_NAMES = {pa.int32(): "int", pa.int64(): "long", pa.string(): "string"}
+
+
+def walked(docs: DataFrame, config: list[Marker], tell: str) -> DataFrame:
+    """doc_id, version and an array of structs in order for each of `documents`: as `tell` says, marks (what `markers` tells),
+    anchors (what `assign_paths` tells of the accepted ones) or units (what `units` tells).
+
+    As there, a document of a null id has no marks. A row goes through Python once.
+    """
+    kinds = {"marks": _MARK, "anchors": _ANCHOR, "units": _UNIT}[tell]
+
+    def rows(text: str, known: bool) -> list[tuple]:
+        found = marks(text, config) if known else []
+        if tell == "marks":
+            return found
+        place, anchors = _placer(config), [(m[0], m[1], m[3]) for m in found if m[5] is None]
+        placed = [(line, kind, number, *place(kind, _own(number))) for line, kind, number in anchors]
+        return placed if tell == "anchors" else bodies(text, [(a[0], a[5]) for a in placed if a[5] is not None])
+
+    @F.arrow_udf(f"array<struct<{', '.join(f'{n}: {_NAMES[k]}' for n, k in kinds)}>>")
+    def told(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, known in batches:
+            out, ends = [], [0]
+            for text, is_known in zip(texts.to_pylist(), known.to_pylist(), strict=True):
+                out += rows(text, is_known)
+                ends.append(len(out))
+            columns = list(zip(*out, strict=True)) if out else [[]] * len(kinds)
+            flat = pa.StructArray.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, kinds, strict=True)], [n for n, _ in kinds])
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+
+    return docs.select(*KEYS, told(F.col("text"), F.col("doc_id").isNotNull()).alias(tell))
+
+
 def units(rows: DataFrame, paths: DataFrame) -> DataFrame:
     """The document's text cut at its units: unit (0: what is before the first), path, first line, body.
 
@@ -173,6 +330,19 @@ def coverage(cut: DataFrame, floor: float = 0.5) -> DataFrame:
     size = F.char_length("body")
     whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("unit", "body"))), lambda x: x["body"]), "\n")
     held = cut.groupBy(*KEYS).agg(F.count("path").alias("n_units"), F.sum(F.when(F.col("path").isNotNull(), size).otherwise(0)).alias("inside"), F.sum(size).alias("all"), (F.xxhash64(whole) == F.first("version")).alias("lossless"))
+    return _gated(held, floor)
+
+
+def coverage_of(docs: DataFrame, floor: float = 0.5) -> DataFrame:
+    """`coverage` of `walked` documents with units, each from its own row."""
+    added = lambda which: F.aggregate(which, F.lit(0).cast("long"), lambda n, u: n + F.char_length(u["body"]))
+    within = F.filter("units", lambda u: u["path"].isNotNull())
+    whole = F.array_join(F.transform("units", lambda u: u["body"]), "\n")
+    held = docs.select(*KEYS, F.size(within).cast("long").alias("n_units"), added(within).alias("inside"), added(F.col("units")).alias("all"), (F.xxhash64(whole) == F.col("version")).alias("lossless"))
+    return _gated(held, floor)
+
+
+def _gated(held: DataFrame, floor: float) -> DataFrame:
     share = F.when(F.col("all") > 0, F.round(F.col("inside") / F.col("all"), 6)).otherwise(0.0)
     gate = F.when(F.col("n_units") == 0, "no_anchors").when(~F.col("lossless"), "not_lossless").when(share < floor, "below_floor").otherwise("passed")
     return held.select(*KEYS, "n_units", share.alias("share"), "lossless", gate.alias("gate"))

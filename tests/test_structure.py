@@ -222,3 +222,28 @@ def test_expanded_queries_lead_with_their_own_words(spark):
     for item, words in own.items():
         first = list(dict.fromkeys(words))
         assert found[item][: len(first)] == first and len(set(found[item])) == len(found[item]) <= 7 * len(first)
+
+
+EDGES = [
+    (1, "Article 1\nx « open\nArticle 2 closed »\nArticle 3\n \t\nArticle 4 of it\nPoint 1, 2\nPoint 1.5\nPoint 1\nItem 2\nPoint 01\nItem 3"), (1, "Chapter IV — On\r\nCHAPTER\n\tArticle 2 bis - Title \n«««\nArticle 2\n»»\nArticle 3\n\"\nArticle 4\n\"\n\"\nArticle 5"),
+    (None, "Article 1"), (2, ""), (3, "\n"), (4, "Articles\nArticle 5é\nArticle 1\nArticle 1  to 3\nParagraph 1 and 2\nParagraph XIVx\nArticle 7 Ёж\nArticle 7 ёж\nArticle 00"), (5, None),
+]
+
+
+def test_whole_documents_are_walked_as_their_lines_are(spark):
+    docs = structure.documents(spark.createDataFrame([*EDGES, EDGES[0]], "doc_id long, text string")).cache()
+    rows = structure.lines(docs)
+    found = structure.markers(structure.quoted(rows), structural.CONFIG)
+    paths = structure.assign_paths(found.where("reason is null"), structural.CONFIG)
+    told = lambda df, tell=None: sorted(map(str, (df if tell is None else structure.walked(df, structural.CONFIG, tell).select(*structure.KEYS, F.inline(tell))).collect()))
+    assert told(docs, "marks") == told(found) and len({r["reason"] for r in found.collect()}) == 5
+    assert told(docs, "anchors") == told(paths)
+    units = structure.units(rows, paths)
+    assert told(docs, "units") == told(units)
+    assert told(structure.coverage_of(structure.walked(docs, structural.CONFIG, "units"))) == told(structure.coverage(units))
+
+
+@pytest.mark.parametrize("query", [structural.marker_walk, structural.unit_paths, structural.verbatim_units, structural.structure_coverage])
+def test_texts_are_shuffled_once(spark, query):
+    plan = query(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
