@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from statuta.operators import validation
 from statuta.plans import structural
@@ -117,3 +118,10 @@ def test_whole_tables(spark, folder):
     references = [(d, "#art_" + n) for d, _, _, body in units for n in re.findall("title ([0-9]+)", (body or "").lower())]
     want = plain(units, references)
     assert found(told) == want and len({c for _, c, *_ in want}) >= 6
+
+
+def test_references_of_each_unit_and_one_shuffle(spark):
+    units = spark.createDataFrame([(*c, [h for d, h in REFERENCES if d == c[0]] if c[2] == 0 else None) for c in CASES], SCHEMA + ", hrefs array<string>")
+    told = validation.findings(units, *ARGS, F.col("hrefs"))
+    assert told._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    assert found(told) == plain(CASES, REFERENCES)
