@@ -83,8 +83,9 @@ def lineage(nodes: DataFrame, start: DataFrame, cap: int = 100) -> DataFrame:
     at = start.select(F.col("node").alias("start"), F.col("node"), F.lit(0).alias("depth"))
     out, parents = at, nodes.where("parent is not null and parent <> node").select("node", "parent")
     for _ in range(cap):
-        at = at.join(parents, "node").select("start", F.col("parent").alias("node"), (F.col("depth") + 1).alias("depth"))
-        if not at.limit(1).count():
+        # Each level is written once, and joined by a shuffle: the driver gets no table to broadcast.
+        at = checkpointed(at.hint("merge").join(parents, "node").select("start", F.col("parent").alias("node"), (F.col("depth") + 1).alias("depth")))
+        if at.isEmpty():
             break
         out = out.unionByName(at)
     return out
