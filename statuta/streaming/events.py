@@ -22,29 +22,30 @@ def within_limit(events: DataFrame, seconds: int, most: int, order: str = "event
 
     A refused event leaves no record, so it doesn't count towards later ones: the events of an actor
     are folded in order, the state being the times of the last `most` allowed ones. An actor's events
-    are one group, which holds its times only; null actors are one actor.
+    lie sorted in one partition and pass in batches; the fold holds a batch and that state. Null
+    actors are one actor.
     """
     width = seconds * 1_000_000
-    said = F.struct(F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), F.col(order).alias("key"))
-    listed = events.groupBy("user_id").agg(F.sort_array(F.collect_list(said)).alias("events"))
-
-    def fold(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in groups:
-            rows = {"user_id": [], order: [], "recent": []}
-            for user, said in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                kept: deque[int] = deque()
-                for e in said:
-                    while kept and kept[0] < e["t"] - width:
-                        kept.popleft()
-                    rows["user_id"].append(user)
-                    rows[order].append(e["key"])
-                    rows["recent"].append(len(kept))
-                    if len(kept) < most:
-                        kept.append(e["t"])
-            yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("user_id", batch.schema.field(0).type), (order, batch.schema.field(1).type.value_type.field("key").type), ("recent", pa.int64())]))
+    rows = events.select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"), order)
+    ordered = rows.repartition("user_id").sortWithinPartitions("user_id", "t", order)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: object = fold
+        kept: deque[int] = deque()
+        for batch in batches:
+            recent = []
+            for user, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if user != now:
+                    now, kept = user, deque()
+                while kept and kept[0] < t - width:
+                    kept.popleft()
+                recent.append(len(kept))
+                if len(kept) < most:
+                    kept.append(t)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(recent, pa.int64())], names=["user_id", order, "recent"])
 
     kinds = dict(events.dtypes)
-    found = listed.mapInArrow(fold, f"user_id {kinds['user_id']}, {order} {kinds[order]}, recent long")
+    found = ordered.mapInArrow(fold, f"user_id {kinds['user_id']}, {order} {kinds[order]}, recent long")
     return found.withColumn("allowed", F.col("recent") < most)
 
 
