@@ -348,6 +348,8 @@ def _gated(held: DataFrame, floor: float) -> DataFrame:
     return held.select(*KEYS, "n_units", share.alias("share"), "lossless", gate.alias("gate"))
 
 
+#: Arrays of numbers in Python at a time.
+SLICE = 64
 #: Digits that are misread for each other, as pairs; scores of a number by its distance from the one before.
 CONFUSED = ("16", "05", "89", "23", "34")
 AFTER = {1: 10, 2: 6, 3: 3, 4: 3, 5: 3}
@@ -443,6 +445,8 @@ def repair_numbers(numbers: Column) -> Column:
     def mended(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         kind = pa.list_(pa.struct([("number", pa.string()), ("reason", pa.string())]))
         for batch in batches:
-            yield pa.array([None if x is None else [{"number": n, "reason": r} for n, r in repaired_numbers(x)] for x in batch.to_pylist()], kind)
+            # Few arrays at a time: their numbers as Python objects take many times the arrays' bytes.
+            for at in range(0, len(batch), SLICE):
+                yield pa.array([None if x is None else repaired_numbers(x) for x in batch[at : at + SLICE].to_pylist()], kind)
 
     return mended(numbers)
