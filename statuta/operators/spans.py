@@ -29,12 +29,33 @@ PATTERNS = (
 )
 _COMPILED = [(kind, re.compile(p)) for kind, p in PATTERNS]
 DELIMITERS = ("⟨⟩", "‹›")
+SLICE = 500
+
+
+#: Words that a kind's tokens need, one of each list; by these most texts are spared most patterns.
+_NEEDS = {
+    "para_of_article_ref": (("paragraph",), ("article",)), "article_para_ref": (("article",), ("/",)), "article_ref": (("article", "section", "paragraph", "chapter"),),
+    "statute_ref": (("law", "act", "decree", "regulation", "order"),), "money": (("dinar", "dollar", "euro", "pound"),), "date": (("/", ".", "-"),),
+}
+#: Letters that fold to ASCII ones without being lowered to them.
+_FOLDING = re.compile("[İıſK]")
+_ANY_DIGIT = re.compile(f"[{_D}]")
+
+
+def _patterns(text: str) -> list[tuple[str, re.Pattern]]:
+    """The kinds that the text may have tokens of."""
+    if not _ANY_DIGIT.search(text):
+        return []
+    if _FOLDING.search(text):
+        return _COMPILED
+    low = text.lower()
+    return [(kind, p) for kind, p in _COMPILED if all(any(w in low for w in words) for words in _NEEDS.get(kind, ()))]
 
 
 def claimed(text: str) -> list[tuple[int, int, str]]:
     """Start, end and kind of the numeric tokens: kinds in order, a match that meets a span already taken is left out."""
     taken: list[tuple[int, int, str]] = []
-    for kind, pattern in _COMPILED:
+    for kind, pattern in _patterns(text):
         for m in pattern.finditer(text):
             at = bisect_left(taken, (m.start(),))
             before, after = taken[at - 1 : at] if at else [], taken[at : at + 1]
@@ -52,9 +73,11 @@ def delimiters(text: str) -> tuple[str, str]:
 
 def target_surface(surface: str, kind: str) -> str:
     """What a translation should show: folded digits; of references and money the numbers, joined by a slash."""
-    plain = surface.translate(_FOLD)
+    plain = surface if surface.isascii() else surface.translate(_FOLD)
+    if kind in ("digits", "date"):
+        return plain
     groups = re.findall(r"[0-9]+" if kind.endswith("para_ref") or kind == "para_of_article_ref" else r"[0-9]+(?:[.,][0-9]+)*", plain)
-    return plain if kind in ("digits", "date") else "/".join(groups) or plain
+    return "/".join(groups) or plain
 
 
 def encode(text: str) -> tuple[str, str, str, list[tuple[int, int, str]]]:
@@ -93,16 +116,18 @@ def numeric_tokens(text: Column) -> Column:
     @F.arrow_udf(ENCODED)
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            rows = []
-            for value in batch:
-                whole = value.as_py()
-                if whole is None:
-                    rows.append(None)
-                    continue
-                encoded, opener, closer, tokens = encode(whole)
-                listed = [{"start": s, "end": e, "kind": k, "surface": whole[s:e], "target": target_surface(whole[s:e], k)} for s, e, k in tokens]
-                rows.append({"encoded": encoded, "opener": opener, "closer": closer, "tokens": listed})
-            yield pa.array(rows, _ENCODED)
+            # Few texts at a time: their tokens as Python objects take many times the texts' bytes.
+            for at in range(0, len(batch), SLICE):
+                texts, rows, tokens, ends = batch[at : at + SLICE].to_pylist(), [], [], [0]
+                for whole in texts:
+                    encoded, opener, closer, own = (None, None, None, []) if whole is None else encode(whole)
+                    rows.append((encoded, opener, closer))
+                    tokens += [(s, e, k, whole[s:e], target_surface(whole[s:e], k)) for s, e, k in own]
+                    ends.append(len(tokens))
+                columns = zip(*tokens, strict=True) if tokens else [[]] * len(_TOKEN)
+                flat = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _TOKEN, strict=True)], fields=list(_TOKEN))
+                plain = [pa.array(c, pa.string()) for c in zip(*rows, strict=True)]
+                yield pa.StructArray.from_arrays([*plain, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], fields=list(_ENCODED), mask=pa.array([t is None for t in texts]))
 
     return found(text)
 
@@ -114,11 +139,11 @@ def numbers_restored(encoded: Column, opener: Column, closer: Column, surfaces:
     @F.arrow_udf("struct<text: string, missing: array<int>>")
     def put(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for columns in batches:
-            rows = []
-            for code, a, b, own in zip(*(c.to_pylist() for c in columns), strict=True):
-                text, missing = (None, []) if code is None else decode(code, a, b, own)
-                rows.append(None if text is None else {"text": text, "missing": missing})
-            yield pa.array(rows, kind)
+            for at in range(0, len(columns[0]), SLICE):
+                rows = []
+                for code, a, b, own in zip(*(c[at : at + SLICE].to_pylist() for c in columns), strict=True):
+                    rows.append(None if code is None else decode(code, a, b, own))
+                yield pa.array(rows, kind)
 
     return put(encoded, opener, closer, surfaces)
 

@@ -162,7 +162,8 @@ def document_order(spark: SparkSession, d: str) -> DataFrame:
 @unmatched
 def numeric_tokens(spark: SparkSession, d: str) -> DataFrame:
     """Of each text: its numeric tokens by kind, the text with sentinels, and whether it comes back from it."""
-    found = acts(spark, d).select("doc_id", "text", spans.numeric_tokens(F.col("text")).alias("e")).where("e is not null")
+    # Null texts go before: a condition on the tokens would find them twice.
+    found = acts(spark, d).where("text is not null").select("doc_id", "text", spans.numeric_tokens(F.col("text")).alias("e"))
     surfaces = F.transform("e.tokens", lambda t: t["surface"])
     back = spans.numbers_restored(F.col("e.encoded"), F.col("e.opener"), F.col("e.closer"), surfaces)
     digest = F.array_join(F.transform("e.tokens", lambda t: F.concat_ws(":", t["start"], t["end"], t["kind"], t["target"])), ";")
