@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Callable, Iterator
 
@@ -16,6 +17,8 @@ from statuta.functions.paths import ZEROS
 SLICE = 200
 #: A word is a run of letters, numbers and marks; decimal digits of these scripts count as ASCII ones.
 _WORD = regex.compile(r"[\p{L}\p{N}\p{M}]+")
+_ASCII_WORD = re.compile("[0-9a-z]+")
+_OTHER_DIGIT = re.compile("[" + "".join(f"{chr(z)}-{chr(z + 9)}" for z in ZEROS) + "]")
 _DIGITS = {zero + i: str(i) for zero in ZEROS for i in range(10)}
 
 # Light stemming of Arabic: the conjunction (unless it belongs to an article), one article, one
@@ -47,14 +50,22 @@ def folded(lang: str | None) -> str:
 
 def tokenise(text: str | None, lang: str | None = None, stemmers: dict[str, Callable[[str], str]] = STEMMERS) -> list[str]:
     """The words of a text in the form they are compared in, in order; none is left out."""
-    code = folded(lang)
-    plain = unicodedata.normalize("NFKC", text or "").translate(_DIGITS)
-    if code in _WITHOUT:
-        plain = _WITHOUT[code].sub("", plain)
-    plain = plain.translate(_ALIKE.get(code, {}))
-    # Casefolding a dotted capital I leaves a dot behind, which is no letter of its own.
-    words = (w.casefold().replace("i\u0307", "i") for w in _WORD.findall(plain))
-    return list(map(stemmers[code], words)) if code in stemmers else list(words)
+    code, text = folded(lang), text or ""
+    if text.isascii():
+        # Nothing to normalise, fold or leave out.
+        words = _ASCII_WORD.findall(text.lower())
+    else:
+        plain = unicodedata.normalize("NFKC", text)
+        if _OTHER_DIGIT.search(plain):
+            plain = plain.translate(_DIGITS)
+        if code in _WITHOUT:
+            plain = _WITHOUT[code].sub("", plain)
+        if code in _ALIKE:
+            plain = plain.translate(_ALIKE[code])
+        # Casefolding a dotted capital I leaves a dot behind, which is no letter of its own. It makes
+        # letters and marks of letters and marks only, so that words begin and end where they did.
+        words = _WORD.findall(plain.casefold().replace("i\u0307", "i"))
+    return list(map(stemmers[code], words)) if code in stemmers else words
 
 
 def tokens(text: Column, lang: Column | None = None, stemmers: dict[str, Callable[[str], str]] = STEMMERS) -> Column:

@@ -46,7 +46,11 @@ def _worded(docs: DataFrame, key: str, text: str, tokenise: Callable[[Column], C
 
 def lexicon(docs: DataFrame, key: str, text: str, tokenise: Callable[[Column], Column] = tokens) -> DataFrame:
     """term and the number of documents that hold it; stored terms have at most 128 bytes."""
-    return postings(docs, key, text, tokenise).where(F.octet_length("term") <= 128).groupBy("term").agg(F.count("*").alias("ndoc"))
+    each = docs.select(key, F.explode(F.array_distinct(tokenise(F.col(text)))).alias("term")).where(F.octet_length("term") <= 128)
+    # Pairs of term and document are shuffled only if some document is on several rows.
+    if docs.groupBy(key).count().where("count > 1").limit(1).count():
+        each = each.distinct()
+    return each.groupBy("term").agg(F.count("*").alias("ndoc"))
 
 
 def dead_terms(held: DataFrame, live: DataFrame) -> DataFrame:

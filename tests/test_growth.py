@@ -1,11 +1,13 @@
 """Steps that must not grow with the tables: what is gathered, broadcast or done twice, by their plans and on cases."""
 
 import random
+import unicodedata
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from statuta.operators import graph, grids, spans, structure
+from statuta.functions import tokeniser
+from statuta.operators import graph, grids, search, spans, structure
 from statuta.plans import registry, structural
 from statuta.streaming import events as feed
 
@@ -68,3 +70,25 @@ def test_lineage_of_parts(spark):
     found = registry.version_lineage(spark, FOLDER).collect()
     want = {(s, s >> d, d) for s in (r["start"] for r in found) for d in range(max(1, s.bit_length()))}
     assert {tuple(r) for r in found} == want
+
+
+def test_lexicon_shuffles_pairs_only_for_repeated_documents(spark):
+    docs = [(1, "b a a"), (2, "a b " + "x" * 129), (None, "a c")]
+    whole = search.lexicon(spark.createDataFrame(docs, "k long, t string"), "k", "t")
+    assert plan(whole).count("Exchange ") == 1
+    twice = search.lexicon(spark.createDataFrame([*docs, (1, "a d"), (None, "a")], "k long, t string"), "k", "t")
+    read = lambda df: {r["term"]: r["ndoc"] for r in df.collect()}
+    assert read(whole) == {"a": 3, "b": 2, "c": 1} and read(twice) == {"a": 3, "b": 2, "c": 1, "d": 1}
+
+
+def test_words_of_whole_texts_are_those_of_their_words():
+    def plainly(text, lang):
+        code = tokeniser.folded(lang)
+        plain = unicodedata.normalize("NFKC", text).translate(tokeniser._DIGITS)
+        plain = tokeniser._WITHOUT[code].sub("", plain) if code in tokeniser._WITHOUT else plain
+        return [w.casefold().replace("i̇", "i") for w in tokeniser._WORD.findall(plain.translate(tokeniser._ALIKE.get(code, {})))]
+
+    for c in [*range(0x250), *range(0x300, 0x400), *range(0x590, 0x700), *range(0x1E00, 0x2200), *range(0x2460, 0x2500), *range(0xFB00, 0xFF00, 3)]:
+        for lang in (None, "he", "ar"):
+            text = f"aB1{chr(c)}Xi {chr(c)}̇I"
+            assert tokeniser.tokenise(text, lang, {}) == plainly(text, lang)
