@@ -216,6 +216,20 @@ def test_variants(spark):
     assert expansion.variants(asked.limit(0), lexicon).count() == expansion.variants(asked, lexicon.limit(0)).count() == 0
 
 
+def test_variants_shuffle_no_pairs(spark):
+    rng = random.Random(6)
+    words = sorted({"".join(rng.choices("abc", k=rng.randint(1, 12))) for _ in range(900)} | {"a" * 70, "ab" * 40, "".join(map(chr, range(0x4E00, 0x4E3C))) + "abcab"})
+    lexicon = spark.createDataFrame([(w, len(w)) for w in words], "term string, ndoc long")
+    found = expansion.variants(lexicon.where("length(term) < 9").select(F.col("term").alias("token")), lexicon)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroups" in plan and "Join" not in plan
+    want = set()
+    for token in [w for w in words if 3 <= len(w) < 9]:
+        scored = sorted((-round(similarity(token, t), 6), -len(t), t) for t in words if t != token and expansion.extent_score(token, t, 0.5) >= 0.5)
+        want |= {(token, t, -s, -n, i + 1) for i, (s, n, t) in enumerate(scored[:6])}
+    assert {tuple(r) for r in found.collect()} == want
+
+
 def test_expanded_queries_lead_with_their_own_words(spark):
     found = {r["item_id"]: r["words"] for r in structural.expanded_queries(spark, FOLDER).collect()}
     own = {r["item_id"]: re.findall(r"[a-z]+", r["text"].lower()) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect() if r["text"].isascii()}
