@@ -36,27 +36,37 @@ LOOSE = 1 / 64
 #: Chunks of text that a worker remembers and encodes at once, characters of a batch of texts.
 MEMO = 500_000
 LEARNT = 20_000
+#: Words and marks that are merged at once without a normalizer.
+PLAIN = 500
 BATCH = 4_000_000
 #: Windows of a shard are numbered below this.
 WINDOWS = 1 << 20
-#: Where the tokenizer parts an ASCII text in lower case (its own pattern), and final marks that follow a letter.
+#: Where the tokenizer parts an ASCII text in lower case (its own pattern), and final marks that follow a letter
+#: (but for the dotted capital I, of which the lower case ends with a mark itself).
 _APART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+")
-_TAIL = re.compile(r"(.*[^\W\d_])([.,;:!?]+)", re.S)
+_TAIL = re.compile(r"(.*[^\W\d_İ])([.,;:!?]+)", re.S)
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+def _settled(piece: str) -> bool:
+    """Whether the tokenizer keeps a piece, in lower case already, whole and unchanged."""
+    return piece.isascii() and piece.isprintable() and "<|" not in piece
+
+
 class Encoder:
     """Ids of texts, as little-endian unsigned 32-bit numbers.
 
     The tokenizer drops white space and no token reaches across it, so what stands between blanks
-    or line ends is encoded once and remembered; so are the words and marks in it.
+    or line ends is encoded once and remembered; so are the words and marks in it. Those that its
+    normalizer and pattern leave as they are need neither: `plain` only merges.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
         self.memo: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -70,7 +80,16 @@ class Encoder:
     def _learn(self, chunks: list[str]) -> None:
         """Encodes the new pieces of new chunks together, with blanks between, and tells by its offset in which piece an id starts."""
         split = [self._parts(c) for c in chunks]
-        new = [p for p in dict.fromkeys(itertools.chain.from_iterable(split)) if p not in self.pieces]
+        new, plain = [], []
+        for p in dict.fromkeys(itertools.chain.from_iterable(split)):
+            if p not in self.pieces:
+                (plain if _settled(p) else new).append(p)
+        for at in range(0, len(plain), PLAIN):
+            some = plain[at : at + PLAIN]
+            found = self.plain.encode(" ".join(some), add_special_tokens=False)
+            cuts = np.searchsorted(np.array(found.word_ids, dtype=np.int64), np.arange(len(some) + 1)) * 4
+            data = np.array(found.ids, dtype="<u4").tobytes()
+            self.pieces.update(zip(some, [data[x:y] for x, y in itertools.pairwise(cuts.tolist())], strict=True))
         for at in range(0, len(new), LEARNT):
             some = new[at : at + LEARNT]
             found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)

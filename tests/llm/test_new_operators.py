@@ -1,6 +1,7 @@
 """Packing, centroid clustering and tokenizer alignment against plain forms, and their edges."""
 
 import math
+import random
 import struct
 import zlib
 from bisect import bisect_left
@@ -42,6 +43,18 @@ def texts_of(spark):
     return {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()}
 
 
+def test_settled_words_are_only_merged():
+    rng = random.Random(8)
+    some = [*"aeiouxyz'!?,.-<|>0123", *"éßıſσςяёجوאẞİŉǆ\u0301\u0345\u00ad\u0640\u02bc\x01\x7f\x85", "ing", "tion", "'s", "'ll", "Æ", "A"]
+    chunks = ["".join(rng.choices(some, k=rng.randint(1, 6))) for _ in range(20_000)]
+    chunks += ["".join(chr(c) for c in range(at, at + 3) if not chr(c).isspace()) for at in range(0x21, 0x900)]
+    encoder = packing.Encoder(registry.WORDS)
+    got = encoder.ids(chunks)
+    want = [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in words().encode_batch(chunks, add_special_tokens=False)]
+    assert got == want
+    assert packing._settled("word") and not packing._settled("größe") and not packing._settled("a\x7f")
+
+
 def check_packed(rows, texts, window=4096):
     by_doc, by_sequence = defaultdict(list), defaultdict(list)
     for r in rows:
