@@ -11,7 +11,7 @@ symbol form an occurrence, named by the symbol and by the words it spans.
 Symbols only propose. What is compared are the words themselves: occurrences of shared symbols carry,
 beside the symbol's 64-bit name, half of a 128-bit BLAKE2 digest of the bytes of their words. Spark finds occurrences that a document with a
 smaller doc_id has too: all their windows repeat. Symbols that occur within different spans are
-verified window by window, by digests of the windows' words, one document for each distinct span.
+verified window by window, by half a digest of the windows' words and a hash of their word hashes, one document for each distinct span.
 Documents get back the names of what repeats in them; texts in which nothing repeats aren't shuffled.
 Empty tables give no rows; long texts are parsed whole.
 
@@ -24,6 +24,7 @@ result (n_words, n_removed, kept) are replaced.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -139,15 +140,29 @@ class Parse:
 
     def digests(self, first: np.ndarray, until: np.ndarray) -> np.ndarray:
         """128-bit digests of the words [first, until) of each span, as pairs of integers; spans by document."""
-        out, held, joined, ends, base = [], -1, b"", [], 0
-        for doc, a, b in zip(self.of[first].tolist(), first.tolist(), until.tolist(), strict=True):
-            if doc != held:
-                split = self.texts[doc].split()
-                held, joined, base = doc, b" ".join(split), int(self.offsets[doc])
-                ends = [0, *np.cumsum([len(w) + 1 for w in split]).tolist()]
-            out.append(hashlib.blake2b(joined[ends[a - base] : ends[b - base] - 1], digest_size=16).digest())
+        out, docs = [], self.of[first]
+        edges = [0, *(np.flatnonzero(np.diff(docs)) + 1), len(docs)] if len(docs) else []
+        for at, to in itertools.pairwise(edges):
+            split = self.texts[docs[at]].split()
+            joined, base = b" ".join(split), self.offsets[docs[at]]
+            ends = np.concatenate(([0], np.cumsum(np.fromiter(map(len, split), np.int64, len(split)) + 1)))
+            spans = zip(ends[first[at:to] - base].tolist(), (ends[until[at:to] - base] - 1).tolist(), strict=True)
+            out += [hashlib.blake2b(joined[a:b], digest_size=16).digest() for a, b in spans]
         return np.frombuffer(b"".join(out), dtype="<i8").reshape(-1, 2)
 
+    def mixed(self, begins: np.ndarray) -> np.ndarray:
+        """Hashes of the windows of word hashes that start at `begins`: halves of doubling length are mixed in order."""
+        if not len(begins):
+            return np.empty(0, dtype=np.int64)
+        out, part, size, at, n = np.zeros(len(self.words), dtype=np.uint64), self.words, 1, 0, len(self.words)
+        while True:
+            if self.window & size:
+                out[: n - at] = mix(out[: n - at] * _A + part[at:n])
+                at += size
+            if 2 * size > self.window:
+                return out[begins].view(np.int64)
+            part, size = np.append(mix((part[:-size] * _B) ^ mix(part[size:] + _A)), np.zeros(size, dtype=np.uint64)), 2 * size
+
     def keys(self, picked: np.ndarray) -> np.ndarray:
         """Digests of the picked occurrences."""
         return self.digests(self.first[picked], self.last[picked] + self.window)
@@ -248,7 +263,7 @@ def _listed(parse: Parse, names: list, keys: list) -> np.ndarray:
 
 
 def spans_to_verify(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """w1, w2 (digest of a window) and doc_id of all windows of the wanted (doc_id, names, keys) occurrences."""
+    """w1 (half of a window's digest), w2 (hash of its word hashes) and doc_id of all windows of the wanted (doc_id, names, keys) occurrences."""
 
     def emitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,7 +271,7 @@ def spans_to_verify(docs: DataFrame, wanted: DataFrame, window: int) -> DataFram
                 begins = parse.windows(_listed(parse, part.column(2).to_pylist(), part.column(3).to_pylist()))
                 digests = parse.digests(begins, begins + window)
                 ids = part.column(0).to_numpy()[parse.of[begins]] if len(begins) else np.empty(0, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(ids.astype(np.int64))], names=["w1", "w2", "doc_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(digests[:, 0]), pa.array(parse.mixed(begins)), pa.array(ids.astype(np.int64))], names=["w1", "w2", "doc_id"])
 
     near = docs.select("doc_id", "text").where("doc_id is not null").where(may_hold(wanted, "doc_id")(F.col("doc_id")))
     near = near.select("doc_id", _squeezed(F.col("text")).alias("text"))
@@ -281,15 +296,18 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     windows = checkpointed(spans_to_verify(docs, wanted, window))
     sources = checkpointed(windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("w1", "w2", "first"))
     release(docs.sparkSession)
-    partly = windows.where(may_hold(sources, "w1")(F.col("w1"))).join(sources, ["w1", "w2"]).where("doc_id > first").select("doc_id", "w1").distinct()
+    partly = windows.where(may_hold(sources, "w1")(F.col("w1"))).join(sources, ["w1", "w2"]).where("doc_id > first").select("doc_id", "w1", "w2").distinct()
     return removed(docs, repeated, partly, window)
 
 
 def removed(docs: DataFrame, repeated: DataFrame, partly: DataFrame, window: int) -> DataFrame:
-    """Takes out the words of repeated occurrences (doc_id, name, k1) and windows (doc_id, w1)."""
+    """Takes out the words of repeated occurrences (doc_id, name, k1) and windows (doc_id, w1, w2).
+
+    A window's word hashes are looked up first; digests are taken of those windows only that they let through.
+    """
     none = F.lit(None).cast("long")
-    flags = repeated.select("doc_id", "name", "k1", none.alias("w1")).unionByName(partly.select("doc_id", none.alias("name"), none.alias("k1"), "w1"))
-    flags = checkpointed(flags.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("name").alias("__names"), F.collect_set("k1").alias("__keys"), F.collect_set("w1").alias("__windows")))
+    flags = repeated.select("doc_id", "name", "k1", none.alias("w1"), none.alias("w2")).unionByName(partly.select("doc_id", none.alias("name"), none.alias("k1"), "w1", "w2"))
+    flags = checkpointed(flags.groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("name").alias("__names"), F.collect_set("k1").alias("__keys"), F.collect_set("w1").alias("__windows"), F.collect_set("w2").alias("__mixed")))
     rest = docs.drop("n_words", "n_removed", "kept")
     names = rest.columns
     text = names.index("text")
@@ -298,7 +316,7 @@ def removed(docs: DataFrame, repeated: DataFrame, partly: DataFrame, window: int
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, parse in _parsed(batch, text, window):
-                symbols, keys, hashes = (part.column(len(names) + i).to_pylist() for i in range(3))
+                symbols, keys, hashes, mixed = (part.column(len(names) + i).to_pylist() for i in range(4))
                 change = np.zeros(len(parse.words) + 1, dtype=np.int64)
                 picked = _listed(parse, symbols, keys)
                 np.add.at(change, parse.first[picked], 1)
@@ -306,6 +324,7 @@ def removed(docs: DataFrame, repeated: DataFrame, partly: DataFrame, window: int
                 listed = np.array([bool(h) for h in hashes], dtype=bool)
                 if listed.any():
                     begins = parse.windows(np.flatnonzero(listed[parse.doc]))
+                    begins = begins[_membership(mixed, parse.mixed(begins), parse.of[begins])]
                     hit = begins[_membership(hashes, parse.digests(begins, begins + window)[:, 0], parse.of[begins])]
                     np.add.at(change, hit, 1)
                     np.add.at(change, hit + window, -1)
@@ -324,7 +343,7 @@ def removed(docs: DataFrame, repeated: DataFrame, partly: DataFrame, window: int
     listed = F.coalesce(may_hold(flags, "__id")(F.coalesce("doc_id", F.lit(0))) & F.col("doc_id").isNotNull(), F.lit(False))
     marked = rest.withColumn("__listed", listed)
     # The text goes through the shuffle squeezed, in its own place among the columns.
-    joined = marked.where("__listed").withColumn("text", _squeezed(F.col("text"))).join(flags, F.col("doc_id") == F.col("__id"), "left").select(*names, "__names", "__keys", "__windows")
+    joined = marked.where("__listed").withColumn("text", _squeezed(F.col("text"))).join(flags, F.col("doc_id") == F.col("__id"), "left").select(*names, "__names", "__keys", "__windows", "__mixed")
     found = words(F.col("text"))
     whole = marked.where("not __listed").select(*names, F.size(found).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.array_join(found, " ").alias("kept"))
     return joined.mapInArrow(cut, schema).unionByName(whole)

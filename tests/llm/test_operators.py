@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -151,6 +152,17 @@ def test_repeated_and_null_ids(spark):
     assert substrings.dedup_substrings(frame.limit(0)).count() == near_duplicates.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_hashes_of_windows_tell_them_apart():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices("abc", k=rng.choice([0, 1, 5, 49, 50, 200]))).encode() for _ in range(60)]
+    for window in (1, 2, 5, 50):
+        parse = substrings.Parse(texts, window)
+        begins = parse.windows(np.arange(len(parse.first)))
+        mixed, whole = parse.mixed(begins).tolist(), [b" ".join(texts[d].split()[i : i + window]) for d, i in zip(parse.of[begins], begins - parse.offsets[parse.of[begins]], strict=True)]
+        assert len(set(zip(mixed, whole, strict=True))) == len(set(mixed)) == len(set(whole)) > 0
+    assert len(substrings.Parse([b"a b"], 50).mixed(np.arange(0))) == 0
+
+
 def test_substrings(docs):
     got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept"]) for r in substrings.dedup_substrings(docs).collect()}
     want = {d: (a, b, " ".join(c)) for d, (a, b, c) in brute.substrings(texts()).items()}
