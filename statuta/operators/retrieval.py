@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from statuta.functions.tokeniser import tokens
-from statuta.operators.search import RRF, bm25_of_terms, fuse, nearest, ranked
+from statuta.operators.search import RRF, best_of_parts, fuse, nearest, term_parts
 from statuta.sources.tables import checkpointed
 
 
@@ -81,8 +81,8 @@ def hybrid(
     placed = checkpointed(units.where(in_pool(kind, non_normative)).select("unit", "version").join(inside, "version").select("scope", "unit"))
     languages = units.select("version", "lang").distinct().join(inside, "version").select("scope", "lang").distinct()
     terms = checkpointed(query_terms(asked, languages, tokenise, variants))
-    scored = bm25_of_terms(units, terms, "unit", "query", "text", tokenise)
-    lexical = ranked(scored.join(asked.select("query", "scope"), "query").join(placed, ["scope", "unit"], "left_semi").drop("scope"), ["query"], "unit", pool)
+    parts = term_parts(units, terms, "unit", "text", tokenise)
+    lexical = best_of_parts(parts, terms.join(asked.select("query", "scope"), "query"), placed, pool, "unit", "query", "scope")
     held = usable_vectors(vectors, model, fallback).select("unit", unit_length(F.col("vector")).alias("v")).where("v is not null").dropDuplicates(["unit"])
     wanted = asked.select("query", "scope", unit_length(F.col("vector")).alias("v")).where("v is not null")
     # A vector of another length than the query's has no product with it.

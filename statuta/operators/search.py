@@ -14,7 +14,7 @@ from statuta.functions.tokeniser import ALL_STEMMERS, tokens
 from statuta.sources.tables import checkpointed
 
 K1, B, RRF = 1.2, 0.75, 60
-QUERY_BLOCK, VECTOR_BLOCK, VECTOR_BLOCKS = 4096, 32768, 12
+QUERY_BLOCK, VECTOR_BLOCK, VECTOR_BLOCKS, PART_BLOCK = 4096, 32768, 12, 8192
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -69,6 +69,12 @@ def bm25(docs: DataFrame, queries: DataFrame, key: str, query: str, text: str =
 
 def bm25_of_terms(docs: DataFrame, asked: DataFrame, key: str, query: str, text: str = "text", tokenise: Callable[[Column], Column] = tokens) -> DataFrame:
     """bm25 for terms at hand: `asked` has query and term, each pair once."""
+    parts = term_parts(docs, asked, key, text, tokenise)
+    return parts.join(asked, "term").groupBy(query, key).agg(F.round(F.sum("part"), 6).alias("score"))
+
+
+def term_parts(docs: DataFrame, asked: DataFrame, key: str, text: str = "text", tokenise: Callable[[Column], Column] = tokens) -> DataFrame:
+    """term, key and part: what each term of `asked` adds to the BM25 score of each document that holds it."""
     worded = _worded(docs, key, text, tokenise)
     sized = worded.select(key, F.size("words").alias("dl"))
     stats = sized.agg(F.count("*").alias("n_docs"), F.avg("dl").alias("avgdl"))
@@ -77,7 +83,52 @@ def bm25_of_terms(docs: DataFrame, asked: DataFrame, key: str, query: str, text:
     scored = wanted.join(df, "term").join(sized, key).crossJoin(F.broadcast(stats))
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    return scored.select("term", key, part.alias("part")).join(asked, "term").groupBy(query, key).agg(F.round(F.sum("part"), 6).alias("score"))
+    return scored.select("term", key, part.alias("part"))
+
+
+def best_of_parts(parts: DataFrame, asked: DataFrame, placed: DataFrame, k: int, key: str, query: str, within: str) -> DataFrame:
+    """query, key, score and rank of the k best documents for each query among those placed in its own `within`.
+
+    `parts`: term, key and part; `asked`: query, within and term; `placed`: within and key. Each block
+    of documents meets each block of queries of its place once, and a pair of blocks tells k rows a
+    query at most: pairs of a query and a document aren't shuffled.
+    """
+    # Rows by the document's block: its parts, of the terms that are asked for.
+    many = lambda df, name, size, alias: df.groupBy(within).agg(F.ceil(F.count_distinct(name) / size).cast("int").alias(alias))
+    sized = checkpointed(many(asked, query, QUERY_BLOCK, "__q").join(many(placed, key, PART_BLOCK, "__b"), within))
+    at = lambda name, blocks: F.pmod(F.xxhash64(name, F.lit(3)), F.col(blocks)).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+    queries = asked.join(sized, within).select(within, query, "term", at(query, "__q").alias("q"), every("__b").alias("b"))
+    held = parts.join(placed.join(sized, within), key).select(within, key, "term", "part", every("__q").alias("q"), at(key, "__b").alias("b"))
+
+    def best(some: pa.Table, rows: pa.Table) -> pa.Table:
+        names, at = np.unique(rows.column(key).to_numpy(), return_inverse=True)
+        terms = rows.column("term").combine_chunks().dictionary_encode()
+        order = np.argsort(terms.indices.to_numpy(), kind="stable")
+        bounds = np.searchsorted(terms.indices.to_numpy()[order], np.arange(len(terms.dictionary) + 1))
+        places = {t: (bounds[i], bounds[i + 1]) for i, t in enumerate(terms.dictionary.to_pylist())}
+        at, part = at[order], rows.column("part").to_numpy()[order]
+        wanted: dict = {}
+        for q, t in zip(some.column(query).to_pylist(), some.column("term").to_pylist(), strict=True):
+            wanted.setdefault(q, []).extend([places[t]] if t in places else [])
+        out = {query: [], key: [], "score": []}
+        for q, slices in wanted.items():
+            score = np.zeros(len(names))
+            for a, b in slices:
+                score[at[a:b]] += part[a:b]
+            found = np.flatnonzero(score)
+            score = np.round(score[found], 6)
+            # By falling score, ties by key.
+            first = np.argsort(-score, kind="stable")[:k]
+            out[query] += [q] * len(first)
+            out[key] += names[found[first]].tolist()
+            out["score"] += score[first].tolist()
+        return pa.table({query: pa.array(out[query], some.column(query).type), key: pa.array(out[key], rows.column(key).type), "score": pa.array(out["score"], pa.float64())})
+
+    kinds = dict(asked.dtypes)[query], dict(placed.dtypes)[key]
+    cells = [df.groupBy(within, "q", "b") for df in (queries, held)]
+    found = cells[0].cogroup(cells[1]).applyInArrow(best, f"`{query}` {kinds[0]}, `{key}` {kinds[1]}, score double")
+    return ranked(found, [query], key, k)
 
 
 def ranked(scored: DataFrame, by: list[str], key: str, k: int) -> DataFrame:

@@ -108,3 +108,16 @@ def test_enriched(spark):
     units = spark.createDataFrame([(10, "a"), (11, "b")], "unit long, version string")
     laws = spark.createDataFrame([("a", "law")], "version string, title string")
     assert [tuple(r) for r in retrieval.enriched(found, units, [(laws, "version")]).select("query", "unit", "title").collect()] == [(1, 10, "law")]
+
+
+def test_best_of_parts_is_bm25_of_the_scope(spark, monkeypatch):
+    monkeypatch.setattr(search, "PART_BLOCK", 7)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", (F.col("doc_id") % 3).alias("scope"))
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").select("item_id", (F.col("item_id") % 3).alias("scope"), F.explode(F.array_distinct(search.ascii_tokens(F.col("text")))).alias("term"))
+    placed = docs.select("scope", "doc_id").union(docs.where("doc_id % 5 = 0").select((F.col("scope") + 1) % 3, "doc_id"))
+    found = search.best_of_parts(search.term_parts(docs, items, "doc_id", tokenise=search.ascii_tokens), items, placed, 9, "doc_id", "item_id", "scope")
+    assert "FlatMapCoGroups" in found._jdf.queryExecution().executedPlan().toString()
+    scored = search.bm25_of_terms(docs, items.select("item_id", "term"), "doc_id", "item_id", tokenise=search.ascii_tokens)
+    want = search.ranked(scored.join(items.select("item_id", "scope").distinct(), "item_id").join(placed, ["scope", "doc_id"], "left_semi").drop("scope"), ["item_id"], "doc_id", 9)
+    tell = lambda df: {tuple(r) for r in df.select("item_id", "doc_id", "score", "rank").collect()}
+    assert tell(found) == tell(want) != set()
