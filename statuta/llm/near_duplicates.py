@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statuta.llm.common import checkpointed, hash_texts, mix
+from statuta.llm.common import checkpointed, hash_texts, mix, release
 
 _STEP = np.uint64(0x9FB21C651E98DF25)
 COARSE, FINE, FINEST = 7, 8, 10
@@ -385,6 +385,8 @@ def components(links: DataFrame) -> DataFrame:
         for end in ("a", "b"):
             edges = edges.join(roots.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("label", end)
         edges = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+        del ends, roots
+        release(links.sparkSession)
         if not edges.limit(1).count():
             return labels
 
@@ -396,20 +398,29 @@ def _roots(parents: DataFrame) -> DataFrame:
         if not parents.join(above, "label", "left_semi").limit(1).count():
             return parents
         parents = checkpointed(parents.join(above, "label", "left").select("node", F.coalesce("above", "label").alias("label")))
+        release(parents.sparkSession)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """One row for each document that has a doc_id: doc_id, n_shingles and component_id."""
+    """One row for each document that has a doc_id: doc_id, n_shingles and component_id.
+
+    What a step has shuffled is let go before the next one, else all steps' files are on disk together.
+    """
+    spark = docs.sparkSession
     repeats = _repeats(docs)
     signed = checkpointed(signatures(docs.where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text")) if repeats else docs, width))
     sets = signed.where("n_shingles > 0").groupBy("s1", "s2", "n_shingles").agg(F.min(F.struct("doc_id", "bands", "sketch")).alias("first"))
     reps = checkpointed(sets.select("s1", "s2", F.col("n_shingles").alias("n"), F.col("first.doc_id").alias("rep"), "first.bands", "first.sketch"))
+    release(spark)
     bands = reps.select(F.explode("bands").alias("key"), "rep")
     hubs = [F.min_by("rep", F.xxhash64("rep", F.lit(i))) for i in range(HUBS)]
     shared = bands.groupBy("key").agg(F.count("*").alias("size"), F.array(*hubs).alias("hubs")).where("size > 1")
     members = checkpointed(bands.join(shared, "key"))
+    release(spark)
     first = checkpointed(nearest_pairs(members.join(reps.select("rep", "n", "sketch"), "rep"), percent))
+    release(spark)
     links = checkpointed(confirmed(first, _texts(docs, _ends(first), repeats), width, percent))
+    release(spark)
     labels = components(links)
     # The second round: only buckets that hold members of different classes. A large set whose buckets
     # are all small was compared with all of their members: without a partner it has no link.
@@ -421,10 +432,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     of_label = named.groupBy("key", "label").agg(F.count("*").alias("n"))
     apart = of_label.groupBy("key").agg(F.sum("n").alias("size"), F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels")).where("labels > 1")
     ready = named.join(apart.select("key", "size", F.col("top.label").alias("main"), F.col("top.n").alias("of_main")), "key")
+    release(spark)
     measured = checkpointed(finest(_texts(docs, ready.select(F.col("rep").alias("doc_id")).distinct(), repeats), width, percent))
     ready = ready.join(reps.select("rep", "n", "sketch", "bands"), "rep").join(measured, "rep")
+    release(spark)
     second = checkpointed(pairs_apart(ready, percent))
+    release(spark)
     more = checkpointed(confirmed(second, _texts(docs, _ends(second), repeats), width, percent))
+    release(spark)
     if more.limit(1).count():
         labels = components(links.union(more))
     classes = reps.select("s1", "s2", F.col("n").alias("n_shingles"), "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
