@@ -1,8 +1,9 @@
 """Byte-level BPE encoding and decoding.
 
 The bytes of a word are an array of symbols, and a fold with Spark's higher-order functions joins,
-step by step, the leftmost adjacent pair of the lowest rank. Ranks are looked up in a literal, an
-array of small maps from pairs of ids, so that one look-up reads a few entries. The vocabulary must
+step by step, the leftmost adjacent pair of the lowest rank. Ranks are looked up in one value, an array of
+small maps from pairs of ids, so that one look-up reads a few entries. It is a scalar subquery, as are
+the pieces that decode: as literals their text would stand in every plan that the driver describes. The vocabulary must
 be one that was trained by merging, where every token encodes to itself; other rank files are refused.
 
 The fold encodes the words that most rows hold, a dictionary of a stated size; folding all distinct
@@ -20,17 +21,16 @@ import base64
 import functools
 import heapq
 import itertools
-import json
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statuta.llm.common import checkpointed
+from statuta.llm.common import checkpointed, release
 
 #: White space as the rank files' pattern means it (Unicode White_Space), for Java's engine.
 WHITE = r"\t\n\x0B\f\r \x85\xA0  -     　"
@@ -110,9 +110,18 @@ def _splits(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
     return pairs
 
 
+def _one_row(values: list, kind: pa.DataType) -> pa.Table:
+    return pa.table({"value": pa.array([values], pa.list_(kind))})
+
+
+def _value(row: pa.Table) -> Column:
+    """The value of a table of one row and column, as a scalar subquery."""
+    return SparkSession.active().createDataFrame(row).scalar()
+
+
 @functools.lru_cache(maxsize=2)
-def _tables(path: str) -> tuple[str, list[int], int, np.ndarray, np.ndarray]:
-    """The rank literal as JSON, the symbols of the bytes, the factor of a pair's first symbol, and the sorted numbers of pairs with their tokens; symbols are ids + 1."""
+def _tables(path: str) -> tuple[pa.Table, list[int], int, np.ndarray, np.ndarray]:
+    """The rank table as one row, the symbols of the bytes, the factor of a pair's first symbol, and the sorted numbers of pairs with their tokens; symbols are ids + 1."""
     ranks = read_ranks(path)
     factor = max(ranks.values(), default=0) + 2
     pairs = sorted(((a + 1) * factor + b + 1, i + 1) for (a, b), i in _splits(ranks).items())
@@ -120,20 +129,20 @@ def _tables(path: str) -> tuple[str, list[int], int, np.ndarray, np.ndarray]:
     for key, symbol in pairs:
         table[key % BUCKETS] += [key, symbol]
     keys, symbols = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
-    return json.dumps(table, separators=(",", ":")), [ranks[bytes([i])] + 1 for i in range(256)], factor, keys.copy(), symbols.astype(np.int32)
+    return _one_row(table, pa.list_(pa.int64())), [ranks[bytes([i])] + 1 for i in range(256)], factor, keys.copy(), symbols.astype(np.int32)
 
 
 def rank_table(path: str) -> Column:
-    """The literal: small maps from pairs of ids to ranks, by the pairs' number modulo BUCKETS.
+    """The one value: small maps from pairs of ids to ranks, by the pairs' number modulo BUCKETS.
 
     A map is an array of NONE, then each key with its rank behind it: what is behind the place of a
     key (0 if it isn't there) is its rank, or NONE.
     """
-    return F.from_json(F.lit(_tables(path)[0]), "array<array<bigint>>")
+    return _value(_tables(path)[0])
 
 
-def fold_ids(word: Column, path: str) -> Column:
-    """Ids of one word by folding ranked merges over its bytes (Spark expressions only)."""
+def fold_ids(word: Column, path: str, table: Column) -> Column:
+    """Ids of one word by folding ranked merges over its bytes (Spark expressions only); table: the column of the rank table."""
     _, of_byte, size, _, _ = _tables(path)
     symbols = F.array(*[F.lit(i).cast("long") for i in of_byte])
 
@@ -158,13 +167,17 @@ def fold_ids(word: Column, path: str) -> Column:
         return F.aggregate(F.sequence(F.lit(2), F.octet_length(word)), single, step, lambda ids: F.transform(F.array_remove(ids, -1), lambda i: i - 1))
 
     whole = F.get(symbols, F.ascii(F.decode(word.cast("binary"), "ISO-8859-1")))
-    ids = F.when(F.octet_length(word) > 1, _let(rank_table(path), folded)).when(F.octet_length(word) == 1, F.array(whole - 1)).otherwise(F.array().cast("array<bigint>"))
+    ids = F.when(F.octet_length(word) > 1, _let(table, folded)).when(F.octet_length(word) == 1, F.array(whole - 1)).otherwise(F.array().cast("array<bigint>"))
     return ids.cast("array<int>")
 
 
 def encode_words(words: DataFrame, path: str, word: str = "word") -> DataFrame:
-    """`words` with the ids of each word."""
-    return words.withColumn("ids", fold_ids(F.col(word), path))
+    """`words`, dealt anew, with the ids of each word.
+
+    Behind a shuffle `word` is a plain column, so that Spark takes the rank table into the fold and makes it no column of the rows.
+    """
+    dealt = words.repartition(words.sparkSession.sparkContext.defaultParallelism)
+    return dealt.withColumn("__ranks", rank_table(path)).withColumn("ids", fold_ids(F.col(word), path, F.col("__ranks"))).drop("__ranks")
 
 
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -280,7 +293,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", c
     """
     spark = docs.sparkSession
     found = docs.select(pieces(F.col(text), pattern).alias("words"))
-    known = encode_words(frequent_words(found, dictionary_words).repartition(spark.sparkContext.defaultParallelism), ranks_path).toArrow()
+    known = encode_words(frequent_words(found, dictionary_words), ranks_path).toArrow()
+    release(spark)
     shared = spark.sparkContext.broadcast((known, pair_table(ranks_path)))
     names = [c for c in (docs.columns if columns is None else columns) if c != "ids"]
     kept = [f"c{i}" for i in range(len(names))]
@@ -323,17 +337,22 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", c
     return rest.mapInArrow(encoded, schema).toDF(*names, "ids")
 
 
-def decoded(ids: Column, ranks_path: str) -> Column:
-    """Binary column: the concatenated pieces of an array of ids."""
-    ranks = read_ranks(ranks_path)
+def piece_table(path: str) -> Column:
+    """The one value: the pieces of all ids, in hexadecimal."""
+    ranks = read_ranks(path)
     by_id = [""] * (max(ranks.values(), default=-1) + 1)
     for piece, i in ranks.items():
         by_id[i] = piece.hex()
-    table = F.from_json(F.lit(json.dumps(by_id, separators=(",", ":"))), "array<string>")
+    return _value(_one_row(by_id, pa.string()))
+
+
+def decoded(ids: Column, table: Column) -> Column:
+    """Binary column: the concatenated pieces of an array of ids; table: the column of the pieces."""
     return F.unhex(F.array_join(F.transform(ids, lambda i: table[i]), ""))
 
 
 def digests(encoded_docs: DataFrame, ranks_path: str) -> DataFrame:
     """n_tokens, ids_sha256 and decoded_sha256 of rows that have ids."""
     decimal = F.array_join(F.transform("ids", lambda i: i.cast("string")), " ")
-    return encoded_docs.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("ids_sha256", F.sha2(decimal.cast("binary"), 256)).withColumn("decoded_sha256", F.sha2(decoded(F.col("ids"), ranks_path), 256))
+    out = encoded_docs.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("ids_sha256", F.sha2(decimal.cast("binary"), 256)).withColumn("__pieces", piece_table(ranks_path))
+    return out.withColumn("decoded_sha256", F.sha2(decoded(F.col("ids"), F.col("__pieces")), 256)).drop("__pieces")

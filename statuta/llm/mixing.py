@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from statuta.llm.common import checkpointed, words
+from statuta.llm.common import checkpointed, release, words
 
 LEVELS = ["domain", "language", "origin"]
 #: Leaves of at most this many bytes are broadcast; more are joined by leaf and salt.
@@ -101,6 +101,7 @@ def plan(docs: DataFrame, tokens: Column, domain: Column, seed: int, part: float
     planned = budgets(leaves, total, weights, max_epochs)
     planned = planned.withColumn("epochs", F.when(F.col("tokens") > 0, F.floor(F.col("budget") / F.col("tokens"))).otherwise(F.lit(0)).cast("int"))
     planned = checkpointed(planned.withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens")))
+    release(docs.sparkSession)
     rows = join_leaves(narrow, planned.select(*LEVELS, "epochs", "rest"), LEVELS).withColumn("h", order_hash(seed))
     rows = rows.withColumn("b1", F.shiftright("h", 40)).withColumn("b2", F.shiftright("h", 32) % 256)
     first = _crossing(rows.groupBy(*LEVELS, "rest", "b1").agg(F.sum("tokens").alias("tokens")), "b1", F.lit(0), "rest")
@@ -129,6 +130,7 @@ def mix_sources(docs: DataFrame, domain: Column, weights=({}, {}, {}), part: flo
     """
     tokens = F.size(words(F.col("text"))) if tokens is None else tokens
     leaves = checkpointed(plan(docs, tokens, domain, seed, part, weights, max_epochs).select(F.col("domain").alias("__d"), F.col("language").alias("__l"), F.col("origin").alias("__o"), "epochs", "cut"))
+    release(docs.sparkSession)
     names = [c for c in docs.columns if c not in ("domain", "n_tokens", "copies", "epochs", "cut")]
     leaves = leaves.withColumnsRenamed({"epochs": "__epochs", "cut": "__cut"})
     placed = docs.withColumn("__d", domain).withColumn("__l", F.coalesce("lang", F.lit(""))).withColumn("__o", F.coalesce("source", F.lit("")))

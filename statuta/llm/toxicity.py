@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from statuta.llm.common import at_most, checkpointed
+from statuta.llm.common import at_most, checkpointed, release
 
 TRAIN_ROWS = 24_000
 LEXICON = 4_000
@@ -223,4 +223,5 @@ def score(text: Column, model: Model) -> Column:
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """`docs` with score and predicted (1 if score >= threshold)."""
     model = fit(docs, labels, train_rows)
+    release(docs.sparkSession)
     return docs.withColumn("score", score(F.col("text"), model)).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -1,10 +1,15 @@
-"""What the operators leave on disk: shuffles of steps that are done."""
+"""What the operators leave on disk and in the driver: shuffles of steps that are done, text of plans."""
 
 import time
 
-from statuta.llm import common, near_duplicates
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from statuta.llm import byte_bpe, common, near_duplicates
 from tests.llm import brute
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
 
 def shuffles(spark):
     """Numbers of the shuffles that have files."""
@@ -27,3 +32,14 @@ def test_near_duplicates_lets_go_of_what_its_steps_shuffled(spark):
     want = brute.near_duplicates(rows, 4, 80)
     assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {d: want[d][1] for d, _ in rows}
 
+
+def test_plans_of_byte_bpe_do_not_hold_its_tables_as_text(spark):
+    words = spark.createDataFrame([("hello",), (" wörld",), ("x",), ("",)], "word string").withColumn("word", F.concat("word", F.lit("s")))
+    folded = byte_bpe.encode_words(words, RANKS)
+    out = byte_bpe.digests(folded, RANKS)
+    for df in (folded, out):
+        assert len(df._jdf.queryExecution().toString()) < 100_000
+    # No row carries a table: it is folded into the expression that reads it.
+    assert "array(scalar-subquery" in folded._jdf.queryExecution().optimizedPlan().toString()
+    for r in out.collect():
+        assert r["ids"] == brute.bpe().encode_ordinary(r["word"]) and r["decoded_sha256"] == brute.sha(r["word"])
