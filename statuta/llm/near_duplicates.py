@@ -370,7 +370,9 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round hangs every node below its least neighbour, follows those pointers to their roots and
     contracts the links to links between roots. At most half of the nodes are roots that still have
-    links, so there are few rounds, and each handles only what the one before left.
+    links, so there are few rounds, and each handles only what the one before left. Rounds shuffle
+    ids only; what they leave is the caller's to let go, once: the JVM may answer time spent on
+    full collections of the driver's garbage by growing its heap.
     """
     edges = checkpointed(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
     labels = None
@@ -385,9 +387,7 @@ def components(links: DataFrame) -> DataFrame:
         for end in ("a", "b"):
             edges = edges.join(roots.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("label", end)
         edges = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
-        del ends, roots
-        release(links.sparkSession)
-        if not edges.limit(1).count():
+        if not edges.count():
             return labels
 
 
@@ -395,10 +395,10 @@ def _roots(parents: DataFrame) -> DataFrame:
     """Follows the pointers (node, label), which lead to lesser nodes, to their ends, doubling each time."""
     while True:
         above = parents.select(F.col("node").alias("label"), F.col("label").alias("above")).where("label <> above")
-        if not parents.join(above, "label", "left_semi").limit(1).count():
+        moved = checkpointed(parents.join(above, "label", "left").select("node", F.coalesce("above", "label").alias("label"), F.col("above").isNotNull().alias("moved")))
+        parents = moved.drop("moved")
+        if not moved.where("moved").count():
             return parents
-        parents = checkpointed(parents.join(above, "label", "left").select("node", F.coalesce("above", "label").alias("label")))
-        release(parents.sparkSession)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -422,6 +422,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     links = checkpointed(confirmed(first, _texts(docs, _ends(first), repeats), width, percent))
     release(spark)
     labels = components(links)
+    release(spark)
     # The second round: only buckets that hold members of different classes. A large set whose buckets
     # are all small was compared with all of their members: without a partner it has no link.
     known = labels.withColumnRenamed("node", "rep")
@@ -440,8 +441,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     release(spark)
     more = checkpointed(confirmed(second, _texts(docs, _ends(second), repeats), width, percent))
     release(spark)
-    if more.limit(1).count():
+    if more.count():
         labels = components(links.union(more))
+        release(spark)
     classes = reps.select("s1", "s2", F.col("n").alias("n_shingles"), "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     classes = classes.select("s1", "s2", "n_shingles", F.coalesce("label", "rep").alias("label"))
     out = signed.select("doc_id", "n_shingles", "s1", "s2").join(classes, ["s1", "s2", "n_shingles"], "left")
