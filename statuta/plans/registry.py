@@ -636,7 +636,6 @@ round(coalesce(list_sum(list_transform(list_distinct(list_filter(a.w, lambda x:
 from t a join t b on b.doc_id = a.doc_id + 1""")
 def numeral_parity(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "documents").select("doc_id", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("[0-9]+"), F.lit(0)).alias("a"))
-    rows = rows.select("doc_id", F.array_distinct("a").alias("a"))
     after = rows.select((F.col("doc_id") - 1).alias("doc_id"), F.col("a").alias("b"))
     return rows.join(after, "doc_id").select("doc_id", quality.numeral_parity(F.col("a"), F.col("b")).alias("parity"))
 
