@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statuta.sources.tables import checkpointed  # noqa: F401  (the other modules take it from here)
+from statuta.sources.tables import checkpointed, unsized  # noqa: F401  (the other modules take them from here)
 
 #: Words are the maximal runs of characters outside this class.
 SPACES = r"[\x20\x09-\x0D]+"

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statuta.llm.common import checkpointed, hash_texts, mix, release
+from statuta.llm.common import checkpointed, hash_texts, mix, release, unsized
 
 _STEP = np.uint64(0x9FB21C651E98DF25)
 COARSE, FINE, FINEST = 7, 8, 10
@@ -372,9 +372,10 @@ def components(links: DataFrame) -> DataFrame:
     contracts the links to links between roots. At most half of the nodes are roots that still have
     links, so there are few rounds, and each handles only what the one before left. Rounds shuffle
     ids only; what they leave is the caller's to let go, once: the JVM may answer time spent on
-    full collections of the driver's garbage by growing its heap.
+    full collections of the driver's garbage by growing its heap. No round builds on the estimated
+    sizes of the one before.
     """
-    edges = checkpointed(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    edges = unsized(checkpointed(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()))
     labels = None
     while True:
         ends = edges.select(F.col("a").alias("node"), F.col("b").alias("to")).union(edges.select("b", "a"))
@@ -383,10 +384,10 @@ def components(links: DataFrame) -> DataFrame:
             labels = roots
         else:
             over = roots.select(F.col("node").alias("label"), F.col("label").alias("above"))
-            labels = checkpointed(labels.join(over, "label", "left").select("node", F.coalesce("above", "label").alias("label")))
+            labels = unsized(checkpointed(labels.join(over, "label", "left").select("node", F.coalesce("above", "label").alias("label"))))
         for end in ("a", "b"):
             edges = edges.join(roots.withColumnRenamed("node", end), end).drop(end).withColumnRenamed("label", end)
-        edges = checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+        edges = unsized(checkpointed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()))
         if not edges.count():
             return labels
 
@@ -395,7 +396,7 @@ def _roots(parents: DataFrame) -> DataFrame:
     """Follows the pointers (node, label), which lead to lesser nodes, to their ends, doubling each time."""
     while True:
         above = parents.select(F.col("node").alias("label"), F.col("label").alias("above")).where("label <> above")
-        moved = checkpointed(parents.join(above, "label", "left").select("node", F.coalesce("above", "label").alias("label"), F.col("above").isNotNull().alias("moved")))
+        moved = unsized(checkpointed(parents.join(above, "label", "left").select("node", F.coalesce("above", "label").alias("label"), F.col("above").isNotNull().alias("moved"))))
         parents = moved.drop("moved")
         if not moved.where("moved").count():
             return parents

@@ -7,7 +7,7 @@ import itertools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statuta.sources.tables import checkpointed
+from statuta.sources.tables import checkpointed, unsized
 
 
 def walk(edges: DataFrame, start: DataFrame, depth: int) -> DataFrame:
@@ -67,7 +67,7 @@ def nearest_value(nodes: DataFrame, rounds: int | None = None) -> DataFrame:
         if i == rounds:
             break
         if rounds is None:
-            seen = checkpointed(seen)
+            seen = unsized(checkpointed(seen))
             open_ = seen.where("value is null and up is not null").count()
             most = most or seen.count()
             if not open_ or 1 << i > 2 * most:

@@ -29,3 +29,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
             folder = tempfile.mkdtemp(prefix="checkpoints-")
         sc.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def unsized(df: DataFrame) -> DataFrame:
+    """`df`, which is checkpointed, as rows of an RDD, of which Spark estimates no size.
+
+    A checkpoint keeps the estimate of the plan it cuts, and a join's is the product of its sides'. In a
+    loop that joins a frame with what comes of it the estimate's digits double each round, until the
+    driver's time and memory go to multiplying them.
+    """
+    spark = df.sparkSession
+    return DataFrame(spark._jsparkSession.createDataFrame(df._jdf.toJavaRDD(), df._jdf.schema()), spark)
