@@ -92,3 +92,15 @@ def test_words_of_whole_texts_are_those_of_their_words():
         for lang in (None, "he", "ar"):
             text = f"aB1{chr(c)}Xi {chr(c)}̇I"
             assert tokeniser.tokenise(text, lang, {}) == plainly(text, lang)
+
+
+def test_tables_are_read_from_sorted_cells(spark):
+    n = grids.SLICE // 2
+    cells = spark.range(n * 6, numPartitions=3).select((F.col("id") % 2).alias("tab"), (F.col("id") / 6).cast("int").alias("row"), (F.col("id") / 2 % 3).cast("int").alias("cell"), F.concat(F.repeat(F.lit("- "), (F.col("id") % 3).cast("int")), "id").alias("text"), F.when(F.col("id") % 5 > 0, 1).alias("colspan"), (F.col("id") % 4).cast("int").alias("rowspan"), F.lit(False).alias("is_header"))
+    found = grids.table_rows(cells)
+    assert "collect_list" not in plan(found) and plan(found).count("Exchange ") == 1 and "Generate" not in plan(found)
+    held = {}
+    for c in sorted(cells.collect(), key=lambda c: (c["tab"], c["row"], c["cell"])):
+        held.setdefault(c["tab"], {}).setdefault(c["row"], []).append(c.asDict())
+    want = {(t, y): (r["cells"], r["lineage"], r["mechanisms"]) for t, rows in held.items() for y, r in zip(sorted(rows), grids.resolved([rows[y] for y in sorted(rows)]), strict=True)}
+    assert {(r["tab"], r["row"]): (r["cells"], r["lineage"], r["mechanisms"]) for r in found.collect()} == want and len(want) == 2 * n
