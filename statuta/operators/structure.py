@@ -1,7 +1,7 @@
 """From text to structure: lines, quoted spans, markers with rejections, unit paths, unit bodies, number repair.
 
 A document is read line by line. Documents are told apart by `doc_id` and `version` (a hash of the
-text): rows equal in both are one document, one id with several texts is several documents. Null
+text): rows equal in both and in their text are one document, one id with several texts is several documents. Null
 texts have no lines. Windows go over the lines or marks of one document, which is one row already.
 
 Where whole texts are at hand, `walked` keeps a document's row and tells the same as `lines`,
@@ -42,7 +42,7 @@ class Marker:
 
 def documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, version and text of each document."""
-    return docs.where(F.col(text).isNotNull()).select("doc_id", F.xxhash64(text).alias("version"), F.col(text).alias("text")).dropDuplicates(KEYS)
+    return docs.where(F.col(text).isNotNull()).select("doc_id", F.xxhash64(text).alias("version"), F.col(text).alias("text")).distinct()
 
 
 def lines(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -308,6 +308,8 @@ def walked(docs: DataFrame, config: list[Marker], tell: str) -> DataFrame:
             flat = pa.StructArray.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, kinds, strict=True)], [n for n, _ in kinds])
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
 
+    # Else a condition on what it tells would be asked of the texts too, and read them twice.
+    told = told.asNondeterministic()
     return docs.select(*KEYS, told(F.col("text"), F.col("doc_id").isNotNull()).alias(tell))
 
 

@@ -93,19 +93,21 @@ def findings(units: DataFrame, numbered: list[str], parents: dict[str, list[str]
     pathed = unit & col("path").isNotNull()
     root, own = pathed & (col("parent") == ""), pathed & (col("kind") == article)
     bad = pathed & ((col("depth") > MAX_DEPTH) | (F.char_length("path") > MAX_LENGTH))
+    # Windows come finest first: those of a prefix of its order follow without sorting again.
+    known = known.withColumn("teller", F.row_number().over(doc.orderBy("path")) == 1)
     known = known.withColumns({
         "unusable": F.min(F.when(bad, F.struct("line", "path"))).over(doc),
         "units": F.sum(F.when(pathed, col("n")).otherwise(0)).over(doc), "rows": F.sum("n").over(doc), "all_chars": F.sum("chars").over(doc),
         "rooted": F.sum(F.when(root & own, col("n")).otherwise(0)).over(doc), "articles": F.sum(F.when(own, col("n")).otherwise(0)).over(doc),
         "last_rooted": F.max(F.when(root & own, col("last"))).over(doc), "first_container": F.min(F.when(root & col("kind").isin(*containers), col("line"))).over(doc),
-        "teller": F.row_number().over(doc.orderBy("path")) == 1,
     })
     # Numbers of a kind below one parent. Rows that are none of it lie apart.
     value = F.when(col("number").rlike("^[0-9]+$"), col("number").try_cast("long"))
     known = known.withColumn("held", pathed & col("kind").isin(*numbered) & (col("number") != "")).withColumn("value", value)
     known = known.withColumn("held", F.coalesce("held", F.lit(False)))
     beside, same = Window.partitionBy(*place), Window.partitionBy(*place, "number")
-    known = known.withColumns({"twins": F.when(col("held"), F.count("*").over(same)), "twin": F.min("path").over(same), "other": F.min(F.when(col("value").isNull(), col("line"))).over(beside)})
+    known = known.withColumns({"twins": F.when(col("held"), F.count("*").over(same)), "twin": F.min("path").over(same)})
+    known = known.withColumn("other", F.min(F.when(col("value").isNull(), col("line"))).over(beside))
     known = known.withColumn("head", F.coalesce(col("held") & col("value").isNotNull() & (col("other").isNull() | (col("line") < col("other"))), F.lit(False)))
     known = known.withColumn("host", col("head") & (F.row_number().over(Window.partitionBy(*place, "head", "value").orderBy("line", "path")) == 1))
     hosts = Window.partitionBy(*place, "host")

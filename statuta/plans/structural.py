@@ -48,7 +48,7 @@ def acts(spark: SparkSession, d: str) -> DataFrame:
     dealt = rows.unionByName(prose, allowMissingColumns=True).repartition(parts, "doc_id")
     part = F.when(F.col("act"), F.struct("l_linenumber", F.array_join(F.array_compact(F.array(*pieces)), "\n").alias("part")))
     held = dealt.select("doc_id", "act", "text", part.alias("part")).groupBy("doc_id", "act", "text").agg(F.collect_list("part").alias("parts"), F.count("*").alias("n"))
-    joined = F.array_join(F.transform(F.array_sort("parts"), lambda x: x["part"]), "\n")
+    joined = F.array_join(F.transform(F.sort_array("parts"), lambda x: x["part"]), "\n")
     times = F.when(F.col("act"), 1).otherwise(F.col("n").cast("int"))
     return held.select("doc_id", F.when(F.col("act"), joined).otherwise(F.col("text")).alias("text"), F.explode(F.sequence(F.lit(1), times)).alias("nth")).drop("nth")
 
